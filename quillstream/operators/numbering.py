@@ -1,76 +1,82 @@
 """Dense 0-based numbering of rows within keys, without a per-key window.
 
 ``row_number() OVER (PARTITION BY key ORDER BY o)`` sends every row of a key to
-one task. With a few keys (a topic has a handful of partitions) one key can
-hold a third of the data, so that plan does not scale. Instead:
-
-1. range-partition on ``(keys, order)`` into ``n`` partitions and sort within
-   them: a hot key is cut across many partitions because the order columns
-   take part in the range bounds;
-2. tag each row with its partition id and ``monotonically_increasing_id`` (the
-   position inside the sorted partition, in the low bits);
-3. aggregate to one row per (partition, key) segment -- at most ``n + keys``
-   rows -- and prefix-sum the segment sizes per key over the partition ids;
-4. join that small table back and add the row's position inside its segment.
-
-One range shuffle of the data; everything else touches the small table. The
-explicit partition count keeps AQE from coalescing the range exchange, so the
-partition ids seen by the two uses of it agree.
+one task. With few keys (a topic has a handful of partitions) one key can hold
+a third of the data, so that plan does not scale. Instead the integral order
+column is cut into fixed-width buckets:
+
+1. ``segments``: rows per (key, bucket) -- a partial aggregation that reads only
+   the key and order columns -- and, per key, the running total of the rows in
+   the buckets before each one (a window over the small segment table);
+2. ``row_number()`` over (key, bucket) ordered by the order column: every
+   window group holds at most ``bucket_width`` rows when the order values are
+   unique within a key, however hot the key is;
+3. offset = rows before the bucket + rank inside the bucket - 1, joining the
+   segment table back (broadcast when its measured size allows).
+
+Everything is deterministic (no sampling, no partition ids), so a retried task
+or a re-planned stage computes the same numbers. One hash shuffle of the rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillstream.operators.joins import join_bounded
-from quillstream.session import default_partitions
 
-_PART = "_qs_part"
-_POS = "_qs_pos"
-_FIRST = "_qs_first"
-_BASE = "_qs_base"
+DEFAULT_BUCKET_WIDTH = 1 << 16
+
+_BUCKET = "_qs_bucket"
+_RANK = "_qs_rank"
 _ROWS = "_qs_rows"
+_BASE = "_qs_base"
+
+
+def bucket_of(order_col: str, width: int) -> Column:
+    """Floor division of an integral column by ``width`` (exact for longs)."""
+    c = F.col(order_col).cast("long")
+    return ((c - F.pmod(c, F.lit(width))) / F.lit(width)).cast("long")
+
+
+def segment_counts(df: DataFrame, keys: Sequence[str], order_col: str, width: int = DEFAULT_BUCKET_WIDTH) -> tuple[int, int]:
+    """(number of segments, number of keys): the size bounds of the segment
+    table and of any per-key table. Reads only the key and order columns."""
+    segs = df.select(*keys, bucket_of(order_col, width).alias(_BUCKET)).distinct()
+    row = segs.agg(F.count(F.lit(1)).alias("s"), F.count_distinct(*[F.col(k) for k in keys]).alias("k")).first()
+    return int(row["s"]), int(row["k"])
 
 
 def number_within(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[str],
+    order_col: str,
     out_col: str,
-    num_partitions: int | None = None,
-    key_count: int | None = None,
+    bucket_width: int = DEFAULT_BUCKET_WIDTH,
+    segment_count: int | None = None,
 ) -> DataFrame:
-    """Add ``out_col`` = 0-based rank of each row within ``keys`` by ``order``.
+    """Add ``out_col`` = 0-based rank of each row within ``keys`` by
+    ``order_col`` (an integral column, unique within a key for a strict bound on
+    the window groups; ties are numbered in an unspecified order).
 
-    ``order`` should make rows unique within a key; with ties the numbering is
-    still dense and unique, but tied rows may be numbered in either order.
-    ``key_count`` (number of distinct keys, if known) bounds the segment table
-    at ``num_partitions + key_count`` rows, which allows broadcasting it.
+    ``segment_count`` (from ``segment_counts``) lets the segment table be
+    broadcast; without it the planner decides.
     """
-    keys, order = list(keys), list(order)
-    n = num_partitions or default_partitions(df.sparkSession)
-    tagged = (
-        df.repartitionByRange(n, *keys, *order)
-        .sortWithinPartitions(*keys, *order)
-        .withColumn(_PART, F.spark_partition_id())
-        .withColumn(_POS, F.monotonically_increasing_id())
-    )
-    before = Window.partitionBy(*keys).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    keys = list(keys)
+    if bucket_width <= 0:
+        raise ValueError("bucket_width must be positive")
+    bucketed = df.withColumn(_BUCKET, bucket_of(order_col, bucket_width))
+    before = Window.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     segments = (
-        tagged.groupBy(_PART, *keys)
-        .agg(F.min(_POS).alias(_FIRST), F.count(F.lit(1)).alias(_ROWS))
-        .select(
-            _PART,
-            *keys,
-            _FIRST,
-            F.coalesce(F.sum(_ROWS).over(before), F.lit(0)).alias(_BASE),
-        )
+        bucketed.groupBy(*keys, _BUCKET)
+        .agg(F.count(F.lit(1)).alias(_ROWS))
+        .select(*keys, _BUCKET, F.coalesce(F.sum(_ROWS).over(before), F.lit(0)).alias(_BASE))
     )
-    bound = None if key_count is None else n + key_count
-    numbered = join_bounded(tagged, segments, [_PART, *keys], small_rows=bound)
+    inside = Window.partitionBy(*keys, _BUCKET).orderBy(order_col)
+    ranked = bucketed.withColumn(_RANK, F.row_number().over(inside))
+    numbered = join_bounded(ranked, segments, [*keys, _BUCKET], small_rows=segment_count)
     return numbered.withColumn(
-        out_col, (F.col(_POS) - F.col(_FIRST) + F.col(_BASE)).cast("long")
-    ).drop(_PART, _POS, _FIRST, _BASE)
+        out_col, (F.col(_BASE) + F.col(_RANK) - 1).cast("long")
+    ).drop(_BUCKET, _RANK, _BASE)

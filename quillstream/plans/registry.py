@@ -21,7 +21,7 @@ from quillstream.sources.tables import read_table
 from quillstream.sources.topiclog import (
     FIXTURE_BATCH_SIZE,
     documents_topic_log,
-    fixture_key_count,
+    fixture_sizes,
     message_values,
     parse_topics,
 )
@@ -51,8 +51,8 @@ def _log(spark: SparkSession, d: str, topics: str | None = None) -> tuple[DataFr
     """The topic-log fixture and its measured number of topic partitions."""
     docs = _documents(spark, d)
     wanted = parse_topics(topics) if topics else None
-    k = fixture_key_count(docs, wanted)
-    return documents_topic_log(docs, wanted, key_count=k), k
+    segments, k = fixture_sizes(docs, wanted)
+    return documents_topic_log(docs, wanted, segment_count=segments), k
 
 
 def _ledger_current(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, int]:

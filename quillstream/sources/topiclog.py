@@ -13,14 +13,14 @@ A topic log is a DataFrame with the columns of Spark's public Kafka source
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillstream.functions.text import decode_utf8, encode_utf8
-from quillstream.operators.numbering import number_within
+from quillstream.operators.numbering import DEFAULT_BUCKET_WIDTH, number_within, segment_counts
 
 LOG_SCHEMA = T.StructType(
     [
@@ -73,19 +73,31 @@ def with_batch_ids(log: DataFrame, batch_size: int) -> DataFrame:
     return log.withColumn("batch_id", F.expr(f"`offset` div {int(batch_size)}"))
 
 
-def fixture_key_count(documents: DataFrame, topics: Sequence[str] | None = None) -> int:
-    """Number of (topic, partition) pairs the documents fixture will have.
+def _fixture_keyed(documents: DataFrame, topics: str | Iterable[str] | None) -> DataFrame:
+    docs = documents.select("doc_id", "lang", "text")
+    if topics is not None:
+        docs = docs.where(F.col("lang").isin(parse_topics(topics)))
+    return docs.select(
+        F.col("lang").alias("topic"),
+        (F.col("doc_id") % FIXTURE_PARTITIONS_PER_TOPIC).cast("int").alias("partition"),
+        "doc_id",
+        "text",
+    )
+
 
-    A narrow scan (two small columns) plus a partial aggregation; used as the
-    size bound that lets the per-partition tables be broadcast.
+def fixture_sizes(
+    documents: DataFrame,
+    topics: str | Iterable[str] | None = None,
+    bucket_width: int = DEFAULT_BUCKET_WIDTH,
+) -> tuple[int, int]:
+    """(numbering segments, topic partitions) of the documents fixture.
+
+    A narrow scan (``lang`` and ``doc_id`` only) plus partial aggregations; the
+    two numbers bound the small tables the fixture and the resume join
+    broadcast.
     """
-    docs = documents.select("lang", "doc_id")
-    if topics:
-        docs = docs.where(F.col("lang").isin(list(topics)))
-    return (
-        docs.select("lang", (F.col("doc_id") % FIXTURE_PARTITIONS_PER_TOPIC).alias("p"))
-        .distinct()
-        .count()
+    return segment_counts(
+        _fixture_keyed(documents, topics), ["topic", "partition"], "doc_id", bucket_width
     )
 
 
@@ -93,8 +105,8 @@ def documents_topic_log(
     documents: DataFrame,
     topics: str | Iterable[str] | None = None,
     batch_size: int = FIXTURE_BATCH_SIZE,
-    num_partitions: int | None = None,
-    key_count: int | None = None,
+    bucket_width: int = DEFAULT_BUCKET_WIDTH,
+    segment_count: int | None = None,
 ) -> DataFrame:
     """Deterministic topic log from the ``documents`` table.
 
@@ -103,22 +115,13 @@ def documents_topic_log(
     ``key`` = doc id as text, ``value`` = the document text (both as bytes).
     A topic subscription is applied before numbering, so it reaches the scan.
     """
-    docs = documents.select("doc_id", "lang", "text")
-    if topics is not None:
-        docs = docs.where(F.col("lang").isin(parse_topics(topics)))
-    keyed = docs.select(
-        F.col("lang").alias("topic"),
-        (F.col("doc_id") % FIXTURE_PARTITIONS_PER_TOPIC).cast("int").alias("partition"),
-        "doc_id",
-        "text",
-    )
     numbered = number_within(
-        keyed,
+        _fixture_keyed(documents, topics),
         ["topic", "partition"],
-        ["doc_id"],
+        "doc_id",
         "offset",
-        num_partitions=num_partitions,
-        key_count=key_count,
+        bucket_width=bucket_width,
+        segment_count=segment_count,
     )
     log = numbered.select(
         "topic",

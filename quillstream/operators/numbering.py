@@ -12,7 +12,7 @@ column is cut into fixed-width buckets:
    window group holds at most ``bucket_width`` rows when the order values are
    unique within a key, however hot the key is;
 3. offset = rows before the bucket + rank inside the bucket - 1, joining the
-   segment table back (broadcast when its measured size allows).
+   segment table back (broadcast when its size bound allows).
 
 Everything is deterministic (no sampling, no partition ids), so a retried task
 or a re-planned stage computes the same numbers. One hash shuffle of the rows.
@@ -20,7 +20,9 @@ or a re-planned stage computes the same numbers. One hash shuffle of the rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,6 +30,9 @@ from pyspark.sql import functions as F
 from quillstream.operators.joins import join_bounded
 
 DEFAULT_BUCKET_WIDTH = 1 << 16
+MIN_BUCKET_WIDTH = 1 << 10
+MAX_BUCKET_WIDTH = 1 << 20
+GROUPS_PER_CORE = 4
 
 _BUCKET = "_qs_bucket"
 _RANK = "_qs_rank"
@@ -35,18 +40,49 @@ _ROWS = "_qs_rows"
 _BASE = "_qs_base"
 
 
+@dataclass(frozen=True)
+class NumberingPlan:
+    """Bucket width and the size bounds it implies (see ``plan_numbering``)."""
+
+    bucket_width: int
+    segment_bound: int   # rows of the segment table, at most
+    keys: int            # distinct keys (e.g. topic partitions)
+    rows: int
+
+
 def bucket_of(order_col: str, width: int) -> Column:
     """Floor division of an integral column by ``width`` (exact for longs)."""
     c = F.col(order_col).cast("long")
     return ((c - F.pmod(c, F.lit(width))) / F.lit(width)).cast("long")
 
 
-def segment_counts(df: DataFrame, keys: Sequence[str], order_col: str, width: int = DEFAULT_BUCKET_WIDTH) -> tuple[int, int]:
-    """(number of segments, number of keys): the size bounds of the segment
-    table and of any per-key table. Reads only the key and order columns."""
-    segs = df.select(*keys, bucket_of(order_col, width).alias(_BUCKET)).distinct()
-    row = segs.agg(F.count(F.lit(1)).alias("s"), F.count_distinct(*[F.col(k) for k in keys]).alias("k")).first()
-    return int(row["s"]), int(row["k"])
+def plan_numbering(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_col: str,
+    parallelism: int | None = None,
+) -> NumberingPlan:
+    """Choose the bucket width from one narrow pass (row count, key count, and
+    the range of the order column; reads only those columns).
+
+    The width aims at ``GROUPS_PER_CORE`` window groups per core, clamped to
+    [1K, 1M] rows per group; the segment table then has at most
+    ``min(rows, keys * buckets spanned)`` rows, which is the bound used to
+    decide on broadcasting it.
+    """
+    row = df.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_distinct(*[F.col(k) for k in keys]).alias("k"),
+        F.min(order_col).alias("lo"),
+        F.max(order_col).alias("hi"),
+    ).first()
+    n, k = int(row["n"]), int(row["k"])
+    p = parallelism or df.sparkSession.sparkContext.defaultParallelism
+    width = min(MAX_BUCKET_WIDTH, max(MIN_BUCKET_WIDTH, math.ceil(n / (GROUPS_PER_CORE * p))))
+    if n == 0:
+        return NumberingPlan(width, 0, 0, 0)
+    span = int(row["hi"]) // width - int(row["lo"]) // width + 1
+    return NumberingPlan(width, min(n, k * span), k, n)
 
 
 def number_within(
@@ -61,8 +97,8 @@ def number_within(
     ``order_col`` (an integral column, unique within a key for a strict bound on
     the window groups; ties are numbered in an unspecified order).
 
-    ``segment_count`` (from ``segment_counts``) lets the segment table be
-    broadcast; without it the planner decides.
+    ``segment_count`` (an upper bound, e.g. ``NumberingPlan.segment_bound``)
+    lets the segment table be broadcast; without it the planner decides.
     """
     keys = list(keys)
     if bucket_width <= 0:

@@ -17,11 +17,11 @@ from quillstream.operators import cells as C
 from quillstream.operators import counts
 from quillstream.operators import offsets as O
 from quillstream.operators.reduce import last_by
-from quillstream.sources.tables import read_table
+from quillstream.sources.tables import read_table, spread
 from quillstream.sources.topiclog import (
     FIXTURE_BATCH_SIZE,
     documents_topic_log,
-    fixture_sizes,
+    fixture_plan,
     message_values,
     parse_topics,
 )
@@ -43,16 +43,24 @@ def _events(spark: SparkSession, d: str) -> DataFrame:
     return read_table(spark, d, "events", ["event_id", "ts", "user_id", "event_type", "value"])
 
 
+def _texts(spark: SparkSession, d: str) -> DataFrame:
+    """Documents for text work, spread over the cores if the scan is narrow."""
+    return spread(_documents(spark, d), ["doc_id"])
+
+
 def _tokens(spark: SparkSession, d: str) -> DataFrame:
-    return counts.tokenize(_documents(spark, d), "text")
+    return counts.tokenize(_texts(spark, d), "text")
 
 
 def _log(spark: SparkSession, d: str, topics: str | None = None) -> tuple[DataFrame, int]:
     """The topic-log fixture and its measured number of topic partitions."""
     docs = _documents(spark, d)
     wanted = parse_topics(topics) if topics else None
-    segments, k = fixture_sizes(docs, wanted)
-    return documents_topic_log(docs, wanted, segment_count=segments), k
+    plan = fixture_plan(docs, wanted)
+    log = documents_topic_log(
+        docs, wanted, bucket_width=plan.bucket_width, segment_count=plan.segment_bound
+    )
+    return log, plan.keys
 
 
 def _ledger_current(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, int]:
@@ -64,7 +72,7 @@ def _ledger_current(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame,
 # --- text and counts -------------------------------------------------------
 
 def q_words(spark: SparkSession, d: str) -> DataFrame:
-    return counts.tokenize(_documents(spark, d), "text", keep=["doc_id"])
+    return counts.tokenize(_texts(spark, d), "text", keep=["doc_id"])
 
 
 def q_word_count(spark: SparkSession, d: str) -> DataFrame:
@@ -80,7 +88,7 @@ def q_word_count_sql(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_line_word_count(spark: SparkSession, d: str) -> DataFrame:
-    return counts.word_count(counts.tokenize_lines(_documents(spark, d), "text"))
+    return counts.word_count(counts.tokenize_lines(_texts(spark, d), "text"))
 
 
 def q_top_words(spark: SparkSession, d: str) -> DataFrame:

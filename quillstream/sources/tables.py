@@ -20,6 +20,20 @@ def read_table(
     return df.select(*columns) if columns else df
 
 
+def spread(df: DataFrame, by: Sequence[str] = (), min_partitions: int | None = None) -> DataFrame:
+    """Hash-redistribute ``df`` only when its scan yields fewer partitions than
+    the cluster has cores (e.g. one unsplittable Parquet row group).
+
+    On a large input the scan is already wide and this is a no-op, so it never
+    adds a shuffle of the full data at scale. Partitioning by ``by`` (hash)
+    keeps the result deterministic on retry.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *by) if by else df.repartition(target)
+
+
 def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Line-delimited text from one or many files/globs as one DataFrame
     (``value string``); the file each line came from is available through the

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillstream.functions.text import decode_utf8, encode_utf8
-from quillstream.operators.numbering import DEFAULT_BUCKET_WIDTH, number_within, segment_counts
+from quillstream.operators.numbering import DEFAULT_BUCKET_WIDTH, NumberingPlan, number_within, plan_numbering
 
 LOG_SCHEMA = T.StructType(
     [
@@ -85,20 +85,13 @@ def _fixture_keyed(documents: DataFrame, topics: str | Iterable[str] | None) ->
     )
 
 
-def fixture_sizes(
-    documents: DataFrame,
-    topics: str | Iterable[str] | None = None,
-    bucket_width: int = DEFAULT_BUCKET_WIDTH,
-) -> tuple[int, int]:
-    """(numbering segments, topic partitions) of the documents fixture.
-
-    A narrow scan (``lang`` and ``doc_id`` only) plus partial aggregations; the
-    two numbers bound the small tables the fixture and the resume join
-    broadcast.
-    """
-    return segment_counts(
-        _fixture_keyed(documents, topics), ["topic", "partition"], "doc_id", bucket_width
-    )
+def fixture_plan(
+    documents: DataFrame, topics: str | Iterable[str] | None = None
+) -> NumberingPlan:
+    """Numbering plan of the documents fixture: bucket width, segment-table
+    bound and number of topic partitions, from one narrow pass over ``lang``
+    and ``doc_id``. The bounds decide which small tables are broadcast."""
+    return plan_numbering(_fixture_keyed(documents, topics), ["topic", "partition"], "doc_id")
 
 
 def documents_topic_log(

@@ -5,7 +5,7 @@ import random
 import pandas as pd
 import pytest
 
-from quillstream.operators.numbering import number_within, segment_counts
+from quillstream.operators.numbering import MIN_BUCKET_WIDTH, number_within, plan_numbering
 
 
 def _brute(rows):
@@ -25,9 +25,11 @@ def test_number_within_matches_rank(spark, width):
         for o in rnd.sample(range(-5000, 5000), rnd.randint(1, 30)):
             rows.append((f"k{k}", o))
     df = spark.createDataFrame(rows, "k string, o long")
-    segs, keys = segment_counts(df, ["k"], "o", width)
-    assert keys == 41
-    got = number_within(df, ["k"], "o", "n", bucket_width=width, segment_count=segs).collect()
+    plan = plan_numbering(df, ["k"], "o", parallelism=8)
+    assert plan.keys == 41 and plan.rows == len(rows)
+    assert plan.bucket_width == MIN_BUCKET_WIDTH and plan.segment_bound <= len(rows)
+    # any upper bound on the segment table works; the row count always is one
+    got = number_within(df, ["k"], "o", "n", bucket_width=width, segment_count=len(rows)).collect()
     assert len(got) == len(rows)
     assert {(r.k, r.o): r.n for r in got} == _brute(rows)
 

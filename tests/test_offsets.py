@@ -103,8 +103,9 @@ def test_fill_absent_partitions(spark):
 
 def test_documents_log_matches_window_rank(spark):
     docs = spark.read.parquet(f"{SMOKE_DIR}/documents.parquet")
-    segs, k = TL.fixture_sizes(docs)
-    log = TL.documents_topic_log(docs, bucket_width=7, segment_count=segs)
+    plan = TL.fixture_plan(docs)
+    k = plan.keys
+    log = TL.documents_topic_log(docs, bucket_width=7, segment_count=plan.rows)
     got = log.select("topic", "partition", "offset", "batch_id", F.decode("key", "UTF-8").alias("k")).toPandas()
     pdf = docs.select("doc_id", "lang").toPandas()
     pdf["partition"] = pdf.doc_id % 3

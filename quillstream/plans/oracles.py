@@ -85,6 +85,12 @@ ORACLES: dict[str, str] = {
         f"WITH {TOKENS} SELECT word, count(*) AS total FROM tokens GROUP BY word "
         "ORDER BY total DESC, word ASC LIMIT 10"
     ),
+    "two_topic_word_count": (
+        "WITH m AS (SELECT 'documents' AS topic, text AS value FROM documents "
+        "UNION ALL SELECT 'conversations' AS topic, text AS value FROM conversations), "
+        f"w AS (SELECT topic, unnest({_tokens_of('value')}) AS word FROM m) "
+        "SELECT topic, word, count(*) AS total FROM w GROUP BY topic, word"
+    ),
     "topic_messages": f"WITH {LOG} SELECT topic, \"partition\", \"offset\", value FROM log WHERE topic IN ('en', 'de')",
     "batch_word_count": (
         f"WITH {LOG}, w AS (SELECT \"offset\" // 10 AS batch_id, unnest({_tokens_of('value')}) AS word FROM log) "

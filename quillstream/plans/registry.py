@@ -24,12 +24,14 @@ from quillstream.sources.topiclog import (
     fixture_plan,
     message_values,
     parse_topics,
+    tables_as_topics,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Query parameters.
 SUBSCRIBED_TOPICS = "en,de"          # two of the four topics of the log fixture
+TEXT_TOPICS = "documents,conversations"  # two tables read as two topics
 TOP_N = 10                           # rows shown per batch by the console sink
 UPSERT_CUTOVER = "2024-01-15 00:00:00"  # events before: base table; from then on: puts
 MAX_QUALIFIERS = 10_000              # bound on discovered cell columns
@@ -95,6 +97,15 @@ def q_top_words(spark: SparkSession, d: str) -> DataFrame:
     return counts.top_words(counts.word_count(_tokens(spark, d)), TOP_N)
 
 
+def q_two_topic_word_count(spark: SparkSession, d: str) -> DataFrame:
+    """Counts per topic over two subscribed topics, one per text table."""
+    sources = {
+        t: spread(read_table(spark, d, t, ["text"]).withColumnRenamed("text", "value"))
+        for t in parse_topics(TEXT_TOPICS)
+    }
+    return counts.word_count(counts.tokenize(tables_as_topics(sources), keep=["topic"]), by=["topic"])
+
+
 # --- topic log, batches, offsets -------------------------------------------
 
 def q_topic_messages(spark: SparkSession, d: str) -> DataFrame:
@@ -180,6 +191,7 @@ QUERIES: dict[str, Query] = {
     "word_count_sql": q_word_count_sql,
     "line_word_count": q_line_word_count,
     "top_words": q_top_words,
+    "two_topic_word_count": q_two_topic_word_count,
     "topic_messages": q_topic_messages,
     "batch_word_count": q_batch_word_count,
     "offset_ranges": q_offset_ranges,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.utils import AnalysisException
 
 
 def table_path(base_dir: str, name: str) -> str:
@@ -39,3 +40,16 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     (``value string``); the file each line came from is available through the
     hidden ``_metadata.file_path`` column."""
     return spark.read.text(paths if isinstance(paths, str) else list(paths))
+
+
+def table_available(spark: SparkSession, name_or_path: str) -> bool:
+    """Is the table there? A catalog name is looked up in the catalog; a path
+    (containing ``/``) counts as available when Spark can resolve it as a
+    Parquet table. Nothing is scanned."""
+    if "/" not in name_or_path:
+        return spark.catalog.tableExists(name_or_path)
+    try:
+        spark.read.parquet(name_or_path).schema
+        return True
+    except AnalysisException:
+        return False

@@ -127,6 +127,18 @@ def documents_topic_log(
     return with_batch_ids(log, batch_size)
 
 
+def tables_as_topics(sources: dict[str, DataFrame]) -> DataFrame:
+    """Messages of several text tables as one multi-topic stream of values:
+    ``{topic: DataFrame(value string)}`` -> ``(topic, value)``. Each table
+    becomes one topic; the union is a plain ``UNION ALL`` (no shuffle)."""
+    parts = [df.select(F.lit(topic).alias("topic"), F.col("value").cast("string").alias("value"))
+             for topic, df in sources.items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def read_topic_log(
     spark: SparkSession, path: str, topics: str | Iterable[str] | None = None
 ) -> DataFrame:

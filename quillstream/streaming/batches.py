@@ -37,6 +37,7 @@ class BatchOutputs:
     text_col: str = "value"          # message text column (bytes are decoded)
     split_lines: bool = False        # frame text into lines before tokenising
     max_partitions: int | None = None  # bound on topic partitions (broadcast check)
+    show_rows: int | None = None     # print this many count rows per batch (console)
 
 
 def _text(batch: DataFrame, col: str) -> DataFrame:
@@ -78,6 +79,9 @@ def process_batch(batch: DataFrame, batch_id: int, outputs: BatchOutputs) -> Non
             if outputs.cells and not totals.isEmpty():
                 puts = C.stamp(C.counts_as_cells(totals), F.current_timestamp(), batch_id)
                 write_batch(puts, outputs.cells, batch_id)
+            if outputs.show_rows:
+                print(f"=== batch {batch_id} ===")
+                counts.top_words(totals, outputs.show_rows).show(outputs.show_rows, truncate=False)
         finally:
             totals.unpersist()
     finally:

@@ -88,3 +88,12 @@ def test_last_by_explicit_order(spark):
     df = spark.createDataFrame([(1, 10, 1, 5.0), (1, 10, 2, 6.0), (1, 9, 3, 7.0), (2, 1, 1, 1.0)], "k int, ts int, id int, v double")
     got = {r.k: r.v for r in last_by(df, ["k"], "v", ["ts", "id"]).collect()}
     assert got == {1: 6.0, 2: 1.0}
+
+
+def test_table_available(spark, scratch):
+    from quillstream.sources.tables import table_available
+
+    assert not table_available(spark, f"{scratch}/none")
+    assert not table_available(spark, "qs_no_such_table")
+    spark.range(3).write.parquet(f"{scratch}/t")
+    assert table_available(spark, f"{scratch}/t")

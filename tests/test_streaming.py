@@ -8,6 +8,7 @@ use the file source with the memory and file sinks.
 
 import json
 import os
+import re
 
 from pyspark.sql import functions as F
 
@@ -129,3 +130,29 @@ def test_restart_on_checkpoint(spark, scratch):
     assert spark.read.parquet(sink).count() > first
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     assert os.path.isdir(os.path.join(ck, "commits"))
+
+
+def test_topic_log_replay_stream(spark, scratch):
+    """A log persisted partitioned by topic, replayed as a stream with a
+    subscription: only the subscribed topics arrive, values decode to text."""
+    log = _fixture(spark).drop("batch_id")
+    path = f"{scratch}/log"
+    TL.write_topic_log(log, path, mode="overwrite")
+    batch = TL.read_topic_log(spark, path, topics="en,de")
+    plan = batch._jdf.queryExecution().executedPlan().toString()
+    # the subscription prunes topic directories instead of filtering rows
+    assert re.search(r"PartitionFilters: \[[^\]]*topic", plan) and "PushedFilters: []" in plan
+    stream = TL.message_values(TL.topic_log_stream(spark, path, topics="en,de", max_files_per_trigger=2))
+    q = (stream.writeStream.format("memory").queryName("qs_log_replay")
+         .option("checkpointLocation", f"{scratch}/ck").trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    got = spark.table("qs_log_replay")
+    want = TL.message_values(TL.subscribe(log, ["en", "de"]))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_show_rows_prints_top_counts(spark, scratch, capsys):
+    df = spark.createDataFrame([("b a a",)], "value string")
+    process_batch(df, 7, BatchOutputs(show_rows=2))
+    out = capsys.readouterr().out
+    assert "=== batch 7 ===" in out

@@ -8,7 +8,7 @@ batch that happened to touch it.
 
 The ledger is append-only (one row per range plus the encoded ``stats``
 string); the "current" position of a partition is derived from it (newest
-batch per key), so a replayed batch can never corrupt it.
+range per key), so a replayed batch can never corrupt it.
 """
 
 from __future__ import annotations
@@ -88,16 +88,21 @@ def ledger_rows(ranges: DataFrame) -> DataFrame:
 def ledger_current(ledger: DataFrame) -> DataFrame:
     """Newest ledger entry per topic partition: ``(topic, partition, batch_id, stats)``.
 
-    Aggregates fixed-width values only (``max_by`` of longs), so it runs as a
-    partial hash aggregation; the string is rebuilt from the winning offsets.
-    A replayed batch writes the same range again, so duplicates are harmless.
+    Offsets only grow, so the newest range of a partition is the one with the
+    greatest ``(until_offset, from_offset)``; an empty range at the end sorts
+    after the range that reached it. Ordering by offsets rather than batch ids
+    keeps the answer right across runs (batch ids restart when a stream starts
+    on a new checkpoint), and a replayed batch, which writes the same range
+    again, cannot change it. A partial aggregation; one row out per partition.
     """
     newest = ledger.groupBy(*PARTITION_KEY).agg(
-        F.max("batch_id").alias("batch_id"),
-        F.max_by("from_offset", "batch_id").alias("from_offset"),
-        F.max_by("until_offset", "batch_id").alias("until_offset"),
+        F.max_by(
+            F.struct("batch_id", "from_offset", "until_offset"),
+            F.struct("until_offset", "from_offset", "batch_id"),
+        ).alias("_qs_n")
     )
-    return newest.select(*PARTITION_KEY, "batch_id", encode_stats().alias("stats"))
+    flat = newest.select(*PARTITION_KEY, "_qs_n.batch_id", "_qs_n.from_offset", "_qs_n.until_offset")
+    return flat.select(*PARTITION_KEY, "batch_id", encode_stats().alias("stats"))
 
 
 def resume_offsets(current: DataFrame, which: str = "from") -> DataFrame:

@@ -1,36 +1,59 @@
 """Idempotent, batch-keyed table writers.
 
-Every stream output is written under its batch id (``<table>/batch_id=<n>/``)
-with overwrite, so a micro-batch that is replayed after a failure replaces its
-own earlier output instead of adding to it. Readers see ``batch_id`` as a
-partition column and can prune on it.
+Every stream output is written under its run and batch id
+(``<table>/run=<label>/batch_id=<n>/``) with overwrite, so a micro-batch that is
+replayed after a failure replaces its own earlier output instead of adding to
+it. The run label is stable for one stream checkpoint; a stream started on a
+new checkpoint (whose batch ids restart at 0) gets a new label and cannot
+overwrite an earlier run. Readers see ``run`` and ``batch_id`` as partition
+columns and can prune on them.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.utils import AnalysisException
 
+DEFAULT_RUN = "default"
 
-def batch_path(table_path: str, batch_id: int) -> str:
-    return f"{table_path.rstrip('/')}/batch_id={int(batch_id)}"
 
+def run_label(checkpoint_location: str) -> str:
+    """A stable, non-numeric label for the run owning a checkpoint."""
+    return "r" + hashlib.sha1(checkpoint_location.encode("utf-8")).hexdigest()[:12]
 
-def write_batch(df: DataFrame, table_path: str, batch_id: int, files: int | None = None) -> None:
-    """Replace the partition of ``batch_id`` with ``df`` (without a ``batch_id``
-    column: the directory carries it)."""
-    out = df.drop("batch_id") if "batch_id" in df.columns else df
-    if files:
-        out = out.coalesce(files)
-    out.write.mode("overwrite").parquet(batch_path(table_path, batch_id))
 
+def batch_path(table_path: str, batch_id: int, run: str = DEFAULT_RUN) -> str:
+    return f"{table_path.rstrip('/')}/run={run}/batch_id={int(batch_id)}"
 
-def read_batches(spark: SparkSession, table_path: str, schema=None) -> DataFrame | None:
-    """The whole batch-keyed table, or None if nothing was written yet."""
-    reader = spark.read
+
+def write_batch(
+    df: DataFrame, table_path: str, batch_id: int, run: str = DEFAULT_RUN, files: int | None = None
+) -> None:
+    """Replace the partition of (run, batch_id) with ``df`` (the directory
+    carries ``run`` and ``batch_id``, so those columns are dropped)."""
+    out = df.drop("batch_id", "run")
+    if files:
+        out = out.coalesce(files)
+    out.write.mode("overwrite").parquet(batch_path(table_path, batch_id, run))
+
+
+def read_batches(
+    spark: SparkSession,
+    table_path: str,
+    schema=None,
+    run: str | None = None,
+    batch_ids: Iterable[int] | None = None,
+) -> DataFrame | None:
+    """The batch-keyed table (optionally one run / some batches only: the
+    directories are pruned before listing), or None if nothing matches."""
+    reader = spark.read.option("basePath", table_path)
     if schema is not None:
         reader = reader.schema(schema)
+    ids = "*" if batch_ids is None else "{" + ",".join(str(int(b)) for b in batch_ids) + "}"
     try:
-        return reader.option("basePath", table_path).parquet(f"{table_path.rstrip('/')}/batch_id=*")
+        return reader.parquet(f"{table_path.rstrip('/')}/run={run or '*'}/batch_id={ids}")
     except AnalysisException:
         return None

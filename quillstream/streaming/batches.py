@@ -13,7 +13,7 @@ overwrite, so a batch replayed after a failure replaces its earlier output.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +23,7 @@ from quillstream.operators import cells as C
 from quillstream.operators import counts
 from quillstream.operators import offsets as O
 from quillstream.session import shared_dir
-from quillstream.sinks.tables import read_batches, write_batch
+from quillstream.sinks.tables import DEFAULT_RUN, read_batches, run_label, write_batch
 from quillstream.sources.topiclog import starting_offsets_json
 
 
@@ -38,6 +38,7 @@ class BatchOutputs:
     split_lines: bool = False        # frame text into lines before tokenising
     max_partitions: int | None = None  # bound on topic partitions (broadcast check)
     show_rows: int | None = None     # print this many count rows per batch (console)
+    run: str = DEFAULT_RUN           # run label of the batch tables (one per checkpoint)
 
 
 def _text(batch: DataFrame, col: str) -> DataFrame:
@@ -46,19 +47,39 @@ def _text(batch: DataFrame, col: str) -> DataFrame:
     return batch.select((F.decode(c, "UTF-8") if is_binary else c).alias("value"))
 
 
+def previous_positions(spark: SparkSession, ledger_path: str, batch_id: int, run: str) -> DataFrame | None:
+    """Ledger rows that hold every partition's position before ``batch_id``.
+
+    The ledger is dense, so the previous batch of the same run already lists
+    every known partition: read just that partition directory. Only the first
+    batch of a run (or one whose predecessor is missing) reads the whole
+    ledger, minus this run's own batches from ``batch_id`` on (a replay).
+    """
+    if batch_id > 0:
+        prev = read_batches(spark, ledger_path, run=run, batch_ids=[batch_id - 1])
+        if prev is not None:
+            return prev
+    ledger = read_batches(spark, ledger_path)
+    if ledger is None:
+        return None
+    return ledger.where(~((F.col("run") == run) & (F.col("batch_id") >= batch_id)))
+
+
 def batch_ledger_rows(
-    batch: DataFrame, batch_id: int, ledger_path: str, max_partitions: int | None = None
+    batch: DataFrame,
+    batch_id: int,
+    ledger_path: str,
+    run: str = DEFAULT_RUN,
+    max_partitions: int | None = None,
 ) -> DataFrame:
     """Dense ledger rows for one batch: its non-empty ranges, plus an empty
     range for every partition the ledger knows and the batch did not read."""
-    spark = batch.sparkSession
     ranges = O.batch_ranges(batch)
-    ledger = read_batches(spark, ledger_path)
-    if ledger is None:
+    previous = previous_positions(batch.sparkSession, ledger_path, batch_id, run)
+    if previous is None:
         dense = ranges.select(F.lit(batch_id).cast("long").alias("batch_id"), *O.PARTITION_KEY, "from_offset", "until_offset")
     else:
-        earlier = O.ledger_current(ledger.where(F.col("batch_id") < batch_id))
-        dense = O.fill_absent_partitions(ranges, earlier, batch_id, max_partitions)
+        dense = O.fill_absent_partitions(ranges, O.ledger_current(previous), batch_id, max_partitions)
     return O.ledger_rows(dense)
 
 
@@ -69,16 +90,17 @@ def process_batch(batch: DataFrame, batch_id: int, outputs: BatchOutputs) -> Non
     data = batch.persist()
     try:
         if outputs.ledger and has_offsets:
-            write_batch(batch_ledger_rows(data, batch_id, outputs.ledger, outputs.max_partitions), outputs.ledger, batch_id)
+            rows = batch_ledger_rows(data, batch_id, outputs.ledger, outputs.run, outputs.max_partitions)
+            write_batch(rows, outputs.ledger, batch_id, outputs.run)
         text = _text(data, outputs.text_col)
         words = counts.tokenize_lines(text) if outputs.split_lines else counts.tokenize(text)
         totals = counts.word_count_sql(words).persist()
         try:
             if outputs.counts:
-                write_batch(totals, outputs.counts, batch_id)
+                write_batch(totals, outputs.counts, batch_id, outputs.run)
             if outputs.cells and not totals.isEmpty():
                 puts = C.stamp(C.counts_as_cells(totals), F.current_timestamp(), batch_id)
-                write_batch(puts, outputs.cells, batch_id)
+                write_batch(puts, outputs.cells, batch_id, outputs.run)
             if outputs.show_rows:
                 print(f"=== batch {batch_id} ===")
                 counts.top_words(totals, outputs.show_rows).show(outputs.show_rows, truncate=False)
@@ -97,9 +119,13 @@ def start_word_count_stream(
 ) -> StreamingQuery:
     """Start the per-batch word count. ``trigger`` is passed to
     ``DataStreamWriter.trigger`` (default: every 2 seconds); the checkpoint
-    defaults to ``<spark.checkpoint.dir>/streams/<name>``."""
+    defaults to ``<spark.checkpoint.dir>/streams/<name>``; the batch tables are
+    labelled with a run derived from it, so restarts on the same checkpoint
+    replace their own batches and a new checkpoint never overwrites old ones."""
     spark = source.sparkSession
     location = checkpoint or shared_dir(spark, "streams", name)
+    if outputs.run == DEFAULT_RUN:
+        outputs = replace(outputs, run=run_label(location))
     writer = (
         source.writeStream.queryName(name)
         .option("checkpointLocation", location)

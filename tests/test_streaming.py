@@ -156,3 +156,28 @@ def test_show_rows_prints_top_counts(spark, scratch, capsys):
     process_batch(df, 7, BatchOutputs(show_rows=2))
     out = capsys.readouterr().out
     assert "=== batch 7 ===" in out
+
+
+def test_new_run_keeps_earlier_ledger(spark, scratch):
+    """A stream resumed on a new checkpoint restarts its batch ids at 0; its
+    ledger rows go to a new run and the positions carry across runs."""
+    log = _fixture(spark)
+    first = BatchOutputs(ledger=f"{scratch}/ledger", run="rA")
+    _run_batches(spark, log, first, [0, 1, 2])
+    # second run: batch ids restart, and it reads only one topic's messages
+    second = BatchOutputs(ledger=f"{scratch}/ledger", run="rB")
+    process_batch(log.where("batch_id = 3 AND topic = 'en'").drop("batch_id"), 0, second)
+    ledger = read_batches(spark, f"{scratch}/ledger")
+    assert {r.run for r in ledger.collect()} == {"rA", "rB"}
+    assert ledger.where("run = 'rA'").select("batch_id").distinct().count() == 3
+    current = {(r.topic, r.partition): r.stats for r in O.ledger_current(ledger).collect()}
+    whole = {(r.topic, r.partition): r.stats for r in
+             O.ledger_current(O.ledger_rows(O.dense_ranges(log.where("batch_id <= 3"), 10))).collect()}
+    en = {k: v for k, v in whole.items() if k[0] == "en"}
+    assert {k: v for k, v in current.items() if k[0] == "en"} == en
+    # other topics: carried from run A's last batch as empty ranges at its end
+    rb = {(r.topic, r.partition): (r.from_offset, r.until_offset) for r in ledger.where("run = 'rB'").collect()}
+    ra_last = {(r.topic, r.partition): r.until_offset for r in ledger.where("run = 'rA' AND batch_id = 2").collect()}
+    for k, until in ra_last.items():
+        if k[0] != "en":
+            assert rb[k] == (until, until)

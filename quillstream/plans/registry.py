@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from quillstream.operators import cells as C
 from quillstream.operators import counts
 from quillstream.operators import offsets as O
+from quillstream.operators.joins import join_bounded
 from quillstream.operators.reduce import last_by
 from quillstream.sources.tables import read_table, spread
 from quillstream.sources.topiclog import (
@@ -99,8 +100,9 @@ def q_top_words(spark: SparkSession, d: str) -> DataFrame:
 
 def q_two_topic_word_count(spark: SparkSession, d: str) -> DataFrame:
     """Counts per topic over two subscribed topics, one per text table."""
+    ids = {"documents": ["doc_id"], "conversations": ["conv_id", "turn"]}
     sources = {
-        t: spread(read_table(spark, d, t, ["text"]).withColumnRenamed("text", "value"))
+        t: spread(read_table(spark, d, t, [*ids[t], "text"]), ids[t]).withColumnRenamed("text", "value")
         for t in parse_topics(TEXT_TOPICS)
     }
     return counts.word_count(counts.tokenize(tables_as_topics(sources), keep=["topic"]), by=["topic"])
@@ -135,9 +137,29 @@ def q_resume_offsets(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _resumed(spark: SparkSession, d: str) -> DataFrame:
-    log, current, k = _ledger_current(spark, d)
+    """Messages from the resume position on.
+
+    Offsets need only ``doc_id`` and ``lang``, so the log is numbered without
+    its text; the ledger and the start offsets come from that narrow log. The
+    resumed rows are at most one batch per partition (``batch_size * keys``
+    rows), so their text is fetched by broadcasting them into a scan of the
+    documents: the text column is never shuffled.
+    """
+    docs = _documents(spark, d)
+    plan = fixture_plan(docs)
+    narrow = documents_topic_log(
+        docs.withColumn("text", F.lit(None).cast("string")),
+        bucket_width=plan.bucket_width,
+        segment_count=plan.segment_bound,
+    )
+    current = O.ledger_current(O.ledger_rows(O.dense_ranges(narrow, FIXTURE_BATCH_SIZE)))
     starts = O.resume_offsets(current, "from")
-    return message_values(O.resume_messages(log, starts, partitions_bound=k))
+    picked = O.resume_messages(narrow, starts, partitions_bound=plan.keys).select(
+        "topic", "partition", "offset", F.decode("key", "UTF-8").cast("long").alias("doc_id")
+    )
+    texts = docs.select("doc_id", F.col("text").alias("value"))
+    found = join_bounded(texts, picked, ["doc_id"], small_rows=FIXTURE_BATCH_SIZE * plan.keys)
+    return found.select("topic", "partition", "offset", "value")
 
 
 def q_resume_messages(spark: SparkSession, d: str) -> DataFrame:

@@ -87,6 +87,9 @@ def test_resume_from_ledger(spark, scratch):
     starts = O.resume_offsets(O.ledger_current(read_batches(spark, out.ledger)), "from")
     resumed = O.resume_messages(log.where("batch_id <= 1"), starts, partitions_bound=len(ends))
     assert resumed.count() == log.where("batch_id = 1").count()
+    # with "until" nothing that was already recorded is read again
+    after = O.resume_offsets(O.ledger_current(read_batches(spark, out.ledger)), "until")
+    assert O.resume_messages(log.where("batch_id <= 1"), after, partitions_bound=len(ends)).count() == 0
 
 
 def _write_texts(spark, docs, path, files):

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillstream.operators.joins import join_bounded
+from quillstream.session import parallelism as session_parallelism
 
 DEFAULT_BUCKET_WIDTH = 1 << 16
 MIN_BUCKET_WIDTH = 1 << 10
@@ -77,7 +78,7 @@ def plan_numbering(
         F.max(order_col).alias("hi"),
     ).first()
     n, k = int(row["n"]), int(row["k"])
-    p = parallelism or df.sparkSession.sparkContext.defaultParallelism
+    p = parallelism or session_parallelism(df.sparkSession)
     width = min(MAX_BUCKET_WIDTH, max(MIN_BUCKET_WIDTH, math.ceil(n / (GROUPS_PER_CORE * p))))
     if n == 0:
         return NumberingPlan(width, 0, 0, 0)

@@ -71,6 +71,15 @@ def default_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def parallelism(spark: SparkSession) -> int:
+    """Cores available to the session (shuffle partitions where the
+    SparkContext is not reachable, e.g. over Spark Connect)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # no SparkContext in this client
+        return default_partitions(spark)
+
+
 def env_int(name: str, default: int) -> int:
     value = os.environ.get(name)
     return int(value) if value else default

@@ -15,8 +15,11 @@ import hashlib
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from quillstream.operators.cells import CELL_KEY
+
 DEFAULT_RUN = "default"
 
 
@@ -57,3 +60,16 @@ def read_batches(
         return reader.parquet(f"{table_path.rstrip('/')}/run={run or '*'}/batch_id={ids}")
     except AnalysisException:
         return None
+
+
+def compact_cells(spark: SparkSession, cells_path: str, out_path: str) -> None:
+    """Rewrite a cell table keeping only the newest version of every cell
+    (with its ``seq``), into a new location. Later appends still win over the
+    compacted versions, since versions are compared by (ts, seq)."""
+    cells = spark.read.parquet(cells_path)
+    newest = cells.groupBy(*CELL_KEY).agg(
+        F.max_by(F.struct("ts", "seq", "value"), F.struct("ts", "seq")).alias("_qs_v")
+    )
+    newest.select(*CELL_KEY, "_qs_v.ts", "_qs_v.seq", "_qs_v.value").write.mode(
+        "errorifexists"
+    ).parquet(out_path)

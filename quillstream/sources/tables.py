@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.utils import AnalysisException
 
+from quillstream.session import parallelism
+
 
 def table_path(base_dir: str, name: str) -> str:
     return f"{base_dir.rstrip('/')}/{name}.parquet"
@@ -29,8 +31,12 @@ def spread(df: DataFrame, by: Sequence[str] = (), min_partitions: int | None = N
     adds a shuffle of the full data at scale. Partitioning by ``by`` (hash)
     keeps the result deterministic on retry.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    target = min_partitions or parallelism(df.sparkSession)
+    try:
+        current = df.rdd.getNumPartitions()  # plans the scan; runs no job
+    except Exception:  # no RDD access in this client: leave it to the scan
+        return df
+    if current >= target:
         return df
     return df.repartition(target, *by) if by else df.repartition(target)
 

@@ -97,3 +97,16 @@ def test_table_available(spark, scratch):
     assert not table_available(spark, "qs_no_such_table")
     spark.range(3).write.parquet(f"{scratch}/t")
     assert table_available(spark, f"{scratch}/t")
+
+
+def test_compact_cells(spark, scratch):
+    import datetime as dt
+
+    from quillstream.sinks.tables import compact_cells
+
+    t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    cells = _cells(spark, [("r", "f", "q", t1, 1, "a"), ("r", "f", "q", t2, 2, "b"), ("s", "f", "q", t1, 3, "c")])
+    cells.write.parquet(f"{scratch}/cells")
+    compact_cells(spark, f"{scratch}/cells", f"{scratch}/compact")
+    got = {(r.row_key, r.value, r.seq) for r in spark.read.parquet(f"{scratch}/compact").collect()}
+    assert got == {("r", "b", 2), ("s", "c", 3)}

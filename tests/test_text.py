@@ -86,3 +86,32 @@ def test_tokens_match_python_reference_split(spark):
     got = {r.i: r.w for r in df.select("i", split_words("t").alias("w")).collect()}
     for i, t in enumerate(texts):
         assert got[i] == model(t), repr(t)
+
+
+def test_lines_match_readline_model(spark):
+    """Property check against a model of a newline-framed line reader."""
+    import random
+
+    def read_lines(s):
+        out, cur, i = [], [], 0
+        while i < len(s):
+            ch = s[i]
+            if ch == "\n" or ch == "\r":
+                out.append("".join(cur))
+                cur = []
+                if ch == "\r" and i + 1 < len(s) and s[i + 1] == "\n":
+                    i += 1
+            else:
+                cur.append(ch)
+            i += 1
+        if cur:
+            out.append("".join(cur))
+        return out
+
+    rnd = random.Random(11)
+    alphabet = ["a", "b", " ", "\n", "\r", "\r\n"]
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 10))) for _ in range(400)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.l for r in df.select("i", frame_lines("t").alias("l")).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == read_lines(t), repr(t)

@@ -27,12 +27,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillstream.operators.joins import join_bounded
+from quillstream.operators.joins import MAX_BROADCAST_ROWS, join_bounded
 from quillstream.session import parallelism as session_parallelism
 
 DEFAULT_BUCKET_WIDTH = 1 << 16
 MIN_BUCKET_WIDTH = 1 << 10
-MAX_BUCKET_WIDTH = 1 << 20
+PREFERRED_MAX_WIDTH = 1 << 17   # rows per window group (~300 MB of 2.5 KB texts)
 GROUPS_PER_CORE = 4
 
 _BUCKET = "_qs_bucket"
@@ -67,9 +67,11 @@ def plan_numbering(
     the range of the order column; reads only those columns).
 
     The width aims at ``GROUPS_PER_CORE`` window groups per core, clamped to
-    [1K, 1M] rows per group; the segment table then has at most
-    ``min(rows, keys * buckets spanned)`` rows, which is the bound used to
-    decide on broadcasting it.
+    [1K, 128K] rows per group, and is widened beyond that only as far as needed
+    to keep the segment table (about ``rows / width + keys`` rows) within half
+    the broadcast limit, so the rows are never shuffled a second time for the
+    join. The segment table has at most ``min(rows, keys * buckets spanned)``
+    rows, which is the bound used to decide on broadcasting it.
     """
     row = df.agg(
         F.count(F.lit(1)).alias("n"),
@@ -79,7 +81,10 @@ def plan_numbering(
     ).first()
     n, k = int(row["n"]), int(row["k"])
     p = parallelism or session_parallelism(df.sparkSession)
-    width = min(MAX_BUCKET_WIDTH, max(MIN_BUCKET_WIDTH, math.ceil(n / (GROUPS_PER_CORE * p))))
+    width = min(PREFERRED_MAX_WIDTH, max(MIN_BUCKET_WIDTH, math.ceil(n / (GROUPS_PER_CORE * p))))
+    room = MAX_BROADCAST_ROWS // 2 - k
+    if room > 0 and n // width > room:
+        width = math.ceil(n / room)
     if n == 0:
         return NumberingPlan(width, 0, 0, 0)
     span = int(row["hi"]) // width - int(row["lo"]) // width + 1

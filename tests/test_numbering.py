@@ -45,3 +45,18 @@ def test_plan_has_no_window_on_key_alone(spark):
     plan = number_within(df, ["k"], "o", "n")._jdf.queryExecution().executedPlan().toString()
     # the row-level window is partitioned by (key, bucket), never by the key alone
     assert "hashpartitioning(k#" in plan and "_qs_bucket" in plan
+
+
+def test_plan_width_keeps_segments_broadcastable(spark, monkeypatch):
+    """At scale the width grows so the segment table stays within the
+    broadcast limit instead of falling back to a shuffle join."""
+    import quillstream.operators.numbering as N
+
+    monkeypatch.setattr(N, "MAX_BROADCAST_ROWS", 200)
+    monkeypatch.setattr(N, "MIN_BUCKET_WIDTH", 1)
+    monkeypatch.setattr(N, "PREFERRED_MAX_WIDTH", 4)
+    df = spark.range(0, 5000).selectExpr("id % 2 AS k", "id AS o")
+    plan = N.plan_numbering(df, ["k"], "o", parallelism=8)
+    assert plan.segment_bound <= 200
+    got = N.number_within(df, ["k"], "o", "n", plan.bucket_width, plan.segment_bound)
+    assert got.where("n != o div 2").count() == 0

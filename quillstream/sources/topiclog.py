@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -177,6 +178,25 @@ def starting_offsets_json(starts: DataFrame) -> str:
     return json.dumps(out, sort_keys=True)
 
 
+def assign_json(starts: DataFrame) -> str:
+    """The Kafka source's ``assign`` JSON (``{"topic": [partitions]}``) for the
+    partitions listed in ``starts`` (one row per topic partition)."""
+    out: dict[str, list[int]] = {}
+    for row in starts.select("topic", "partition").toLocalIterator():
+        out.setdefault(row.topic, []).append(int(row.partition))
+    return json.dumps({t: sorted(p) for t, p in out.items()}, sort_keys=True)
+
+
+@dataclass(frozen=True)
+class SourceSpec:
+    """One Kafka source to open: either ``assign`` (explicit partitions with
+    JSON start offsets) or ``subscribe`` (topics with a named start)."""
+
+    starting_offsets: str
+    assign: str | None = None
+    subscribe: tuple[str, ...] = ()
+
+
 def kafka_stream(
     spark: SparkSession,
     bootstrap_servers: str,
@@ -205,3 +225,22 @@ def kafka_stream(
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
     return reader.load().select(*[f.name for f in LOG_SCHEMA.fields])
+
+
+def open_sources(spark: SparkSession, bootstrap_servers: str, specs: list[SourceSpec], **options) -> DataFrame:
+    """Open the Kafka sources of a start plan and union them into one log."""
+    frames = [
+        kafka_stream(
+            spark,
+            bootstrap_servers,
+            topics=list(spec.subscribe) or None,
+            starting_offsets=spec.starting_offsets,
+            assign_json=spec.assign,
+            **options,
+        )
+        for spec in specs
+    ]
+    out = frames[0]
+    for frame in frames[1:]:
+        out = out.unionByName(frame)
+    return out

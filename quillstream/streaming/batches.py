@@ -24,7 +24,7 @@ from quillstream.operators import counts
 from quillstream.operators import offsets as O
 from quillstream.session import shared_dir
 from quillstream.sinks.tables import DEFAULT_RUN, read_batches, run_label, write_batch
-from quillstream.sources.topiclog import starting_offsets_json
+from quillstream.sources.topiclog import SourceSpec, assign_json, starting_offsets_json
 
 
 @dataclass(frozen=True)
@@ -83,6 +83,23 @@ def batch_ledger_rows(
     return O.ledger_rows(dense)
 
 
+def _count_outputs(data: DataFrame, batch_id: int, outputs: BatchOutputs) -> None:
+    text = _text(data, outputs.text_col)
+    words = counts.tokenize_lines(text) if outputs.split_lines else counts.tokenize(text)
+    totals = counts.word_count_sql(words).persist()
+    try:
+        if outputs.counts:
+            write_batch(totals, outputs.counts, batch_id, outputs.run)
+        if outputs.cells and not totals.isEmpty():
+            puts = C.stamp(C.counts_as_cells(totals), F.current_timestamp(), batch_id)
+            write_batch(puts, outputs.cells, batch_id, outputs.run)
+        if outputs.show_rows:
+            print(f"=== batch {batch_id} ===")
+            counts.top_words(totals, outputs.show_rows).show(outputs.show_rows, truncate=False)
+    finally:
+        totals.unpersist()
+
+
 def process_batch(batch: DataFrame, batch_id: int, outputs: BatchOutputs) -> None:
     """All outputs of one micro-batch. The batch is persisted because up to
     three outputs read it; the counts because two do."""
@@ -92,20 +109,9 @@ def process_batch(batch: DataFrame, batch_id: int, outputs: BatchOutputs) -> Non
         if outputs.ledger and has_offsets:
             rows = batch_ledger_rows(data, batch_id, outputs.ledger, outputs.run, outputs.max_partitions)
             write_batch(rows, outputs.ledger, batch_id, outputs.run)
-        text = _text(data, outputs.text_col)
-        words = counts.tokenize_lines(text) if outputs.split_lines else counts.tokenize(text)
-        totals = counts.word_count_sql(words).persist()
-        try:
-            if outputs.counts:
-                write_batch(totals, outputs.counts, batch_id, outputs.run)
-            if outputs.cells and not totals.isEmpty():
-                puts = C.stamp(C.counts_as_cells(totals), F.current_timestamp(), batch_id)
-                write_batch(puts, outputs.cells, batch_id, outputs.run)
-            if outputs.show_rows:
-                print(f"=== batch {batch_id} ===")
-                counts.top_words(totals, outputs.show_rows).show(outputs.show_rows, truncate=False)
-        finally:
-            totals.unpersist()
+        wants_counts = outputs.counts or outputs.cells or outputs.show_rows
+        if wants_counts and outputs.text_col in data.columns:
+            _count_outputs(data, batch_id, outputs)
     finally:
         data.unpersist()
 
@@ -152,3 +158,37 @@ def starting_position(
         return default
     starts = O.resume_plan(O.ledger_current(ledger), topics, strict_ledger, which)
     return starting_offsets_json(starts)
+
+
+def start_plan(
+    spark: SparkSession,
+    ledger_path: str,
+    topics: list[str],
+    default: str = "latest",
+    which: str = "from",
+    strict_ledger: bool = False,
+) -> list[SourceSpec]:
+    """The Kafka sources a (re)started stream opens.
+
+    * no recorded range: subscribe to ``topics`` at ``default``;
+    * otherwise: assign the ledger's partitions (of the requested topics, or
+      all of them with ``strict_ledger``) at their ledger offsets, plus, unless
+      ``strict_ledger``, subscribe to requested topics the ledger does not know
+      at ``default``. Two sources, because a Kafka ``startingOffsets`` JSON must
+      name every partition of the topics it covers.
+    """
+    ledger = read_batches(spark, ledger_path)
+    if ledger is None or ledger.isEmpty():
+        return [SourceSpec(default, subscribe=tuple(topics))]
+    starts = O.resume_plan(O.ledger_current(ledger), topics, strict_ledger, which).persist()
+    try:
+        known = {r.topic for r in starts.select("topic").distinct().toLocalIterator()}
+        specs = []
+        if known:
+            specs.append(SourceSpec(starting_offsets_json(starts), assign=assign_json(starts)))
+        new = tuple(t for t in topics if t not in known)
+        if new and not strict_ledger:
+            specs.append(SourceSpec(default, subscribe=new))
+        return specs
+    finally:
+        starts.unpersist()

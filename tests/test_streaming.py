@@ -184,3 +184,23 @@ def test_new_run_keeps_earlier_ledger(spark, scratch):
     for k, until in ra_last.items():
         if k[0] != "en":
             assert rb[k] == (until, until)
+
+
+def test_start_plan_sources(spark, scratch):
+    from quillstream.streaming.batches import start_plan
+
+    ledger = f"{scratch}/ledger"
+    assert [(s.starting_offsets, s.assign, s.subscribe) for s in start_plan(spark, ledger, ["a", "b"])] == [
+        ("latest", None, ("a", "b"))
+    ]
+    out = BatchOutputs(ledger=ledger)
+    batch = spark.createDataFrame([("a", 0, 5), ("a", 1, 7), ("c", 0, 1)], "topic string, partition int, offset long")
+    process_batch(batch, 0, out)
+    specs = start_plan(spark, ledger, ["a", "b"])
+    assert len(specs) == 2
+    assert json.loads(specs[0].assign) == {"a": [0, 1]}
+    assert json.loads(specs[0].starting_offsets) == {"a": {"0": 5, "1": 7}}
+    assert (specs[1].starting_offsets, specs[1].subscribe) == ("latest", ("b",))
+    strict = start_plan(spark, ledger, ["a", "b"], strict_ledger=True, which="until")
+    assert len(strict) == 1 and json.loads(strict[0].assign) == {"a": [0, 1], "c": [0]}
+    assert json.loads(strict[0].starting_offsets) == {"a": {"0": 6, "1": 8}, "c": {"0": 2}}

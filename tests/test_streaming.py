@@ -204,3 +204,34 @@ def test_start_plan_sources(spark, scratch):
     strict = start_plan(spark, ledger, ["a", "b"], strict_ledger=True, which="until")
     assert len(strict) == 1 and json.loads(strict[0].assign) == {"a": [0, 1], "c": [0]}
     assert json.loads(strict[0].starting_offsets) == {"a": {"0": 6, "1": 8}, "c": {"0": 2}}
+
+
+def test_stream_wiring_without_callback(spark, scratch, monkeypatch):
+    """``start_word_count_stream`` wiring: checkpoint under the session's
+    ``spark.checkpoint.dir``, run label derived from it, trigger passed through.
+    ``foreachBatch`` is swapped for the noop sink (so no Python callback is
+    needed) and the captured function is then handed a batch directly."""
+    from pyspark.sql.streaming.readwriter import DataStreamWriter
+
+    from quillstream.session import shared_dir
+    from quillstream.sinks.tables import run_label
+    from quillstream.streaming.batches import start_word_count_stream
+
+    captured = {}
+
+    def fake_foreach_batch(self, fn):
+        captured["fn"] = fn
+        return self.format("noop")
+
+    monkeypatch.setattr(DataStreamWriter, "foreachBatch", fake_foreach_batch)
+    src = f"{scratch}/lines"
+    spark.createDataFrame([("a b",), ("b",)], "value string").write.text(src)
+    out = BatchOutputs(counts=f"{scratch}/counts")
+    q = start_word_count_stream(text_stream(spark, src), out, "qs_wiring", trigger={"availableNow": True})
+    q.awaitTermination(120)
+    location = shared_dir(spark, "streams", "qs_wiring")
+    assert os.path.isdir(location.replace("file:", "") + "/commits")
+    captured["fn"](spark.read.text(src), 0)
+    got = read_batches(spark, out.counts)
+    assert {r.run for r in got.collect()} == {run_label(location)}
+    assert {(r.word, r.total) for r in got.collect()} == {("a", 1), ("b", 2)}

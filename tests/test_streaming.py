@@ -235,3 +235,18 @@ def test_stream_wiring_without_callback(spark, scratch, monkeypatch):
     got = read_batches(spark, out.counts)
     assert {r.run for r in got.collect()} == {run_label(location)}
     assert {(r.word, r.total) for r in got.collect()} == {("a", 1), ("b", 2)}
+
+
+def test_app_dry_run(spark, scratch, capsys):
+    from quillstream.streaming import app
+
+    base = f"{scratch}/base"
+    assert app.main(["b:9092", "test,test2", base, "--dry-run"], spark=spark) == 0
+    fresh = json.loads(capsys.readouterr().out)
+    assert fresh["sources"] == [{"assign": None, "starting_offsets": "latest", "subscribe": ["test", "test2"]}]
+    batch = spark.createDataFrame([("test", 0, 3, "x y")], "topic string, partition int, offset long, value string")
+    process_batch(batch, 0, BatchOutputs(ledger=f"{base}/ledger"))
+    assert app.main(["b:9092", "test,test2", base, "--dry-run", "--resume", "until"], spark=spark) == 0
+    resumed = json.loads(capsys.readouterr().out)["sources"]
+    assert json.loads(resumed[0]["starting_offsets"]) == {"test": {"0": 4}}
+    assert resumed[1]["subscribe"] == ["test2"]

@@ -123,3 +123,20 @@ def test_subscribe_and_topics_parse(spark):
     plan = log._jdf.queryExecution().executedPlan().toString()
     # the subscription reaches the Parquet scan of every branch
     assert re.search(r"PushedFilters: \[[^\n]*In\(lang, \[de,en\]\)", plan)
+
+
+def test_dense_ranges_random(spark):
+    import random
+
+    rnd = random.Random(5)
+    for trial in range(3):
+        ends = {(f"t{rnd.randint(0, 2)}", p): rnd.randint(1, 60) for p in range(rnd.randint(1, 6))}
+        n = rnd.randint(1, 12)
+        last = max((e - 1) // n for e in ends.values())
+        want = {
+            (b, t, p, min(b * n, e), min((b + 1) * n, e))
+            for (t, p), e in ends.items()
+            for b in range(last + 1)
+        }
+        got = O.dense_ranges(_log(spark, ends), n).collect()
+        assert len(got) == len(want) and {tuple(r) for r in got} == want, (ends, n)

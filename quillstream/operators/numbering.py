@@ -12,7 +12,10 @@ column is cut into fixed-width buckets:
    window group holds at most ``bucket_width`` rows when the order values are
    unique within a key, however hot the key is;
 3. offset = rows before the bucket + rank inside the bucket - 1, joining the
-   segment table back (broadcast when its size bound allows).
+   segment table back on (key, bucket): broadcast when its size bound allows,
+   and otherwise a sort-merge join that reuses the window's hash partitioning
+   and sort order on (key, bucket), so the rows are not shuffled or sorted a
+   second time either way.
 
 Everything is deterministic (no sampling, no partition ids), so a retried task
 or a re-planned stage computes the same numbers. One hash shuffle of the rows.

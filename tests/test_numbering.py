@@ -60,3 +60,21 @@ def test_plan_width_keeps_segments_broadcastable(spark, monkeypatch):
     assert plan.segment_bound <= 200
     got = N.number_within(df, ["k"], "o", "n", plan.bucket_width, plan.segment_bound)
     assert got.where("n != o div 2").count() == 0
+
+
+def test_unbounded_join_reuses_window_partitioning(spark):
+    """Without a broadcast the join is co-partitioned with the window: exactly
+    one exchange of the rows (hash on key and bucket), none added for the join."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.createDataFrame([(str(i % 3), i, "t" * 5) for i in range(50)], "k string, o long, text string")
+        plan = number_within(df, ["k"], "o", "n", bucket_width=4)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan
+        # rows: one hash exchange on (key, bucket); segment table: partial
+        # aggregation, per-key window, join side. A re-shuffle of the rows for
+        # the join would make it five.
+        assert plan.count("Exchange hashpartitioning") == 4
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

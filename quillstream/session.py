@@ -27,32 +27,35 @@ def build_session(
 ) -> SparkSession:
     """Create (or get) a session with the settings the library expects.
 
-    On a cluster pass nothing but ``extra``: the cluster's own
-    ``spark.checkpoint.dir`` and partition counts are kept.
+    ``checkpoint_dir`` is a fallback used only when the session has no
+    ``spark.checkpoint.dir`` of its own; a cluster's shared folder always wins.
     """
     builder = SparkSession.builder.master(master).appName(app_name)
     for key, value in DEFAULT_CONF.items():
         builder = builder.config(key, value)
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    if checkpoint_dir is not None:
-        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if checkpoint_dir is not None and not _configured_checkpoint(spark):
+        # only where the cluster names no shared folder (local runs, tests)
+        spark.sparkContext.setCheckpointDir(checkpoint_dir)
     return spark
 
 
+def _configured_checkpoint(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     Raises if the session has none: a machine-local temporary folder would not
     survive the loss of an executor, so the library never invents one.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    root = _configured_checkpoint(spark)
     if not root:
         raise RuntimeError(
             "spark.checkpoint.dir is not set; configure a shared folder for "

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from quillstream.functions.ledger_codec import decode_offset, encode_stats
 from quillstream.operators.joins import join_bounded
-from quillstream.session import default_partitions
 
 PARTITION_KEY = ["topic", "partition"]
 RANGE_COLUMNS = ["batch_id", "topic", "partition", "from_offset", "until_offset"]
@@ -65,9 +64,10 @@ def dense_ranges(
     chunked = ends.withColumn("_qs_last", last).withColumn(
         "_qs_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"_qs_last div {BATCH_CHUNK}")))
     )
-    spread = chunked.repartition(
-        num_partitions or default_partitions(log.sparkSession), *PARTITION_KEY, "_qs_chunk"
-    )
+    # without an explicit count AQE may coalesce this exchange when the
+    # chunks are few (the usual case); many chunks spread over the cluster
+    keys = [*PARTITION_KEY, "_qs_chunk"]
+    spread = chunked.repartition(num_partitions, *keys) if num_partitions else chunked.repartition(*keys)
     first = F.col("_qs_chunk") * BATCH_CHUNK
     batches = spread.withColumn(
         "batch_id", F.explode(F.sequence(first, F.least(first + (BATCH_CHUNK - 1), F.col("_qs_last"))))

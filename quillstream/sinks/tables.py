@@ -18,7 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from quillstream.functions.ledger_codec import decode_offset
 from quillstream.operators.cells import CELL_KEY
+from quillstream.operators.offsets import ledger_current
 
 DEFAULT_RUN = "default"
 
@@ -73,3 +75,27 @@ def compact_cells(spark: SparkSession, cells_path: str, out_path: str) -> None:
     newest.select(*CELL_KEY, "_qs_v.ts", "_qs_v.seq", "_qs_v.value").write.mode(
         "errorifexists"
     ).parquet(out_path)
+
+
+COMPACTED_RUN = "compacted"
+
+
+def compact_ledger(spark: SparkSession, ledger_path: str, out_path: str) -> None:
+    """Rewrite an offset ledger as one dense batch holding every partition's
+    current range, into a new location (run ``compacted``, batch id = the
+    newest batch id). A resume from the compacted ledger starts exactly where
+    one from the full ledger would."""
+    ledger = read_batches(spark, ledger_path)
+    if ledger is None:
+        raise ValueError(f"no ledger at {ledger_path}")
+    current = ledger_current(ledger).select(
+        "topic",
+        "partition",
+        decode_offset("stats", "from").alias("from_offset"),
+        decode_offset("stats", "until").alias("until_offset"),
+        "stats",
+    )
+    newest = int(ledger.agg(F.max("batch_id")).first()[0])
+    if read_batches(spark, out_path) is not None:
+        raise ValueError(f"{out_path} already holds a ledger")
+    write_batch(current, out_path, newest, COMPACTED_RUN)

@@ -250,3 +250,21 @@ def test_app_dry_run(spark, scratch, capsys):
     resumed = json.loads(capsys.readouterr().out)["sources"]
     assert json.loads(resumed[0]["starting_offsets"]) == {"test": {"0": 4}}
     assert resumed[1]["subscribe"] == ["test2"]
+
+
+def test_compact_ledger_resumes_identically(spark, scratch):
+    from quillstream.sinks.tables import compact_ledger
+    from quillstream.streaming.batches import start_plan
+
+    log = _fixture(spark)
+    out = BatchOutputs(ledger=f"{scratch}/ledger")
+    _run_batches(spark, log, out, [0, 1, 2, 3])
+    compact_ledger(spark, out.ledger, f"{scratch}/compact")
+    topics = sorted(r.topic for r in log.select("topic").distinct().collect())
+    for which in ("from", "until"):
+        full = start_plan(spark, out.ledger, topics, which=which)
+        small = start_plan(spark, f"{scratch}/compact", topics, which=which)
+        assert [json.loads(s.starting_offsets) for s in full] == [json.loads(s.starting_offsets) for s in small]
+    compacted = read_batches(spark, f"{scratch}/compact")
+    assert compacted.count() == O.partition_ends(log).count()
+    assert {r.batch_id for r in compacted.collect()} == {3}

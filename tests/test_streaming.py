@@ -227,9 +227,11 @@ def test_stream_wiring_without_callback(spark, scratch, monkeypatch):
     src = f"{scratch}/lines"
     spark.createDataFrame([("a b",), ("b",)], "value string").write.text(src)
     out = BatchOutputs(counts=f"{scratch}/counts")
-    q = start_word_count_stream(text_stream(spark, src), out, "qs_wiring", trigger={"availableNow": True})
+    # the session's checkpoint folder outlives this test: use a fresh stream name
+    name = f"qs_wiring_{os.path.basename(scratch)}"
+    q = start_word_count_stream(text_stream(spark, src), out, name, trigger={"availableNow": True})
     q.awaitTermination(120)
-    location = shared_dir(spark, "streams", "qs_wiring")
+    location = shared_dir(spark, "streams", name)
     assert os.path.isdir(location.replace("file:", "") + "/commits")
     captured["fn"](spark.read.text(src), 0)
     got = read_batches(spark, out.counts)

@@ -1,6 +1,5 @@
 """Word counts: DataFrame, 32-bit, SQL, per batch, top rows."""
 
-from pyspark.sql import functions as F
 
 from quillstream.operators import counts
 

@@ -1,7 +1,5 @@
 """Every registered query against its DuckDB oracle on the smoke tables."""
 
-import math
-
 import duckdb
 import pytest
 

@@ -1,7 +1,6 @@
 """Tokeniser and line framing on the edge strings the driver tables lack."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from quillstream.functions.text import frame_lines, split_words
 from quillstream.operators import counts

@@ -78,3 +78,21 @@ def test_unbounded_join_reuses_window_partitioning(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_numbering_is_deterministic_across_layouts(spark):
+    """Same offsets whatever the partitioning (what a recomputed stage after a
+    lost executor relies on): shuffle partition counts, AQE on/off, input
+    partitioning."""
+    rows = [("hot" if i % 3 else f"k{i % 7}", (i * 7919) % 5003) for i in range(3000)]
+    base = spark.createDataFrame(rows, "k string, o long").dropDuplicates(["k", "o"])
+    results = []
+    for parts, aqe, inputs in [(8, "true", 1), (3, "false", 5), (17, "true", 7)]:
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        spark.conf.set("spark.sql.adaptive.enabled", aqe)
+        df = base.repartition(inputs)
+        got = number_within(df, ["k"], "o", "n", bucket_width=64).select("k", "o", "n")
+        results.append(sorted(map(tuple, got.collect())))
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert results[0] == results[1] == results[2]

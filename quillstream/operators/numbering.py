@@ -39,6 +39,7 @@ PREFERRED_MAX_WIDTH = 1 << 17   # rows per window group (~300 MB of 2.5 KB texts
 GROUPS_PER_CORE = 4
 
 _BUCKET = "_qs_bucket"
+_GROUP = "_qs_group"
 _RANK = "_qs_rank"
 _ROWS = "_qs_rows"
 _BASE = "_qs_base"
@@ -113,15 +114,20 @@ def number_within(
     if bucket_width <= 0:
         raise ValueError("bucket_width must be positive")
     bucketed = df.withColumn(_BUCKET, bucket_of(order_col, bucket_width))
+    # (key, bucket) as one struct column: struct equality treats null fields as
+    # equal, so null keys or order values form groups of their own instead of
+    # being dropped by the join, and the window and the join share one key
+    group = F.struct(*[F.col(k) for k in keys], F.col(_BUCKET))
     before = Window.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     segments = (
         bucketed.groupBy(*keys, _BUCKET)
         .agg(F.count(F.lit(1)).alias(_ROWS))
         .select(*keys, _BUCKET, F.coalesce(F.sum(_ROWS).over(before), F.lit(0)).alias(_BASE))
+        .select(group.alias(_GROUP), _BASE)
     )
-    inside = Window.partitionBy(*keys, _BUCKET).orderBy(order_col)
-    ranked = bucketed.withColumn(_RANK, F.row_number().over(inside))
-    numbered = join_bounded(ranked, segments, [*keys, _BUCKET], small_rows=segment_count)
+    inside = Window.partitionBy(_GROUP).orderBy(order_col)
+    ranked = bucketed.withColumn(_GROUP, group).withColumn(_RANK, F.row_number().over(inside))
+    numbered = join_bounded(ranked, segments, [_GROUP], small_rows=segment_count)
     return numbered.withColumn(
         out_col, (F.col(_BASE) + F.col(_RANK) - 1).cast("long")
-    ).drop(_BUCKET, _RANK, _BASE)
+    ).drop(_GROUP, _BUCKET, _RANK, _BASE)

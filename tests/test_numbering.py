@@ -96,3 +96,20 @@ def test_numbering_is_deterministic_across_layouts(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert results[0] == results[1] == results[2]
+
+
+def test_null_keys_and_orders_are_kept(spark):
+    rows = [("a", 3), ("a", None), ("a", 1), (None, 5), (None, 2), (None, None), ("b", None)]
+    df = spark.createDataFrame(rows, "k string, o long")
+    for bound in (None, 100):
+        got = sorted(map(tuple, number_within(df, ["k"], "o", "n", bucket_width=2, segment_count=bound)
+                         .select("k", "o", "n").collect()), key=repr)
+        want = sorted([("a", None, 0), ("a", 1, 1), ("a", 3, 2), (None, None, 0), (None, 2, 1), (None, 5, 2),
+                       ("b", None, 0)], key=repr)
+        assert got == want
+
+
+def test_duplicate_orders_still_dense(spark):
+    df = spark.createDataFrame([("a", 1)] * 5 + [("a", 2)] * 3, "k string, o long")
+    got = sorted(r.n for r in number_within(df, ["k"], "o", "n", bucket_width=1).collect())
+    assert got == list(range(8))

@@ -17,7 +17,7 @@ from quillstream.operators import offsets as O
 from quillstream.sinks.tables import read_batches
 from quillstream.sources import topiclog as TL
 from quillstream.streaming.batches import BatchOutputs, process_batch, starting_position
-from quillstream.streaming.replay import text_stream, write_replay_files
+from quillstream.streaming.replay import text_stream
 
 from conftest import SMOKE_DIR
 
@@ -93,8 +93,9 @@ def test_resume_from_ledger(spark, scratch):
 
 
 def _write_texts(spark, docs, path, files):
-    write_replay_files(docs.select("doc_id", F.col("text").alias("value")), path + "_pq", files, "doc_id")
-    spark.read.parquet(path + "_pq").select("value").write.mode("append").text(path)
+    """``files`` text files (one per doc_id range) appended to ``path``."""
+    ranged = docs.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id")
+    ranged.select(F.col("text").alias("value")).write.mode("append").text(path)
 
 
 def test_stream_equals_batch(spark, scratch):
@@ -270,3 +271,20 @@ def test_compact_ledger_resumes_identically(spark, scratch):
     compacted = read_batches(spark, f"{scratch}/compact")
     assert compacted.count() == O.partition_ends(log).count()
     assert {r.batch_id for r in compacted.collect()} == {3}
+
+
+def test_write_replay_files(spark, scratch):
+    from quillstream.sources.tables import read_lines
+    from quillstream.streaming.replay import write_replay_files
+
+    docs = spark.read.parquet(f"{SMOKE_DIR}/documents.parquet").select("doc_id", "text")
+    write_replay_files(docs, f"{scratch}/replay", 4, "doc_id")
+    files = [f for f in os.listdir(f"{scratch}/replay") if f.endswith(".parquet")]
+    assert len(files) == 4
+    back = spark.read.parquet(f"{scratch}/replay")
+    assert back.exceptAll(docs).count() == 0 and docs.exceptAll(back).count() == 0
+    # many files as one line dataset, with the source file of every line
+    spark.read.parquet(f"{scratch}/replay").select("text").write.text(f"{scratch}/txt")
+    lines = read_lines(spark, f"{scratch}/txt").select("value", "_metadata.file_path")
+    assert lines.select("file_path").distinct().count() >= 1
+    assert lines.count() == counts.frame(spark.read.text(f"{scratch}/txt")).count()

@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The ledger string layout.
+# The ledger string layout, and the short form used in range logs.
 STATS_FORMAT = "topic=%s;partition=%d;fromOffset=%d;untilOffset=%d"
+SHORT_FORMAT = " T=%s;P=%d;From=%d;Until=%d"
 FIELD_SEPARATOR = ";"
 KEY_VALUE_SEPARATOR = "="
 FROM_FIELD = "fromOffset"
@@ -28,6 +29,17 @@ def encode_stats(
     return F.format_string(STATS_FORMAT, *cols)
 
 
+def encode_short(
+    topic: Column | str = "topic",
+    partition: Column | str = "partition",
+    from_offset: Column | str = "from_offset",
+    until_offset: Column | str = "until_offset",
+) -> Column:
+    """The short log line of a range: `` T=topic;P=partition;From=f;Until=u``."""
+    cols = [F.col(c) if isinstance(c, str) else c for c in (topic, partition, from_offset, until_offset)]
+    return F.format_string(SHORT_FORMAT, *cols)
+
+
 def stats_map(stats: Column | str = "stats") -> Column:
     c = F.col(stats) if isinstance(stats, str) else stats
     return F.str_to_map(c, F.lit(FIELD_SEPARATOR), F.lit(KEY_VALUE_SEPARATOR))

@@ -13,12 +13,14 @@ overwrite, so a batch replayed after a failure replaces its earlier output.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from quillstream.functions.ledger_codec import encode_short
 from quillstream.operators import cells as C
 from quillstream.operators import counts
 from quillstream.operators import offsets as O
@@ -27,6 +29,9 @@ from quillstream.sinks.tables import DEFAULT_RUN, read_batches, run_label, write
 from quillstream.sources.topiclog import SourceSpec, assign_json, starting_offsets_json
 
 
+LOG = logging.getLogger("quillstream.offsets")
+
+
 @dataclass(frozen=True)
 class BatchOutputs:
     """Where each output of a batch goes (None = not produced)."""
@@ -39,6 +44,7 @@ class BatchOutputs:
     max_partitions: int | None = None  # bound on topic partitions (broadcast check)
     show_rows: int | None = None     # print this many count rows per batch (console)
     run: str = DEFAULT_RUN           # run label of the batch tables (one per checkpoint)
+    log_ranges: bool = False         # log each range of the batch (one line per topic partition)
 
 
 def _text(batch: DataFrame, col: str) -> DataFrame:
@@ -83,6 +89,14 @@ def batch_ledger_rows(
     return O.ledger_rows(dense)
 
 
+def log_batch_ranges(batch: DataFrame, batch_id: int) -> None:
+    """Log the batch's non-empty ranges, one line per topic partition (the
+    lines come to the driver: one per partition the batch read)."""
+    lines = O.batch_ranges(batch).select(encode_short().alias("line"), *O.PARTITION_KEY)
+    for row in lines.orderBy(*O.PARTITION_KEY).toLocalIterator():
+        LOG.info("batch %d:%s", batch_id, row.line)
+
+
 def _count_outputs(data: DataFrame, batch_id: int, outputs: BatchOutputs) -> None:
     text = _text(data, outputs.text_col)
     words = counts.tokenize_lines(text) if outputs.split_lines else counts.tokenize(text)
@@ -109,6 +123,8 @@ def process_batch(batch: DataFrame, batch_id: int, outputs: BatchOutputs) -> Non
         if outputs.ledger and has_offsets:
             rows = batch_ledger_rows(data, batch_id, outputs.ledger, outputs.run, outputs.max_partitions)
             write_batch(rows, outputs.ledger, batch_id, outputs.run)
+        if outputs.log_ranges and has_offsets:
+            log_batch_ranges(data, batch_id)
         wants_counts = outputs.counts or outputs.cells or outputs.show_rows
         if wants_counts and outputs.text_col in data.columns:
             _count_outputs(data, batch_id, outputs)

@@ -288,3 +288,16 @@ def test_write_replay_files(spark, scratch):
     lines = read_lines(spark, f"{scratch}/txt").select("value", "_metadata.file_path")
     assert lines.select("file_path").distinct().count() >= 1
     assert lines.count() == counts.frame(spark.read.text(f"{scratch}/txt")).count()
+
+
+def test_log_ranges(spark, caplog):
+    import logging
+
+    batch = spark.createDataFrame([("DomainTest", 0, 1), ("DomainTest", 2, 2), ("DomainTest", 2, 3)],
+                                  "topic string, partition int, offset long")
+    with caplog.at_level(logging.INFO, logger="quillstream.offsets"):
+        process_batch(batch, 5, BatchOutputs(log_ranges=True))
+    assert [r.getMessage() for r in caplog.records] == [
+        "batch 5: T=DomainTest;P=0;From=1;Until=2",
+        "batch 5: T=DomainTest;P=2;From=2;Until=4",
+    ]

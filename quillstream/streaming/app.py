@@ -35,6 +35,8 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--checkpoint", help="stream checkpoint (default: under spark.checkpoint.dir)")
     p.add_argument("--replay-log", help="replay a Parquet topic log instead of reading brokers")
     p.add_argument("--max-files-per-trigger", type=int, default=1, help="replay batch size in files")
+    p.add_argument("--max-offsets-per-trigger", type=int, default=None,
+                   help="Kafka batch size bound in messages (rate limit; default: unbounded)")
     p.add_argument("--dry-run", action="store_true", help="print the start plan and exit")
     args = p.parse_args(argv)
     args.topic_list = parse_topics(args.topics)
@@ -59,7 +61,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     else:
         specs = start_plan(spark, outputs.ledger, args.topic_list, args.start, args.resume, args.strict_ledger)
         plan = [asdict(s) for s in specs]
-        source = None if args.dry_run else open_sources(spark, args.brokers, specs)
+        source = None if args.dry_run else open_sources(
+            spark, args.brokers, specs, max_offsets_per_trigger=args.max_offsets_per_trigger
+        )
     if args.dry_run:
         print(json.dumps({"sources": plan, "outputs": asdict(outputs)}, sort_keys=True))
         return 0

@@ -14,6 +14,7 @@ overwrite, so a batch replayed after a failure replaces its earlier output.
 from __future__ import annotations
 
 import logging
+from datetime import datetime, timezone
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -108,7 +109,8 @@ def _count_outputs(data: DataFrame, batch_id: int, outputs: BatchOutputs) -> Non
             puts = C.stamp(C.counts_as_cells(totals), F.current_timestamp(), batch_id)
             write_batch(puts, outputs.cells, batch_id, outputs.run)
         if outputs.show_rows:
-            print(f"=== batch {batch_id} ===")
+            now = datetime.now(timezone.utc).isoformat(timespec="milliseconds")
+            print(f"=== batch {batch_id} at {now} ===")
             counts.top_words(totals, outputs.show_rows).show(outputs.show_rows, truncate=False)
     finally:
         totals.unpersist()

@@ -159,7 +159,7 @@ def test_show_rows_prints_top_counts(spark, scratch, capsys):
     df = spark.createDataFrame([("b a a",)], "value string")
     process_batch(df, 7, BatchOutputs(show_rows=2))
     out = capsys.readouterr().out
-    assert "=== batch 7 ===" in out
+    assert "=== batch 7 at " in out and "|a   |2    |" in out
 
 
 def test_new_run_keeps_earlier_ledger(spark, scratch):

@@ -301,3 +301,38 @@ def test_log_ranges(spark, caplog):
         "batch 5: T=DomainTest;P=0;From=1;Until=2",
         "batch 5: T=DomainTest;P=2;From=2;Until=4",
     ]
+
+
+def test_kafka_sources_options(spark, scratch, monkeypatch):
+    """The Kafka shim without the connector jar: options are recorded and
+    ``load`` is replaced by an empty Parquet stream with the Kafka columns."""
+    from pyspark.sql.streaming.readwriter import DataStreamReader
+
+    calls = []
+    real_option = DataStreamReader.option
+
+    def record_option(self, key, value):
+        calls[-1][key] = value
+        return real_option(self, key, value)
+
+    def record_format(self, source):
+        calls.append({"format": source})
+        return self
+
+    empty = f"{scratch}/empty"
+    os.makedirs(empty)
+    monkeypatch.setattr(DataStreamReader, "format", record_format)
+    monkeypatch.setattr(DataStreamReader, "option", record_option)
+    monkeypatch.setattr(DataStreamReader, "load", lambda self: spark.readStream.schema(TL.LOG_SCHEMA).parquet(empty))
+
+    specs = [
+        TL.SourceSpec('{"a": {"0": 5}}', assign='{"a": [0]}'),
+        TL.SourceSpec("latest", subscribe=("b", "c")),
+    ]
+    log = TL.open_sources(spark, "h1:9092,h2:9092", specs, max_offsets_per_trigger=1000)
+    assert log.isStreaming and log.columns == [f.name for f in TL.LOG_SCHEMA.fields]
+    kafka = [c for c in calls if c.get("format") == "kafka"]
+    assert kafka[0]["assign"] == '{"a": [0]}' and kafka[0]["startingOffsets"] == '{"a": {"0": 5}}'
+    assert "subscribe" not in kafka[0]
+    assert kafka[1]["subscribe"] == "b,c" and kafka[1]["startingOffsets"] == "latest"
+    assert all(c["kafka.bootstrap.servers"] == "h1:9092,h2:9092" and c["maxOffsetsPerTrigger"] == "1000" for c in kafka)

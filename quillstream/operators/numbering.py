@@ -79,9 +79,11 @@ def plan_numbering(
     """
     row = df.agg(
         F.count(F.lit(1)).alias("n"),
-        F.count_distinct(*[F.col(k) for k in keys]).alias("k"),
+        # a struct is never null, so keys with null fields are counted too
+        F.count_distinct(F.struct(*[F.col(k) for k in keys])).alias("k"),
         F.min(order_col).alias("lo"),
         F.max(order_col).alias("hi"),
+        F.max(F.col(order_col).isNull().cast("int")).alias("has_null"),
     ).first()
     n, k = int(row["n"]), int(row["k"])
     p = parallelism or session_parallelism(df.sparkSession)
@@ -91,7 +93,9 @@ def plan_numbering(
         width = math.ceil(n / room)
     if n == 0:
         return NumberingPlan(width, 0, 0, 0)
-    span = int(row["hi"]) // width - int(row["lo"]) // width + 1
+    # min/max skip null orders; null orders form one more bucket per key
+    span = 0 if row["lo"] is None else int(row["hi"]) // width - int(row["lo"]) // width + 1
+    span += int(row["has_null"] or 0)
     return NumberingPlan(width, min(n, k * span), k, n)
 
 

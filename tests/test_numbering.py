@@ -113,3 +113,11 @@ def test_duplicate_orders_still_dense(spark):
     df = spark.createDataFrame([("a", 1)] * 5 + [("a", 2)] * 3, "k string, o long")
     got = sorted(r.n for r in number_within(df, ["k"], "o", "n", bucket_width=1).collect())
     assert got == list(range(8))
+
+
+def test_plan_with_null_orders_and_keys(spark):
+    df = spark.createDataFrame([("a", None), (None, None), ("a", None)], "k string, o long")
+    plan = plan_numbering(df, ["k"], "o", parallelism=8)
+    assert plan.rows == 3 and plan.segment_bound >= 2
+    got = number_within(df, ["k"], "o", "n", plan.bucket_width, plan.segment_bound)
+    assert sorted((r.k or "", r.n) for r in got.collect()) == [("", 0), ("a", 0), ("a", 1)]

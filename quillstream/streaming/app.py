@@ -37,6 +37,8 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--max-files-per-trigger", type=int, default=1, help="replay batch size in files")
     p.add_argument("--max-offsets-per-trigger", type=int, default=None,
                    help="Kafka batch size bound in messages (rate limit; default: unbounded)")
+    p.add_argument("--available-now", action="store_true",
+                   help="process what is available now in micro-batches, then stop (backfill/replay)")
     p.add_argument("--dry-run", action="store_true", help="print the start plan and exit")
     args = p.parse_args(argv)
     args.topic_list = parse_topics(args.topics)
@@ -71,10 +73,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     # restart); the ledger's plan applies when the stream starts on a new one
     name = "word-count-" + "-".join(args.topic_list)
     checkpoint = args.checkpoint or shared_dir(spark, "streams", name)
-    query = start_word_count_stream(
-        source, outputs, name, checkpoint=checkpoint,
-        trigger={"processingTime": f"{args.interval} seconds"},
-    )
+    trigger = {"availableNow": True} if args.available_now else {"processingTime": f"{args.interval} seconds"}
+    query = start_word_count_stream(source, outputs, name, checkpoint=checkpoint, trigger=trigger)
     query.awaitTermination()
     return 0
 

@@ -336,3 +336,20 @@ def test_kafka_sources_options(spark, scratch, monkeypatch):
     assert "subscribe" not in kafka[0]
     assert kafka[1]["subscribe"] == "b,c" and kafka[1]["startingOffsets"] == "latest"
     assert all(c["kafka.bootstrap.servers"] == "h1:9092,h2:9092" and c["maxOffsetsPerTrigger"] == "1000" for c in kafka)
+
+
+def test_app_replay_runs_to_completion(spark, scratch, monkeypatch):
+    """The CLI's run path on a replayed Parquet log with --available-now
+    (foreachBatch swapped for the noop sink, as in the wiring test)."""
+    from pyspark.sql.streaming.readwriter import DataStreamWriter
+
+    from quillstream.streaming import app
+
+    monkeypatch.setattr(DataStreamWriter, "foreachBatch", lambda self, fn: self.format("noop"))
+    log = _fixture(spark).drop("batch_id")
+    TL.write_topic_log(log, f"{scratch}/log", mode="overwrite")
+    ck = f"{scratch}/ck"
+    rc = app.main(["-", "en,de", f"{scratch}/base", "--replay-log", f"{scratch}/log",
+                   "--available-now", "--checkpoint", ck], spark=spark)
+    assert rc == 0
+    assert os.path.isdir(os.path.join(ck, "commits")) and os.listdir(os.path.join(ck, "commits"))

@@ -7,15 +7,16 @@ that per-batch work as an ordinary function of a DataFrame; the streaming
 wiring (``start_word_count_stream``) only hands batches to it.
 
 Exactly-once input comes from the stream checkpoint (offsets are logged before
-a batch runs, the commit after it). Outputs are written under the batch id with
-overwrite, so a batch replayed after a failure replaces its earlier output.
+a batch runs, the commit after it). Outputs are written under the run label and
+batch id with overwrite, so a batch replayed after a failure replaces its
+earlier output, and a stream on a new checkpoint cannot overwrite an old run.
 """
 
 from __future__ import annotations
 
 import logging
-from datetime import datetime, timezone
 from dataclasses import dataclass, replace
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +30,6 @@ from quillstream.session import shared_dir
 from quillstream.sinks.tables import DEFAULT_RUN, read_batches, run_label, write_batch
 from quillstream.sources.topiclog import SourceSpec, assign_json, starting_offsets_json
 
-
 LOG = logging.getLogger("quillstream.offsets")
 
 

@@ -202,24 +202,27 @@ def kafka_stream(
     bootstrap_servers: str,
     topics: str | Iterable[str] | None = None,
     starting_offsets: str = "latest",
-    assign_json: str | None = None,
+    assign: str | None = None,
     max_offsets_per_trigger: int | None = None,
+    fail_on_data_loss: bool = True,
 ) -> DataFrame:
     """Live Kafka source (requires the spark-sql-kafka package on the classpath).
 
     ``starting_offsets`` is ``"latest"`` (only new messages, the fresh-start
     default), ``"earliest"``, or a JSON from ``starting_offsets_json``; with a
-    JSON, the partitions are assigned explicitly (``assign_json``) so a resume
-    reads exactly the ledger's partitions.
+    JSON, the partitions are assigned explicitly (``assign``, from
+    ``assign_json``) so a resume reads exactly the ledger's partitions. Lost
+    offsets (e.g. past retention) fail the query unless
+    ``fail_on_data_loss=False``: nothing is skipped silently.
     """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap_servers)
         .option("startingOffsets", starting_offsets)
-        .option("failOnDataLoss", "false")
+        .option("failOnDataLoss", str(fail_on_data_loss).lower())
     )
-    if assign_json is not None:
-        reader = reader.option("assign", assign_json)
+    if assign is not None:
+        reader = reader.option("assign", assign)
     else:
         reader = reader.option("subscribe", ",".join(parse_topics(topics or [])))
     if max_offsets_per_trigger:
@@ -235,7 +238,7 @@ def open_sources(spark: SparkSession, bootstrap_servers: str, specs: list[Source
             bootstrap_servers,
             topics=list(spec.subscribe) or None,
             starting_offsets=spec.starting_offsets,
-            assign_json=spec.assign,
+            assign=spec.assign,
             **options,
         )
         for spec in specs

@@ -353,3 +353,22 @@ def test_app_replay_runs_to_completion(spark, scratch, monkeypatch):
                    "--available-now", "--checkpoint", ck], spark=spark)
     assert rc == 0
     assert os.path.isdir(os.path.join(ck, "commits")) and os.listdir(os.path.join(ck, "commits"))
+
+
+def test_kafka_fails_on_data_loss_by_default(spark, monkeypatch):
+    from pyspark.sql.streaming.readwriter import DataStreamReader
+
+    seen = {}
+    real_option = DataStreamReader.option
+
+    def record(self, key, value):
+        seen[key] = value
+        return real_option(self, key, value)
+
+    monkeypatch.setattr(DataStreamReader, "option", record)
+    monkeypatch.setattr(DataStreamReader, "load", lambda self: (_ for _ in ()).throw(RuntimeError("stop")))
+    try:
+        TL.kafka_stream(spark, "h:9092", "a")
+    except RuntimeError:
+        pass
+    assert seen["failOnDataLoss"] == "true" and seen["subscribe"] == "a"

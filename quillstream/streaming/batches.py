@@ -124,7 +124,8 @@ def process_batch(batch: DataFrame, batch_id: int, outputs: BatchOutputs) -> Non
     try:
         if outputs.ledger and has_offsets:
             rows = batch_ledger_rows(data, batch_id, outputs.ledger, outputs.run, outputs.max_partitions)
-            write_batch(rows, outputs.ledger, batch_id, outputs.run)
+            # one row per topic partition: one file per batch, not one per task
+            write_batch(rows, outputs.ledger, batch_id, outputs.run, files=1)
         if outputs.log_ranges and has_offsets:
             log_batch_ranges(data, batch_id)
         wants_counts = outputs.counts or outputs.cells or outputs.show_rows

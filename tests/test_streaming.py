@@ -372,3 +372,11 @@ def test_kafka_fails_on_data_loss_by_default(spark, monkeypatch):
     except RuntimeError:
         pass
     assert seen["failOnDataLoss"] == "true" and seen["subscribe"] == "a"
+
+
+def test_ledger_batch_is_one_file(spark, scratch):
+    log = _fixture(spark)
+    out = BatchOutputs(ledger=f"{scratch}/ledger")
+    _run_batches(spark, log, out, [0])
+    d = f"{scratch}/ledger/run=default/batch_id=0"
+    assert len([f for f in os.listdir(d) if f.endswith(".parquet")]) == 1

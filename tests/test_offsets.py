@@ -140,3 +140,19 @@ def test_dense_ranges_random(spark):
         }
         got = O.dense_ranges(_log(spark, ends), n).collect()
         assert len(got) == len(want) and {tuple(r) for r in got} == want, (ends, n)
+
+
+def test_resume_on_persisted_log_does_not_shuffle_messages(spark, scratch):
+    """On a log that carries its offsets, resuming is a scan streamed into a
+    broadcast join: no exchange between the message scan and the join."""
+    docs = spark.read.parquet(f"{SMOKE_DIR}/documents.parquet")
+    TL.write_topic_log(TL.documents_topic_log(docs).drop("batch_id"), f"{scratch}/log", "overwrite")
+    log = TL.read_topic_log(spark, f"{scratch}/log", "en,de")
+    current = O.ledger_current(O.ledger_rows(O.dense_ranges(TL.with_batch_ids(log, 10), 10)))
+    q = TL.message_values(O.resume_messages(log, O.resume_offsets(current), partitions_bound=12))
+    q.collect()
+    plan = q._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    lines = plan.split("\n")
+    join = next(i for i, line in enumerate(lines) if "BroadcastHashJoin" in line)
+    scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "value#" in line)
+    assert join < scan and not any("Exchange" in line for line in lines[join:scan])

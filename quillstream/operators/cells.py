@@ -98,15 +98,18 @@ def whole_rows(cells: DataFrame, qualifiers: Sequence[str], family: str | None =
     """One row per row key with one column per qualifier (newest value, null
     when the row has no such cell), in a single aggregation pass.
 
-    Replaces a scan followed by one point read per row key. ``qualifiers`` are
-    the columns to materialise; use ``row_maps`` when they are not known.
+    Replaces a scan followed by one point read per row key. A name may be
+    ``family:qualifier`` (that cell only) or a bare qualifier, which is read
+    from ``family`` when given, else from any family (the newest version
+    across families wins). Use ``row_maps`` when the columns are not known.
     """
     src = cells if family is None else cells.where(F.col("family") == family)
     aggs = []
-    for q in qualifiers:
-        hit = F.col("qualifier") == q
+    for name in qualifiers:
+        fam, sep, qual = name.partition(":")
+        hit = (F.col("family") == fam) & (F.col("qualifier") == qual) if sep else F.col("qualifier") == name
         aggs.append(
-            F.max_by(F.when(hit, F.col("value")), F.when(hit, F.struct("ts", "seq"))).alias(q)
+            F.max_by(F.when(hit, F.col("value")), F.when(hit, F.struct("ts", "seq"))).alias(name)
         )
     return src.groupBy("row_key").agg(*aggs)
 

@@ -110,3 +110,13 @@ def test_compact_cells(spark, scratch):
     compact_cells(spark, f"{scratch}/cells", f"{scratch}/compact")
     got = {(r.row_key, r.value, r.seq) for r in spark.read.parquet(f"{scratch}/compact").collect()}
     assert got == {("r", "b", 2), ("s", "c", 3)}
+
+
+def test_whole_rows_family_qualified_names(spark):
+    import datetime as dt
+
+    t = dt.datetime(2024, 1, 1)
+    cells = _cells(spark, [("r", "w1", "q", t, 1, "one"), ("r", "w2", "q", t, 2, "two")])
+    got = C.whole_rows(cells, ["w1:q", "w2:q", "q"]).first()
+    assert (got["w1:q"], got["w2:q"], got["q"]) == ("one", "two", "two")
+    assert C.whole_rows(cells, ["q"], family="w1").first()["q"] == "one"

@@ -5,9 +5,11 @@ Schema ``CELL_SCHEMA``: ``row_key, family, qualifier, ts, seq, value``. A cell i
 by ``(ts, seq)`` -- the timestamp, then the write sequence for equal
 timestamps -- and a scan sees the newest version of each cell.
 
-Writes are appends (``sinks.cells``); reads derive the newest versions with a
+Writes are appends (per stream batch through ``sinks.tables.write_batch``, or
+a batch of puts through ``upsert``); reads derive the newest versions with a
 partially-aggregated ``max_by``, so a hot row key is combined on the map side
-and never gathered into a single task.
+and never gathered into a single task. ``sinks.tables.compact_cells`` rewrites
+a table to its newest versions.
 """
 
 from __future__ import annotations

@@ -58,3 +58,13 @@ def test_lines_then_words(spark):
     df = spark.createDataFrame([("a b\n\nc \r\nd",)], "value string")
     got = sorted(r.word for r in counts.tokenize_lines(df).collect())
     assert got == ["", "a", "b", "c", "d"]
+
+
+def test_spread_only_for_narrow_scans(spark):
+    from quillstream.sources.tables import spread
+
+    narrow = spark.range(100).coalesce(1)
+    wide = spark.range(0, 100, 1, 16)
+    assert spread(narrow, ["id"], min_partitions=8).rdd.getNumPartitions() == 8
+    same = spread(wide, ["id"], min_partitions=8)
+    assert same is wide  # already wide: untouched, no exchange added

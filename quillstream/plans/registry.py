@@ -186,12 +186,13 @@ def q_cell_key_values(spark: SparkSession, d: str) -> DataFrame:
 
 def q_cell_rows(spark: SparkSession, d: str) -> DataFrame:
     cells = C.events_as_cells(_events(spark, d))
-    # the column set of the result: distinct qualifiers (bounded by the schema
-    # width, like a pivot's value discovery), gathered with a partial aggregate
-    found = [r.qualifier for r in cells.select("qualifier").distinct().limit(MAX_QUALIFIERS + 1).collect()]
-    if len(found) > MAX_QUALIFIERS:
+    # the column set of the result: the distinct qualifiers (bounded by the
+    # schema width, like a pivot's value discovery), counted before collecting
+    names = cells.select("qualifier").where(F.col("qualifier").isNotNull()).distinct()
+    if names.count() > MAX_QUALIFIERS:
         raise ValueError("too many qualifiers to materialise as columns; use row_maps")
-    return C.whole_rows(cells, sorted(q for q in found if q is not None))
+    found = [r.qualifier for r in names.collect()]
+    return C.whole_rows(cells, sorted(found))
 
 
 def q_cell_upsert(spark: SparkSession, d: str) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from quillstream.functions.ledger_codec import decode_offset
-from quillstream.operators.cells import CELL_KEY
+from quillstream.operators.cells import CELL_KEY, CELL_SCHEMA
 from quillstream.operators.offsets import ledger_current
 
 DEFAULT_RUN = "default"
@@ -99,3 +99,26 @@ def compact_ledger(spark: SparkSession, ledger_path: str, out_path: str) -> None
     if read_batches(spark, out_path) is not None:
         raise ValueError(f"{out_path} already holds a ledger")
     write_batch(current, out_path, newest, COMPACTED_RUN)
+
+
+def append_cells(puts: DataFrame, cells_path: str, seq: int | None = None) -> None:
+    """Append puts ``(row_key, family, qualifier, value)`` to a stored cell
+    table, versioned now: ``ts`` = the current timestamp, ``seq`` = the given
+    write sequence (default: the current time in microseconds), so a later
+    put of the same cell wins over an earlier one."""
+    stamp_seq = F.lit(seq) if seq is not None else F.unix_micros(F.current_timestamp())
+    out = puts.select(
+        *CELL_KEY,
+        F.current_timestamp().cast("timestamp_ntz").alias("ts"),
+        stamp_seq.cast("long").alias("seq"),
+        F.col("value").cast("string").alias("value"),
+    )
+    out.write.mode("append").parquet(cells_path)
+
+
+def read_cells(spark: SparkSession, cells_path: str) -> DataFrame:
+    """A stored cell table (all versions), or an empty one if none exists."""
+    try:
+        return spark.read.schema(CELL_SCHEMA).parquet(cells_path)
+    except AnalysisException:
+        return spark.createDataFrame([], CELL_SCHEMA)

@@ -120,3 +120,26 @@ def test_whole_rows_family_qualified_names(spark):
     got = C.whole_rows(cells, ["w1:q", "w2:q", "q"]).first()
     assert (got["w1:q"], got["w2:q"], got["q"]) == ("one", "two", "two")
     assert C.whole_rows(cells, ["q"], family="w1").first()["q"] == "one"
+
+
+def test_stored_table_sample_sequence(spark, scratch):
+    """Availability check, scan, put one cell, scan again, key/value listing,
+    whole rows: the cell-table sample sequence, on a stored table."""
+    from quillstream.sinks.tables import append_cells, read_cells
+    from quillstream.sources.tables import table_available
+
+    path = f"{scratch}/WordCount"
+    assert not table_available(spark, path)
+    assert read_cells(spark, path).count() == 0
+    put = spark.createDataFrame([("rowkey2", "w1", "b", "value2")], "row_key string, family string, qualifier string, value string")
+    append_cells(put, path, seq=1)
+    assert table_available(spark, path)
+    cells = read_cells(spark, path)
+    assert [(r.row_key, r.family, r.qualifier, r.value) for r in C.newest_cells(cells).collect()] == [
+        ("rowkey2", "w1", "b", "value2")
+    ]
+    assert [r.value for r in C.key_values(C.newest_cells(cells)).collect()] == ["value2"]
+    # a second put of the same cell is a newer version
+    append_cells(put.selectExpr("row_key", "family", "qualifier", "'value3' AS value"), path, seq=2)
+    rows = C.whole_rows(read_cells(spark, path), ["b"], family="w1").collect()
+    assert [(r.row_key, r.b) for r in rows] == [("rowkey2", "value3")]

@@ -75,26 +75,32 @@ def _ledger_current(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame,
 # --- text and counts -------------------------------------------------------
 
 def q_words(spark: SparkSession, d: str) -> DataFrame:
+    """one row per token of every document: (doc_id, word)."""
     return counts.tokenize(_texts(spark, d), "text", keep=["doc_id"])
 
 
 def q_word_count(spark: SparkSession, d: str) -> DataFrame:
+    """A2: 64-bit word counts over all documents."""
     return counts.word_count(_tokens(spark, d))
 
 
 def q_word_count_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """A1: the same counts as 32-bit totals (overflow raises)."""
     return counts.word_count_int(_tokens(spark, d))
 
 
 def q_word_count_sql(spark: SparkSession, d: str) -> DataFrame:
+    """The counting statement in SQL over the tokens (flagship)."""
     return counts.word_count_sql(_tokens(spark, d))
 
 
 def q_line_word_count(spark: SparkSession, d: str) -> DataFrame:
+    """S3/F2: counts after framing the texts into lines, as a line source delivers them."""
     return counts.word_count(counts.tokenize_lines(_texts(spark, d), "text"))
 
 
 def q_top_words(spark: SparkSession, d: str) -> DataFrame:
+    """K1: the ten most frequent words, ties by word (distributed top-k)."""
     return counts.top_words(counts.word_count(_tokens(spark, d)), TOP_N)
 
 
@@ -111,27 +117,32 @@ def q_two_topic_word_count(spark: SparkSession, d: str) -> DataFrame:
 # --- topic log, batches, offsets -------------------------------------------
 
 def q_topic_messages(spark: SparkSession, d: str) -> DataFrame:
+    """Messages of two subscribed topics, values decoded."""
     log, _ = _log(spark, d, SUBSCRIBED_TOPICS)
     return message_values(log)
 
 
 def q_batch_word_count(spark: SparkSession, d: str) -> DataFrame:
+    """Counts per batch of the topic log, not cumulative."""
     log, _ = _log(spark, d)
     msgs = log.select("batch_id", F.decode("value", "UTF-8").alias("value"))
     return counts.batch_word_count(counts.tokenize(msgs, "value", keep=["batch_id"]))
 
 
 def q_offset_ranges(spark: SparkSession, d: str) -> DataFrame:
+    """A4/K7: dense offset ranges per (batch, topic, partition)."""
     log, _ = _log(spark, d)
     return O.dense_ranges(log, FIXTURE_BATCH_SIZE)
 
 
 def q_offset_ledger(spark: SparkSession, d: str) -> DataFrame:
+    """K6/F8: the ledger's current entry per topic partition."""
     _, current, _ = _ledger_current(spark, d)
     return current
 
 
 def q_resume_offsets(spark: SparkSession, d: str) -> DataFrame:
+    """Start offsets decoded from the ledger (fromOffset: replays the last batch)."""
     _, current, _ = _ledger_current(spark, d)
     return O.resume_offsets(current, "from")
 
@@ -163,28 +174,34 @@ def _resumed(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_resume_messages(spark: SparkSession, d: str) -> DataFrame:
+    """The messages a resumed stream reads."""
     return _resumed(spark, d)
 
 
 def q_resume_word_count(spark: SparkSession, d: str) -> DataFrame:
+    """T5/A3: counts of the resumed messages."""
     return counts.word_count(counts.tokenize(_resumed(spark, d), "value"))
 
 
 # --- cells ------------------------------------------------------------------
 
 def q_word_cells(spark: SparkSession, d: str) -> DataFrame:
+    """K4: word counts as cells (row key = word, w1:total)."""
     return C.counts_as_cells(counts.word_count(_tokens(spark, d)))
 
 
 def q_cell_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Newest version of every cell of the events cell table."""
     return C.newest_cells(C.events_as_cells(_events(spark, d)))
 
 
 def q_cell_key_values(spark: SparkSession, d: str) -> DataFrame:
+    """Each newest cell as 'row/family:qualifier/timestamp' and its value."""
     return C.key_values(C.newest_cells(C.events_as_cells(_events(spark, d))))
 
 
 def q_cell_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Whole rows, one column per qualifier, in one aggregation."""
     cells = C.events_as_cells(_events(spark, d))
     # the column set of the result: the distinct qualifiers (bounded by the
     # schema width, like a pivot's value discovery), counted before collecting
@@ -196,6 +213,7 @@ def q_cell_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_cell_upsert(spark: SparkSession, d: str) -> DataFrame:
+    """K5: early events as the table, later events as puts; the table after the puts."""
     events = _events(spark, d)
     cut = F.lit(UPSERT_CUTOVER).cast("timestamp_ntz")
     base = C.events_as_cells(events.where(F.col("ts") < cut))
@@ -204,6 +222,7 @@ def q_cell_upsert(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_last_value_per_key(spark: SparkSession, d: str) -> DataFrame:
+    """A5: last value per user by an explicit (ts, event_id) order."""
     return last_by(_events(spark, d), ["user_id"], "value", ["ts", "event_id"])
 
 

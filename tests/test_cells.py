@@ -143,3 +143,15 @@ def test_stored_table_sample_sequence(spark, scratch):
     append_cells(put.selectExpr("row_key", "family", "qualifier", "'value3' AS value"), path, seq=2)
     rows = C.whole_rows(read_cells(spark, path), ["b"], family="w1").collect()
     assert [(r.row_key, r.b) for r in rows] == [("rowkey2", "value3")]
+
+
+def test_puts_after_compaction_still_win(spark, scratch):
+    from quillstream.sinks.tables import append_cells, compact_cells, read_cells
+
+    put = spark.createDataFrame([("r", "w1", "q", "old")], "row_key string, family string, qualifier string, value string")
+    append_cells(put, f"{scratch}/cells", seq=1)
+    append_cells(put.selectExpr("row_key", "family", "qualifier", "'mid' AS value"), f"{scratch}/cells", seq=2)
+    compact_cells(spark, f"{scratch}/cells", f"{scratch}/compact")
+    assert read_cells(spark, f"{scratch}/compact").count() == 1
+    append_cells(put.selectExpr("row_key", "family", "qualifier", "'new' AS value"), f"{scratch}/compact", seq=3)
+    assert [r.value for r in C.newest_cells(read_cells(spark, f"{scratch}/compact")).collect()] == ["new"]

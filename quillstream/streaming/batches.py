@@ -117,10 +117,14 @@ def _count_outputs(data: DataFrame, batch_id: int, outputs: BatchOutputs) -> Non
 
 
 def process_batch(batch: DataFrame, batch_id: int, outputs: BatchOutputs) -> None:
-    """All outputs of one micro-batch. The batch is persisted because up to
-    three outputs read it; the counts because two do."""
+    """All outputs of one micro-batch. The batch is persisted only when more
+    than one output reads it (the ranges and the counts), so the source is
+    read once; the counts are persisted because up to three outputs use them."""
     has_offsets = {"topic", "partition", "offset"} <= set(batch.columns)
-    data = batch.persist()
+    wants_ranges = bool(outputs.ledger or outputs.log_ranges) and has_offsets
+    wants_counts = bool(outputs.counts or outputs.cells or outputs.show_rows) and outputs.text_col in batch.columns
+    shared = wants_ranges and wants_counts
+    data = batch.persist() if shared else batch
     try:
         if outputs.ledger and has_offsets:
             rows = batch_ledger_rows(data, batch_id, outputs.ledger, outputs.run, outputs.max_partitions)
@@ -128,11 +132,11 @@ def process_batch(batch: DataFrame, batch_id: int, outputs: BatchOutputs) -> Non
             write_batch(rows, outputs.ledger, batch_id, outputs.run, files=1)
         if outputs.log_ranges and has_offsets:
             log_batch_ranges(data, batch_id)
-        wants_counts = outputs.counts or outputs.cells or outputs.show_rows
-        if wants_counts and outputs.text_col in data.columns:
+        if wants_counts:
             _count_outputs(data, batch_id, outputs)
     finally:
-        data.unpersist()
+        if shared:
+            data.unpersist()
 
 
 def start_word_count_stream(

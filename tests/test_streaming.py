@@ -380,3 +380,20 @@ def test_ledger_batch_is_one_file(spark, scratch):
     _run_batches(spark, log, out, [0])
     d = f"{scratch}/ledger/run=default/batch_id=0"
     assert len([f for f in os.listdir(d) if f.endswith(".parquet")]) == 1
+
+
+def test_batch_persisted_only_when_shared(spark, scratch, monkeypatch):
+    batch = spark.createDataFrame([("t", 0, 1, "a b")], "topic string, partition int, offset long, value string")
+    cls = type(batch)  # the concrete (classic) DataFrame class
+    calls = []
+    real = cls.persist
+
+    def counting(self, *a, **k):
+        calls.append(tuple(self.columns))
+        return real(self, *a, **k)
+
+    monkeypatch.setattr(cls, "persist", counting)
+    process_batch(batch, 0, BatchOutputs(counts=f"{scratch}/c1"))
+    assert tuple(batch.columns) not in calls          # one reader: no persist of the batch
+    process_batch(batch, 0, BatchOutputs(counts=f"{scratch}/c2", ledger=f"{scratch}/l2"))
+    assert tuple(batch.columns) in calls              # ranges and counts: read once

@@ -16,7 +16,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.errors import AnalysisException
 
 from quillstream.functions.ledger_codec import decode_offset
 from quillstream.operators.cells import CELL_KEY, CELL_SCHEMA

@@ -1,0 +1,47 @@
+import hashlib
+import math
+import zlib
+from collections import Counter, defaultdict
+
+from quillstream.llm import sharding
+
+
+def best(key, weights):
+    scores = []
+    for i, w in enumerate(weights):
+        draw = int(hashlib.md5(f"{key}:{i}".encode()).hexdigest()[:13], 16)
+        scores.append(w / -math.log((draw + 0.5) / 16**13))
+    return scores.index(max(scores))
+
+
+def test_records_against_brute_force(spark):
+    rows = [(i, "é" * (i % 5)) for i in range(300)] + [(5, "x"), (5, "x"), (None, None), (None, "n")]
+    docs = spark.createDataFrame([(*r, 1, "s") for r in rows], "doc_id long, text string, shard int, size string")
+    got = sharding.shard_records(docs).collect()
+    assert len(got) == len(rows)
+    slots = defaultdict(list)
+    for r in got:
+        key = "" if r.doc_id is None else r.doc_id
+        assert r.shard == best(key, [1.0] * 24)
+        assert r.grown_shard == best(key, [1.0] * 25)
+        assert r.grown_shard in (r.shard, 24)
+        slots[r.shard].append(r.slot)
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+    data = lambda t: (t or "").encode()
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in got) == Counter((i, len(data(t)) + 8, zlib.crc32(data(t))) for i, t in rows)
+
+
+def test_weights_and_few_moves(spark):
+    keys = spark.range(4000).withColumnRenamed("id", "k")
+    weights = [1.0, 2.0, 1.0]
+    placed = sharding.rendezvous(keys, "k", weights, grown=4.0).collect()
+    counts = Counter(r.shard for r in placed)
+    assert abs(counts[1] - 2000) < 150 and abs(counts[0] - 1000) < 150
+    moved = sum(r.shard != r.grown_shard for r in placed)
+    assert moved == sum(r.grown_shard == 3 for r in placed) and abs(moved - 2000) < 150
+
+
+def test_empty_table(spark):
+    out = sharding.shard_records(spark.createDataFrame([], "doc_id long, text string"))
+    assert out.count() == 0
+    assert [c for c, _ in out.dtypes] == ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillstream.llm import packing, sharding
+from quillstream.llm import linededup, packing, quality, sharding, toxicity
 from quillstream.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,17 +16,67 @@ def _documents(spark: SparkSession, d: str) -> DataFrame:
     return read_table(spark, d, "documents", ["doc_id", "text"])
 
 
+def _labels(spark: SparkSession, d: str) -> DataFrame:
+    return read_table(spark, d, "labels", ["doc_id", "quality", "toxic"])
+
+
+def op3_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    return toxicity.score_documents(_documents(spark, d), _labels(spark, d))
+
+
 def op5_rendezvous(spark: SparkSession, d: str) -> DataFrame:
     return sharding.shard_records(_documents(spark, d))
 
 
+def op8_unit_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return linededup.dedup_units(_documents(spark, d))
+
+
+def op9_quality(spark: SparkSession, d: str) -> DataFrame:
+    return quality.score_documents(_documents(spark, d), _labels(spark, d))
+
+
 def op10_pack(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, d))
 
 
 QUERIES: dict[str, Query] = {
+    "op3_toxicity": op3_toxicity,
     "op5_rendezvous": op5_rendezvous,
+    "op8_unit_dedup": op8_unit_dedup,
+    "op9_quality": op9_quality,
     "op10_pack": op10_pack,
 }
 
-ORACLES: dict[str, str] = {}
+UNIT_DEDUP_SQL = r"""
+with cut as (
+  select doc_id, regexp_extract_all(text, '[^.!?\n]*[.!?\n][.!? \t\r\n]*|[^.!?\n]+') as us from documents
+), units as (
+  select doc_id, unnest(us) as u, generate_subscripts(us, 1) as i from cut
+), normal as (
+  select *, trim(regexp_replace(lower(u), '[^\p{L}\p{N}]+', ' ', 'g')) as n,
+    sum(length(u)) over (partition by doc_id order by i) as e
+  from units
+), counted as (
+  select *, case when n = '' then 0 else length(n) - length(replace(n, ' ', '')) + 1 end as w from normal
+), paired as (
+  select *, lag(n) over (partition by doc_id order by i) as pn, lag(w) over (partition by doc_id order by i) as pw from counted
+), keyed as (
+  select *, case when w >= 5 then n when w > 0 and w + pw >= 5 then pn || '|' || n end as k from paired
+), ranked as (
+  select *, k is not null and row_number() over (partition by k order by doc_id, i) > 1 as gone from keyed
+), summed as (
+  select doc_id, count(*) as n_units, count(*) filter (where gone) as n_removed_units,
+    coalesce(string_agg(u, '' order by i) filter (where not gone), '') as kept,
+    coalesce(string_agg((e - length(u))::bigint || '-' || e::bigint, ',' order by i) filter (where gone), '') as removed_spans
+  from ranked group by doc_id
+)
+select d.doc_id, case when d.text is null then null else coalesce(s.kept, '') end as text,
+  coalesce(s.n_units, 0)::bigint as n_units, coalesce(s.n_removed_units, 0)::bigint as n_removed_units,
+  coalesce(s.removed_spans, '') as removed_spans
+from documents d left join summed s using (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op8_unit_dedup": UNIT_DEDUP_SQL,
+}

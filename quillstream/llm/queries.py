@@ -2,17 +2,31 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillstream.llm import linededup, packing, quality, sharding, toxicity
+from quillstream.llm import decontam, linededup, minhash, packing, quality, sharding, toxicity
 from quillstream.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def ready(spark: SparkSession) -> None:
+    """The operators write intermediate tables to the shared folder that the
+    session names in ``spark.checkpoint.dir``. Only a local session without one
+    gets a folder of its own; a cluster has to name it."""
+    context = spark.sparkContext
+    if spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir():
+        return
+    if not context.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set; name a folder that all executors share")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="quillstream-checkpoints-"))
+
+
 def _documents(spark: SparkSession, d: str) -> DataFrame:
+    ready(spark)
     return read_table(spark, d, "documents", ["doc_id", "text"])
 
 
@@ -24,10 +38,18 @@ def op3_toxicity(spark: SparkSession, d: str) -> DataFrame:
     return toxicity.score_documents(_documents(spark, d), _labels(spark, d))
 
 
+def op4_template_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    return decontam.flag_documents(_documents(spark, d), read_table(spark, d, "benchmark", ["item_id", "text"]))
+
+
 def op5_rendezvous(spark: SparkSession, d: str) -> DataFrame:
     return sharding.shard_records(_documents(spark, d))
 
 
+def op7_near_duplicates(spark: SparkSession, d: str) -> DataFrame:
+    return minhash.near_classes(_documents(spark, d)).select("doc_id", "class_id", "n_links")
+
+
 def op8_unit_dedup(spark: SparkSession, d: str) -> DataFrame:
     return linededup.dedup_units(_documents(spark, d))
 
@@ -42,7 +64,9 @@ def op10_pack(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_toxicity": op3_toxicity,
+    "op4_template_decontamination": op4_template_decontamination,
     "op5_rendezvous": op5_rendezvous,
+    "op7_near_duplicates": op7_near_duplicates,
     "op8_unit_dedup": op8_unit_dedup,
     "op9_quality": op9_quality,
     "op10_pack": op10_pack,

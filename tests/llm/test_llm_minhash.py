@@ -1,0 +1,121 @@
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from quillstream.llm import minhash
+from quillstream.llm.textarrays import blocks
+
+WORD = re.compile(r"[^\W_]+")
+
+
+def bag(text, size=minhash.SHINGLE):
+    words = WORD.findall((text or "").lower())
+    if not words:
+        return Counter()
+    return Counter(tuple(words[i:i + size]) for i in range(max(1, len(words) - size + 1)))
+
+
+def overlap(a, b):
+    return sum((a & b).values()) / max(1, sum((a | b).values()))
+
+
+def classes_of(texts, threshold=minhash.THRESHOLD):
+    """Brute force over all pairs of distinct texts: representative text of each class."""
+    bags = {t: bag(t) for t in set(texts)}
+    parent = {t: t for t in bags}
+
+    def root(t):
+        while parent[t] != t:
+            t = parent[t]
+        return t
+
+    listed = sorted(bags)
+    for i, a in enumerate(listed):
+        for b in listed[:i]:
+            if root(a) != root(b) and overlap(bags[a], bags[b]) >= threshold:
+                parent[root(a)] = root(b)
+    return {t: root(t) for t in bags}
+
+
+def check_classes(rows, got):
+    """rows: (doc_id, text); got: Counter of (doc_id, class_id)."""
+    root = classes_of([t or "" for _, t in rows])
+    last = minhash.LAST
+    least = {}
+    for d, t in rows:
+        r = root[t or ""]
+        least[r] = min(least.get(r, last), last if d is None else d)
+    want = Counter((d, least[root[t or ""]]) for d, t in rows)
+    assert Counter((d, last if c is None else c) for d, c in got) == want
+
+
+def words(rng, n):
+    return [rng.choice(["alpha", "beta", "gamma", "delta", "kappa", "omega", "sigma", "theta", "zeta", "eta"]) + str(rng.randrange(60)) for _ in range(n)]
+
+
+def sample_rows():
+    rng = random.Random(4)
+    base, rows = words(rng, 120), []
+    for i in range(60):  # a hub text and edits of it: near it, not always near each other
+        w = list(base)
+        for k in rng.sample(range(len(w)), rng.choice([0, 1, 2, 2])):
+            w[k] = f"edit{rng.randrange(9999)}"
+        rows.append((1000 - i, " ".join(w)))
+    for i in range(30):
+        rows.append((i, " ".join(words(rng, rng.choice([1, 3, 6, 40, 200])))))
+    rows += [(40, " ".join(["same"] * 50)), (41, " ".join(["same"] * 60)), (42, " ".join(["same"] * 100)), (43, "A, b c d e!"), (44, "a b c d E")]
+    return rows + [(50, ""), (51, None), (52, "..."), (53, "!!!"), (None, "only null id"), (None, rows[0][1]), (60, rows[3][1]), (60, rows[3][1]), (60, "other text")]
+
+
+def test_signatures_estimate_weighted_jaccard():
+    rng, errors = random.Random(1), []
+    for _ in range(30):
+        a = words(rng, 60) + ["again and again my dear friend"] * rng.randrange(40)
+        b = a[:rng.randrange(20, 60)] + words(rng, 20) + ["again and again my dear friend"] * rng.randrange(40)
+        texts = [" ".join(a), " ".join(b)]
+        (block,) = list(blocks(pa.array(texts), lower=True))
+        one, two = minhash.bag_signatures(*minhash.shingles(block), 2, 4096)
+        errors.append((one == two).mean() - overlap(bag(texts[0]), bag(texts[1])))
+    assert abs(np.mean(errors)) < 0.004 and np.max(np.abs(errors)) < 0.04
+
+
+def test_horizon_does_not_change_signatures(monkeypatch):
+    (block,) = list(blocks(pa.array(["a b c d e f g h a b c d e f", "x y z"])))
+    bags = minhash.shingles(block)
+    want = minhash.bag_signatures(*bags, 2)
+    draw = minhash._draw
+    monkeypatch.setattr(minhash, "_draw", lambda o, h, c, horizon, m: draw(o, h, c, horizon * 3, m))
+    assert (minhash.bag_signatures(*bags, 2) == want).all()
+
+
+def test_pair_overlap_is_exact():
+    rows = [r[1] for r in sample_rows()]
+    left, right = rows, rows[::-1]
+    got = minhash.pair_overlap(pa.array(left, pa.string()), pa.array(right, pa.string()))
+    assert np.allclose(got, [overlap(bag(a), bag(b)) for a, b in zip(left, right)])
+
+
+def test_classes_against_brute_force(spark):
+    rows = sample_rows()
+    docs = spark.createDataFrame([(*r, b"k", 1) for r in rows], "doc_id long, text string, key binary, class int")
+    got = minhash.near_classes(docs).collect()
+    check_classes(rows, [(r.doc_id, r.class_id) for r in got])
+    kept = minhash.keep_one(docs).collect()
+    root = classes_of([t or "" for _, t in rows])
+    assert Counter(root[r.text or ""] for r in kept) == Counter(set(root.values()))
+    assert kept[0].asDict().keys() == {"doc_id", "text", "key", "class"}
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert minhash.near_classes(docs).count() == 0 and minhash.keep_one(docs).count() == 0
+
+
+@pytest.mark.parametrize("scale", ["sf0.001"])
+def test_documents_table(spark, scale):
+    docs = spark.read.parquet(f"/root/testdata/{scale}/documents.parquet").select("doc_id", "text")
+    check_classes([tuple(r) for r in docs.collect()], [(r.doc_id, r.class_id) for r in minhash.near_classes(docs).collect()])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillstream.llm import decontam, linededup, minhash, packing, quality, sharding, toxicity
+from quillstream.llm import bwtdedup, decontam, htmltext, linededup, minhash, packing, quality, sharding, toxicity
 from quillstream.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,10 @@ def _labels(spark: SparkSession, d: str) -> DataFrame:
     return read_table(spark, d, "labels", ["doc_id", "quality", "toxic"])
 
 
+def op1_main_text(spark: SparkSession, d: str) -> DataFrame:
+    return htmltext.extract(read_table(spark, d, "pages", ["page_id", "url", "html"]))
+
+
 def op3_toxicity(spark: SparkSession, d: str) -> DataFrame:
     return toxicity.score_documents(_documents(spark, d), _labels(spark, d))
 
@@ -46,6 +50,10 @@ def op5_rendezvous(spark: SparkSession, d: str) -> DataFrame:
     return sharding.shard_records(_documents(spark, d))
 
 
+def op6_bwt_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return bwtdedup.dedup_bytes(_documents(spark, d))
+
+
 def op7_near_duplicates(spark: SparkSession, d: str) -> DataFrame:
     return minhash.near_classes(_documents(spark, d)).select("doc_id", "class_id", "n_links")
 
@@ -63,9 +71,11 @@ def op10_pack(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_main_text": op1_main_text,
     "op3_toxicity": op3_toxicity,
     "op4_template_decontamination": op4_template_decontamination,
     "op5_rendezvous": op5_rendezvous,
+    "op6_bwt_dedup": op6_bwt_dedup,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_unit_dedup": op8_unit_dedup,
     "op9_quality": op9_quality,

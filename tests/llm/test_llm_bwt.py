@@ -1,0 +1,97 @@
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from quillstream.llm import bwtdedup
+
+
+def brute(rows, length):
+    """rows: (doc_id, text); the contract, window by window."""
+    rank = lambda d: bwtdedup.LAST if d is None else d
+    data = [((rank(d), hashlib.md5((t or "").encode()).digest()), (t or "").encode()) for d, t in rows]
+    first = {}
+    for who, raw in data:
+        for i in range(len(raw) - length + 1):
+            w = raw[i:i + length]
+            first[w] = min(first.get(w, (who, i)), (who, i))
+    out = []
+    for (d, _), (who, raw) in zip(rows, data):
+        gone = bytearray(len(raw))
+        for i in range(len(raw) - length + 1):
+            if first[raw[i:i + length]] < (who, i):
+                gone[i:i + length] = b"\x01" * length
+        runs = [r for r in bytes(gone).split(b"\x00") if r]
+        kept = bytes(b for b, g in zip(raw, gone) if not g)
+        out.append((d, len(raw), sum(gone), len(runs), hashlib.sha256(kept).hexdigest()))
+    return Counter(out)
+
+
+def sample_rows():
+    rng = random.Random(3)
+    text = lambda n: "".join(rng.choice("abcdé ") for _ in range(n))
+    passage, line = text(60), text(25)
+    rows = [(i, text(rng.randrange(80))) for i in range(30, 40)]
+    rows += [(i, text(20) + passage + text(20)) for i in range(5)]
+    rows += [(i, text(rng.randrange(9)) + line + text(rng.randrange(9))) for i in range(50, 90)]
+    rows += [(7, "a" * 70), (8, "ab" * 50), (9, passage[10:] + passage[:50]), (10, ""), (11, None), (12, rows[3][1]), (6, rows[12][1])]
+    rows += [(None, passage), (None, line), (13, passage), (13, passage), (13, passage + "!"), (14, text(5)), (15, text(5) + "x")]
+    near = list(text(400))
+    for i in range(100, 110):
+        near[rng.randrange(400)] = "#"
+        rows.append((i, "".join(near)))
+    return rows
+
+
+@pytest.mark.parametrize("hot", [bwtdedup.HOT, 3])
+def test_table_against_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr(bwtdedup, "HOT", hot)
+    rows = sample_rows()
+    docs = spark.createDataFrame([(*r, 1, "h") for r in rows], "doc_id long, text string, rank int, head string")
+    got = bwtdedup.dedup_bytes(docs, length=20, gram=8).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == brute(rows, 20)
+    assert all(sum(int(b) - int(a) for a, b in (s.split("-") for s in r.spans.split(",") if s)) == r.n_removed for r in got)
+
+
+def test_empty_table(spark):
+    assert bwtdedup.dedup_bytes(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(st.sampled_from("abc"), max_size=40), min_size=1, max_size=12), st.sampled_from([4, 16, 64]))
+def test_interleave_sorts_by_prefixes(texts, shard):
+    parts = [np.frombuffer(("\x00".join(texts[i:i + 3]) + "\x00").encode(), dtype=np.uint8) for i in range(0, len(texts), 3)]
+    built = [bwtdedup.shard_bwt(p, 12) for p in parts]
+    row, block, common = bwtdedup.interleave([b for _, b in built], 12)
+    owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+    order = np.concatenate([o for o, _ in built])
+    suffix = [bytes(np.roll(parts[owner[r]], -order[r]))[:12] for r in row]
+    suffix = [s[:s.find(b"\x00") + 1] if 0 in s else s for s in suffix]  # up to the terminator
+    full = [s for s in suffix if 0 not in s]
+    assert full == sorted(full)
+    for k in range(1, len(row)):
+        a, b = suffix[k - 1], suffix[k]
+        if 0 not in a and 0 not in b and len(a) == len(b) == 12:
+            assert (block[k] == block[k - 1]) == (a == b)
+            same = next((i for i in range(12) if a[i] != b[i]), 12)
+            assert common[k] == 12 if a == b else same - 4 < common[k] <= same
+
+
+def test_repeated_starts(monkeypatch):
+    monkeypatch.setattr(bwtdedup, "SHARD", 64)
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("ab") for _ in range(rng.randrange(12, 60))).encode() for _ in range(60)]
+    n = np.array([len(t) - 11 for t in texts])
+    ids = np.arange(60)
+    got = set(zip(*(x.tolist() for x in bwtdedup.repeated_starts(texts, n, ids, ids * 0, ids * 0, 12))))
+    seen, want = set(), set()
+    for i, t in enumerate(texts):
+        for o in range(len(t) - 11):
+            if t[o:o + 12] in seen:
+                want.add((i, o))
+            seen.add(t[o:o + 12])
+    assert got == want

@@ -1,0 +1,56 @@
+import html
+import re
+
+from quillstream.llm import htmltext
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body class="single-post">
+<header class="site"><h1>Site name</h1></header><nav><a href="/">Home, sweet, home</a></nav>
+<div class="cookie-notice">We use cookies, and tell you so, at length, with commas, many, many.</div>
+<div id="wrap"><div class="sidebar"><p>Side text, with commas, more commas, and more text than you like, really a lot.</p></div>
+<div class="content"><h2>Heading</h2><p>First &amp; para, with commas,
+   and a <a href="#">link</a> inside.<p>Second para &#233;t&eacute; 1 &lt; 2,<br>long enough to count, I would think, yes.
+<div class="share">Share this, now, please</div><ul><li>one, two<li>three</ul><script>var x = "<p>no</p>";</script></div>
+<div id="comments"><p>Reader comment, which is long, and has, many, many, commas, and so on, and on.</p></div></div>
+<form><p>Enter, your, mail</p></form><footer>foot</footer></body></html>"""
+WANT = "Heading\nFirst & para, with commas, and a link inside.\nSecond para été 1 < 2, long enough to count, I would think, yes.\none, two\nthree"
+
+
+def test_article_among_the_rest():
+    assert htmltext.main_text(PAGE) == WANT
+
+
+def test_defined_cases():
+    cases = {
+        None: "", "": "", "<div></div>": "", "plain &amp; text\n x": "plain & text x", "a < b and c": "a < b and c",
+        "<p>x<p>y": "x\ny", "<article><h1>H</h1><p><b>open<br><p>next</article><aside>no</aside>": "H\nopen\nnext",
+        "<p>cut off <a href='": "cut off", "<!-- only -->": "", "<script>x": "", "</div></p>text": "text",
+        "<article><header><h1>T</h1></header><p>b</p><div class='comments'><p>c</p></div></article>": "T\nb",
+        "<p hidden>no</p><p style='display: none'>no</p><p>yes</p>": "yes", "<p>a&nbsp;b&#x41;</p>": "a bA",
+    }
+    for page, text in cases.items():
+        assert htmltext.main_text(page) == text, page
+
+
+def test_deep_and_long_pages():
+    assert htmltext.main_text("<div>" * 50_000 + "deep") == "deep"
+    assert htmltext.main_text("<p>" + "word, " * 200_000) == ("word, " * 200_000).strip()
+    assert htmltext.main_text("<b" * 20_000) is not None
+
+
+def test_table(spark):
+    rows = [(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (None, "v", ""), (3, "w", "<p>x")]
+    pages = spark.createDataFrame([(*r, "t", 9) for r in rows], "page_id long, url string, html string, text string, n_chars int")
+    got = sorted(map(tuple, htmltext.extract(pages).collect()), key=str)
+    want = sorted(((p, u, t, len(t)) for (p, u, _), t in zip(rows, [WANT, WANT, "", "", "x"])), key=str)
+    assert got == want
+    assert htmltext.extract(pages.limit(0)).count() == 0
+
+
+def test_pages_of_the_test_data(spark):
+    """Against a plain reading of these pages: the blocks of their one article."""
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    got = {r.page_id: r.text for r in htmltext.extract(pages).collect()}
+    for r in pages.collect():
+        article = re.search(r"<article>(.*?)</article>", r.html, re.DOTALL)[1]
+        parts = [re.sub(r"\s+", " ", html.unescape(re.sub(r"<[^>]*>", "", p.replace("<br>", " ")))).strip() for p in re.split(r"</?(?:p|h1)>", article)]
+        assert got[r.page_id] == "\n".join(p for p in parts if p)

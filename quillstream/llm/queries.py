@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillstream.llm import bwtdedup, decontam, htmltext, linededup, minhash, packing, quality, sharding, toxicity
+from quillstream.llm import bwtdedup, decontam, htmltext, iblt, linededup, minhash, packing, quality, sharding, toxicity
 from quillstream.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,10 @@ def op1_main_text(spark: SparkSession, d: str) -> DataFrame:
     return htmltext.extract(read_table(spark, d, "pages", ["page_id", "url", "html"]))
 
 
+def op2_sketch_fingerprints(spark: SparkSession, d: str) -> DataFrame:
+    return iblt.fingerprints(_documents(spark, d))
+
+
 def op3_toxicity(spark: SparkSession, d: str) -> DataFrame:
     return toxicity.score_documents(_documents(spark, d), _labels(spark, d))
 
@@ -72,6 +76,7 @@ def op10_pack(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_main_text": op1_main_text,
+    "op2_sketch_fingerprints": op2_sketch_fingerprints,
     "op3_toxicity": op3_toxicity,
     "op4_template_decontamination": op4_template_decontamination,
     "op5_rendezvous": op5_rendezvous,

@@ -127,6 +127,17 @@ def row_maps(cells: DataFrame) -> DataFrame:
     )
 
 
+def row_strings(cells: DataFrame) -> DataFrame:
+    """One row per row key with all its newest cells as one string,
+    ``family:qualifier=value`` joined by ``;`` in the order of the names: whole
+    rows of an open schema in one pass, whatever the number of qualifiers."""
+    newest = newest_cells(cells)
+    name = F.concat(F.col("family"), F.lit(":"), F.col("qualifier"))
+    listed = F.array_sort(F.collect_list(F.struct(name.alias("k"), F.col("value").alias("v"))))
+    text = F.transform(listed, lambda c: F.concat(c["k"], F.lit("="), F.coalesce(c["v"], F.lit(""))))
+    return newest.groupBy("row_key").agg(F.array_join(text, ";").alias("cells"))
+
+
 def lookup(cells: DataFrame, row_key: str) -> DataFrame:
     """Point read of one whole row (newest versions)."""
     return newest_cells(cells.where(F.col("row_key") == row_key))

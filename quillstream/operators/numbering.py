@@ -2,23 +2,26 @@
 
 ``row_number() OVER (PARTITION BY key ORDER BY o)`` sends every row of a key to
 one task. With few keys (a topic has a handful of partitions) one key can hold
-a third of the data, so that plan does not scale. Instead the integral order
-column is cut into fixed-width buckets:
+a third of the data, so that plan does not scale. Instead the order column is
+cut into buckets that hold about equally many rows (``plan_numbering``):
 
 1. ``segments``: rows per (key, bucket) -- a partial aggregation that reads only
    the key and order columns -- and, per key, the running total of the rows in
-   the buckets before each one (a window over the small segment table);
-2. ``row_number()`` over (key, bucket) ordered by the order column: every
-   window group holds at most ``bucket_width`` rows when the order values are
-   unique within a key, however hot the key is;
+   the buckets before each one. A key has at most ``MAX_BUCKETS`` + 2 segments,
+   whatever its rows and its order values are, so this window stays small;
+2. ``row_number()`` over (key, bucket) ordered by the order column: a window
+   group holds at most a bucket's rows, about ``rows / buckets`` when the order
+   values are unique within a key, however hot the key is;
 3. offset = rows before the bucket + rank inside the bucket - 1, joining the
    segment table back on (key, bucket): broadcast when its size bound allows,
    and otherwise a sort-merge join that reuses the window's hash partitioning
    and sort order on (key, bucket), so the rows are not shuffled or sorted a
    second time either way.
 
-Everything is deterministic (no sampling, no partition ids), so a retried task
-or a re-planned stage computes the same numbers. One hash shuffle of the rows.
+Buckets are bounded by quantiles of the order values, so dense ids, hashed
+sparse ids and ids that crowd in one range are cut alike. The numbers do not
+depend on the bounds, so a retried task or a re-planned stage computes the same
+ones. One hash shuffle of the rows.
 """
 
 from __future__ import annotations
@@ -34,9 +37,10 @@ from quillstream.operators.joins import MAX_BROADCAST_ROWS, join_bounded
 from quillstream.session import parallelism as session_parallelism
 
 DEFAULT_BUCKET_WIDTH = 1 << 16
-MIN_BUCKET_WIDTH = 1 << 10
-PREFERRED_MAX_WIDTH = 1 << 17   # rows per window group (~300 MB of 2.5 KB texts)
+MIN_GROUP_ROWS = 1 << 10    # rows of a window group aimed at, at least
+MAX_BUCKETS = 1 << 12       # buckets of the order column, at most
 GROUPS_PER_CORE = 4
+ACCURACY = 20               # quantiles are off by a 20th of a bucket at most
 
 _BUCKET = "_qs_bucket"
 _GROUP = "_qs_group"
@@ -47,11 +51,11 @@ _BASE = "_qs_base"
 
 @dataclass(frozen=True)
 class NumberingPlan:
-    """Bucket width and the size bounds it implies (see ``plan_numbering``)."""
+    """Bucket bounds and the size bounds they imply (see ``plan_numbering``)."""
 
-    bucket_width: int
-    segment_bound: int   # rows of the segment table, at most
-    keys: int            # distinct keys (e.g. topic partitions)
+    bounds: tuple[int, ...]  # ascending; bucket = how many of them an order value exceeds
+    segment_bound: int       # rows of the segment table, at most
+    keys: int                # distinct keys (e.g. topic partitions)
     rows: int
 
 
@@ -61,42 +65,54 @@ def bucket_of(order_col: str, width: int) -> Column:
     return ((c - F.pmod(c, F.lit(width))) / F.lit(width)).cast("long")
 
 
+def bucket_between(order_col: str, bounds: Sequence[int]) -> Column:
+    """Number of ``bounds`` (ascending) below the value, -1 for a null: looked up
+    among every ``step``-th bound first, then among the bounds of that block."""
+    value = F.col(order_col).cast("long")
+    if not bounds:
+        return F.when(value.isNull(), F.lit(-1)).otherwise(F.lit(0)).cast("long")
+    step = max(1, math.isqrt(len(bounds)))
+    below = lambda array: F.size(F.filter(array, lambda b: b < value))
+    literal = lambda values: F.lit(list(values)).cast("array<bigint>")
+    block = F.greatest(below(literal(bounds[::step])) - 1, F.lit(0))
+    inside = below(F.slice(literal(bounds), block * step + 1, step))
+    return F.when(value.isNull(), F.lit(-1)).otherwise(block * step + inside).cast("long")
+
+
 def plan_numbering(
     df: DataFrame,
     keys: Sequence[str],
     order_col: str,
     parallelism: int | None = None,
 ) -> NumberingPlan:
-    """Choose the bucket width from one narrow pass (row count, key count, and
-    the range of the order column; reads only those columns).
-
-    The width aims at ``GROUPS_PER_CORE`` window groups per core, clamped to
-    [1K, 128K] rows per group, and is widened beyond that only as far as needed
-    to keep the segment table (about ``rows / width + keys`` rows) within half
-    the broadcast limit, so the rows are never shuffled a second time for the
-    join. The segment table has at most ``min(rows, keys * buckets spanned)``
-    rows, which is the bound used to decide on broadcasting it.
+    """Choose the bucket bounds from one narrow pass (row count, key count and
+    quantiles of the order column; reads only those columns).
+
+    There are ``GROUPS_PER_CORE`` buckets a core, at most ``MAX_BUCKETS``, fewer
+    if that leaves less than ``MIN_GROUP_ROWS`` rows in each or if the segment
+    table (at most keys * (buckets + null orders)) would pass half the broadcast
+    limit, so the rows are never shuffled a second time for the join.
     """
+    p = parallelism or session_parallelism(df.sparkSession)
+    most = max(1, min(MAX_BUCKETS, GROUPS_PER_CORE * p))
+    quantiles = F.array(*[F.lit(i / most) for i in range(1, most)]) if most > 1 else F.array(F.lit(0.5))
     row = df.agg(
         F.count(F.lit(1)).alias("n"),
         # a struct is never null, so keys with null fields are counted too
         F.count_distinct(F.struct(*[F.col(k) for k in keys])).alias("k"),
-        F.min(order_col).alias("lo"),
-        F.max(order_col).alias("hi"),
+        F.percentile_approx(F.col(order_col).cast("long"), quantiles, F.lit(ACCURACY * most)).alias("q"),
         F.max(F.col(order_col).isNull().cast("int")).alias("has_null"),
     ).first()
     n, k = int(row["n"]), int(row["k"])
-    p = parallelism or session_parallelism(df.sparkSession)
-    width = min(PREFERRED_MAX_WIDTH, max(MIN_BUCKET_WIDTH, math.ceil(n / (GROUPS_PER_CORE * p))))
-    room = MAX_BROADCAST_ROWS // 2 - k
-    if room > 0 and n // width > room:
-        width = math.ceil(n / room)
     if n == 0:
-        return NumberingPlan(width, 0, 0, 0)
-    # min/max skip null orders; null orders form one more bucket per key
-    span = 0 if row["lo"] is None else int(row["hi"]) // width - int(row["lo"]) // width + 1
-    span += int(row["has_null"] or 0)
-    return NumberingPlan(width, min(n, k * span), k, n)
+        return NumberingPlan((), 0, 0, 0)
+    nulls = int(row["has_null"] or 0)
+    room = max(1, MAX_BROADCAST_ROWS // 2 // k - nulls)
+    buckets = min(most, max(1, math.ceil(n / MIN_GROUP_ROWS)), room)
+    found = sorted({int(q) for q in row["q"] or []})
+    stride = math.ceil((len(found) + 1) / buckets)
+    bounds = tuple(found[stride - 1::stride])
+    return NumberingPlan(bounds, min(n, k * (len(bounds) + 1 + nulls)), k, n)
 
 
 def number_within(
@@ -106,18 +122,22 @@ def number_within(
     out_col: str,
     bucket_width: int = DEFAULT_BUCKET_WIDTH,
     segment_count: int | None = None,
+    bounds: Sequence[int] | None = None,
 ) -> DataFrame:
     """Add ``out_col`` = 0-based rank of each row within ``keys`` by
     ``order_col`` (an integral column, unique within a key for a strict bound on
     the window groups; ties are numbered in an unspecified order).
 
-    ``segment_count`` (an upper bound, e.g. ``NumberingPlan.segment_bound``)
+    ``bounds`` are the buckets' bounds (``NumberingPlan.bounds``); without them the
+    order column is cut every ``bucket_width`` values, which suits dense values
+    only. ``segment_count`` (an upper bound, e.g. ``NumberingPlan.segment_bound``)
     lets the segment table be broadcast; without it the planner decides.
     """
     keys = list(keys)
     if bucket_width <= 0:
         raise ValueError("bucket_width must be positive")
-    bucketed = df.withColumn(_BUCKET, bucket_of(order_col, bucket_width))
+    bucket = bucket_of(order_col, bucket_width) if bounds is None else bucket_between(order_col, bounds)
+    bucketed = df.withColumn(_BUCKET, bucket)
     # (key, bucket) as one struct column: struct equality treats null fields as
     # equal, so null keys or order values form groups of their own instead of
     # being dropped by the join, and the window and the join share one key

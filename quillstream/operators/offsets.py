@@ -13,7 +13,7 @@ range per key), so a replayed batch can never corrupt it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillstream.functions.ledger_codec import decode_offset, encode_stats
@@ -23,7 +23,7 @@ PARTITION_KEY = ["topic", "partition"]
 RANGE_COLUMNS = ["batch_id", "topic", "partition", "from_offset", "until_offset"]
 LEDGER_COLUMNS = [*RANGE_COLUMNS, "stats"]
 
-# Batches generated per row before the second expansion step (see dense_ranges).
+# Batches generated per row before the second expansion step (see ranges_of_ends).
 BATCH_CHUNK = 4096
 
 
@@ -42,36 +42,12 @@ def batch_ranges(batch: DataFrame) -> DataFrame:
     )
 
 
-def dense_ranges(
-    log: DataFrame,
-    batch_size: int,
-    num_partitions: int | None = None,
-) -> DataFrame:
-    """Dense ranges of a log cut into batches of ``batch_size`` offsets per
-    partition (batch ``b`` reads ``[b*n, (b+1)*n)`` clipped to the partition end),
-    for batch ids ``0 .. last``, ``last`` being the last non-empty batch of any
-    partition.
-
-    Built from the partition ends only (one row per partition). The batch ids
-    are generated in two ``explode`` steps -- chunks of ``BATCH_CHUNK`` ids, a
-    hash repartition of the chunks, then the ids of each chunk -- so no single
-    task expands a long partition alone and no cross join is needed.
-    """
-    n = batch_size
-    ends = partition_ends(log)
-    # ``ends`` has one row per topic partition: a global window over it is tiny.
-    last = F.max(F.expr(f"(end_offset - 1) div {n}")).over(Window.partitionBy())
-    chunked = ends.withColumn("_qs_last", last).withColumn(
-        "_qs_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"_qs_last div {BATCH_CHUNK}")))
-    )
-    # without an explicit count AQE may coalesce this exchange when the
-    # chunks are few (the usual case); many chunks spread over the cluster
-    keys = [*PARTITION_KEY, "_qs_chunk"]
-    spread = chunked.repartition(num_partitions, *keys) if num_partitions else chunked.repartition(*keys)
-    first = F.col("_qs_chunk") * BATCH_CHUNK
-    batches = spread.withColumn(
-        "batch_id", F.explode(F.sequence(first, F.least(first + (BATCH_CHUNK - 1), F.col("_qs_last"))))
-    )
+def last_batch(ends: DataFrame, batch_size: int) -> int | None:
+    """The last non-empty batch of any partition (one aggregated row; None without rows)."""
+    return ends.agg(F.max(F.expr(f"(end_offset - 1) div {int(batch_size)}")).alias("b")).first()["b"]
+
+
+def _clipped(batches: DataFrame, n: int) -> DataFrame:
     return batches.select(
         "batch_id",
         *PARTITION_KEY,
@@ -80,6 +56,46 @@ def dense_ranges(
     )
 
 
+def last_ranges(ends: DataFrame, batch_size: int) -> DataFrame:
+    """The last batch's dense ranges, one per partition: all that a resume needs."""
+    last = last_batch(ends, batch_size)
+    return _clipped(ends.withColumn("batch_id", F.lit(last).cast("long")).where(F.col("batch_id").isNotNull()), batch_size)
+
+
+def ranges_of_ends(ends: DataFrame, batch_size: int, num_partitions: int | None = None) -> DataFrame:
+    """Dense ranges of partitions ``(topic, partition, end_offset)`` cut into batches
+    of ``batch_size`` offsets (batch ``b`` reads ``[b*n, (b+1)*n)`` clipped to the
+    partition end), for batch ids ``0 .. last``, ``last`` being the last non-empty
+    batch of any partition.
+
+    The partition ends are spread first. The batch ids are then generated in two
+    ``explode`` steps -- chunks of ``BATCH_CHUNK`` ids, a hash repartition of the
+    chunks, then the ids of each chunk -- so no single task expands many or long
+    partitions alone and no cross join is needed.
+    """
+    last = last_batch(ends, batch_size)
+    # without an explicit count AQE may coalesce these exchanges when the rows
+    # are few (the usual case); many spread over the cluster
+    deal = lambda df, *keys: df.repartition(num_partitions, *keys) if num_partitions else df.repartition(*keys)
+    chunked = deal(ends, *PARTITION_KEY).where(F.lit(last is not None)).withColumn(
+        "_qs_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit((last or 0) // BATCH_CHUNK).cast("long")))
+    )
+    first = F.col("_qs_chunk") * BATCH_CHUNK
+    batches = deal(chunked, *PARTITION_KEY, "_qs_chunk").withColumn(
+        "batch_id", F.explode(F.sequence(first, F.least(first + (BATCH_CHUNK - 1), F.lit(last or 0).cast("long"))))
+    )
+    return _clipped(batches, batch_size)
+
+
+def dense_ranges(
+    log: DataFrame,
+    batch_size: int,
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """Dense ranges of a log (see ``ranges_of_ends``), from its partition ends."""
+    return ranges_of_ends(partition_ends(log), batch_size, num_partitions)
+
+
 def ledger_rows(ranges: DataFrame) -> DataFrame:
     """Ranges plus the encoded ``stats`` string: the rows appended to the ledger."""
     return ranges.select(*RANGE_COLUMNS, encode_stats().alias("stats"))
@@ -150,19 +166,28 @@ def resume_messages(
 
 
 def fill_absent_partitions(
-    ranges: DataFrame, previous: DataFrame, batch_id: int, partitions_bound: int | None = None
+    ranges: DataFrame,
+    previous: DataFrame | None,
+    batch_id: int,
+    partitions_bound: int | None = None,
+    positions: DataFrame | None = None,
 ) -> DataFrame:
     """Make one micro-batch's ranges dense: partitions known to the ledger
-    (``previous`` = ``ledger_current``) but absent from the batch get an empty
-    range at their last ``until_offset``."""
-    prev = previous.select(
-        *PARTITION_KEY, decode_offset("stats", "until").alias("_qs_prev_until")
-    )
-    # both sides have one row per topic partition
-    merged = join_bounded(ranges, prev, PARTITION_KEY, how="full_outer", small_rows=partitions_bound)
+    (``previous`` = ``ledger_current``) or to the source (``positions``: topic,
+    partition, position) but absent from the batch get an empty range, at the
+    source's position or else at their last ``until_offset``."""
+    known = []  # one row per topic partition each
+    if previous is not None:
+        known.append(previous.select(*PARTITION_KEY, decode_offset("stats", "until").alias("_qs_prev_until")))
+    if positions is not None:
+        known.append(positions.select(*PARTITION_KEY, F.col("position").cast("long").alias("_qs_position")))
+    merged = ranges
+    for other in known:
+        merged = join_bounded(merged, other, PARTITION_KEY, how="full_outer", small_rows=partitions_bound)
+    at = F.coalesce(*[F.col(c) for c in ("_qs_position", "_qs_prev_until") if c in merged.columns] or [F.lit(None).cast("long")])
     return merged.select(
         F.lit(batch_id).cast("long").alias("batch_id"),
         *PARTITION_KEY,
-        F.coalesce("from_offset", "_qs_prev_until").alias("from_offset"),
-        F.coalesce("until_offset", "_qs_prev_until").alias("until_offset"),
+        F.coalesce("from_offset", at).alias("from_offset"),
+        F.coalesce("until_offset", at).alias("until_offset"),
     )

@@ -69,7 +69,7 @@ NEWEST = (
     "QUALIFY row_number() OVER (PARTITION BY row_key, family, qualifier ORDER BY ts DESC, seq DESC) = 1)"
 )
 
-EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+CUT = "TIMESTAMP '2024-01-15 00:00:00'"
 
 ORACLES: dict[str, str] = {
     "words": f"WITH {TOKENS} SELECT doc_id, word FROM tokens",
@@ -114,20 +114,16 @@ ORACLES: dict[str, str] = {
         "strftime(ts, '%Y-%m-%d %H:%M:%S.%f')) AS key, value FROM newest"
     ),
     "cell_rows": (
-        f"WITH {CELLS} SELECT row_key, "
-        + ", ".join(
-            f"arg_max(value, (ts, seq)) FILTER (WHERE qualifier = '{q}') AS {q}" for q in EVENT_TYPES
-        )
-        + " FROM cells GROUP BY row_key"
+        f"WITH {CELLS}, {NEWEST} SELECT row_key, string_agg(family || ':' || qualifier || '=' || "
+        "coalesce(value, ''), ';' ORDER BY family || ':' || qualifier) AS cells FROM newest GROUP BY row_key"
     ),
     "cell_upsert": (
-        "WITH cells AS ("
-        "SELECT CAST(user_id AS VARCHAR) AS row_key, 'w1' AS family, event_type AS qualifier, ts, "
-        "event_id AS seq, CAST(value AS VARCHAR) AS value FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00' "
+        f"WITH events_{CELLS}, cells AS ("
+        "SELECT * FROM events_cells "
         "UNION ALL "
-        "SELECT CAST(user_id AS VARCHAR) AS row_key, 'w1' AS family, event_type AS qualifier, ts, "
-        "event_id AS seq, CAST(value AS VARCHAR) AS value FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'"
-        f"), {NEWEST} SELECT row_key, family, qualifier, ts, value FROM newest"
+        f"SELECT row_key, family, qualifier, CASE WHEN seq % 2 = 0 OR ts >= {CUT} THEN ts ELSE {CUT} END AS ts, "
+        "CASE WHEN seq % 2 = 0 THEN seq - 1099511627776 ELSE 1099511627776 - seq END AS seq, value || '!' AS value "
+        f"FROM events_cells), {NEWEST} SELECT row_key, family, qualifier, ts, value FROM newest"
     ),
     "last_value_per_key": "SELECT user_id, arg_max(value, (ts, event_id)) AS value FROM events GROUP BY user_id",
 }

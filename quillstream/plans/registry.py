@@ -22,6 +22,7 @@ from quillstream.sources.tables import read_table, spread
 from quillstream.sources.topiclog import (
     FIXTURE_BATCH_SIZE,
     documents_topic_log,
+    fixture_ends,
     fixture_plan,
     message_values,
     parse_topics,
@@ -34,8 +35,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 SUBSCRIBED_TOPICS = "en,de"          # two of the four topics of the log fixture
 TEXT_TOPICS = "documents,conversations"  # two tables read as two topics
 TOP_N = 10                           # rows shown per batch by the console sink
-UPSERT_CUTOVER = "2024-01-15 00:00:00"  # events before: base table; from then on: puts
-MAX_QUALIFIERS = 1_000               # bound on discovered cell columns (one aggregate each)
+UPSERT_CUTOVER = "2024-01-15 00:00:00"  # puts of older events are moved to this time
+UPSERT_SEQ = 1 << 40                 # write sequence of the puts' copies, after every event's
 
 
 def _documents(spark: SparkSession, d: str) -> DataFrame:
@@ -60,16 +61,13 @@ def _log(spark: SparkSession, d: str, topics: str | None = None) -> tuple[DataFr
     docs = _documents(spark, d)
     wanted = parse_topics(topics) if topics else None
     plan = fixture_plan(docs, wanted)
-    log = documents_topic_log(
-        docs, wanted, bucket_width=plan.bucket_width, segment_count=plan.segment_bound
-    )
+    log = documents_topic_log(docs, wanted, segment_count=plan.segment_bound, bounds=plan.bounds)
     return log, plan.keys
 
 
-def _ledger_current(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, int]:
-    log, k = _log(spark, d)
-    ranges = O.dense_ranges(log, FIXTURE_BATCH_SIZE)
-    return log, O.ledger_current(O.ledger_rows(ranges)), k
+def _ledger_current(ends: DataFrame) -> DataFrame:
+    """The ledger's current entries: those of the last batch, as ranges are dense."""
+    return O.ledger_current(O.ledger_rows(O.last_ranges(ends, FIXTURE_BATCH_SIZE)))
 
 
 # --- text and counts -------------------------------------------------------
@@ -131,27 +129,24 @@ def q_batch_word_count(spark: SparkSession, d: str) -> DataFrame:
 
 def q_offset_ranges(spark: SparkSession, d: str) -> DataFrame:
     """A4/K7: dense offset ranges per (batch, topic, partition)."""
-    log, _ = _log(spark, d)
-    return O.dense_ranges(log, FIXTURE_BATCH_SIZE)
+    return O.ranges_of_ends(fixture_ends(_documents(spark, d)), FIXTURE_BATCH_SIZE)
 
 
 def q_offset_ledger(spark: SparkSession, d: str) -> DataFrame:
     """K6/F8: the ledger's current entry per topic partition."""
-    _, current, _ = _ledger_current(spark, d)
-    return current
+    return _ledger_current(fixture_ends(_documents(spark, d)))
 
 
 def q_resume_offsets(spark: SparkSession, d: str) -> DataFrame:
     """Start offsets decoded from the ledger (fromOffset: replays the last batch)."""
-    _, current, _ = _ledger_current(spark, d)
-    return O.resume_offsets(current, "from")
+    return O.resume_offsets(_ledger_current(fixture_ends(_documents(spark, d))), "from")
 
 
 def _resumed(spark: SparkSession, d: str) -> DataFrame:
     """Messages from the resume position on.
 
-    Offsets need only ``doc_id`` and ``lang``, so the log is numbered without
-    its text; the ledger and the start offsets come from that narrow log. The
+    The start offsets come from counts. Offsets need only ``doc_id`` and
+    ``lang``, so the log is numbered, once, without its text. The
     resumed rows are at most one batch per partition (``batch_size * keys``
     rows), so their text is fetched by broadcasting them into a scan of the
     documents: the text column is never shuffled.
@@ -160,11 +155,10 @@ def _resumed(spark: SparkSession, d: str) -> DataFrame:
     plan = fixture_plan(docs)
     narrow = documents_topic_log(
         docs.withColumn("text", F.lit(None).cast("string")),
-        bucket_width=plan.bucket_width,
         segment_count=plan.segment_bound,
+        bounds=plan.bounds,
     )
-    current = O.ledger_current(O.ledger_rows(O.dense_ranges(narrow, FIXTURE_BATCH_SIZE)))
-    starts = O.resume_offsets(current, "from")
+    starts = O.resume_offsets(_ledger_current(fixture_ends(docs)), "from")
     picked = O.resume_messages(narrow, starts, partitions_bound=plan.keys).select(
         "topic", "partition", "offset", F.decode("key", "UTF-8").cast("long").alias("doc_id")
     )
@@ -201,24 +195,28 @@ def q_cell_key_values(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_cell_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Whole rows, one column per qualifier, in one aggregation."""
-    cells = C.events_as_cells(_events(spark, d))
-    # the column set of the result: the distinct qualifiers (bounded by the
-    # schema width, like a pivot's value discovery), counted before collecting
-    names = cells.select("qualifier").where(F.col("qualifier").isNotNull()).distinct()
-    if names.count() > MAX_QUALIFIERS:
-        raise ValueError("too many qualifiers to materialise as columns; use row_maps")
-    found = [r.qualifier for r in names.collect()]
-    return C.whole_rows(cells, sorted(found))
+    """Whole rows of an open schema: all newest cells of each row key, in one pass."""
+    return C.row_strings(C.events_as_cells(_events(spark, d)))
 
 
 def q_cell_upsert(spark: SparkSession, d: str) -> DataFrame:
-    """K5: early events as the table, later events as puts; the table after the puts."""
-    events = _events(spark, d)
+    """K5: the events' cell table after a batch of puts.
+
+    Every event is put again, its value marked with ``!``. Events with an even
+    sequence keep their time but are put with an earlier sequence, so they lose to
+    the cell that is there; the others, moved to the cut-over time if they are
+    older, replace older cells, the smallest sequence last.
+    """
+    cells = C.events_as_cells(_events(spark, d))
     cut = F.lit(UPSERT_CUTOVER).cast("timestamp_ntz")
-    base = C.events_as_cells(events.where(F.col("ts") < cut))
-    puts = C.events_as_cells(events.where(F.col("ts") >= cut))
-    return C.upsert(base, puts)
+    old = F.col("seq") % 2 == 0
+    puts = cells.select(
+        *C.CELL_KEY,
+        F.when(old | (F.col("ts") >= cut), F.col("ts")).otherwise(cut).alias("ts"),
+        F.when(old, F.col("seq") - UPSERT_SEQ).otherwise(UPSERT_SEQ - F.col("seq")).alias("seq"),
+        F.concat(F.col("value"), F.lit("!")).alias("value"),
+    )
+    return C.upsert(cells, puts)
 
 
 def q_last_value_per_key(spark: SparkSession, d: str) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import SparkSession
 
 # Settings every job here relies on. AQE coalesces the small shuffles (word
@@ -19,7 +17,7 @@ DEFAULT_CONF = {
 
 
 def build_session(
-    master: str = "local[*]",
+    master: str | None = None,
     app_name: str = "quillstream",
     shuffle_partitions: int | None = None,
     checkpoint_dir: str | None = None,
@@ -27,10 +25,15 @@ def build_session(
 ) -> SparkSession:
     """Create (or get) a session with the settings the library expects.
 
+    ``master`` is set only when given, so ``spark-submit --master`` (or the
+    cluster's configuration) decides otherwise; without either, Spark's default.
+
     ``checkpoint_dir`` is a fallback used only when the session has no
     ``spark.checkpoint.dir`` of its own; a cluster's shared folder always wins.
     """
-    builder = SparkSession.builder.master(master).appName(app_name)
+    builder = SparkSession.builder.appName(app_name)
+    if master is not None:
+        builder = builder.master(master)
     for key, value in DEFAULT_CONF.items():
         builder = builder.config(key, value)
     if shuffle_partitions is not None:
@@ -82,7 +85,3 @@ def parallelism(spark: SparkSession) -> int:
     except Exception:  # no SparkContext in this client
         return default_partitions(spark)
 
-
-def env_int(name: str, default: int) -> int:
-    value = os.environ.get(name)
-    return int(value) if value else default

@@ -3,15 +3,18 @@
 Every stream output is written under its run and batch id
 (``<table>/run=<label>/batch_id=<n>/``) with overwrite, so a micro-batch that is
 replayed after a failure replaces its own earlier output instead of adding to
-it. The run label is stable for one stream checkpoint; a stream started on a
-new checkpoint (whose batch ids restart at 0) gets a new label and cannot
-overwrite an earlier run. Readers see ``run`` and ``batch_id`` as partition
-columns and can prune on them.
+it. The run label comes from the streaming query's id, which lives in the
+checkpoint: it is the same after every restart, and a checkpoint that is deleted
+and made again, even at the same path, has a new id and cannot overwrite an
+earlier run. Puts and compacted tables use the same layout (``run=put-<id>``,
+``run=compacted``), so one reader sees every write. Readers see ``run`` and
+``batch_id`` as partition columns and can prune on them.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,9 +28,14 @@ from quillstream.operators.offsets import ledger_current
 DEFAULT_RUN = "default"
 
 
-def run_label(checkpoint_location: str) -> str:
-    """A stable, non-numeric label for the run owning a checkpoint."""
-    return "r" + hashlib.sha1(checkpoint_location.encode("utf-8")).hexdigest()[:12]
+def run_label(query_id: str) -> str:
+    """A stable, non-numeric label for the run of a streaming query."""
+    return "r" + hashlib.sha1(query_id.encode("utf-8")).hexdigest()[:12]
+
+
+def is_absent(error: AnalysisException) -> bool:
+    """Whether a read failed because there is nothing at its path."""
+    return error.getCondition() == "PATH_NOT_FOUND"
 
 
 def batch_path(table_path: str, batch_id: int, run: str = DEFAULT_RUN) -> str:
@@ -53,28 +61,31 @@ def read_batches(
     batch_ids: Iterable[int] | None = None,
 ) -> DataFrame | None:
     """The batch-keyed table (optionally one run / some batches only: the
-    directories are pruned before listing), or None if nothing matches."""
+    directories are pruned before listing), or None if there is no such batch.
+    Anything else that keeps the table from being read is raised."""
     reader = spark.read.option("basePath", table_path)
     if schema is not None:
         reader = reader.schema(schema)
     ids = "*" if batch_ids is None else "{" + ",".join(str(int(b)) for b in batch_ids) + "}"
     try:
         return reader.parquet(f"{table_path.rstrip('/')}/run={run or '*'}/batch_id={ids}")
-    except AnalysisException:
-        return None
+    except AnalysisException as error:
+        if is_absent(error):
+            return None
+        raise
 
 
 def compact_cells(spark: SparkSession, cells_path: str, out_path: str) -> None:
     """Rewrite a cell table keeping only the newest version of every cell
-    (with its ``seq``), into a new location. Later appends still win over the
-    compacted versions, since versions are compared by (ts, seq)."""
-    cells = spark.read.parquet(cells_path)
-    newest = cells.groupBy(*CELL_KEY).agg(
+    (with its ``seq``), into a new location (run ``compacted``). Later stream
+    batches and puts go beside it and still win over the compacted versions,
+    since versions are compared by (ts, seq)."""
+    if read_batches(spark, out_path) is not None:
+        raise ValueError(f"{out_path} already holds a table")
+    newest = read_cells(spark, cells_path).groupBy(*CELL_KEY).agg(
         F.max_by(F.struct("ts", "seq", "value"), F.struct("ts", "seq")).alias("_qs_v")
     )
-    newest.select(*CELL_KEY, "_qs_v.ts", "_qs_v.seq", "_qs_v.value").write.mode(
-        "errorifexists"
-    ).parquet(out_path)
+    write_batch(newest.select(*CELL_KEY, "_qs_v.ts", "_qs_v.seq", "_qs_v.value"), out_path, 0, COMPACTED_RUN)
 
 
 COMPACTED_RUN = "compacted"
@@ -113,12 +124,20 @@ def append_cells(puts: DataFrame, cells_path: str, seq: int | None = None) -> No
         stamp_seq.cast("long").alias("seq"),
         F.col("value").cast("string").alias("value"),
     )
-    out.write.mode("append").parquet(cells_path)
+    write_batch(out, cells_path, 0, f"put-{uuid.uuid4().hex[:12]}")
 
 
 def read_cells(spark: SparkSession, cells_path: str) -> DataFrame:
-    """A stored cell table (all versions), or an empty one if none exists."""
+    """A stored cell table (all versions), or an empty one if none exists. Files
+    beside the batch folders would be passed over, so they are refused."""
     try:
-        return spark.read.schema(CELL_SCHEMA).parquet(cells_path)
-    except AnalysisException:
+        stray = spark.read.schema(CELL_SCHEMA).parquet(f"{cells_path.rstrip('/')}/*.parquet").inputFiles()
+    except AnalysisException as error:
+        if not is_absent(error):
+            raise
+    else:
+        raise ValueError(f"{cells_path} holds files outside run=*/batch_id=* folders: {stray[:3]}")
+    cells = read_batches(spark, cells_path, CELL_SCHEMA)
+    if cells is None:
         return spark.createDataFrame([], CELL_SCHEMA)
+    return cells.select(*[f.name for f in CELL_SCHEMA.fields])

@@ -34,6 +34,9 @@ LOG_SCHEMA = T.StructType(
     ]
 )
 
+# Fixed value: Kafka's number for "the earliest offset" in a startingOffsets JSON.
+EARLIEST = -2
+
 # Fixture parameters (documents -> log): partitions per topic and messages per batch.
 FIXTURE_PARTITIONS_PER_TOPIC = 3
 FIXTURE_BATCH_SIZE = 10
@@ -89,18 +92,25 @@ def _fixture_keyed(documents: DataFrame, topics: str | Iterable[str] | None) ->
 def fixture_plan(
     documents: DataFrame, topics: str | Iterable[str] | None = None
 ) -> NumberingPlan:
-    """Numbering plan of the documents fixture: bucket width, segment-table
+    """Numbering plan of the documents fixture: bucket bounds, segment-table
     bound and number of topic partitions, from one narrow pass over ``lang``
     and ``doc_id``. The bounds decide which small tables are broadcast."""
     return plan_numbering(_fixture_keyed(documents, topics), ["topic", "partition"], "doc_id")
 
 
+def fixture_ends(documents: DataFrame) -> DataFrame:
+    """``(topic, partition, end_offset)`` of the documents fixture. Its offsets are
+    positions, so a partition ends at its number of rows: no numbering is needed."""
+    return _fixture_keyed(documents, None).groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("end_offset"))
+
+
 def documents_topic_log(
     documents: DataFrame,
     topics: str | Iterable[str] | None = None,
     batch_size: int = FIXTURE_BATCH_SIZE,
     bucket_width: int = DEFAULT_BUCKET_WIDTH,
     segment_count: int | None = None,
+    bounds: tuple[int, ...] | None = None,
 ) -> DataFrame:
     """Deterministic topic log from the ``documents`` table.
 
@@ -116,6 +126,7 @@ def documents_topic_log(
         "offset",
         bucket_width=bucket_width,
         segment_count=segment_count,
+        bounds=bounds,
     )
     log = numbered.select(
         "topic",
@@ -190,7 +201,8 @@ def assign_json(starts: DataFrame) -> str:
 @dataclass(frozen=True)
 class SourceSpec:
     """One Kafka source to open: either ``assign`` (explicit partitions with
-    JSON start offsets) or ``subscribe`` (topics with a named start)."""
+    JSON start offsets) or ``subscribe`` (topics with a named start, or with a
+    JSON that lists all of their partitions)."""
 
     starting_offsets: str
     assign: str | None = None
@@ -209,9 +221,9 @@ def kafka_stream(
     """Live Kafka source (requires the spark-sql-kafka package on the classpath).
 
     ``starting_offsets`` is ``"latest"`` (only new messages, the fresh-start
-    default), ``"earliest"``, or a JSON from ``starting_offsets_json``; with a
-    JSON, the partitions are assigned explicitly (``assign``, from
-    ``assign_json``) so a resume reads exactly the ledger's partitions. Lost
+    default), ``"earliest"``, or a JSON from ``starting_offsets_json``. With
+    ``topics`` and a JSON, Kafka refuses to start if a partition is not listed;
+    with ``assign`` (from ``assign_json``) only the listed ones are read. Lost
     offsets (e.g. past retention) fail the query unless
     ``fail_on_data_loss=False``: nothing is skipped silently.
     """

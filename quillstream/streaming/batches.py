@@ -10,10 +10,13 @@ Exactly-once input comes from the stream checkpoint (offsets are logged before
 a batch runs, the commit after it). Outputs are written under the run label and
 batch id with overwrite, so a batch replayed after a failure replaces its
 earlier output, and a stream on a new checkpoint cannot overwrite an old run.
+The batch's time and the positions of all its partitions, quiet ones included,
+come from the checkpoint too and are the same on a replay.
 """
 
 from __future__ import annotations
 
+import json
 import logging
 from dataclasses import dataclass, replace
 from datetime import datetime, timezone
@@ -28,7 +31,8 @@ from quillstream.operators import counts
 from quillstream.operators import offsets as O
 from quillstream.session import shared_dir
 from quillstream.sinks.tables import DEFAULT_RUN, read_batches, run_label, write_batch
-from quillstream.sources.topiclog import SourceSpec, assign_json, starting_offsets_json
+from quillstream.sources.topiclog import EARLIEST, SourceSpec, assign_json, starting_offsets_json
+from quillstream.streaming.checkpoints import BatchInfo, batch_info, query_id
 
 LOG = logging.getLogger("quillstream.offsets")
 
@@ -46,6 +50,7 @@ class BatchOutputs:
     show_rows: int | None = None     # print this many count rows per batch (console)
     run: str = DEFAULT_RUN           # run label of the batch tables (one per checkpoint)
     log_ranges: bool = False         # log each range of the batch (one line per topic partition)
+    checkpoint: str | None = None    # the stream's checkpoint: batch times and source positions
 
 
 def _text(batch: DataFrame, col: str) -> DataFrame:
@@ -75,42 +80,44 @@ def previous_positions(spark: SparkSession, ledger_path: str, batch_id: int, run
 def batch_ledger_rows(
     batch: DataFrame,
     batch_id: int,
-    ledger_path: str,
+    ledger_path: str | None,
     run: str = DEFAULT_RUN,
     max_partitions: int | None = None,
+    positions: DataFrame | None = None,
 ) -> DataFrame:
     """Dense ledger rows for one batch: its non-empty ranges, plus an empty
-    range for every partition the ledger knows and the batch did not read."""
-    ranges = O.batch_ranges(batch)
-    previous = previous_positions(batch.sparkSession, ledger_path, batch_id, run)
-    if previous is None:
-        dense = ranges.select(F.lit(batch_id).cast("long").alias("batch_id"), *O.PARTITION_KEY, "from_offset", "until_offset")
-    else:
-        dense = O.fill_absent_partitions(ranges, O.ledger_current(previous), batch_id, max_partitions)
-    return O.ledger_rows(dense)
-
-
-def log_batch_ranges(batch: DataFrame, batch_id: int) -> None:
-    """Log the batch's non-empty ranges, one line per topic partition (the
-    lines come to the driver: one per partition the batch read)."""
-    lines = O.batch_ranges(batch).select(encode_short().alias("line"), *O.PARTITION_KEY)
+    range for every partition that the ledger or the source (``positions``)
+    knows and the batch did not read."""
+    spark = batch.sparkSession
+    previous = previous_positions(spark, ledger_path, batch_id, run) if ledger_path else None
+    current = None if previous is None else O.ledger_current(previous)
+    return O.ledger_rows(O.fill_absent_partitions(O.batch_ranges(batch), current, batch_id, max_partitions, positions))
+
+
+def log_ranges(rows: DataFrame, batch_id: int) -> None:
+    """Log a batch's dense ranges, empty ones included, one line per topic partition
+    (the lines come to the driver)."""
+    lines = rows.select(encode_short().alias("line"), *O.PARTITION_KEY)
     for row in lines.orderBy(*O.PARTITION_KEY).toLocalIterator():
         LOG.info("batch %d:%s", batch_id, row.line)
 
 
-def _count_outputs(data: DataFrame, batch_id: int, outputs: BatchOutputs) -> None:
+def _count_outputs(data: DataFrame, batch_id: int, outputs: BatchOutputs, time: datetime | None) -> None:
+    """``time`` is the batch's time; without a stream's checkpoint it is unknown: the
+    stored column is null then, and the header and the cells carry the clock's."""
     text = _text(data, outputs.text_col)
     words = counts.tokenize_lines(text) if outputs.split_lines else counts.tokenize(text)
     totals = counts.word_count_sql(words).persist()
+    now = time or datetime.now(timezone.utc)
+    stamp = F.timestamp_micros(F.lit(int(now.timestamp() * 1_000_000)))
     try:
         if outputs.counts:
-            write_batch(totals, outputs.counts, batch_id, outputs.run)
+            write_batch(totals.withColumn("batch_time", stamp if time else F.lit(None).cast("timestamp")), outputs.counts, batch_id, outputs.run)
         if outputs.cells and not totals.isEmpty():
-            puts = C.stamp(C.counts_as_cells(totals), F.current_timestamp(), batch_id)
+            puts = C.stamp(C.counts_as_cells(totals), stamp, batch_id)
             write_batch(puts, outputs.cells, batch_id, outputs.run)
         if outputs.show_rows:
-            now = datetime.now(timezone.utc).isoformat(timespec="milliseconds")
-            print(f"=== batch {batch_id} at {now} ===")
+            print(f"=== batch {batch_id} at {now.isoformat(timespec='milliseconds')} ===")
             counts.top_words(totals, outputs.show_rows).show(outputs.show_rows, truncate=False)
     finally:
         totals.unpersist()
@@ -120,20 +127,29 @@ def process_batch(batch: DataFrame, batch_id: int, outputs: BatchOutputs) -> Non
     """All outputs of one micro-batch. The batch is persisted only when more
     than one output reads it (the ranges and the counts), so the source is
     read once; the counts are persisted because up to three outputs use them."""
+    spark = batch.sparkSession
     has_offsets = {"topic", "partition", "offset"} <= set(batch.columns)
     wants_ranges = bool(outputs.ledger or outputs.log_ranges) and has_offsets
     wants_counts = bool(outputs.counts or outputs.cells or outputs.show_rows) and outputs.text_col in batch.columns
     shared = wants_ranges and wants_counts
+    info = batch_info(spark, outputs.checkpoint, batch_id) if outputs.checkpoint else None
+    info = info or BatchInfo(None, ())
     data = batch.persist() if shared else batch
     try:
-        if outputs.ledger and has_offsets:
-            rows = batch_ledger_rows(data, batch_id, outputs.ledger, outputs.run, outputs.max_partitions)
-            # one row per topic partition: one file per batch, not one per task
-            write_batch(rows, outputs.ledger, batch_id, outputs.run, files=1)
-        if outputs.log_ranges and has_offsets:
-            log_batch_ranges(data, batch_id)
+        if wants_ranges:
+            rows = batch_ledger_rows(
+                data, batch_id, outputs.ledger, outputs.run, outputs.max_partitions, info.positions_frame(spark)
+            ).persist()
+            try:
+                if outputs.ledger:
+                    # one row per topic partition: one file per batch, not one per task
+                    write_batch(rows, outputs.ledger, batch_id, outputs.run, files=1)
+                if outputs.log_ranges:
+                    log_ranges(rows, batch_id)
+            finally:
+                rows.unpersist()
         if wants_counts:
-            _count_outputs(data, batch_id, outputs)
+            _count_outputs(data, batch_id, outputs, info.time)
     finally:
         if shared:
             data.unpersist()
@@ -149,40 +165,25 @@ def start_word_count_stream(
     """Start the per-batch word count. ``trigger`` is passed to
     ``DataStreamWriter.trigger`` (default: every 2 seconds); the checkpoint
     defaults to ``<spark.checkpoint.dir>/streams/<name>``; the batch tables are
-    labelled with a run derived from it, so restarts on the same checkpoint
-    replace their own batches and a new checkpoint never overwrites old ones."""
+    labelled with the id of the query that owns it, so restarts replace their
+    own batches and a new checkpoint, at whatever path, never overwrites old ones."""
     spark = source.sparkSession
-    location = checkpoint or shared_dir(spark, "streams", name)
-    if outputs.run == DEFAULT_RUN:
-        outputs = replace(outputs, run=run_label(location))
+    location = (checkpoint or shared_dir(spark, "streams", name)).rstrip("/")
+
+    def run_batch(df: DataFrame, batch_id: int) -> None:
+        session = df.sparkSession
+        run = outputs.run if outputs.run != DEFAULT_RUN else run_label(query_id(session, location) or location)
+        process_batch(df, batch_id, replace(outputs, run=run, checkpoint=location))
+
     writer = (
         source.writeStream.queryName(name)
         .option("checkpointLocation", location)
-        .foreachBatch(lambda df, batch_id: process_batch(df, batch_id, outputs))
+        .foreachBatch(run_batch)
         .trigger(**(trigger or {"processingTime": "2 seconds"}))
     )
     return writer.start()
 
 
-def starting_position(
-    spark: SparkSession,
-    ledger_path: str,
-    topics: list[str],
-    default: str = "latest",
-    which: str = "from",
-    strict_ledger: bool = False,
-) -> str:
-    """Fresh start or resume, decided by the ledger: with no recorded range,
-    ``default``; otherwise the ledger's start offsets as ``startingOffsets``
-    JSON for a new stream query (an existing checkpoint takes precedence over
-    any ``startingOffsets``, so a ledger resume uses a new checkpoint)."""
-    ledger = read_batches(spark, ledger_path)
-    if ledger is None or ledger.isEmpty():
-        return default
-    starts = O.resume_plan(O.ledger_current(ledger), topics, strict_ledger, which)
-    return starting_offsets_json(starts)
-
-
 def start_plan(
     spark: SparkSession,
     ledger_path: str,
@@ -190,28 +191,38 @@ def start_plan(
     default: str = "latest",
     which: str = "from",
     strict_ledger: bool = False,
+    partitions: dict[str, list[int]] | None = None,
 ) -> list[SourceSpec]:
-    """The Kafka sources a (re)started stream opens.
+    """The Kafka sources a stream opens on a new checkpoint.
 
     * no recorded range: subscribe to ``topics`` at ``default``;
-    * otherwise: assign the ledger's partitions (of the requested topics, or
-      all of them with ``strict_ledger``) at their ledger offsets, plus, unless
-      ``strict_ledger``, subscribe to requested topics the ledger does not know
-      at ``default``. Two sources, because a Kafka ``startingOffsets`` JSON must
-      name every partition of the topics it covers.
+    * otherwise: subscribe to the requested topics the ledger knows, at its
+      offsets, and, as another source, to the topics it does not know at
+      ``default`` (a Kafka ``startingOffsets`` JSON must name every partition of
+      its topics). ``partitions`` may list the topics' partitions now: one that
+      the ledger lacks starts at its earliest offset. Without that list the
+      source refuses an incomplete JSON and names the missing partitions, so
+      none is passed over.
+    * ``strict_ledger``: assign exactly the ledger's partitions, whatever topics
+      are requested.
     """
     ledger = read_batches(spark, ledger_path)
     if ledger is None or ledger.isEmpty():
         return [SourceSpec(default, subscribe=tuple(topics))]
     starts = O.resume_plan(O.ledger_current(ledger), topics, strict_ledger, which).persist()
     try:
-        known = {r.topic for r in starts.select("topic").distinct().toLocalIterator()}
-        specs = []
-        if known:
-            specs.append(SourceSpec(starting_offsets_json(starts), assign=assign_json(starts)))
-        new = tuple(t for t in topics if t not in known)
-        if new and not strict_ledger:
-            specs.append(SourceSpec(default, subscribe=new))
-        return specs
+        if strict_ledger:
+            return [SourceSpec(starting_offsets_json(starts), assign=assign_json(starts))]
+        offsets = json.loads(starting_offsets_json(starts))  # one entry per topic partition
     finally:
         starts.unpersist()
+    for topic in offsets:
+        for p in (partitions or {}).get(topic, ()):
+            offsets[topic].setdefault(str(p), EARLIEST)
+    specs = []
+    if offsets:
+        specs.append(SourceSpec(json.dumps(offsets, sort_keys=True), subscribe=tuple(t for t in topics if t in offsets)))
+    new = tuple(t for t in topics if t not in offsets)
+    if new:
+        specs.append(SourceSpec(default, subscribe=new))
+    return specs

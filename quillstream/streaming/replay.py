@@ -8,16 +8,6 @@ checkpoint, so a restarted query neither loses nor re-reads a file.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
-
-
-def parquet_stream(
-    spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int | None = None
-) -> DataFrame:
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.parquet(path)
 
 
 def text_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:

@@ -102,11 +102,11 @@ def test_table_available(spark, scratch):
 def test_compact_cells(spark, scratch):
     import datetime as dt
 
-    from quillstream.sinks.tables import compact_cells
+    from quillstream.sinks.tables import compact_cells, write_batch
 
     t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
     cells = _cells(spark, [("r", "f", "q", t1, 1, "a"), ("r", "f", "q", t2, 2, "b"), ("s", "f", "q", t1, 3, "c")])
-    cells.write.parquet(f"{scratch}/cells")
+    write_batch(cells, f"{scratch}/cells", 0, "r1")
     compact_cells(spark, f"{scratch}/cells", f"{scratch}/compact")
     got = {(r.row_key, r.value, r.seq) for r in spark.read.parquet(f"{scratch}/compact").collect()}
     assert got == {("r", "b", 2), ("s", "c", 3)}
@@ -155,3 +155,48 @@ def test_puts_after_compaction_still_win(spark, scratch):
     assert read_cells(spark, f"{scratch}/compact").count() == 1
     append_cells(put.selectExpr("row_key", "family", "qualifier", "'new' AS value"), f"{scratch}/compact", seq=3)
     assert [r.value for r in C.newest_cells(read_cells(spark, f"{scratch}/compact")).collect()] == ["new"]
+
+
+PUT = "row_key string, family string, qualifier string, value string"
+
+
+def _stream_batch(spark, path, batch_id, text, run="r1"):
+    from quillstream.streaming.batches import BatchOutputs, process_batch
+
+    process_batch(spark.createDataFrame([(text,)], "value string"), batch_id, BatchOutputs(cells=path, run=run))
+
+
+def _newest(spark, path):
+    from quillstream.sinks.tables import read_cells
+
+    return {r.row_key: r.value for r in C.newest_cells(read_cells(spark, path)).collect()}
+
+
+def test_stream_and_puts_share_one_table(spark, scratch):
+    """Whatever the order of stream batches, puts and compaction, no cell is lost."""
+    from quillstream.sinks.tables import append_cells, compact_cells
+
+    put = spark.createDataFrame([("rowkey2", "w1", "b", "value2")], PUT)
+    a, b = f"{scratch}/a", f"{scratch}/b"
+    _stream_batch(spark, a, 0, "x y y")
+    append_cells(put, a)                       # stream, then put
+    append_cells(put, b)
+    _stream_batch(spark, b, 0, "x y y")        # put, then stream
+    want = {"x": "1", "y": "2", "rowkey2": "value2"}
+    assert _newest(spark, a) == want and _newest(spark, b) == want
+    compact_cells(spark, a, f"{scratch}/c")
+    assert _newest(spark, f"{scratch}/c") == want
+    _stream_batch(spark, f"{scratch}/c", 1, "y z")   # compact, then stream and put
+    append_cells(put.selectExpr("row_key", "family", "qualifier", "'value3' AS value"), f"{scratch}/c")
+    assert _newest(spark, f"{scratch}/c") == {"x": "1", "y": "1", "z": "1", "rowkey2": "value3"}
+
+
+def test_files_outside_the_layout_are_refused(spark, scratch):
+    import pytest
+
+    from quillstream.sinks.tables import read_cells
+
+    _stream_batch(spark, f"{scratch}/t", 0, "x")
+    _cells(spark, [("r", "f", "q", None, 1, "v")]).write.mode("append").parquet(f"{scratch}/t")
+    with pytest.raises(ValueError, match="outside"):
+        read_cells(spark, f"{scratch}/t")

@@ -5,7 +5,7 @@ import random
 import pandas as pd
 import pytest
 
-from quillstream.operators.numbering import MIN_BUCKET_WIDTH, number_within, plan_numbering
+from quillstream.operators.numbering import bucket_between, number_within, plan_numbering
 
 
 def _brute(rows):
@@ -27,7 +27,7 @@ def test_number_within_matches_rank(spark, width):
     df = spark.createDataFrame(rows, "k string, o long")
     plan = plan_numbering(df, ["k"], "o", parallelism=8)
     assert plan.keys == 41 and plan.rows == len(rows)
-    assert plan.bucket_width == MIN_BUCKET_WIDTH and plan.segment_bound <= len(rows)
+    assert plan.segment_bound <= len(rows)
     # any upper bound on the segment table works; the row count always is one
     got = number_within(df, ["k"], "o", "n", bucket_width=width, segment_count=len(rows)).collect()
     assert len(got) == len(rows)
@@ -54,21 +54,48 @@ def test_plan_has_no_window_on_key_alone(spark):
     assert "hashpartitioning(_qs_group" in plan
 
 
-def test_plan_width_keeps_segments_broadcastable(spark, monkeypatch):
-    """At scale the width grows so the segment table stays within the
-    broadcast limit instead of falling back to a shuffle join."""
+def test_plan_keeps_segments_broadcastable(spark, monkeypatch):
+    """At scale there are fewer, larger buckets so the segment table stays within
+    the broadcast limit instead of falling back to a shuffle join."""
     import quillstream.operators.numbering as N
 
-    monkeypatch.setattr(N, "MAX_BROADCAST_ROWS", 200)
-    monkeypatch.setattr(N, "MIN_BUCKET_WIDTH", 1)
-    monkeypatch.setattr(N, "PREFERRED_MAX_WIDTH", 4)
+    monkeypatch.setattr(N, "MAX_BROADCAST_ROWS", 40)
+    monkeypatch.setattr(N, "MIN_GROUP_ROWS", 4)
     df = spark.range(0, 5000).selectExpr("id % 2 AS k", "id AS o")
     plan = N.plan_numbering(df, ["k"], "o", parallelism=8)
-    assert plan.segment_bound <= 200
-    got = N.number_within(df, ["k"], "o", "n", plan.bucket_width, plan.segment_bound)
+    assert 2 < plan.segment_bound <= 20
+    got = N.number_within(df, ["k"], "o", "n", segment_count=plan.segment_bound, bounds=plan.bounds)
     assert got.where("n != o div 2").count() == 0
 
 
+@pytest.mark.parametrize("ids", ["dense", "sparse", "crowded"])
+def test_groups_stay_small_whatever_the_ids(spark, ids):
+    """One key holds half of the rows; ids are dense, hashed over 62 bits, or
+    crowded in a small part of their range. Neither the row groups nor the
+    segments of a key grow with that."""
+    order = {"dense": "id", "sparse": "xxhash64(id) & 4611686018427387903", "crowded": "if(id % 10 = 0, xxhash64(id), id)"}[ids]
+    n = 100_000
+    df = spark.range(n).selectExpr("if(id % 2 = 0, 'hot', concat('k', id % 97)) AS k", f"{order} AS o").dropDuplicates(["k", "o"]).cache()
+    plan = plan_numbering(df, ["k"], "o", parallelism=8)
+    buckets = len(plan.bounds) + 1
+    assert 16 <= buckets <= 32
+    bucketed = df.groupBy("k", bucket_between("o", plan.bounds).alias("b")).count()
+    assert bucketed.agg({"count": "max"}).first()[0] <= 2.5 * n / buckets
+    assert bucketed.groupBy("k").count().agg({"count": "max"}).first()[0] <= buckets
+    got = number_within(df, ["k"], "o", "n", segment_count=plan.segment_bound, bounds=plan.bounds)
+    assert {(r.k, r.o): r.n for r in got.collect()} == _brute([tuple(r) for r in df.collect()])
+    df.unpersist()
+
+
+def test_bucket_between_counts_the_bounds_below(spark):
+    bounds = [-5, 0, 3, 3_000_000_000, 4_000_000_000]
+    values = [-6, -5, -4, 0, 1, 3, 4, 3_000_000_000, 5_000_000_000, None]
+    df = spark.createDataFrame([(v,) for v in values], "o long")
+    for some in (bounds, bounds[:1], []):
+        got = [(r.o, r.b) for r in df.select("o", bucket_between("o", some).alias("b")).collect()]
+        assert got == [(v, -1 if v is None else sum(x < v for x in some)) for v in values]
+
+
 def test_unbounded_join_reuses_window_partitioning(spark):
     """Without a broadcast the join is co-partitioned with the window: exactly
     one exchange of the rows (hash on key and bucket), none added for the join."""
@@ -126,5 +153,5 @@ def test_plan_with_null_orders_and_keys(spark):
     df = spark.createDataFrame([("a", None), (None, None), ("a", None)], "k string, o long")
     plan = plan_numbering(df, ["k"], "o", parallelism=8)
     assert plan.rows == 3 and plan.segment_bound >= 2
-    got = number_within(df, ["k"], "o", "n", plan.bucket_width, plan.segment_bound)
+    got = number_within(df, ["k"], "o", "n", segment_count=plan.segment_bound, bounds=plan.bounds)
     assert sorted((r.k or "", r.n) for r in got.collect()) == [("", 0), ("a", 0), ("a", 1)]

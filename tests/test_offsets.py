@@ -39,6 +39,21 @@ def test_dense_ranges_many_chunks(spark):
     assert len(empty) == O.BATCH_CHUNK + 3 - 2 and all(r.from_offset == 7 for r in empty)
 
 
+def test_last_ranges_are_the_last_of_the_dense_ones(spark):
+    ends = {("a", 0): 25, ("a", 1): 3, ("b", 0): 10, ("b", 2): 1}
+    frame = O.partition_ends(_log(spark, ends))
+    last = {tuple(r) for r in O.last_ranges(frame, 10).collect()}
+    assert last == {tuple(r) for r in O.ranges_of_ends(frame, 10).where("batch_id = 2").collect()} and len(last) == 4
+    none = spark.createDataFrame([], "topic string, partition int, end_offset long")
+    assert O.last_ranges(none, 10).count() == 0 and O.ranges_of_ends(none, 10).count() == 0
+
+
+def test_fixture_ends_are_the_logs(spark):
+    docs = spark.read.parquet(f"{SMOKE_DIR}/documents.parquet")
+    want = {tuple(r) for r in O.partition_ends(TL.documents_topic_log(docs)).collect()}
+    assert {tuple(r) for r in TL.fixture_ends(docs).collect()} == want
+
+
 def test_stats_roundtrip_and_golden(spark):
     # sample output of the reference: topic DomainTest, three empty ranges
     golden = [("DomainTest", 0, 1, 1), ("DomainTest", 2, 2, 2), ("DomainTest", 1, 2, 2)]

@@ -16,7 +16,7 @@ from quillstream.operators import counts
 from quillstream.operators import offsets as O
 from quillstream.sinks.tables import read_batches
 from quillstream.sources import topiclog as TL
-from quillstream.streaming.batches import BatchOutputs, process_batch, starting_position
+from quillstream.streaming.batches import BatchOutputs, process_batch, start_plan
 from quillstream.streaming.replay import text_stream
 
 from conftest import SMOKE_DIR
@@ -75,10 +75,11 @@ def test_resume_from_ledger(spark, scratch):
     log = _fixture(spark)
     out = BatchOutputs(ledger=f"{scratch}/ledger")
     topics = sorted(r.topic for r in log.select("topic").distinct().collect())
-    assert starting_position(spark, out.ledger, topics) == "latest"  # fresh start
+    (fresh,) = start_plan(spark, out.ledger, topics)
+    assert fresh.starting_offsets == "latest"
     _run_batches(spark, log, out, [0, 1])
-    start_from = json.loads(starting_position(spark, out.ledger, topics))
-    start_until = json.loads(starting_position(spark, out.ledger, topics, which="until"))
+    start_from = json.loads(start_plan(spark, out.ledger, topics)[0].starting_offsets)
+    start_until = json.loads(start_plan(spark, out.ledger, topics, which="until")[0].starting_offsets)
     ends = {(r.topic, r.partition): r.end_offset for r in O.partition_ends(log).collect()}
     for (t, p), e in ends.items():
         assert start_from[t][str(p)] == min(10, e)      # replays batch 1
@@ -188,7 +189,6 @@ def test_new_run_keeps_earlier_ledger(spark, scratch):
 
 
 def test_start_plan_sources(spark, scratch):
-    from quillstream.streaming.batches import start_plan
 
     ledger = f"{scratch}/ledger"
     assert [(s.starting_offsets, s.assign, s.subscribe) for s in start_plan(spark, ledger, ["a", "b"])] == [
@@ -199,7 +199,7 @@ def test_start_plan_sources(spark, scratch):
     process_batch(batch, 0, out)
     specs = start_plan(spark, ledger, ["a", "b"])
     assert len(specs) == 2
-    assert json.loads(specs[0].assign) == {"a": [0, 1]}
+    assert specs[0].assign is None and specs[0].subscribe == ("a",)
     assert json.loads(specs[0].starting_offsets) == {"a": {"0": 5, "1": 7}}
     assert (specs[1].starting_offsets, specs[1].subscribe) == ("latest", ("b",))
     strict = start_plan(spark, ledger, ["a", "b"], strict_ledger=True, which="until")
@@ -217,6 +217,7 @@ def test_stream_wiring_without_callback(spark, scratch, monkeypatch):
     from quillstream.session import shared_dir
     from quillstream.sinks.tables import run_label
     from quillstream.streaming.batches import start_word_count_stream
+    from quillstream.streaming.checkpoints import batch_info, query_id
 
     captured = {}
 
@@ -236,8 +237,15 @@ def test_stream_wiring_without_callback(spark, scratch, monkeypatch):
     assert os.path.isdir(location.replace("file:", "") + "/commits")
     captured["fn"](spark.read.text(src), 0)
     got = read_batches(spark, out.counts)
-    assert {r.run for r in got.collect()} == {run_label(location)}
-    assert {(r.word, r.total) for r in got.collect()} == {("a", 1), ("b", 2)}
+    assert query_id(spark, location) == str(q.id)
+    assert {r.run for r in got.collect()} == {run_label(str(q.id))}
+    # the batch's time is the stream's, and the same when the batch runs again
+    times = {r.batch_time for r in got.select(F.unix_millis("batch_time").alias("batch_time")).collect()}
+    assert times == {round(batch_info(spark, location, 0).time.timestamp() * 1000)}
+    captured["fn"](spark.read.text(src), 0)
+    again = read_batches(spark, out.counts)
+    assert {r.batch_time for r in again.select(F.unix_millis("batch_time").alias("batch_time")).collect()} == times
+    assert {(r.word, r.total) for r in again.collect()} == {("a", 1), ("b", 2)}
 
 
 def test_app_dry_run(spark, scratch, capsys):
@@ -257,7 +265,6 @@ def test_app_dry_run(spark, scratch, capsys):
 
 def test_compact_ledger_resumes_identically(spark, scratch):
     from quillstream.sinks.tables import compact_ledger
-    from quillstream.streaming.batches import start_plan
 
     log = _fixture(spark)
     out = BatchOutputs(ledger=f"{scratch}/ledger")
@@ -397,3 +404,165 @@ def test_batch_persisted_only_when_shared(spark, scratch, monkeypatch):
     assert tuple(batch.columns) not in calls          # one reader: no persist of the batch
     process_batch(batch, 0, BatchOutputs(counts=f"{scratch}/c2", ledger=f"{scratch}/l2"))
     assert tuple(batch.columns) in calls              # ranges and counts: read once
+
+
+def _offset_log(checkpoint, batch_id, positions, time_ms=1_700_000_000_000):
+    """What a stream writes before a batch: version, metadata, one line a source."""
+    os.makedirs(f"{checkpoint}/offsets", exist_ok=True)
+    with open(f"{checkpoint}/offsets/{batch_id}", "w") as f:
+        f.write("v1\n" + json.dumps({"batchWatermarkMs": 0, "batchTimestampMs": time_ms, "conf": {}}) + "\n" + json.dumps(positions))
+
+
+def test_every_assigned_partition_is_recorded_logged_and_resumed(spark, scratch, caplog):
+    """The sample of three empty ranges, from a batch that reads nothing."""
+    import logging
+
+    ck = f"{scratch}/ck"
+    _offset_log(ck, 0, {"DomainTest": {"0": 1, "1": 2, "2": 2}})
+    none = spark.createDataFrame([], "topic string, partition int, offset long, value string")
+    out = BatchOutputs(ledger=f"{scratch}/ledger", log_ranges=True, checkpoint=ck)
+    with caplog.at_level(logging.INFO, logger="quillstream.offsets"):
+        process_batch(none, 0, out)
+    assert [r.getMessage() for r in caplog.records] == [
+        f"batch 0: T=DomainTest;P={p};From={o};Until={o}" for p, o in [(0, 1), (1, 2), (2, 2)]
+    ]
+    # later, partition 2 stays quiet and partition 3 is new
+    _offset_log(ck, 1, {"DomainTest": {"0": 3, "1": 2, "2": 2, "3": 0}})
+    process_batch(spark.createDataFrame([("DomainTest", 0, 1, "a"), ("DomainTest", 0, 2, "b")], none.schema), 1, out)
+    ledger = read_batches(spark, out.ledger).where("batch_id = 1")
+    assert {(r.partition, r.from_offset, r.until_offset) for r in ledger.collect()} == {(0, 1, 3), (1, 2, 2), (2, 2, 2), (3, 0, 0)}
+    (spec,) = start_plan(spark, out.ledger, ["DomainTest"], which="until")
+    assert json.loads(spec.starting_offsets) == {"DomainTest": {"0": 3, "1": 2, "2": 2, "3": 0}}
+    # a partition added while the stream was down is read from its beginning; not
+    # listed, Kafka refuses to subscribe with this JSON and names the partition
+    (spec,) = start_plan(spark, out.ledger, ["DomainTest"], which="until", partitions={"DomainTest": range(5)})
+    assert json.loads(spec.starting_offsets)["DomainTest"]["4"] == TL.EARLIEST
+    assert spec.assign is None and spec.subscribe == ("DomainTest",)
+
+
+def test_recreated_checkpoint_keeps_the_old_run(spark, scratch, monkeypatch):
+    """The checkpoint folder is replaced by a new one at the same path: the old
+    batches stay and every partition can be resumed."""
+    from pyspark.sql.streaming.readwriter import DataStreamWriter
+
+    from quillstream.streaming.batches import start_word_count_stream
+
+    captured = {}
+
+    def fake_foreach_batch(self, fn):
+        captured["fn"] = fn
+        return self.format("noop")
+
+    monkeypatch.setattr(DataStreamWriter, "foreachBatch", fake_foreach_batch)
+    src, ck = f"{scratch}/lines", f"{scratch}/ck"
+    spark.createDataFrame([("a",)], "value string").write.text(src)
+    out = BatchOutputs(counts=f"{scratch}/counts", ledger=f"{scratch}/ledger", cells=f"{scratch}/cells")
+    schema = "topic string, partition int, offset long, value string"
+    for batch in ([("t", 0, 0, "old"), ("t", 1, 4, "old")], [("t", 0, 1, "new")]):
+        start_word_count_stream(text_stream(spark, src), out, "qs_recreated", ck, {"availableNow": True}).awaitTermination(120)
+        captured["fn"](spark.createDataFrame(batch, schema), 0)
+        os.replace(ck, f"{ck}-{len(batch)}")  # the next stream finds no checkpoint there
+    ledger = read_batches(spark, out.ledger)
+    assert ledger.select("run").distinct().count() == 2
+    (spec,) = start_plan(spark, out.ledger, ["t"], which="until")
+    assert json.loads(spec.starting_offsets) == {"t": {"0": 2, "1": 5}}
+    assert {(r.word, r.total) for r in read_batches(spark, out.counts).collect()} == {("old", 2), ("new", 1)}
+
+
+def test_unreadable_ledger_raises(spark, scratch):
+    import pytest
+
+    assert read_batches(spark, f"{scratch}/none") is None
+    os.makedirs(f"{scratch}/ledger/run=r1/batch_id=0")
+    with open(f"{scratch}/ledger/run=r1/batch_id=0/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception):
+        start_plan(spark, f"{scratch}/ledger", ["t"])
+
+
+def test_two_sources_restart_with_the_stored_plan(spark, scratch, monkeypatch):
+    """A resume opens two sources. By the restart the ledger knows both topics and
+    would open one; the plan kept with the checkpoint still opens two."""
+    import pytest
+    from pyspark.sql.streaming.readwriter import DataStreamWriter
+
+    from quillstream.streaming import app
+
+    base, ck = f"{scratch}/base", f"{scratch}/ck"
+    monkeypatch.setattr(DataStreamWriter, "foreachBatch", lambda self, fn: self.format("noop"))
+    opened = []
+
+    def open_files(session, brokers, specs, **options):
+        opened.append(len(specs))
+        frames = [session.readStream.schema("value string").text(f"{scratch}/in{i}") for i, _ in enumerate(specs)]
+        return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
+
+    monkeypatch.setattr(app, "open_sources", open_files)
+    for i in (0, 1):
+        spark.createDataFrame([(f"w{i}",)], "value string").write.text(f"{scratch}/in{i}")
+    process_batch(spark.createDataFrame([("a", 0, 5)], "topic string, partition int, offset long"), 0, BatchOutputs(ledger=f"{base}/ledger", run="r0"))
+    args = ["h:1", "a,b", base, "--checkpoint", ck, "--available-now"]
+    assert app.main(args, spark=spark) == 0
+    process_batch(spark.createDataFrame([("b", 0, 1)], "topic string, partition int, offset long"), 1, BatchOutputs(ledger=f"{base}/ledger", run="r0"))
+    assert len(start_plan(spark, f"{base}/ledger", ["a", "b"])) == 1
+    assert app.main(args, spark=spark) == 0
+    assert opened == [2, 2]
+    with pytest.raises(SystemExit, match="new --checkpoint"):
+        app.main([*args, "--from-ledger"], spark=spark)
+    # a new checkpoint resumes from the ledger
+    assert app.main(["h:1", "a,b", base, "--checkpoint", f"{scratch}/ck2", "--available-now", "--from-ledger"], spark=spark) == 0
+    assert opened == [2, 2, 1]
+
+
+def test_lines_program(spark, scratch, monkeypatch, capsys):
+    """Text lines counted per batch from the command line, with a time header."""
+    from pyspark.sql.streaming.readwriter import DataStreamWriter
+
+    from quillstream.streaming import app
+
+    captured = {}
+
+    def fake_foreach_batch(self, fn):
+        captured["fn"] = fn
+        return self.format("noop")
+
+    monkeypatch.setattr(DataStreamWriter, "foreachBatch", fake_foreach_batch)
+    spark.createDataFrame([("a b",), ("b",)], "value string").coalesce(1).write.text(f"{scratch}/in")
+    args = ["-", "lines", f"{scratch}/base", "--lines-dir", f"{scratch}/in", "--checkpoint", f"{scratch}/ck", "--no-cells", "--available-now"]
+    assert app.parse_args(args).interval == 1.0
+    assert app.main(args, spark=spark) == 0
+    captured["fn"](spark.read.text(f"{scratch}/in"), 0)
+    assert "=== batch 0 at 20" in capsys.readouterr().out
+    got = read_batches(spark, f"{scratch}/base/counts")
+    assert {(r.word, r.total) for r in got.collect()} == {("a", 1), ("b", 2)}
+    assert app.parse_args(["-", "lines", "b", "--lines", "localhost:9999"]).address == ("localhost", 9999)
+
+
+def test_no_master_is_set_by_default(monkeypatch):
+    from pyspark.sql import SparkSession
+
+    from quillstream import session
+
+    seen = {}
+
+    class Builder:
+        def appName(self, name):
+            return self
+
+        def config(self, key, value):
+            return self
+
+        def master(self, master):
+            seen["master"] = master
+            return self
+
+        def getOrCreate(self):
+            raise RuntimeError("stop")
+
+    monkeypatch.setattr(SparkSession, "builder", Builder())
+    for master in (None, "local[3]"):
+        try:
+            session.build_session(master)
+        except RuntimeError:
+            pass
+        assert seen.get("master") == master

@@ -132,6 +132,7 @@ def log_model(counts: np.ndarray) -> np.ndarray:
     """Interpolated trigram, bigram and unigram estimates."""
     three = counts.reshape(SYMBOLS, SYMBOLS, SYMBOLS) + 0.0
     two, one = three.sum(0), three.sum((0, 1))
+    three[EDGE, EDGE] = two[EDGE]  # the search starts every word after two edges
     p1 = (one + 1) / (one.sum() + SYMBOLS)
     p2 = (two + 5 * p1) / (two.sum(1, keepdims=True) + 5)
     return np.log((three + 5 * p2) / (three.sum(2, keepdims=True) + 5))

@@ -25,7 +25,8 @@ strings start earlier. In step 1 a task sends equal segments once and marks the
 later ones itself, so a passage in a third of all documents reaches its minimiser
 once a task; segments of a minimiser with more than ``HOT`` occurrences are sent as
 single strings dealt by their own hash instead, so differing surroundings of a
-common passage do not meet in one task. Nothing is dropped or capped.
+common passage do not meet in one task. Equal segments of several tasks are one
+string of the transforms. Nothing is dropped or capped.
 
 Cases: a null text is empty; texts under ``LENGTH`` bytes keep everything; rows with
 the same id and text are one document and get the same result; of different texts
@@ -48,7 +49,7 @@ from quillstream.llm.textarrays import BLOCK_CHARS, as_strings, mix, span_hashes
 from quillstream.session import default_partitions
 
 LENGTH = 100
-GRAM = 32
+GRAM = 24
 SHARD = 1 << 17      # bytes of a shard
 CHUNK = 1 << 22      # bytes merged at a time, beyond one key
 HOT = 50_000         # occurrences of a minimiser from which single strings are dealt
@@ -170,8 +171,15 @@ def _dealt(marked: DataFrame, length: int, gram: int) -> DataFrame:
                 for d, a, b, r, v, p in zip(digests, start.tolist(), stop.tolist(), rank.tolist(), ver.tolist(), place.tolist()):
                     digest, at = d.tobytes(), (r, v, p)
                     data.append(None if seen.setdefault(digest, at) < at else raw[a:b])
+                # neighbours already found are one row
+                known = np.array([d is None for d in data], dtype=bool)
+                joins = np.zeros(len(known), dtype=bool)
+                joins[1:] = known[1:] & known[:-1] & (owner[1:] == owner[:-1]) & (place[1:] == (place + windows)[:-1])
+                heads = np.flatnonzero(~joins)
+                if len(heads):
+                    windows = np.add.reduceat(windows, heads)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key), pa.array(rank), pa.array(ver, pa.int32()), pa.array(place), pa.array(windows), pa.array(data, pa.binary())],
+                    [pa.array(key[heads]), pa.array(rank[heads]), pa.array(ver[heads], pa.int32()), pa.array(place[heads]), pa.array(windows), pa.array([data[i] for i in heads.tolist()], pa.binary())],
                     ["key", "rank", "ver", "start", "windows", "bytes"],
                 )
 
@@ -294,8 +302,23 @@ def _merged(dealt: DataFrame, length: int) -> DataFrame:
 
     def merge(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(rows).combine_chunks()
-        rank, ver, start, windows = (table.column(c).to_numpy().astype(np.int64) for c in ("rank", "ver", "start", "windows"))
-        string, offset, count = runs(*repeated_starts(table.column("bytes").to_pylist(), windows, rank, ver, start, length))
+        key, rank, ver, start, windows = (table.column(c).to_numpy().astype(np.int64) for c in ("key", "rank", "ver", "start", "windows"))
+        data = table.column("bytes").to_pylist()
+        # equal segments of several tasks are one string; the later ones are marked whole
+        order = np.lexsort((start, ver, rank))
+        first: dict[bytes, int] = {}
+        lead = np.empty(len(data), dtype=np.int64)
+        for i in order.tolist():
+            lead[i] = first.setdefault(data[i], i)
+        copies = np.flatnonzero((rank[lead] != rank) | (ver[lead] != ver) | (start[lead] != start))
+        # a minimiser with one string left has nothing to compare
+        ones = np.flatnonzero(lead == np.arange(len(data)))
+        _, of, sizes = np.unique(key[ones], return_inverse=True, return_counts=True)
+        ones = ones[sizes[of] > 1]
+        string, offset, count = copies, np.zeros(len(copies), dtype=np.int64), windows[copies]
+        if len(ones):
+            found, at, n = runs(*repeated_starts([data[i] for i in ones.tolist()], windows[ones], rank[ones], ver[ones], start[ones], length))
+            string, offset, count = np.concatenate([string, ones[found]]), np.concatenate([offset, at]), np.concatenate([count, n])
         return pa.RecordBatch.from_arrays(
             [pa.array(rank[string]), pa.array(ver[string], pa.int32()), pa.array(start[string] + offset), pa.array(count)], ["rank", "ver", "start", "windows"]
         )
@@ -337,7 +360,8 @@ def dedup_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
     heads = heads.withColumn("ver", F.row_number().over(Window.partitionBy("rank").orderBy("digest")))
     heads = heads.withColumnRenamed("digest", "head").checkpoint()
     # one row a distinct text, by rank throughout, so that the texts are shuffled once
-    first = rows.select("rank", "digest", "text").join(heads, "rank").where("digest = head")
+    # (an equality would become a key of the join and deal the texts by digest)
+    first = rows.select("rank", "digest", "text").join(heads, "rank").where("digest >= head and digest <= head")
     texts = first.groupBy("rank", "ver").agg(F.first("text").alias("text")).sortWithinPartitions("rank", "ver")
 
     minimisers = _minimisers(texts, length, gram)

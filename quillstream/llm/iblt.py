@@ -35,8 +35,9 @@ from quillstream.session import default_partitions
 
 CELLS = 12                  # of a fingerprint, in three tables
 LOAD = 4                    # digests of both texts in a larger sketch, on average
+LOAD_OF_VERSIONS = 10       # the same for versions of one text, which share most of them
 LADDER = (12, 36, 108, 324)  # cells of a larger sketch, then of its retries
-ROUNDS = 12                 # peeling rounds at most
+ROUNDS = (6, 6, 8, 10, 12)  # peeling rounds at most: of a fingerprint, then by rung
 FIRST = -(1 << 63)          # rank of a null doc_id: below all others
 
 _PARAGRAPH_END = r"\s*\n\s*|(?<=[.!?])\s+"
@@ -59,9 +60,11 @@ def _check(digest: Column) -> Column:
 
 
 def _cells_of(digest: Column, cells: int, seed: int) -> Column:
-    """The three cells of a digest, one in each third."""
+    """The three cells of a digest, one in each third: from other bits of it for
+    each third and seed (a digest is a hash already)."""
     third = cells // 3
-    return F.array(*[(F.pmod(F.xxhash64(digest, F.lit(seed * 3 + j)), F.lit(third)) + j * third).cast("int") for j in range(3)])
+    bits = lambda j: F.shiftrightunsigned(digest, 20 * j + 4 * seed)
+    return F.array(*[(F.pmod(bits(j), F.lit(third)) + j * third).cast("int") for j in range(3)])
 
 
 def sketch(signed: Column, cells: int, seed: int) -> Column:
@@ -115,7 +118,7 @@ def peel(cells: Column, size: int, seed: int) -> Column:
         return _let(found, take)
 
     start = F.struct(cells.alias("cells"), F.expr("cast(array() as array<struct<x:bigint,s:int>>)").alias("out"))
-    done = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step)
+    done = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS[seed])), start, step)
     empty = lambda c: (c["n"] == 0) & (c["k"] == 0) & (c["h"] == 0)
     return _let(done, lambda d: F.when(F.forall(d["cells"], empty), d["out"]))
 
@@ -135,12 +138,12 @@ def written(cells: Column, digests: Column) -> Column:
     return F.concat_ws(":", F.size(digests).cast("string"), F.concat_ws("-", hexes))
 
 
-def differences(a: Column, b: Column, base_a: Column, base_b: Column) -> Column:
+def differences(a: Column, b: Column, base_a: Column, base_b: Column, load: int = LOAD) -> Column:
     """Digests (x, s) that differ between sets ``a`` (s = 1) and ``b`` (s = -1)."""
 
     def larger(size_of_both: Column) -> Column:
-        groups = F.greatest(F.lit(1), F.ceil(size_of_both / F.lit(LOAD))).cast("long")
-        dealt = F.array_sort(F.transform(
+        groups = F.greatest(F.lit(1), F.ceil(size_of_both / F.lit(load))).cast("long")
+        dealt = F.sort_array(F.transform(
             F.concat(_signed(a, 1), _signed(b, -1)),
             lambda e: F.struct(F.pmod(F.xxhash64(e["x"], F.lit(-2)), groups).alias("g"), e["x"].alias("x"), e["s"].alias("s")),
         ))
@@ -173,10 +176,10 @@ def differences(a: Column, b: Column, base_a: Column, base_b: Column) -> Column:
     return F.when(both == 0, F.expr("cast(array() as array<struct<x:bigint,s:int>>)")).otherwise(F.coalesce(small, larger(both)))
 
 
-def likeness(a: Column, b: Column, base_a: Column, base_b: Column) -> Column:
+def likeness(a: Column, b: Column, base_a: Column, base_b: Column, load: int = LOAD) -> Column:
     """Jaccard index of two digest sets, from their sizes and recovered differences."""
     both = F.size(a) + F.size(b)
-    apart = F.size(differences(a, b, base_a, base_b))
+    apart = F.size(differences(a, b, base_a, base_b, load))
     return F.when(both == 0, F.lit(1.0)).otherwise((both - apart) / (both + apart))
 
 
@@ -220,13 +223,13 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     pairs = rows.join(given, "key").withColumn("edited", edited)
     sets = pairs.withColumns({"own": paragraph_digests(F.col("text")), "new": paragraph_digests(F.col("edited"))})
     cells = sets.withColumns({"own0": base_sketch(F.col("own")), "new0": base_sketch(F.col("new")), "next0": base_sketch(F.col("next"))})
-    near = lambda other: likeness(F.col("own"), F.col(other), F.col("own0"), F.col(f"{other}0"))
+    near = lambda other, load: likeness(F.col("own"), F.col(other), F.col("own0"), F.col(f"{other}0"), load)
     return cells.select(
         F.when(F.col("key.rank") != FIRST, F.col("key.rank")).alias("doc_id"),
         n.cast("long").alias("n_chars"),
         F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
         written(F.col("own0"), F.col("own")).alias("fingerprint"),
         written(F.col("new0"), F.col("new")).alias("edited_fingerprint"),
-        near("new").alias("near_edited"),
-        near("next").alias("near_next"),
+        near("new", LOAD_OF_VERSIONS).alias("near_edited"),
+        near("next", LOAD).alias("near_next"),
     )

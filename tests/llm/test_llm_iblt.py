@@ -58,7 +58,8 @@ def test_against_plain_sets(spark):
 
 @pytest.mark.parametrize("n", [0, 1, 5, 40, 400])
 def test_recovers_the_differing_digests(spark, n):
-    a, b = list(range(1000, 1000 + 50 + n)), list(range(1000 + n, 1050 + 2 * n))
+    digest = lambda i: int.from_bytes(hashlib.md5(str(i).encode()).digest()[:8], "big", signed=True)
+    a, b = [digest(i) for i in range(50 + n)], [digest(i) for i in range(n, 50 + 2 * n)]
     one = spark.createDataFrame([(a, b)], "a array<long>, b array<long>")
     base = lambda c: iblt.base_sketch(F.col(c))
     (row,) = one.select(iblt.differences(F.col("a"), F.col("b"), base("a"), base("b")).alias("d")).collect()
@@ -66,7 +67,8 @@ def test_recovers_the_differing_digests(spark, n):
 
 
 def test_a_failing_sketch_says_so(spark):
-    one = spark.createDataFrame([(list(range(200)),)], "a array<long>").select(iblt.base_sketch(F.col("a")).alias("c"))
+    digests = [hash((i, "x")) for i in range(200)]
+    one = spark.createDataFrame([(digests,)], "a array<long>").select(iblt.base_sketch(F.col("a")).alias("c"))
     assert one.select(iblt.peel(F.col("c"), iblt.CELLS, 0).alias("p")).first().p is None
 
 

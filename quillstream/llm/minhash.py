@@ -17,13 +17,15 @@ The horizon does not change the result.
 
 Search. Equal texts are one representative. Signatures are banded
 (``BANDS`` x ``ROWS``); representatives that agree in a band share a bucket.
-Pairs are never enumerated: each round pairs a bucket's members with its hubs, the
-exact weighted Jaccard of each such pair is computed from the texts, and links
-join classes. The next round takes as hub the member with the most links so far
-and looks only at buckets that still hold several classes, with members outside
-the hub's class; it ends when a round finds no further link. Members that have
-been hubs of a bucket are not hubs there again. A class is a connected component
-of links; its id is the smallest ``doc_id`` in it.
+The exact weighted Jaccard of a candidate pair is computed from the texts. In a
+bucket of up to ``SMALL`` members all pairs are candidates. The pairs of a larger
+one are never enumerated: in each round it has up to two hubs, the members with the
+most links so far, and its members are paired with the hubs of other classes; links
+join classes. The next round looks only at buckets that still hold several classes
+and at hubs they have not had. The rounds end when fewer than ``LEAST_YIELD`` of the
+pairs compared are links: what is left then are large groups of texts just below the
+threshold, where a link that no hub leads to can be missed. A class is a connected
+component of links; its id is the smallest ``doc_id`` in it.
 
 Scale: bucket counts and hubs are aggregates, so a bucket with a third of all rows
 costs one row a member; all joins are on band keys or ids. Round results are
@@ -50,6 +52,8 @@ THRESHOLD = 0.8
 BANDS, ROWS = 24, 5   # a pair at 0.8 shares no band with probability 7e-5
 COMPONENTS = BANDS * ROWS
 LAST = (1 << 63) - 1
+SMALL = 8             # members of a bucket whose pairs are all compared
+LEAST_YIELD = 1 / 500  # links per compared pair below which the hub rounds end
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _LEVEL = np.uint64(0xD1B54A32D192ED03)
@@ -193,12 +197,54 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
 
 # --- classes ------------------------------------------------------------------------
 
+CHUNK = 200_000  # links a task contracts at a time
+
+
+def contracted(links: DataFrame) -> DataFrame:
+    """(a, b): each linked key with the smallest key it reaches through the links of
+    its partition, up to ``CHUNK`` of them at a time. The components are the same,
+    but long ways between their keys become short."""
+
+    def roots(left: list[bytes], right: list[bytes]) -> pa.RecordBatch:
+        parent: dict[bytes, bytes] = {}
+
+        def root(x: bytes) -> bytes:
+            way = []
+            while (up := parent.setdefault(x, x)) != x:
+                way.append(x)
+                x = up
+            for y in way:
+                parent[y] = x
+            return x
+
+        for x, y in zip(left, right):
+            x, y = root(x), root(y)
+            parent[max(x, y)] = min(x, y)
+        keys = list(parent)
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array([root(k) for k in keys], pa.binary())], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left, right = [], []
+        for batch in batches:
+            left += batch.column(0).to_pylist()
+            right += batch.column(1).to_pylist()
+            if len(left) >= CHUNK:
+                yield roots(left, right)
+                left, right = [], []
+        if left:
+            yield roots(left, right)
+
+    return links.select("a", "b").repartition("a").mapInArrow(run, "a binary, b binary").where("a != b")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(key, class): the smallest key of the connected component of each linked key.
 
-    Every key takes the smallest label around it, then the label of its label;
-    written out each round, until no label changes.
+    Links are first contracted within partitions. Then every key takes the smallest
+    label around it, then the label of its label; written out each round, until no
+    label changes.
     """
+    links = contracted(links)
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
     labels = both.groupBy(F.col("a").alias("key")).agg(F.min("b").alias("near")).select("key", F.least("key", "near").alias("class")).checkpoint()
     while True:
@@ -223,37 +269,47 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     signed = _bands(rows).checkpoint()
     heads = signed.groupBy("key").agg(F.min("id").alias("id"), F.first("bands").alias("bands"))
     members = heads.select("key", F.explode("bands").alias("band"))  # texts without words have none
-    shared = members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
+    shared = members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = members.join(shared, "band").checkpoint()
     # the texts of representatives in shared buckets, once each
     wanted = heads.select("key", "id").join(members.select("key").distinct(), "key")
     texts = rows.join(wanted, ["key", "id"]).groupBy("key").agg(F.first("text").alias("text")).checkpoint()
 
-    # round 1: the smallest and the largest key of a bucket are its hubs
-    hubs = members.groupBy("band").agg(F.min("key").alias("lo"), F.max("key").alias("hi"))
-    asked = members.join(hubs, "band").select("band", "key", F.explode(F.array("lo", "hi")).alias("hub"))
-    used = hubs.select("band", F.explode(F.array("lo", "hi")).alias("hub"))
-    tested = verified(_pairs(asked), texts, threshold).checkpoint()
-    links = tested.where("linked").select("a", "b")
-    classes = components(links)
+    # small buckets: every pair at once
+    few = members.where(F.col("n") <= SMALL)
+    first = _pairs(few.select("band", "key").join(few.select("band", F.col("key").alias("hub")), "band").select("key", "hub"))
+    # larger ones: rounds; used says that a member has been a hub of its bucket
+    open_ = members.where(F.col("n") > SMALL).select("band", "key", F.col("key").alias("class"), F.lit(False).alias("used"))
+    found = verified(first, texts, threshold).checkpoint()
+    tested, links = found.select("a", "b"), found.where("linked").select("a", "b")
+    classes = components(links).checkpoint()
+    open_ = open_.drop("class").join(classes, "key", "left").withColumn("class", F.coalesce("class", "key")).checkpoint()
     while True:
-        placed = members.join(classes, "key", "left").select("band", "key", F.coalesce("class", "key").alias("class"))
-        mixed = placed.groupBy("band").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo != hi").select("band")
+        # two hubs a bucket, of different halves of the classes: the members with most links
         degree = links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("links"))
-        open_ = placed.join(mixed, "band").checkpoint()
-        fresh = open_.join(used.withColumnRenamed("hub", "key"), ["band", "key"], "left_anti").join(degree, "key", "left")
-        hubs = fresh.groupBy("band").agg(F.max(F.struct(F.coalesce("links", F.lit(0)).alias("links"), "key", "class")).alias("h")).select("band", F.col("h.key").alias("hub"), F.col("h.class").alias("at"))
-        hubs = hubs.checkpoint()
-        asked = open_.join(hubs, "band").where(F.col("class") != F.col("at")).select("band", "key", "hub")
-        pairs = _pairs(asked).join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        found = verified(pairs, texts, threshold).checkpoint()
-        used = used.union(hubs.select("band", "hub"))
-        tested = tested.union(found)
-        fresh_links = found.where("linked").select("a", "b")
-        if not fresh_links.limit(1).count():
+        rank = F.when(~F.col("used"), F.struct(F.coalesce("links", F.lit(0)).alias("links"), "key", "class"))
+        half = F.xxhash64("class") % 2 == 0
+        hubs = open_.join(degree, "key", "left").groupBy("band").agg(F.max(F.when(half, rank)).alias("x"), F.max(F.when(~half, rank)).alias("y"))
+        asked = open_.join(hubs, "band").checkpoint()
+        pairs = asked.select("key", "class", F.explode(F.array("x", "y")).alias("hub")).where("hub is not null and class != hub.class")
+        found = verified(_pairs(pairs.select("key", "hub.key")).join(tested, ["a", "b"], "left_anti"), texts, threshold).checkpoint()
+        tested = tested.union(found.select("a", "b"))
+        fresh = found.where("linked").select("a", "b")
+        links = links.union(fresh)
+        compared, linked = found.agg(F.count(F.lit(1)), F.count_if("linked")).first()
+        if not linked:
             break
-        links = links.union(fresh_links)
-        classes = components(links)
+        merged = _merged(fresh, classes)
+        moved = merged.select(F.col("key").alias("class"), F.col("class").alias("new"))
+        renamed = lambda df: df.join(moved, "class", "left").withColumn("class", F.coalesce("new", "class")).drop("new")
+        # a class that is not the key of its own class has become another's
+        ends = fresh.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(classes, "key", "left_anti")
+        classes = renamed(classes.union(ends.select("key", F.col("key").alias("class")))).select("key", "class").checkpoint()
+        again = renamed(asked.withColumn("used", F.col("used") | F.coalesce(F.col("key") == F.col("x.key"), F.lit(False)) | F.coalesce(F.col("key") == F.col("y.key"), F.lit(False))))
+        mixed = again.groupBy("band").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo != hi").select("band")
+        if linked < LEAST_YIELD * compared:
+            break
+        open_ = again.select("band", "key", "class", "used").join(mixed, "band").checkpoint()
     degree = links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n_links"))
     grouped = heads.select("key", "id").join(classes, "key", "left").withColumn("class", F.coalesce("class", "key"))
     smallest = grouped.groupBy("class").agg(F.min("id").alias("class_id"))
@@ -267,8 +323,17 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def _pairs(asked: DataFrame) -> DataFrame:
-    """Distinct pairs (a < b) of members and hubs."""
-    return asked.where(F.col("key") != F.col("hub")).select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b")).distinct()
+    """Distinct pairs (a < b) of the two columns, a member and a hub."""
+    asked = asked.toDF("key", "hub")
+    return asked.where("key != hub").select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b")).distinct()
+
+
+def _merged(fresh: DataFrame, classes: DataFrame) -> DataFrame:
+    """(key, class): the new class of each class that fresh links join."""
+    a = classes.select(F.col("key").alias("a"), F.col("class").alias("ca"))
+    b = classes.select(F.col("key").alias("b"), F.col("class").alias("cb"))
+    between = fresh.join(a, "a", "left").join(b, "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    return components(between.where("a != b"))
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

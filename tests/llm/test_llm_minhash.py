@@ -110,6 +110,19 @@ def test_classes_against_brute_force(spark):
     assert kept[0].asDict().keys() == {"doc_id", "text", "key", "class"}
 
 
+def test_components_of_chains_and_stars(spark, monkeypatch):
+    name = lambda i: i.to_bytes(16, "big")
+    chain = [(name(i), name(i + 1)) for i in range(100, 160)]
+    star = [(name(7), name(i)) for i in range(300, 330)]
+    random.Random(0).shuffle(chain)
+    links = spark.createDataFrame([(max(e), min(e)) if i % 2 else e for i, e in enumerate(chain + star)], "a binary, b binary").repartition(5)
+    for size in (3, 1000):
+        monkeypatch.setattr(minhash, "CHUNK", size)
+        got = {bytes(r["key"]): bytes(r["class"]) for r in minhash.components(links).collect()}
+        assert got == {**{name(i): name(100) for i in range(100, 161)}, **{name(i): name(7) for i in [7, *range(300, 330)]}}
+    assert minhash.components(links.limit(0)).count() == 0
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert minhash.near_classes(docs).count() == 0 and minhash.keep_one(docs).count() == 0

@@ -17,18 +17,21 @@ The horizon does not change the result.
 
 Search. Equal texts are one representative. Signatures are banded
 (``BANDS`` x ``ROWS``); representatives that agree in a band share a bucket.
-The exact weighted Jaccard of a candidate pair is computed from the texts. In a
-bucket of up to ``SMALL`` members all pairs are candidates. The pairs of a larger
-one are never enumerated: in each round it has up to two hubs, the members with the
-most links so far, and its members are paired with the hubs of other classes; links
-join classes. The next round looks only at buckets that still hold several classes
-and at hubs they have not had. The rounds end when fewer than ``LEAST_YIELD`` of the
-pairs compared are links: what is left then are large groups of texts just below the
-threshold, where a link that no hub leads to can be missed. A class is a connected
-component of links; its id is the smallest ``doc_id`` in it.
-
-Scale: bucket counts and hubs are aggregates, so a bucket with a third of all rows
-costs one row a member; all joins are on band keys or ids. Round results are
+The exact weighted Jaccard of a candidate pair is computed from the texts. All
+representatives of different classes that share a bucket are compared; links join
+classes, so a large group of near copies is one class after a few texts of it have
+been compared with the rest. In a bucket of up to ``SMALL`` members all pairs are
+joined with their texts. A larger one is cut into blocks of about ``MEMBERS`` members
+or ``CHARS`` characters, and one task compares two blocks: members of all classes but
+the largest are hubs, one after the other, and a hub is compared with the members of
+other classes by adding up shingles, without a row a pair. The first
+``FIRST_BANDS`` bands go before the others, of which only buckets that still hold
+several classes are searched. A class is a connected component of links; its id is
+the smallest ``doc_id`` in it.
+
+Scale: bucket counts are aggregates; a bucket with a third of all rows is dealt out as
+pairs of blocks, and its members are sent once a block. Texts of one bucket that all
+are below the threshold cost a comparison a pair, about a microsecond each. Links are
 written to the shared checkpoint folder.
 
 Cases: null and empty texts, and texts without words, are near duplicates of
@@ -53,7 +56,8 @@ BANDS, ROWS = 24, 5   # a pair at 0.8 shares no band with probability 7e-5
 COMPONENTS = BANDS * ROWS
 LAST = (1 << 63) - 1
 SMALL = 8             # members of a bucket whose pairs are all compared
-LEAST_YIELD = 1 / 500  # links per compared pair below which the hub rounds end
+MEMBERS, CHARS = 2048, 1 << 22  # size of a block of a larger bucket
+FIRST_BANDS = 2       # bands whose larger buckets are searched before the others
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _LEVEL = np.uint64(0xD1B54A32D192ED03)
@@ -195,6 +199,80 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return rows.mapInArrow(run, "a binary, b binary, linked boolean")
 
 
+def block_links(texts: pa.Array, classes: np.ndarray, upper: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """(hub, other): links that join the texts (all with words) as all links do.
+
+    ``classes`` numbers the known classes. Compared are texts of different classes; if
+    ``upper`` has both values, only one that has it with one that has not. A text of
+    the largest class need not be a hub: those of the others are.
+    """
+    parts = [(owner + block.first, hashes, counts) for block in blocks(texts, lower=True) for owner, hashes, counts in [shingles(block)]]
+    owner, hashes, counts = (np.concatenate(x) for x in zip(*parts))
+    names, ids = np.unique(hashes, return_inverse=True)
+    n = len(texts)
+    first = group_starts(owner, n)
+    total = np.bincount(owner, weights=counts, minlength=n).astype(np.int64)
+    bag, label, done = np.zeros(len(names), dtype=np.int64), classes.copy(), np.zeros(n, dtype=bool)
+    two = upper.any() and not upper.all()
+    hubs, found = [], []
+    while True:
+        asked = ~done & (label != np.bincount(label).argmax())
+        if two:  # of the side that has fewer to ask
+            sides = [x for x in (np.flatnonzero(asked & upper), np.flatnonzero(asked & ~upper)) if len(x)]
+        else:
+            sides = [np.flatnonzero(asked)]
+        if not sides or not len(sides[0]):
+            break
+        hub = min(sides, key=len)[0]
+        done[hub] = True
+        others = ~done & (label != label[hub])
+        if two:
+            others &= upper != upper[hub]
+        others = np.flatnonzero(others & (np.minimum(total, total[hub]) / np.maximum(total, total[hub]) >= threshold))
+        if not len(others):
+            continue
+        mine = slice(first[hub], first[hub + 1])
+        bag[ids[mine]] = counts[mine]
+        size = first[others + 1] - first[others]
+        ends = np.cumsum(size)
+        if 2 * ends[-1] > len(ids):
+            common = np.add.reduceat(np.minimum(bag[ids], counts), first[:-1])[others]
+        else:
+            at = np.repeat(first[others] - ends + size, size) + np.arange(ends[-1])
+            common = np.add.reduceat(np.minimum(bag[ids[at]], counts[at]), ends - size)
+        bag[ids[mine]] = 0
+        linked = others[common / (total[hub] + total[others] - common) >= threshold]
+        if len(linked):
+            label[np.isin(label, label[linked])] = label[hub]
+            hubs.append(np.full(len(linked), hub))
+            found.append(linked)
+    none = np.zeros(0, dtype=np.int64)
+    return np.concatenate([none, *hubs]), np.concatenate([none, *found])
+
+
+def bucket_links(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): links between members (band, key, class) of the same bucket, by their texts (key, text), block by block."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks().sort_by("key")
+        keys = table.column("key").combine_chunks()
+        classes = np.unique(np.array(table.column("class").to_pylist(), dtype=object), return_inverse=True)[1]
+        upper = table.column("upper").to_numpy()
+        hub, other = block_links(table.column("text").combine_chunks(), classes, upper, threshold)
+        swap = hub > other  # sorted by key
+        a, b = np.where(swap, other, hub), np.where(swap, hub, other)
+        return pa.table({"a": keys.take(pa.array(a)), "b": keys.take(pa.array(b))})
+
+    rows = members.select("band", "key", "class").join(texts, "key")
+    sizes = rows.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"))
+    sizes = sizes.select("band", F.greatest(F.ceil(F.col("n") / MEMBERS), F.ceil(F.col("chars") / CHARS)).cast("int").alias("blocks"))
+    dealt = rows.join(sizes, "band").withColumn("mine", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "band", F.least("mine", "with").alias("lo"), F.greatest("mine", "with").alias("hi"), (F.col("mine") > F.col("with")).alias("upper"), "key", "class", "text"
+    )
+    return dealt.groupBy("band", "lo", "hi").applyInArrow(run, "a binary, b binary").distinct()
+
+
 # --- classes ------------------------------------------------------------------------
 
 CHUNK = 200_000  # links a task contracts at a time
@@ -268,7 +346,7 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     rows = docs.select(F.unhex(F.md5(text)).alias("key"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), text.alias("text"))
     signed = _bands(rows).checkpoint()
     heads = signed.groupBy("key").agg(F.min("id").alias("id"), F.first("bands").alias("bands"))
-    members = heads.select("key", F.explode("bands").alias("band"))  # texts without words have none
+    members = heads.select("key", F.posexplode("bands").alias("at", "band"))  # texts without words have none
     shared = members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = members.join(shared, "band").checkpoint()
     # the texts of representatives in shared buckets, once each
@@ -278,38 +356,15 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     # small buckets: every pair at once
     few = members.where(F.col("n") <= SMALL)
     first = _pairs(few.select("band", "key").join(few.select("band", F.col("key").alias("hub")), "band").select("key", "hub"))
-    # larger ones: rounds; used says that a member has been a hub of its bucket
-    open_ = members.where(F.col("n") > SMALL).select("band", "key", F.col("key").alias("class"), F.lit(False).alias("used"))
-    found = verified(first, texts, threshold).checkpoint()
-    tested, links = found.select("a", "b"), found.where("linked").select("a", "b")
+    links = verified(first, texts, threshold).where("linked").select("a", "b").checkpoint()
     classes = components(links).checkpoint()
-    open_ = open_.drop("class").join(classes, "key", "left").withColumn("class", F.coalesce("class", "key")).checkpoint()
-    while True:
-        # two hubs a bucket, of different halves of the classes: the members with most links
-        degree = links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("links"))
-        rank = F.when(~F.col("used"), F.struct(F.coalesce("links", F.lit(0)).alias("links"), "key", "class"))
-        half = F.xxhash64("class") % 2 == 0
-        hubs = open_.join(degree, "key", "left").groupBy("band").agg(F.max(F.when(half, rank)).alias("x"), F.max(F.when(~half, rank)).alias("y"))
-        asked = open_.join(hubs, "band").checkpoint()
-        pairs = asked.select("key", "class", F.explode(F.array("x", "y")).alias("hub")).where("hub is not null and class != hub.class")
-        found = verified(_pairs(pairs.select("key", "hub.key")).join(tested, ["a", "b"], "left_anti"), texts, threshold).checkpoint()
-        tested = tested.union(found.select("a", "b"))
-        fresh = found.where("linked").select("a", "b")
-        links = links.union(fresh)
-        compared, linked = found.agg(F.count(F.lit(1)), F.count_if("linked")).first()
-        if not linked:
-            break
-        merged = _merged(fresh, classes)
-        moved = merged.select(F.col("key").alias("class"), F.col("class").alias("new"))
-        renamed = lambda df: df.join(moved, "class", "left").withColumn("class", F.coalesce("new", "class")).drop("new")
-        # a class that is not the key of its own class has become another's
-        ends = fresh.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(classes, "key", "left_anti")
-        classes = renamed(classes.union(ends.select("key", F.col("key").alias("class")))).select("key", "class").checkpoint()
-        again = renamed(asked.withColumn("used", F.col("used") | F.coalesce(F.col("key") == F.col("x.key"), F.lit(False)) | F.coalesce(F.col("key") == F.col("y.key"), F.lit(False))))
-        mixed = again.groupBy("band").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo != hi").select("band")
-        if linked < LEAST_YIELD * compared:
-            break
-        open_ = again.select("band", "key", "class", "used").join(mixed, "band").checkpoint()
+    # larger ones, as far as they hold several classes
+    large = members.where(F.col("n") > SMALL).select("at", "band", "key")
+    for some in (F.col("at") < FIRST_BANDS, F.col("at") >= FIRST_BANDS):
+        known = large.where(some).join(classes, "key", "left").withColumn("class", F.coalesce("class", "key")).checkpoint()
+        mixed = known.groupBy("band").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo != hi").select("band")
+        links = links.union(bucket_links(known.join(mixed, "band"), texts, threshold)).distinct().checkpoint()
+        classes = components(links).checkpoint()
     degree = links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n_links"))
     grouped = heads.select("key", "id").join(classes, "key", "left").withColumn("class", F.coalesce("class", "key"))
     smallest = grouped.groupBy("class").agg(F.min("id").alias("class_id"))
@@ -328,14 +383,6 @@ def _pairs(asked: DataFrame) -> DataFrame:
     return asked.where("key != hub").select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b")).distinct()
 
 
-def _merged(fresh: DataFrame, classes: DataFrame) -> DataFrame:
-    """(key, class): the new class of each class that fresh links join."""
-    a = classes.select(F.col("key").alias("a"), F.col("class").alias("ca"))
-    b = classes.select(F.col("key").alias("b"), F.col("class").alias("cb"))
-    between = fresh.join(a, "a", "left").join(b, "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
-    return components(between.where("a != b"))
-
-
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with one row of each class: the smallest ``doc_id`` (of equal rows, one)."""
     key = F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))

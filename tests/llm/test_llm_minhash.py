@@ -132,3 +132,52 @@ def test_empty_table(spark):
 def test_documents_table(spark, scale):
     docs = spark.read.parquet(f"/root/testdata/{scale}/documents.parquet").select("doc_id", "text")
     check_classes([tuple(r) for r in docs.collect()], [(r.doc_id, r.class_id) for r in minhash.near_classes(docs).collect()])
+
+
+def family_rows(rng, n):
+    """Texts of one template, below the threshold to each other, with two real pairs among them."""
+    base, texts = words(rng, 300), []
+    for _ in range(n):
+        w = list(base)
+        for k in range(rng.randrange(8), 300, 15):
+            w[k] = f"own{rng.randrange(10**6)}"
+        texts.append(w)
+    for at in (3, n - 5):
+        w = list(texts[at])
+        w[100] = w[200] = "edited"
+        texts.append(w)
+    return [(i, " ".join(w)) for i, w in enumerate(texts)]
+
+
+@pytest.mark.parametrize("size", [7, 2048])
+def test_pairs_inside_a_large_family_below_the_threshold(spark, monkeypatch, size):
+    monkeypatch.setattr(minhash, "MEMBERS", size)
+    rng = random.Random(9)
+    rows = family_rows(rng, 80)
+    rows += [(500 + i, " ".join(words(rng, 60))) for i in range(20)]
+    rows += [(600 + i, rows[-1][1] + f" tail {i}") for i in range(20)]  # near copies of each other
+    got = [(r.doc_id, r.class_id) for r in minhash.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    check_classes(rows, got)
+    assert {(80, 3), (81, 75)} <= set(got) and sum(d == c for d, c in got) == 80 + 20
+
+
+def test_links_of_blocks_join_what_all_pairs_join():
+    texts = sorted({t for _, t in sample_rows() if t and WORD.search(t)})
+    rng = random.Random(2)
+    for two in (False, True):
+        upper = np.array([two and rng.random() < 0.5 for _ in texts])
+        hub, other = minhash.block_links(pa.array(texts), np.arange(len(texts)), upper, minhash.THRESHOLD)
+        assert not two or (upper[hub] != upper[other]).all()
+        join = lambda pairs: components_of(len(texts), pairs)
+        bags = [bag(t) for t in texts]
+        every = [(i, j) for i in range(len(texts)) for j in range(i) if (not two or upper[i] != upper[j]) and overlap(bags[i], bags[j]) >= minhash.THRESHOLD]
+        assert set(zip(np.maximum(hub, other).tolist(), np.minimum(hub, other).tolist())) <= set(every)
+        assert join(zip(hub.tolist(), other.tolist())) == join(every)
+
+
+def components_of(n, pairs):
+    label = list(range(n))
+    for a, b in pairs:
+        x, y = label[a], label[b]
+        label = [min(x, y) if k in (x, y) else k for k in label]
+    return label

@@ -49,7 +49,7 @@ PRIOR = 0.1
 MAX_FEATURES = 4096      # size of the model
 MIN_TOXIC_DOCS = 3       # labelled toxic documents a feature must stand in
 PREFIXES = (4, 5, 6, 7)
-LONGEST = 40             # characters of a form that is searched in one lattice; longer ones in parts
+PUT_ASIDE = 40           # places of a lattice after which the letters found so far are linked, not copied
 REMEMBERED = 200_000     # searched forms remembered per task
 
 # --- fixed values: what a sign may stand for, with its cost (natural logarithm)
@@ -173,9 +173,7 @@ class Restorer:
         """Words of the best reading."""
         found = self.known.get(form)
         if found is None:
-            found = []
-            for at in range(0, len(form), LONGEST):
-                found += self.search(form[at:at + LONGEST])
+            found = self.search(form)
             if len(self.known) >= REMEMBERED:
                 self.known.clear()
             self.known[form] = found
@@ -187,10 +185,12 @@ class Restorer:
 
     def search(self, form: str) -> list[str]:
         model = self.model
-        best = {(EDGE, EDGE): (0.0, "")}  # last two symbols -> (cost, text)
-        for place in [*lattice(form), [(" ", 0.0)]]:
-            after: dict[tuple[int, int], tuple[float, str]] = {}
-            for (a, b), (cost, text) in best.items():
+        best = {(EDGE, EDGE): (0.0, "", None)}  # last two symbols -> (cost, text, what is before it)
+        for at, place in enumerate([*lattice(form), [(" ", 0.0)]]):
+            if at and at % PUT_ASIDE == 0:
+                best = {k: (cost, "", (text, before)) for k, (cost, text, before) in best.items()}
+            after: dict[tuple[int, int], tuple[float, str, tuple | None]] = {}
+            for (a, b), (cost, text, before) in best.items():
                 for letters, extra in place:
                     x, y, total, now = a, b, cost + extra, text
                     for c in letters:
@@ -205,10 +205,15 @@ class Restorer:
                             x, y = y, s
                         now += c
                     old = after.get((x, y))
-                    if old is None or (total, now) < old:
-                        after[x, y] = (total, now)
+                    if old is None or (total, now) < old[:2]:
+                        after[x, y] = (total, now, before)
             best = after
-        return min(best.values())[1].split()
+        _, text, before = min(best.values(), key=lambda x: x[:2])
+        parts = [text]
+        while before is not None:
+            text, before = before
+            parts.append(text)
+        return "".join(reversed(parts)).split()
 
 
 # --- features -------------------------------------------------------------------
@@ -240,7 +245,7 @@ def restored_features(block: Block, restore: Restorer) -> Features:
     kind = char_classes()[codes]
     solid = kind != SPACE
     new = doc_starts(block)
-    # forms: what stands between white space, without signs at its edges
+    # forms: what stands between white space, without signs at its edges (a lone sign that stands for a letter is one)
     letter = kind == LETTER
     sign = np.isin(codes, np.array([ord("@"), ord("$")], dtype=np.uint32))
     body = letter | (kind == NUMBER) | sign
@@ -250,6 +255,7 @@ def restored_features(block: Block, restore: Restorer) -> Features:
     stop = solid & new[1:]
     stop[:-1] |= solid[:-1] & ~solid[1:]
     form_end = np.flatnonzero(stop) + 1
+    body |= start & stop & np.isin(codes, np.array([ord(c) for c in STANDS_FOR], dtype=np.uint32))
     at = np.arange(n)
     next_body = np.minimum.accumulate(np.where(body, at, n)[::-1])[::-1]
     last_body = np.maximum.accumulate(np.where(body, at, -1))
@@ -267,14 +273,14 @@ def restored_features(block: Block, restore: Restorer) -> Features:
     has = letters[form_end] - letters[form_start]
     plain = (has == size) & (repeats[form_end] - repeats[np.minimum(form_start + 2, form_end)] == 0)
     owner = np.searchsorted(block.offsets, form_start, side="right") - 1
-    single = plain & (size == 1)
-    # letters spaced out: three or more one-letter forms in a row, in one text
+    # letters spaced out: three or more forms of one sign in a row, in one text, at least two of them letters
+    single = size == 1
     joined = np.zeros(len(size), dtype=bool)
     if len(size) > 2:
-        three = single[2:] & single[1:-1] & single[:-2] & (owner[2:] == owner[:-2])
-        joined[2:] |= three
-        joined[1:-1] |= three
-        joined[:-2] |= three
+        turn = np.ones(len(size), dtype=bool)
+        turn[1:] = (owner[1:] != owner[:-1]) | (single[1:] != single[:-1])
+        run = np.cumsum(turn) - 1
+        joined = single & (np.bincount(run)[run] > 2) & (np.bincount(run, weights=plain)[run] > 1)
     odd = ~plain & (has > 0)
     found = _hash_words(codes, form_start[plain & ~joined], form_end[plain & ~joined], owner[plain & ~joined])
     searched: list[tuple[str, int]] = []

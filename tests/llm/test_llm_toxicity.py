@@ -127,3 +127,29 @@ def test_the_sample_is_bounded_and_leaves_out_the_held_out_fold(spark):
     assert 400 < len(rows) < 600
     assert all(zlib.crc32(str(r.doc_id).encode()) % 4 != 2 and r.label == r.doc_id % 2 for r in rows)
     assert labelled_sample(docs, labels, "toxic", 4, 2).count() == sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(4000))
+
+
+def words_of(text, model):
+    """Words whose hash is a feature of the text."""
+    (block,) = list(blocks(pa.array([text]), lower=True))
+    found = set(toxicity.restored_features(block, toxicity.Restorer(model)).hashes.tolist())
+    return {w for w in WORDS if int(toxicity.span_hashes(*(np.array(x) for x in ([ord(c) for c in w], [0], [len(w)])))[0]) in found}
+
+
+def test_spaced_letters_with_digits_and_signs():
+    model = model_of([" ".join(WORDS * 5)])
+    for text, word in {"the i d 1 o t is": "idiot", "1 d 1 o t": "idiot", "s t u p ! d": "stupid", "t r @ s h": "trash", "$ c u m": "scum", "l * s e r": "loser"}.items():
+        assert word in words_of(text, model), text
+    assert not words_of("in 1 2 3 4 5 is", model) - {"in", "is"}
+
+
+def test_long_forms_are_not_cut(monkeypatch):
+    restore = toxicity.Restorer(model_of([" ".join(WORDS * 5)]))
+    for form in (".".join("disgusting" * 12), ".".join("1d10t" * 9 + "w0rthless" * 5), " ".join("pathetic" * 15)):
+        found = restore(form)
+        with monkeypatch.context() as m:
+            m.setattr(toxicity, "PUT_ASIDE", 10**9, raising=False)  # whole texts in the states
+            assert found == restore.search(form)
+        # as often as it stands there; cuts every 40 characters left halves
+        for word, n in (("disgusting", 12), ("pathetic", 15)):
+            assert word[0] != form[0] or "".join(found) == word * n and found.count(word) == n, (form, found)

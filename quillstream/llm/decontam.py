@@ -12,7 +12,8 @@ item if the tokens covered by the remaining windows are at least ``MIN_COVERED``
 or the share ``MIN_SHARE`` of the item.
 
 An item shorter than ``WINDOW`` tokens is one window of its own length. Windows
-with fewer than half of their tokens outside slots are not used. DataFrame
+with fewer than half of their tokens outside slots match only if all their slot
+values are equal. DataFrame
 functions only. The benchmark's windows are broadcast if they are few by count;
 otherwise the join shuffles. Per document nothing is gathered beyond its matches.
 
@@ -71,8 +72,12 @@ def windows(found: str, shape: str, sizes: list[int]) -> Column:
 
     def of(size: int) -> Column:
         def one(i: Column) -> Column:
-            slots = F.when(F.col("_slots"), F.array_join(F.filter(F.slice(F.col(found), i, size), is_slot), BETWEEN)).otherwise("")
-            return F.struct(F.xxhash64(F.slice(F.col(shape), i, size), F.lit(size)).alias("h"), slots.alias("s"), i.alias("p"))
+            part = F.slice(F.col(found), i, size)
+            slots = F.when(F.col("_slots"), F.array_join(F.filter(part, is_slot), BETWEEN)).otherwise("")
+            # too few fixed tokens: by its values, as another kind of hash
+            bare = F.col("_slots") & (2 * F.size(F.filter(part, is_slot)) > size)
+            h = F.when(bare, F.xxhash64(part, F.lit(-size))).otherwise(F.xxhash64(F.slice(F.col(shape), i, size), F.lit(size)))
+            return F.struct(h.alias("h"), slots.alias("s"), i.alias("p"))
 
         n = F.size(shape)
         return F.when(n >= size, F.transform(F.sequence(F.lit(1), n - size + 1), one)).otherwise(F.expr("array()"))
@@ -87,14 +92,13 @@ def _tokenised(texts: DataFrame, keep: list[Column]) -> DataFrame:
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """(h, item_id, tokens, slots, at): windows of the items with at least half of their tokens outside slots."""
+    """(h, item_id, tokens, size, item_slots, at): windows of the items."""
     items = _tokenised(benchmark, [F.col("item_id")]).withColumn("tokens", F.size("_shape"))
     parts = []
     for size in range(1, WINDOW + 1):
         these = items.where(F.col("tokens") == size if size < WINDOW else F.col("tokens") >= size)
         found = these.select("item_id", "tokens", F.inline(windows("_found", "_shape", [size])))
-        fixed = size - F.when(F.col("s") == "", 0).otherwise(F.size(F.split("s", BETWEEN)))
-        parts.append(found.where(2 * fixed >= size).withColumn("size", F.lit(size)))
+        parts.append(found.withColumn("size", F.lit(size)))
     union = parts[0]
     for p in parts[1:]:
         union = union.union(p)

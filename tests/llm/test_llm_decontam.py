@@ -95,3 +95,15 @@ def test_no_python_in_the_plan(spark):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     plan = decontam.flag_documents(docs, items)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def hits(spark, docs, items):
+    docs = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    items = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {r.doc_id: r.item_ids for r in decontam.flag_documents(docs, items).collect()}
+
+
+def test_windows_of_mostly_slots_match_word_for_word(spark):
+    items = ["What is 12 + 7 + 19 + 30 + 4?", "10 20 30 40 50 60 70 80 90 100 110 120 130", "1999"]
+    docs = ["see here: what is 12 + 7 + 19 + 30 + 4? and so on", "what is 12 + 7 + 19 + 30 + 5? and so on", "x 10 20 30 40 50 60 70 80 90 100 110 120 130 y", "1 2 3 4 5 6 7 8 9 10 11 12 13"]
+    assert hits(spark, docs, items) == {0: "0", 1: "", 2: "1", 3: ""}

@@ -11,6 +11,11 @@ round; an alignment that breaks this is dropped. A document is contaminated by a
 item if the tokens covered by the remaining windows are at least ``MIN_COVERED``
 or the share ``MIN_SHARE`` of the item.
 
+Whether a capitalised word at the start of a text or sentence is a name cannot be
+seen, so every text has two readings: with such words as words, and with all
+capitalised words as names. Windows match within one reading, and an alignment is
+checked in each reading by itself.
+
 An item shorter than ``WINDOW`` tokens is one window of its own length. Windows
 with fewer than half of their tokens outside slots match only if all their slot
 values are equal. DataFrame
@@ -45,13 +50,17 @@ UNITS = (
 NAME, UNIT, NUMBER, BETWEEN = "\u0001", "\u0002", "#", "\u0003"
 
 _NAME_AT = r"(?<=[\p{Ll},;:] )(?=\p{Lu}\p{Ll})"
+_CAPITAL_AT = r"(?<!\p{L})(?=\p{Lu}\p{Ll})"
 _UNIT_AT = r"(?<=[0-9] ?)(?=(?:" + "|".join(UNITS) + r")(?![\p{L}\p{N}]))"
 _TOKEN = f"[{NAME}{UNIT}]?\\p{{L}}+|[0-9]+(?:[.,][0-9]+)*"
 
 
-def tokens(text: Column) -> Column:
+BOTH, INSIDE, ALL = 0, 1, 2  # readings: capitalised words are names inside a sentence, or all are
+
+
+def tokens(text: Column, names: str = _NAME_AT) -> Column:
     """Lower-case words and numbers in order; names and units start with their mark."""
-    marked = F.regexp_replace(F.regexp_replace(text, _NAME_AT, NAME), _UNIT_AT, UNIT)
+    marked = F.regexp_replace(F.regexp_replace(text, names, NAME), _UNIT_AT, UNIT)
     return F.regexp_extract_all(F.lower(marked), F.lit(_TOKEN), F.lit(0))
 
 
@@ -67,42 +76,51 @@ def template(found: Column) -> Column:
     return F.transform(found, lambda t: F.when(t < UNIT, NAME).when(t < BETWEEN, UNIT).when(_is_number(t), NUMBER).otherwise(t))
 
 
-def windows(found: str, shape: str, sizes: list[int]) -> Column:
-    """Array of (hash, slot values, position) of the windows of the given sizes."""
+def windows(sizes: list[int], once: bool) -> Column:
+    """Array of (hash, slot values, position, reading) of the windows of the given
+    sizes; ``once``: those that are the same in both readings only once, as ``BOTH``."""
 
-    def of(size: int) -> Column:
+    def of(size: int, found: str, shape: str, reading: int) -> Column:
         def one(i: Column) -> Column:
             part = F.slice(F.col(found), i, size)
             slots = F.when(F.col("_slots"), F.array_join(F.filter(part, is_slot), BETWEEN)).otherwise("")
             # too few fixed tokens: by its values, as another kind of hash
             bare = F.col("_slots") & (2 * F.size(F.filter(part, is_slot)) > size)
             h = F.when(bare, F.xxhash64(part, F.lit(-size))).otherwise(F.xxhash64(F.slice(F.col(shape), i, size), F.lit(size)))
-            return F.struct(h.alias("h"), slots.alias("s"), i.alias("p"))
+            same = F.col("_one") | (F.slice("_found", i, size) == F.slice("_all", i, size))
+            mark = F.when(same, BOTH).otherwise(reading) if once else F.lit(reading)
+            return F.struct(h.alias("h"), slots.alias("s"), i.alias("p"), mark.alias("r"))
 
-        n = F.size(shape)
-        return F.when(n >= size, F.transform(F.sequence(F.lit(1), n - size + 1), one)).otherwise(F.expr("array()"))
+        n = F.size("_shape")
+        at = F.sequence(F.lit(1), n - size + 1)
+        some = n >= size
+        if once and reading == ALL:
+            some = some & ~F.col("_one")
+            at = F.filter(at, lambda i: F.slice("_found", i, size) != F.slice("_all", i, size))
+        return F.when(some, F.transform(at, one)).otherwise(F.expr("array()"))
 
-    return F.concat(*[of(s) for s in sizes]) if len(sizes) > 1 else of(sizes[0])
+    return F.concat(*[of(x, *y) for x in sizes for y in (("_found", "_shape", INSIDE), ("_all", "_all_shape", ALL))])
 
 
 def _tokenised(texts: DataFrame, keep: list[Column]) -> DataFrame:
-    rows = texts.select(*keep, tokens(F.col("text").cast("string")).alias("_found")).where("size(_found) > 0")
-    rows = rows.withColumn("_shape", template(F.col("_found")))
-    return rows.withColumn("_slots", F.exists("_found", is_slot))
+    text = F.col("text").cast("string")
+    rows = texts.select(*keep, tokens(text).alias("_found"), tokens(text, _CAPITAL_AT).alias("_all")).where("size(_found) > 0")
+    rows = rows.withColumns({"_shape": template(F.col("_found")), "_all_shape": template(F.col("_all")), "_one": F.col("_found") == F.col("_all")})
+    return rows.withColumn("_slots", F.exists("_all", is_slot))  # the names of the first reading are among those of the second
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """(h, item_id, tokens, size, item_slots, at): windows of the items."""
+    """(h, item_id, tokens, size, item_slots, at, reading): windows of the items in both readings."""
     items = _tokenised(benchmark, [F.col("item_id")]).withColumn("tokens", F.size("_shape"))
     parts = []
     for size in range(1, WINDOW + 1):
         these = items.where(F.col("tokens") == size if size < WINDOW else F.col("tokens") >= size)
-        found = these.select("item_id", "tokens", F.inline(windows("_found", "_shape", [size])))
+        found = these.select("item_id", "tokens", F.inline(windows([size], once=False)))
         parts.append(found.withColumn("size", F.lit(size)))
     union = parts[0]
     for p in parts[1:]:
         union = union.union(p)
-    return union.select("h", "item_id", "tokens", "size", F.col("s").alias("item_slots"), F.col("p").alias("at"))
+    return union.select("h", "item_id", "tokens", "size", F.col("s").alias("item_slots"), F.col("p").alias("at"), F.col("r").alias("reading"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -112,10 +130,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     few = found["n"] <= MAX_BROADCAST_WINDOWS
     sizes = sorted(found["sizes"]) or [WINDOW]
     rows = _tokenised(docs, [doc_key().alias("key")])
-    asked = rows.select("key", F.inline(windows("_found", "_shape", sizes)))
-    matched = asked.join(F.broadcast(known) if few else known, "h")
+    asked = rows.select("key", F.inline(windows(sizes, once=True)))
+    matched = asked.join(F.broadcast(known) if few else known, "h").where((F.col("r") == BOTH) | (F.col("r") == F.col("reading")))
     # along one alignment: positions differ by the same number
-    aligned = matched.groupBy("key", "item_id", "tokens", (F.col("p") - F.col("at")).alias("shift")).agg(
+    aligned = matched.groupBy("key", "item_id", "tokens", "reading", (F.col("p") - F.col("at")).alias("shift")).agg(
         F.collect_set(F.struct("item_slots", "s")).alias("slots"), F.collect_set(F.struct("at", "size")).alias("places")
     )
     split = lambda c: F.split(c, BETWEEN)

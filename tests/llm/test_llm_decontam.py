@@ -107,3 +107,12 @@ def test_windows_of_mostly_slots_match_word_for_word(spark):
     items = ["What is 12 + 7 + 19 + 30 + 4?", "10 20 30 40 50 60 70 80 90 100 110 120 130", "1999"]
     docs = ["see here: what is 12 + 7 + 19 + 30 + 4? and so on", "what is 12 + 7 + 19 + 30 + 5? and so on", "x 10 20 30 40 50 60 70 80 90 100 110 120 130 y", "1 2 3 4 5 6 7 8 9 10 11 12 13"]
     assert hits(spark, docs, items) == {0: "0", 1: "", 2: "1", 3: ""}
+
+
+def test_words_that_may_be_names(spark):
+    items = ["What is the capital of France?", "Tom has 5 apples. Tom buys 3 more. How many has Tom?"]
+    docs = [
+        "Question: What is the capital of France?", "well, What is the capital of Spain?", "what is the capital of France?",
+        "Sam has 7 apples. Sam buys 2 more. How many has Sam?", "Sam has 7 apples. Kim buys 2 more. How many has Pat?",
+    ]
+    assert hits(spark, docs, items) == {0: "0", 1: "0", 2: "0", 3: "1", 4: ""}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillstream.llm import bwtdedup, decontam, htmltext, iblt, linededup, minhash, packing, quality, sharding, toxicity
+from quillstream.llm import bwtdedup, decontam, htmltext, iblt, langid, linededup, minhash, packing, quality, sharding, toxicity
 from quillstream.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,10 @@ def op10_pack(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, d))
 
 
+def op12_hyperdimensional_language(spark: SparkSession, d: str) -> DataFrame:
+    return langid.identify(read_table(spark, d, "documents", ["doc_id", "text", "lang"]))
+
+
 QUERIES: dict[str, Query] = {
     "op1_main_text": op1_main_text,
     "op2_sketch_fingerprints": op2_sketch_fingerprints,
@@ -85,6 +89,7 @@ QUERIES: dict[str, Query] = {
     "op8_unit_dedup": op8_unit_dedup,
     "op9_quality": op9_quality,
     "op10_pack": op10_pack,
+    "op12_hyperdimensional_language": op12_hyperdimensional_language,
 }
 
 UNIT_DEDUP_SQL = r"""

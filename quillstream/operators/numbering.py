@@ -1,157 +1,74 @@
-"""Dense 0-based numbering of rows within keys, without a per-key window.
+"""Dense 0-based numbering of rows within keys, as a distributed sample sort.
 
 ``row_number() OVER (PARTITION BY key ORDER BY o)`` sends every row of a key to
 one task. With few keys (a topic has a handful of partitions) one key can hold
-a third of the data, so that plan does not scale. Instead the order column is
-cut into buckets that hold about equally many rows (``plan_numbering``):
-
-1. ``segments``: rows per (key, bucket) -- a partial aggregation that reads only
-   the key and order columns -- and, per key, the running total of the rows in
-   the buckets before each one. A key has at most ``MAX_BUCKETS`` + 2 segments,
-   whatever its rows and its order values are, so this window stays small;
-2. ``row_number()`` over (key, bucket) ordered by the order column: a window
-   group holds at most a bucket's rows, about ``rows / buckets`` when the order
-   values are unique within a key, however hot the key is;
-3. offset = rows before the bucket + rank inside the bucket - 1, joining the
-   segment table back on (key, bucket): broadcast when its size bound allows,
-   and otherwise a sort-merge join that reuses the window's hash partitioning
-   and sort order on (key, bucket), so the rows are not shuffled or sorted a
-   second time either way.
-
-Buckets are bounded by quantiles of the order values, so dense ids, hashed
-sparse ids and ids that crowd in one range are cut alike. The numbers do not
-depend on the bounds, so a retried task or a re-planned stage computes the same
-ones. One hash shuffle of the rows.
+a third of the data, so that plan does not scale. Instead:
+
+1. rows are range partitioned and sorted by (key, order): Spark samples the rows
+   itself and cuts at equally many rows, however ids are spread and however hot a
+   key is, into as many ranges as there are shuffle partitions;
+2. the ranges are checkpointed, so that the following steps see the same cuts,
+   and a lost executor re-reads them;
+3. a row's place is its position in its range, less the position of the first row
+   of its key there, plus the rows of its key in the ranges before. Both come from
+   a table of one row per (range, key), at most keys + ranges - 1 rows, built by a
+   partial aggregation of positions.
+
+Only columns that the caller passes are moved: pass keys, order and an id, and
+join the numbers back to wide rows by that id. No sketch or sample of the rows
+meets in one task, and no window runs over the rows.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillstream.operators.joins import MAX_BROADCAST_ROWS, join_bounded
-from quillstream.session import parallelism as session_parallelism
+from quillstream.operators.joins import join_bounded
+from quillstream.session import default_partitions, ensure_checkpoint_dir
 
-DEFAULT_BUCKET_WIDTH = 1 << 16
-MIN_GROUP_ROWS = 1 << 10    # rows of a window group aimed at, at least
-MAX_BUCKETS = 1 << 12       # buckets of the order column, at most
-GROUPS_PER_CORE = 4
-ACCURACY = 20               # quantiles are off by a 20th of a bucket at most
-
-_BUCKET = "_qs_bucket"
+_AT = "_qs_at"        # position: range number in the upper bits, row in the range below
 _GROUP = "_qs_group"
-_RANK = "_qs_rank"
+_FIRST = "_qs_first"
 _ROWS = "_qs_rows"
 _BASE = "_qs_base"
+_RANGE_BITS = 33      # of monotonically_increasing_id below the partition number
 
 
-@dataclass(frozen=True)
-class NumberingPlan:
-    """Bucket bounds and the size bounds they imply (see ``plan_numbering``)."""
-
-    bounds: tuple[int, ...]  # ascending; bucket = how many of them an order value exceeds
-    segment_bound: int       # rows of the segment table, at most
-    keys: int                # distinct keys (e.g. topic partitions)
-    rows: int
-
-
-def bucket_of(order_col: str, width: int) -> Column:
-    """Floor division of an integral column by ``width`` (exact for longs)."""
-    c = F.col(order_col).cast("long")
-    return ((c - F.pmod(c, F.lit(width))) / F.lit(width)).cast("long")
-
-
-def bucket_between(order_col: str, bounds: Sequence[int]) -> Column:
-    """Number of ``bounds`` (ascending) below the value, -1 for a null: looked up
-    among every ``step``-th bound first, then among the bounds of that block."""
-    value = F.col(order_col).cast("long")
-    if not bounds:
-        return F.when(value.isNull(), F.lit(-1)).otherwise(F.lit(0)).cast("long")
-    step = max(1, math.isqrt(len(bounds)))
-    below = lambda array: F.size(F.filter(array, lambda b: b < value))
-    literal = lambda values: F.lit(list(values)).cast("array<bigint>")
-    block = F.greatest(below(literal(bounds[::step])) - 1, F.lit(0))
-    inside = below(F.slice(literal(bounds), block * step + 1, step))
-    return F.when(value.isNull(), F.lit(-1)).otherwise(block * step + inside).cast("long")
-
-
-def plan_numbering(
-    df: DataFrame,
-    keys: Sequence[str],
-    order_col: str,
-    parallelism: int | None = None,
-) -> NumberingPlan:
-    """Choose the bucket bounds from one narrow pass (row count, key count and
-    quantiles of the order column; reads only those columns).
-
-    There are ``GROUPS_PER_CORE`` buckets a core, at most ``MAX_BUCKETS``, fewer
-    if that leaves less than ``MIN_GROUP_ROWS`` rows in each or if the segment
-    table (at most keys * (buckets + null orders)) would pass half the broadcast
-    limit, so the rows are never shuffled a second time for the join.
-    """
-    p = parallelism or session_parallelism(df.sparkSession)
-    most = max(1, min(MAX_BUCKETS, GROUPS_PER_CORE * p))
-    quantiles = F.array(*[F.lit(i / most) for i in range(1, most)]) if most > 1 else F.array(F.lit(0.5))
-    row = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        # a struct is never null, so keys with null fields are counted too
-        F.count_distinct(F.struct(*[F.col(k) for k in keys])).alias("k"),
-        F.percentile_approx(F.col(order_col).cast("long"), quantiles, F.lit(ACCURACY * most)).alias("q"),
-        F.max(F.col(order_col).isNull().cast("int")).alias("has_null"),
-    ).first()
-    n, k = int(row["n"]), int(row["k"])
-    if n == 0:
-        return NumberingPlan((), 0, 0, 0)
-    nulls = int(row["has_null"] or 0)
-    room = max(1, MAX_BROADCAST_ROWS // 2 // k - nulls)
-    buckets = min(most, max(1, math.ceil(n / MIN_GROUP_ROWS)), room)
-    found = sorted({int(q) for q in row["q"] or []})
-    stride = math.ceil((len(found) + 1) / buckets)
-    bounds = tuple(found[stride - 1::stride])
-    return NumberingPlan(bounds, min(n, k * (len(bounds) + 1 + nulls)), k, n)
+def segments(placed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(group, first position, rows of the key before): one row per (range, key)."""
+    parts = placed.groupBy(_GROUP).agg(F.min(_AT).alias(_FIRST), F.count(F.lit(1)).alias(_ROWS))
+    # a key's ranges only: at most one row a range, whatever the rows are
+    before = Window.partitionBy(*[f"{_GROUP}.{k}" for k in keys]).orderBy(f"{_GROUP}.{_AT}").rowsBetween(Window.unboundedPreceding, -1)
+    return parts.select(_GROUP, _FIRST, F.coalesce(F.sum(_ROWS).over(before), F.lit(0)).alias(_BASE))
 
 
 def number_within(
     df: DataFrame,
     keys: Sequence[str],
-    order_col: str,
+    order: str | Sequence[str],
     out_col: str,
-    bucket_width: int = DEFAULT_BUCKET_WIDTH,
-    segment_count: int | None = None,
-    bounds: Sequence[int] | None = None,
+    keys_bound: int | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
-    """Add ``out_col`` = 0-based rank of each row within ``keys`` by
-    ``order_col`` (an integral column, unique within a key for a strict bound on
-    the window groups; ties are numbered in an unspecified order).
+    """Add ``out_col`` = 0-based rank of each row within ``keys`` by ``order``
+    (nulls first; rows that agree in keys and order are numbered in an
+    unspecified order and stand in one range).
 
-    ``bounds`` are the buckets' bounds (``NumberingPlan.bounds``); without them the
-    order column is cut every ``bucket_width`` values, which suits dense values
-    only. ``segment_count`` (an upper bound, e.g. ``NumberingPlan.segment_bound``)
-    lets the segment table be broadcast; without it the planner decides.
+    ``keys_bound``, an upper bound on the distinct keys, lets the segment table be
+    broadcast; without it the planner decides. Null keys are a key of their own.
+    Runs one job (the checkpoint of the ranges).
     """
-    keys = list(keys)
-    if bucket_width <= 0:
-        raise ValueError("bucket_width must be positive")
-    bucket = bucket_of(order_col, bucket_width) if bounds is None else bucket_between(order_col, bounds)
-    bucketed = df.withColumn(_BUCKET, bucket)
-    # (key, bucket) as one struct column: struct equality treats null fields as
-    # equal, so null keys or order values form groups of their own instead of
-    # being dropped by the join, and the window and the join share one key
-    group = F.struct(*[F.col(k) for k in keys], F.col(_BUCKET))
-    before = Window.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    segments = (
-        bucketed.groupBy(*keys, _BUCKET)
-        .agg(F.count(F.lit(1)).alias(_ROWS))
-        .select(*keys, _BUCKET, F.coalesce(F.sum(_ROWS).over(before), F.lit(0)).alias(_BASE))
-        .select(group.alias(_GROUP), _BASE)
-    )
-    inside = Window.partitionBy(_GROUP).orderBy(order_col)
-    ranked = bucketed.withColumn(_GROUP, group).withColumn(_RANK, F.row_number().over(inside))
-    numbered = join_bounded(ranked, segments, [_GROUP], small_rows=segment_count)
-    return numbered.withColumn(
-        out_col, (F.col(_BASE) + F.col(_RANK) - 1).cast("long")
-    ).drop(_GROUP, _BUCKET, _RANK, _BASE)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    keys, order = list(keys), [order] if isinstance(order, str) else list(order)
+    n = ranges or default_partitions(spark)
+    ranged = df.repartitionByRange(n, *keys, *order).sortWithinPartitions(*keys, *order).checkpoint()
+    at = F.monotonically_increasing_id()
+    # one struct column: struct equality treats null fields as equal
+    placed = ranged.withColumn(_AT, at).withColumn(_GROUP, F.struct(F.shiftrightunsigned(_AT, _RANGE_BITS).alias(_AT), *[F.col(k) for k in keys]))
+    bound = None if keys_bound is None else keys_bound + n
+    numbered = join_bounded(placed, segments(placed, keys), [_GROUP], small_rows=bound)
+    return numbered.withColumn(out_col, (F.col(_AT) - F.col(_FIRST) + F.col(_BASE)).cast("long")).drop(_GROUP, _AT, _FIRST, _BASE)

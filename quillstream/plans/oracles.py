@@ -126,4 +126,10 @@ ORACLES: dict[str, str] = {
         f"FROM events_cells), {NEWEST} SELECT row_key, family, qualifier, ts, value FROM newest"
     ),
     "last_value_per_key": "SELECT user_id, arg_max(value, (ts, event_id)) AS value FROM events GROUP BY user_id",
+    # a row is in the window of its own five minutes and in the one before
+    "sliding_count": (
+        "WITH w AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) - INTERVAL 5 MINUTE * k AS window_start, event_type "
+        "FROM events, (VALUES (0), (1)) AS v(k) WHERE ts IS NOT NULL) "
+        "SELECT window_start, event_type, count(*) AS n FROM w GROUP BY window_start, event_type"
+    ),
 }

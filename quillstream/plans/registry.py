@@ -18,12 +18,13 @@ from quillstream.operators import counts
 from quillstream.operators import offsets as O
 from quillstream.operators.joins import join_bounded
 from quillstream.operators.reduce import last_by
+from quillstream.operators.windows import sliding_count
 from quillstream.sources.tables import read_table, spread
 from quillstream.sources.topiclog import (
     FIXTURE_BATCH_SIZE,
     documents_topic_log,
     fixture_ends,
-    fixture_plan,
+    fixture_tail,
     message_values,
     parse_topics,
     tables_as_topics,
@@ -56,13 +57,11 @@ def _tokens(spark: SparkSession, d: str) -> DataFrame:
     return counts.tokenize(_texts(spark, d), "text")
 
 
-def _log(spark: SparkSession, d: str, topics: str | None = None) -> tuple[DataFrame, int]:
-    """The topic-log fixture and its measured number of topic partitions."""
+def _log(spark: SparkSession, d: str, topics: str | None = None) -> DataFrame:
+    """The topic-log fixture; its few topic partitions are counted to bound the small tables."""
     docs = _documents(spark, d)
     wanted = parse_topics(topics) if topics else None
-    plan = fixture_plan(docs, wanted)
-    log = documents_topic_log(docs, wanted, segment_count=plan.segment_bound, bounds=plan.bounds)
-    return log, plan.keys
+    return documents_topic_log(docs, wanted, keys_bound=fixture_ends(docs).count())
 
 
 def _ledger_current(ends: DataFrame) -> DataFrame:
@@ -116,14 +115,12 @@ def q_two_topic_word_count(spark: SparkSession, d: str) -> DataFrame:
 
 def q_topic_messages(spark: SparkSession, d: str) -> DataFrame:
     """Messages of two subscribed topics, values decoded."""
-    log, _ = _log(spark, d, SUBSCRIBED_TOPICS)
-    return message_values(log)
+    return message_values(_log(spark, d, SUBSCRIBED_TOPICS))
 
 
 def q_batch_word_count(spark: SparkSession, d: str) -> DataFrame:
     """Counts per batch of the topic log, not cumulative."""
-    log, _ = _log(spark, d)
-    msgs = log.select("batch_id", F.decode("value", "UTF-8").alias("value"))
+    msgs = _log(spark, d).select("batch_id", F.decode("value", "UTF-8").alias("value"))
     return counts.batch_word_count(counts.tokenize(msgs, "value", keep=["batch_id"]))
 
 
@@ -145,25 +142,18 @@ def q_resume_offsets(spark: SparkSession, d: str) -> DataFrame:
 def _resumed(spark: SparkSession, d: str) -> DataFrame:
     """Messages from the resume position on.
 
-    The start offsets come from counts. Offsets need only ``doc_id`` and
-    ``lang``, so the log is numbered, once, without its text. The
-    resumed rows are at most one batch per partition (``batch_size * keys``
-    rows), so their text is fetched by broadcasting them into a scan of the
-    documents: the text column is never shuffled.
+    Start offsets and ends come from counts. What stands after a start is at most
+    one batch per partition, so only each partition's last ids are ranked, and the
+    log is not numbered. Those ids are few (``batch_size * keys``): they are broadcast
+    into a scan of the documents, so the text column is never shuffled.
     """
     docs = _documents(spark, d)
-    plan = fixture_plan(docs)
-    narrow = documents_topic_log(
-        docs.withColumn("text", F.lit(None).cast("string")),
-        segment_count=plan.segment_bound,
-        bounds=plan.bounds,
-    )
-    starts = O.resume_offsets(_ledger_current(fixture_ends(docs)), "from")
-    picked = O.resume_messages(narrow, starts, partitions_bound=plan.keys).select(
-        "topic", "partition", "offset", F.decode("key", "UTF-8").cast("long").alias("doc_id")
-    )
+    ends = fixture_ends(docs)
+    keys = ends.count()
+    starts = O.resume_offsets(_ledger_current(ends), "from")
+    picked = fixture_tail(docs, starts, ends, FIXTURE_BATCH_SIZE, keys_bound=keys)
     texts = docs.select("doc_id", F.col("text").alias("value"))
-    found = join_bounded(texts, picked, ["doc_id"], small_rows=FIXTURE_BATCH_SIZE * plan.keys)
+    found = join_bounded(texts, picked, ["doc_id"], small_rows=FIXTURE_BATCH_SIZE * keys)
     return found.select("topic", "partition", "offset", "value")
 
 
@@ -224,6 +214,15 @@ def q_last_value_per_key(spark: SparkSession, d: str) -> DataFrame:
     return last_by(_events(spark, d), ["user_id"], "value", ["ts", "event_id"])
 
 
+# --- event-time windows -------------------------------------------------------
+
+def q_sliding_count(spark: SparkSession, d: str) -> DataFrame:
+    """X1 (extension): events per type in 10-minute windows that start every 5 minutes."""
+    counted = sliding_count(read_table(spark, d, "events", ["ts", "event_type"]), "ts", "event_type")
+    # without zone, as the events' times are
+    return counted.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n")
+
+
 QUERIES: dict[str, Query] = {
     "words": q_words,
     "word_count": q_word_count,
@@ -245,4 +244,5 @@ QUERIES: dict[str, Query] = {
     "cell_rows": q_cell_rows,
     "cell_upsert": q_cell_upsert,
     "last_value_per_key": q_last_value_per_key,
+    "sliding_count": q_sliding_count,
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Settings every job here relies on. AQE coalesces the small shuffles (word
@@ -67,6 +69,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Operators that cut lineage write to the shared folder that the session names in
+    ``spark.checkpoint.dir``. Only a local session without one gets a folder of its
+    own; a cluster has to name it."""
+    if _configured_checkpoint(spark):
+        return
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set; name a folder that all executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quillstream-checkpoints-"))
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A sub-folder of the shared checkpoint root, e.g. for a stream checkpoint."""
     return "/".join([checkpoint_root(spark), *[p.strip("/") for p in parts]])

@@ -16,12 +16,13 @@ import json
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillstream.functions.text import decode_utf8, encode_utf8
-from quillstream.operators.numbering import DEFAULT_BUCKET_WIDTH, NumberingPlan, number_within, plan_numbering
+from quillstream.operators.joins import join_bounded
+from quillstream.operators.numbering import number_within
 
 LOG_SCHEMA = T.StructType(
     [
@@ -78,7 +79,7 @@ def with_batch_ids(log: DataFrame, batch_size: int) -> DataFrame:
 
 
 def _fixture_keyed(documents: DataFrame, topics: str | Iterable[str] | None) -> DataFrame:
-    docs = documents.select("doc_id", "lang", "text")
+    docs = documents.select("doc_id", "lang", "text").where("doc_id is not null")
     if topics is not None:
         docs = docs.where(F.col("lang").isin(parse_topics(topics)))
     return docs.select(
@@ -89,28 +90,23 @@ def _fixture_keyed(documents: DataFrame, topics: str | Iterable[str] | None) ->
     )
 
 
-def fixture_plan(
-    documents: DataFrame, topics: str | Iterable[str] | None = None
-) -> NumberingPlan:
-    """Numbering plan of the documents fixture: bucket bounds, segment-table
-    bound and number of topic partitions, from one narrow pass over ``lang``
-    and ``doc_id``. The bounds decide which small tables are broadcast."""
-    return plan_numbering(_fixture_keyed(documents, topics), ["topic", "partition"], "doc_id")
-
-
 def fixture_ends(documents: DataFrame) -> DataFrame:
     """``(topic, partition, end_offset)`` of the documents fixture. Its offsets are
     positions, so a partition ends at its number of rows: no numbering is needed."""
     return _fixture_keyed(documents, None).groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("end_offset"))
 
 
+def fixture_offsets(documents: DataFrame, topics: str | Iterable[str] | None = None, keys_bound: int | None = None) -> DataFrame:
+    """``(topic, partition, doc_id, offset)`` of the documents fixture; reads ``lang`` and ``doc_id`` only."""
+    narrow = _fixture_keyed(documents, topics).select("topic", "partition", "doc_id")
+    return number_within(narrow, ["topic", "partition"], "doc_id", "offset", keys_bound=keys_bound)
+
+
 def documents_topic_log(
     documents: DataFrame,
     topics: str | Iterable[str] | None = None,
     batch_size: int = FIXTURE_BATCH_SIZE,
-    bucket_width: int = DEFAULT_BUCKET_WIDTH,
-    segment_count: int | None = None,
-    bounds: tuple[int, ...] | None = None,
+    keys_bound: int | None = None,
 ) -> DataFrame:
     """Deterministic topic log from the ``documents`` table.
 
@@ -118,16 +114,14 @@ def documents_topic_log(
     by ``doc_id`` within (topic, partition), ``batch_id = offset div batch_size``,
     ``key`` = doc id as text, ``value`` = the document text (both as bytes).
     A topic subscription is applied before numbering, so it reaches the scan.
+    Ids are unique; a row without one is not a message.
+
+    Narrow rows are numbered. The offsets are then joined to the texts by id:
+    broadcast when they are few, and otherwise in one shuffle of the texts.
     """
-    numbered = number_within(
-        _fixture_keyed(documents, topics),
-        ["topic", "partition"],
-        "doc_id",
-        "offset",
-        bucket_width=bucket_width,
-        segment_count=segment_count,
-        bounds=bounds,
-    )
+    offsets = fixture_offsets(documents, topics, keys_bound).select("doc_id", "offset")
+    messages = _fixture_keyed(documents, topics)
+    numbered = join_bounded(messages, offsets, ["doc_id"], small_rows=messages.count())
     log = numbered.select(
         "topic",
         "partition",
@@ -139,6 +133,23 @@ def documents_topic_log(
     return with_batch_ids(log, batch_size)
 
 
+def fixture_tail(documents: DataFrame, starts: DataFrame, ends: DataFrame, most: int, keys_bound: int | None = None) -> DataFrame:
+    """``(topic, partition, doc_id, offset)`` from each partition's start offset on.
+
+    At most ``most`` messages of a partition (one batch) stand after its start, so
+    only each partition's ``most`` largest ids are looked at: every scan task keeps
+    that many a partition before anything is shuffled, and the log is not numbered.
+    A message's offset is its partition's end less its place from the end.
+    """
+    narrow = _fixture_keyed(documents, None).select("topic", "partition", "doc_id")
+    from_end = Window.partitionBy("topic", "partition").orderBy(F.desc("doc_id"))
+    last = narrow.withColumn("_qs_place", F.row_number().over(from_end)).where(F.col("_qs_place") <= most)
+    spans = starts.join(ends, ["topic", "partition"])
+    placed = join_bounded(last, spans, ["topic", "partition"], small_rows=keys_bound)
+    placed = placed.withColumn("offset", F.col("end_offset") - F.col("_qs_place"))
+    return placed.where(F.col("offset") >= F.col("start_offset")).select("topic", "partition", "doc_id", "offset")
+
+
 def tables_as_topics(sources: dict[str, DataFrame]) -> DataFrame:
     """Messages of several text tables as one multi-topic stream of values:
     ``{topic: DataFrame(value string)}`` -> ``(topic, value)``. Each table

@@ -5,7 +5,8 @@ import random
 import pandas as pd
 import pytest
 
-from quillstream.operators.numbering import bucket_between, number_within, plan_numbering
+from quillstream.operators import numbering
+from quillstream.operators.numbering import number_within
 
 
 def _brute(rows):
@@ -14,9 +15,9 @@ def _brute(rows):
     return {(r.k, r.o): r.n for r in pdf.itertuples()}
 
 
-@pytest.mark.parametrize("width", [1, 3, 64, 1 << 16])
-def test_number_within_matches_rank(spark, width):
-    rnd = random.Random(width)
+@pytest.mark.parametrize("ranges", [1, 3, 64])
+def test_number_within_matches_rank(spark, ranges):
+    rnd = random.Random(ranges)
     rows = []
     # one key holds a third of the rows; sparse and negative order values
     for i in range(600):
@@ -24,94 +25,60 @@ def test_number_within_matches_rank(spark, width):
     for k in range(40):
         for o in rnd.sample(range(-5000, 5000), rnd.randint(1, 30)):
             rows.append((f"k{k}", o))
-    df = spark.createDataFrame(rows, "k string, o long")
-    plan = plan_numbering(df, ["k"], "o", parallelism=8)
-    assert plan.keys == 41 and plan.rows == len(rows)
-    assert plan.segment_bound <= len(rows)
-    # any upper bound on the segment table works; the row count always is one
-    got = number_within(df, ["k"], "o", "n", bucket_width=width, segment_count=len(rows)).collect()
-    assert len(got) == len(rows)
-    assert {(r.k, r.o): r.n for r in got} == _brute(rows)
-
-
-def test_number_within_without_bound(spark):
-    df = spark.createDataFrame([("a", 5), ("a", 1), ("b", 2)], "k string, o long")
-    got = {(r.k, r.o): r.n for r in number_within(df, ["k"], "o", "n", bucket_width=2).collect()}
-    assert got == {("a", 1): 0, ("a", 5): 1, ("b", 2): 0}
-
-
-def test_plan_has_no_window_on_key_alone(spark):
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        df = spark.createDataFrame([("a", 5)], "k string, o long")
-        plan = number_within(df, ["k"], "o", "n")._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    # the row-level window is partitioned by the (key, bucket) struct; only the
-    # small segment table is partitioned by the key alone
-    row_window = [line for line in plan.split("\n") if "row_number()" in line]
-    assert row_window and "_qs_group" in row_window[0]
-    assert "hashpartitioning(_qs_group" in plan
-
-
-def test_plan_keeps_segments_broadcastable(spark, monkeypatch):
-    """At scale there are fewer, larger buckets so the segment table stays within
-    the broadcast limit instead of falling back to a shuffle join."""
-    import quillstream.operators.numbering as N
-
-    monkeypatch.setattr(N, "MAX_BROADCAST_ROWS", 40)
-    monkeypatch.setattr(N, "MIN_GROUP_ROWS", 4)
-    df = spark.range(0, 5000).selectExpr("id % 2 AS k", "id AS o")
-    plan = N.plan_numbering(df, ["k"], "o", parallelism=8)
-    assert 2 < plan.segment_bound <= 20
-    got = N.number_within(df, ["k"], "o", "n", segment_count=plan.segment_bound, bounds=plan.bounds)
-    assert got.where("n != o div 2").count() == 0
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "k string, o long").repartition(5)
+    for bound in (None, 41):
+        got = number_within(df, ["k"], "o", "n", keys_bound=bound, ranges=ranges).collect()
+        assert len(got) == len(rows)
+        assert {(r.k, r.o): r.n for r in got} == _brute(rows)
 
 
 @pytest.mark.parametrize("ids", ["dense", "sparse", "crowded"])
-def test_groups_stay_small_whatever_the_ids(spark, ids):
+def test_ranges_stay_even_whatever_the_ids(spark, ids, monkeypatch):
     """One key holds half of the rows; ids are dense, hashed over 62 bits, or
-    crowded in a small part of their range. Neither the row groups nor the
-    segments of a key grow with that."""
+    crowded in a small part of their range. No range gets much more than its share,
+    and the segment table has at most a row a key and range."""
     order = {"dense": "id", "sparse": "xxhash64(id) & 4611686018427387903", "crowded": "if(id % 10 = 0, xxhash64(id), id)"}[ids]
     n = 100_000
     df = spark.range(n).selectExpr("if(id % 2 = 0, 'hot', concat('k', id % 97)) AS k", f"{order} AS o").dropDuplicates(["k", "o"]).cache()
-    plan = plan_numbering(df, ["k"], "o", parallelism=8)
-    buckets = len(plan.bounds) + 1
-    assert 16 <= buckets <= 32
-    bucketed = df.groupBy("k", bucket_between("o", plan.bounds).alias("b")).count()
-    assert bucketed.agg({"count": "max"}).first()[0] <= 2.5 * n / buckets
-    assert bucketed.groupBy("k").count().agg({"count": "max"}).first()[0] <= buckets
-    got = number_within(df, ["k"], "o", "n", segment_count=plan.segment_bound, bounds=plan.bounds)
-    assert {(r.k, r.o): r.n for r in got.collect()} == _brute([tuple(r) for r in df.collect()])
-    df.unpersist()
+    seen = {}
+    kept = numbering.segments
 
+    def spy(placed, keys):
+        seen["ranges"] = placed.groupBy("_qs_group._qs_at").count().collect()
+        out = kept(placed, keys)
+        seen["segments"] = out.count()
+        return out
 
-def test_bucket_between_counts_the_bounds_below(spark):
-    bounds = [-5, 0, 3, 3_000_000_000, 4_000_000_000]
-    values = [-6, -5, -4, 0, 1, 3, 4, 3_000_000_000, 5_000_000_000, None]
-    df = spark.createDataFrame([(v,) for v in values], "o long")
-    for some in (bounds, bounds[:1], []):
-        got = [(r.o, r.b) for r in df.select("o", bucket_between("o", some).alias("b")).collect()]
-        assert got == [(v, -1 if v is None else sum(x < v for x in some)) for v in values]
+    monkeypatch.setattr(numbering, "segments", spy)
+    got = number_within(df, ["k"], "o", "n", ranges=16)
+    assert {(r.k, r.o): r.n for r in got.collect()} == _brute([tuple(r) for r in df.collect()])
+    assert len(seen["ranges"]) >= 12 and max(r["count"] for r in seen["ranges"]) <= 3 * n / 16
+    assert seen["segments"] <= 98 + 15
+    df.unpersist()
 
 
-def test_unbounded_join_reuses_window_partitioning(spark):
-    """Without a broadcast the join is co-partitioned with the window: exactly
-    one exchange of the rows (hash on key and bucket), none added for the join."""
+def test_plan_has_no_window_over_the_rows_and_no_sketch(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        df = spark.createDataFrame([(str(i % 3), i, "t" * 5) for i in range(50)], "k string, o long, text string")
-        plan = number_within(df, ["k"], "o", "n", bucket_width=4)._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin" in plan
-        # rows: one hash exchange on (key, bucket); segment table: partial
-        # aggregation, per-key window, join side. A re-shuffle of the rows for
-        # the join would make it five.
-        assert plan.count("Exchange hashpartitioning") == 4
+        df = spark.createDataFrame([("a", 5)], "k string, o long")
+        plan = number_within(df, ["k"], "o", "n", keys_bound=1)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "row_number" not in plan and "percentile" not in plan
+    # the only window adds up rows of segments, after their partial aggregation
+    assert plan.count("Window [") == 1 and "sum(_qs_rows" in plan
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_order_by_several_columns(spark):
+    rows = [(i % 3, (i * 7) % 5, f"{(i * 11) % 100:02}") for i in range(100)]
+    df = spark.createDataFrame(rows, "k int, a int, b string")
+    got = number_within(df, ["k"], ["a", "b"], "n", ranges=7).collect()
+    for k in range(3):
+        mine = sorted((r.n, r.a, r.b) for r in got if r.k == k)
+        assert [n for n, _, _ in mine] == list(range(len(mine)))
+        assert [x[1:] for x in mine] == sorted(x[1:] for x in mine)
 
 
 def test_numbering_is_deterministic_across_layouts(spark):
@@ -124,8 +91,7 @@ def test_numbering_is_deterministic_across_layouts(spark):
     for parts, aqe, inputs in [(8, "true", 1), (3, "false", 5), (17, "true", 7)]:
         spark.conf.set("spark.sql.shuffle.partitions", str(parts))
         spark.conf.set("spark.sql.adaptive.enabled", aqe)
-        df = base.repartition(inputs)
-        got = number_within(df, ["k"], "o", "n", bucket_width=64).select("k", "o", "n")
+        got = number_within(base.repartition(inputs), ["k"], "o", "n").select("k", "o", "n")
         results.append(sorted(map(tuple, got.collect())))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
@@ -135,9 +101,8 @@ def test_numbering_is_deterministic_across_layouts(spark):
 def test_null_keys_and_orders_are_kept(spark):
     rows = [("a", 3), ("a", None), ("a", 1), (None, 5), (None, 2), (None, None), ("b", None)]
     df = spark.createDataFrame(rows, "k string, o long")
-    for bound in (None, 100):
-        got = sorted(map(tuple, number_within(df, ["k"], "o", "n", bucket_width=2, segment_count=bound)
-                         .select("k", "o", "n").collect()), key=repr)
+    for bound in (None, 3):
+        got = sorted(map(tuple, number_within(df, ["k"], "o", "n", keys_bound=bound).select("k", "o", "n").collect()), key=repr)
         want = sorted([("a", None, 0), ("a", 1, 1), ("a", 3, 2), (None, None, 0), (None, 2, 1), (None, 5, 2),
                        ("b", None, 0)], key=repr)
         assert got == want
@@ -145,13 +110,32 @@ def test_null_keys_and_orders_are_kept(spark):
 
 def test_duplicate_orders_still_dense(spark):
     df = spark.createDataFrame([("a", 1)] * 5 + [("a", 2)] * 3, "k string, o long")
-    got = sorted(r.n for r in number_within(df, ["k"], "o", "n", bucket_width=1).collect())
+    got = sorted(r.n for r in number_within(df, ["k"], "o", "n").collect())
     assert got == list(range(8))
 
 
-def test_plan_with_null_orders_and_keys(spark):
-    df = spark.createDataFrame([("a", None), (None, None), ("a", None)], "k string, o long")
-    plan = plan_numbering(df, ["k"], "o", parallelism=8)
-    assert plan.rows == 3 and plan.segment_bound >= 2
-    got = number_within(df, ["k"], "o", "n", segment_count=plan.segment_bound, bounds=plan.bounds)
-    assert sorted((r.k or "", r.n) for r in got.collect()) == [("", 0), ("a", 0), ("a", 1)]
+def test_empty_table_and_other_columns(spark):
+    df = spark.createDataFrame([("a", 1, "x")], "k string, o long, n string")
+    assert number_within(df.limit(0), ["k"], "o", "m").count() == 0
+    got = number_within(df, ["k"], "o", "m").collect()
+    assert [tuple(r) for r in got] == [("a", 1, "x", 0)]
+    assert got[0].__fields__ == ["k", "o", "n", "m"]
+
+
+def test_checkpoint_folder_is_required_on_a_cluster(monkeypatch):
+    from quillstream import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())

@@ -118,9 +118,8 @@ def test_fill_absent_partitions(spark):
 
 def test_documents_log_matches_window_rank(spark):
     docs = spark.read.parquet(f"{SMOKE_DIR}/documents.parquet")
-    plan = TL.fixture_plan(docs)
-    k = plan.keys
-    log = TL.documents_topic_log(docs, bucket_width=7, segment_count=plan.rows)
+    k = TL.fixture_ends(docs).count()
+    log = TL.documents_topic_log(docs, keys_bound=k)
     got = log.select("topic", "partition", "offset", "batch_id", F.decode("key", "UTF-8").alias("k")).toPandas()
     pdf = docs.select("doc_id", "lang").toPandas()
     pdf["partition"] = pdf.doc_id % 3
@@ -130,13 +129,27 @@ def test_documents_log_matches_window_rank(spark):
     assert k == len(pdf.groupby(["lang", "partition"]))
 
 
+def test_fixture_tail_is_the_end_of_the_log(spark):
+    """Nothing but each partition's last batch is ranked, and it equals the log's end."""
+    docs = spark.read.parquet(f"{SMOKE_DIR}/documents.parquet")
+    ends = TL.fixture_ends(docs)
+    starts = ends.selectExpr("topic", "partition", "greatest(0, end_offset - 1 - pmod(hash(topic, partition), 7)) AS start_offset")
+    tail = TL.fixture_tail(docs, starts, ends, 10, keys_bound=12)
+    log = TL.documents_topic_log(docs).join(starts, ["topic", "partition"]).where("offset >= start_offset")
+    want = {(r.topic, r.partition, int(r.key), r.offset) for r in log.collect()}
+    assert {tuple(r) for r in tail.collect()} == want
+    plan = tail._jdf.queryExecution().executedPlan().toString()
+    # each scan task keeps its last messages before the shuffle
+    assert re.search(r"WindowGroupLimit.*Partial", plan) and "RangePartitioning" not in plan
+
+
 def test_subscribe_and_topics_parse(spark):
     assert TL.parse_topics("test,test2,test, ,") == ["test", "test2"]
     docs = spark.read.parquet(f"{SMOKE_DIR}/documents.parquet")
     log = TL.documents_topic_log(docs, topics="en,de")
     assert {r.topic for r in log.select("topic").distinct().collect()} <= {"en", "de"}
     plan = log._jdf.queryExecution().executedPlan().toString()
-    # the subscription reaches the Parquet scan of every branch
+    # the subscription reaches the Parquet scan
     assert re.search(r"PushedFilters: \[[^\n]*In\(lang, \[de,en\]\)", plan)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillstream.llm import bwtdedup, decontam, htmltext, iblt, langid, linededup, minhash, packing, quality, sharding, toxicity
+from quillstream.llm import bwtdedup, convtrie, decontam, htmltext, iblt, langid, linededup, minhash, packing, quality, sharding, toxicity
 from quillstream.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +78,10 @@ def op12_hyperdimensional_language(spark: SparkSession, d: str) -> DataFrame:
     return langid.identify(read_table(spark, d, "documents", ["doc_id", "text", "lang"]))
 
 
+def op13_conversation_trie(spark: SparkSession, d: str) -> DataFrame:
+    return convtrie.trie(read_table(spark, d, "conversations", ["conv_id", "turn", "role", "text"]))
+
+
 QUERIES: dict[str, Query] = {
     "op1_main_text": op1_main_text,
     "op2_sketch_fingerprints": op2_sketch_fingerprints,
@@ -90,6 +94,7 @@ QUERIES: dict[str, Query] = {
     "op9_quality": op9_quality,
     "op10_pack": op10_pack,
     "op12_hyperdimensional_language": op12_hyperdimensional_language,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 UNIT_DEDUP_SQL = r"""
@@ -121,6 +126,51 @@ select d.doc_id, case when d.text is null then null else coalesce(s.kept, '') en
 from documents d left join summed s using (doc_id)
 """
 
+CONVERSATION_TRIE_SQL = r"""
+with t as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null
+), o as (
+  select conv_id, turn, md5(length(role) || ':' || role || text) as g, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) as w from t
+), placed as (
+  select conv_id, g, w, row_number() over (partition by conv_id order by turn nulls first, g) - 1 as pos from o
+), c as (
+  select conv_id, conv_id - conv_id % 20 as source,
+    xor(list_reduce(
+      [4294967295::ubigint] || flatten([[(ascii(x) >> b)::ubigint & 1 for b in range(8)] for x in string_split(conv_id::varchar, '')]),
+      lambda crc, bit: xor(crc >> 1, 3988292384::ubigint * (xor(crc, bit) & 1))
+    ), 4294967295::ubigint) % 4 as h
+  from (select distinct conv_id from t)
+), r as (
+  select c.conv_id, 0 as part, pos, g, w from c join placed p on p.conv_id = c.source where pos < h
+  union all
+  select c.conv_id, 1, pos, g, w from c join placed p on p.conv_id = c.conv_id where pos >= h
+), d as (
+  select conv_id, g, w, row_number() over (partition by conv_id order by part, pos) as depth from r
+), path as (
+  select conv_id, depth, w, md5(string_agg(g, '') over (partition by conv_id order by depth)) as node from d
+), whole as (
+  select conv_id, 0 as depth, 0 as w, 'root' as node, null as parent from c
+  union all
+  select conv_id, depth, w, node, coalesce(lag(node) over (partition by conv_id order by depth), 'root') from path
+), nodes as (
+  select node, depth, any_value(parent) as parent, min(conv_id) as conv_id, count(*) as n_convs, any_value(w) as w from whole group by node, depth
+), children as (
+  select parent, count(*) as n from nodes where parent is not null group by parent
+), counted as (
+  select n.*, coalesce(k.n, 0) as n_children from nodes n left join children k on k.parent = n.node
+), subtree as (
+  select a.node, sum((n.n_children = 0)::bigint) as n_leaves, sum((n.n_convs - 1) * n.w) as saved_tokens
+  from counted n join whole a on a.conv_id = n.conv_id and a.depth <= n.depth group by a.node
+), ended as (
+  select node, string_agg(conv_id::varchar, ',' order by conv_id) as ids
+  from (select conv_id, arg_max(node, depth) as node from whole group by conv_id) group by node
+)
+select n.conv_id, n.depth::bigint as depth, p.conv_id as parent_conv_id, n.n_convs, n.n_children::bigint as n_children,
+  s.n_leaves::bigint as n_leaves, s.saved_tokens::bigint as saved_tokens, sha256(coalesce(e.ids, '')) as ends_sha256
+from counted n join subtree s on s.node = n.node left join nodes p on p.node = n.parent left join ended e on e.node = n.node
+"""
+
 ORACLES: dict[str, str] = {
     "op8_unit_dedup": UNIT_DEDUP_SQL,
+    "op13_conversation_trie": CONVERSATION_TRIE_SQL,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillstream.llm import bwtdedup, convtrie, decontam, htmltext, iblt, langid, linededup, minhash, packing, quality, sharding, toxicity
+from quillstream.llm import bwtdedup, collocations, convtrie, decontam, htmltext, iblt, langid, linededup, minhash, packing, quality, sharding, toxicity
 from quillstream.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,11 @@ def op10_pack(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, d))
 
 
+def op11_collocations(spark: SparkSession, d: str) -> DataFrame:
+    ready(spark)
+    return collocations.collocations(read_table(spark, d, "documents", ["text", "lang"]))
+
+
 def op12_hyperdimensional_language(spark: SparkSession, d: str) -> DataFrame:
     return langid.identify(read_table(spark, d, "documents", ["doc_id", "text", "lang"]))
 
@@ -93,6 +98,7 @@ QUERIES: dict[str, Query] = {
     "op8_unit_dedup": op8_unit_dedup,
     "op9_quality": op9_quality,
     "op10_pack": op10_pack,
+    "op11_collocations": op11_collocations,
     "op12_hyperdimensional_language": op12_hyperdimensional_language,
     "op13_conversation_trie": op13_conversation_trie,
 }
@@ -126,6 +132,45 @@ select d.doc_id, case when d.text is null then null else coalesce(s.kept, '') en
 from documents d left join summed s using (doc_id)
 """
 
+COLLOCATIONS_SQL = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, doc_id, generate_subscripts(p, 1) as i, unnest(p) as piece
+  from (select lang, doc_id, regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') as p from documents)
+), split as (
+  select lang, doc_id, i, regexp_extract_all(piece, '[^\x20\x09]+') as ws from pieces
+), w as (
+  select lang, doc_id, i, generate_subscripts(ws, 1) as j, unnest(ws) as x from split
+), follow as (
+  select lang, x, lead(x) over p as y, lead(x, 2) over p as z from w window p as (partition by lang, doc_id, i order by j)
+), f1 as (
+  select lang, x, count(*) as n from follow group by all
+), f2 as (
+  select lang, x, y, count(*) as n from follow where y is not null group by all
+), f3 as (
+  select lang, x, y, z, count(*) as n from follow where z is not null group by all having count(*) >= 10
+), totals as (
+  select lang, sum(n)::bigint as n from f1 group by lang
+), cuts as (
+  select p.lang, p.x || ' ' || p.y as phrase, p.n as a, 1 as k, l.n as l, r.n as r
+  from f2 p join f1 l on l.lang = p.lang and l.x = p.x join f1 r on r.lang = p.lang and r.x = p.y
+  where p.n >= 10 and not exists (
+    select 1 from f3 t where t.lang = p.lang and 100 * t.n >= 50 * p.n and ((t.x = p.x and t.y = p.y) or (t.y = p.x and t.z = p.y)))
+  union all
+  select p.lang, p.x || ' ' || p.y || ' ' || p.z, p.n, 1, l.n, r.n
+  from f3 p join f1 l on l.lang = p.lang and l.x = p.x join f2 r on r.lang = p.lang and r.x = p.y and r.y = p.z
+  union all
+  select p.lang, p.x || ' ' || p.y || ' ' || p.z, p.n, 2, l.n, r.n
+  from f3 p join f2 l on l.lang = p.lang and l.x = p.x and l.y = p.y join f1 r on r.lang = p.lang and r.x = p.z
+), scored as (
+  select *, ((1000000::hugeint * a * a) // (l::hugeint * r))::bigint as score from cuts
+), lowest as (
+  select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), ranked as (
+  select *, row_number() over (partition by lang order by score desc, a desc, encode(phrase)) as rank from lowest
+)
+select k.lang, k.rank, k.phrase, k.a, k.l, k.r, t.n, k.score from ranked k join totals t on t.lang = k.lang where k.rank <= 2000
+"""
+
 CONVERSATION_TRIE_SQL = r"""
 with t as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null
@@ -172,5 +217,6 @@ from counted n join subtree s on s.node = n.node left join nodes p on p.node = n
 
 ORACLES: dict[str, str] = {
     "op8_unit_dedup": UNIT_DEDUP_SQL,
+    "op11_collocations": COLLOCATIONS_SQL,
     "op13_conversation_trie": CONVERSATION_TRIE_SQL,
 }

@@ -1,0 +1,117 @@
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from quillstream.llm import collocations as C
+from quillstream.llm.textarrays import blocks
+
+SCHEMA = "text string, lang string"
+
+
+def phrases_of(text):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return [re.findall(r"[^\x20\x09]+", p) for p in re.split(r"[.,;:!?\x0A-\x0D]", lowered)]
+
+
+def brute(rows, top=C.TOP):
+    out = []
+    for lang in {r[1] or "und" for r in rows}:
+        f = Counter()
+        for text, other in rows:
+            if (other or "und") == lang:
+                for ws in phrases_of(text):
+                    for size in (1, 2, 3):
+                        f.update(tuple(ws[i:i + size]) for i in range(len(ws) - size + 1))
+        n = sum(c for p, c in f.items() if len(p) == 1)
+        some = {p: a for p, a in f.items() if len(p) > 1 and a >= C.LEAST}
+        scored = []
+        for p, a in some.items():
+            if any(len(t) > len(p) and p in (t[:2], t[1:]) and 100 * b >= 50 * a for t, b in some.items()):
+                continue
+            score, k = min((1000000 * a * a // (f[p[:k]] * f[p[k:]]), k) for k in range(1, len(p)))
+            scored.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(scored)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, n, -score))
+    return sorted(out)
+
+
+def made(seed, n=150):
+    rnd = random.Random(seed)
+    rows = []
+    for _ in range(n):
+        words = rnd.choices(["a", "B", "b", "cé", "é", "d", "New York City", "New york", "x x x x", "e\tf", "Ü"], weights=range(11, 0, -1), k=rnd.randint(0, 40))
+        text = "".join(w + rnd.choice([" ", " ", " ", ", ", ". ", "\n", "  "]) for w in words)
+        rows.append((text, rnd.choice(["en", "en", "de", None, "und"])))
+    return rows + [(None, "en"), ("", "fr"), ("rare words only", "it")] + [("same words of a text here", "pt")] * 30
+
+
+@pytest.mark.parametrize("seed, frontier, top", [(1, 4000, 2000), (2, 1, 2000), (3, 2, 5), (4, 3, 1)])
+def test_against_brute_force(spark, monkeypatch, seed, frontier, top):
+    monkeypatch.setattr(C, "HELD_WORDS", 100)
+    rows = made(seed)
+    got = C.collocations(spark.createDataFrame(rows, SCHEMA).repartition(4), top=top, frontier=frontier)
+    assert got.columns == C.OUT
+    assert sorted(map(tuple, got.collect())) == brute(rows, top)
+
+
+def test_frontier_is_lowered_until_enough_survive(spark, monkeypatch):
+    """Every pair of the best scores is covered by a longer phrase: the search has to go on."""
+    floors = []
+    kept = C.frontiers
+    monkeypatch.setattr(C, "frontiers", lambda pairs, rank: floors.append(rank) or kept(pairs, rank))
+    rows = [(f"k{i} l{i} m{i}", "en") for i in range(20) for _ in range(10)] + [(f"p q{i % 7}", "en") for i in range(200)] + [("u v", "de")] * 12
+    got = C.collocations(spark.createDataFrame(rows, SCHEMA), top=22, frontier=2)
+    assert sorted(map(tuple, got.collect())) == brute(rows, 22)
+    assert len(floors) > 1 and floors == sorted(floors)
+
+
+def test_words_and_pieces():
+    texts = ["A b,c  d\te!f", "", "g h", " i\x0bj k\x85l "]
+    (block,) = blocks(pa.array(texts))
+    words = C.words_of(block, np.uint64(5))
+    got = [block.slice(a, b).lower() for a, b in zip(words.start, words.end)]
+    assert got == ["a", "b", "c", "d", "e", "f", "g", "h", "i", "j", "k\x85l"]
+    assert words.joined.tolist() == [False, True, False, True, True, False, False, True, False, False, True]
+    assert len(set(words.digest.tolist())) == 11
+
+
+def test_colliding_digests_are_done_again(spark, monkeypatch):
+    """With the first seed all words share two digests."""
+    kept = C.words_of
+    first = C.lang_seed("en", 0)
+
+    def colliding(block, seed):
+        words = kept(block, seed)
+        return C.Words(words.codes, words.start, words.end, words.digest % np.uint64(2), words.joined) if seed == first else words
+
+    monkeypatch.setattr(C, "words_of", colliding)
+    rows = [("one two three four", "en")] * 12
+    got = C.collocations(spark.createDataFrame(rows, SCHEMA))
+    assert sorted(map(tuple, got.collect())) == brute(rows)
+
+
+def test_scores_are_exact(spark):
+    rows = [(10**14 + 7, 3 * 10**14 + 1, 2 * 10**15 + 3), (10, 10, 10), (10, 2**40, 30), (9 * 10**15, 9 * 10**15 + 1, 9 * 10**15)]
+    df = spark.createDataFrame(rows, "a long, l long, r long")
+    got = [r.s for r in df.select(C.exact_score(df.a, df.l, df.r).alias("s")).collect()]
+    assert got == [1000000 * a * a // (x * y) for a, x, y in rows]
+
+
+def test_bit_table(spark):
+    df = spark.range(1, 500).selectExpr("xxhash64(id) AS d")
+    table = C.bit_table(df)
+    digests = np.array([r.d for r in df.collect()]).view(np.uint64)
+    others = np.array([r.d for r in spark.range(1000, 3000).selectExpr("xxhash64(id) AS d").collect()]).view(np.uint64)
+    assert C.marked(table, digests).all() and C.marked(table, others).mean() < 0.01
+    assert table.nbytes == 2**C.BITS // 8
+
+
+def test_defined_cases(spark):
+    wide = spark.createDataFrame([("a b " * 3000, "en", 1, "z")] * 2, SCHEMA + ", a int, phrase string")
+    assert sorted(map(tuple, C.collocations(wide).collect())) == brute([("a b " * 3000, "en")] * 2)
+    assert C.collocations(wide.limit(0)).count() == 0
+    assert C.collocations(spark.createDataFrame([("a b c", None)], SCHEMA)).count() == 0

@@ -53,7 +53,8 @@ SCALE = 1_000_000
 FRONTIER = 4000        # the first frontier is the score of a language's pair of this rank
 WIDER = 8              # times more pairs in the next frontier
 BITS = 26              # log2 of the size of a bit table
-HELD_WORDS = 1 << 21   # words a task counts phrases of at a time
+HELD_WORDS = 1 << 20   # words a task counts phrases of at a time
+ROWS = 1 << 16         # handed to Spark at a time
 ROTATE = 23            # bits, of the second word's digest in a pair's
 
 BREAKS = ".,;:!?\n\x0b\x0c\r"
@@ -112,6 +113,10 @@ def _by_language(batch: pa.RecordBatch, seed: int) -> Iterator[tuple[str, Words]
             yield lang, words_of(block, lang_seed(lang, seed))
 
 
+def _same(lang: str, n: int) -> pa.Array:
+    return pa.repeat(pa.scalar(lang, pa.string()), n)
+
+
 def _long(digests: np.ndarray) -> pa.Array:
     return pa.array(digests.view(np.int64))
 
@@ -133,8 +138,7 @@ def _runs(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def count_words(texts: DataFrame, seed: int) -> DataFrame:
-    """(lang, word, count, lo, hi) of ``texts(text, lang)``: ``lo`` and ``hi`` are the
-    smallest and largest word of the digest, equal but for a collision."""
+    """(lang, word, text, n) of the words of ``texts(text, lang)``: one row a digest, but for collisions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -144,13 +148,10 @@ def count_words(texts: DataFrame, seed: int) -> DataFrame:
                 at, counts = _runs([words.digest])
                 text = words.codes.tobytes().decode("utf-32-le")
                 found = [text[a:b] for a, b in zip(words.start[at].tolist(), words.end[at].tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(at), pa.string()), _long(words.digest[at]), pa.array(counts, pa.int64()), pa.array(found, pa.string())],
-                    ["lang", "word", "n", "text"],
-                )
+                yield pa.RecordBatch.from_arrays([_same(lang, len(at)), _long(words.digest[at]), pa.array(counts, pa.int64()), pa.array(found, pa.string())], ["lang", "word", "n", "text"])
 
     found = texts.mapInArrow(run, "lang string, word long, n long, text string")
-    return found.groupBy("lang", "word").agg(F.sum("n").alias("n"), F.min("text").alias("lo"), F.max("text").alias("hi"))
+    return found.groupBy("lang", "word", "text").agg(F.sum("n").alias("n"))
 
 
 # --- bit tables -----------------------------------------------------------------------
@@ -194,7 +195,9 @@ def _count_phrases(texts: DataFrame, seed: int, size: int, chosen) -> DataFrame:
                 columns = [np.concatenate(c) for c in zip(*parts)]
                 if len(columns[0]):
                     at, counts = _runs(columns)
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), *[_long(c[at]) for c in columns], pa.array(counts, pa.int64())], ["lang", *names, "n"])
+                    for i in range(0, len(at), ROWS):
+                        some = at[i:i + ROWS]
+                        yield pa.RecordBatch.from_arrays([_same(lang, len(some)), *[_long(c[some]) for c in columns], pa.array(counts[i:i + ROWS], pa.int64())], ["lang", *names, "n"])
 
         for batch in batches:
             for lang, words in _by_language(batch, seed):
@@ -302,11 +305,11 @@ def collocations(docs: DataFrame, top: int = TOP, frontier: int = FRONTIER) -> D
     seed = 0
     while True:
         words = count_words(texts, seed).checkpoint()
-        if not words.where("lo != hi").limit(1).count():
+        if not words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1").limit(1).count():
             break
         seed += 1
     totals = words.groupBy("lang").agg(F.sum("n").alias("n")).checkpoint()  # one row a language
-    frequent = words.where(F.col("n") >= LEAST).select("lang", "word", "n", F.col("lo").alias("text"))
+    frequent = words.where(F.col("n") >= LEAST)
     pairs = count_pairs(texts, seed, bit_table(frequent.select(F.col("word").alias("d"))))
     pairs = with_scores(pairs, frequent).checkpoint()
     done = None

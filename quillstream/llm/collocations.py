@@ -55,6 +55,7 @@ WIDER = 8              # times more pairs in the next frontier
 BITS = 26              # log2 of the size of a bit table
 HELD_WORDS = 1 << 20   # words a task counts phrases of at a time
 ROWS = 1 << 16         # handed to Spark at a time
+TEXTS, CHARS = 1 << 10, 1 << 18  # texts and characters cut into words at a time
 ROTATE = 23            # bits, of the second word's digest in a pair's
 
 BREAKS = ".,;:!?\n\x0b\x0c\r"
@@ -105,12 +106,12 @@ def words_of(block: Block, seed: np.uint64) -> Words:
 
 
 def _by_language(batch: pa.RecordBatch, seed: int) -> Iterator[tuple[str, Words]]:
-    langs = batch.column(1).dictionary_encode()
-    codes = langs.indices.to_numpy(zero_copy_only=False)
-    for i, lang in enumerate(langs.dictionary.to_pylist()):
-        mine = batch.column(0).take(pa.array(np.flatnonzero(codes == i)))
-        for block in blocks(mine):
-            yield lang, words_of(block, lang_seed(lang, seed))
+    for i in range(0, batch.num_rows, TEXTS):
+        texts, langs = batch.column(0).slice(i, TEXTS), batch.column(1).slice(i, TEXTS).dictionary_encode()
+        codes = langs.indices.to_numpy(zero_copy_only=False)
+        for j, lang in enumerate(langs.dictionary.to_pylist()):
+            for block in blocks(texts.take(pa.array(np.flatnonzero(codes == j))), limit=CHARS):
+                yield lang, words_of(block, lang_seed(lang, seed))
 
 
 def _same(lang: str, n: int) -> pa.Array:
@@ -141,17 +142,27 @@ def count_words(texts: DataFrame, seed: int) -> DataFrame:
     """(lang, word, text, n) of the words of ``texts(text, lang)``: one row a digest, but for collisions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            if held:
+                table = pa.Table.from_batches(held).group_by(["lang", "word", "text"]).aggregate([("n", "sum")])
+                yield from table.select(["lang", "word", "text", "n_sum"]).rename_columns(["lang", "word", "text", "n"]).to_batches(max_chunksize=ROWS)
+
         for batch in batches:
             for lang, words in _by_language(batch, seed):
-                if not len(words.digest):
-                    continue
                 at, counts = _runs([words.digest])
                 text = words.codes.tobytes().decode("utf-32-le")
                 found = [text[a:b] for a, b in zip(words.start[at].tolist(), words.end[at].tolist())]
-                yield pa.RecordBatch.from_arrays([_same(lang, len(at)), _long(words.digest[at]), pa.array(counts, pa.int64()), pa.array(found, pa.string())], ["lang", "word", "n", "text"])
+                held.append(pa.RecordBatch.from_arrays([_same(lang, len(at)), _long(words.digest[at]), pa.array(found, pa.string()), pa.array(counts, pa.int64())], ["lang", "word", "text", "n"]))
+                if sum(b.num_rows for b in held) >= HELD_WORDS >> 2:
+                    yield from counted()
+                    held.clear()
+        yield from counted()
 
-    found = texts.mapInArrow(run, "lang string, word long, n long, text string")
-    return found.groupBy("lang", "word", "text").agg(F.sum("n").alias("n"))
+    # tasks have counted already: rows go to their place, and are added up there
+    found = texts.mapInArrow(run, "lang string, word long, text string, n long")
+    return found.repartition("lang", "word").groupBy("lang", "word", "text").agg(F.sum("n").alias("n"))
 
 
 # --- bit tables -----------------------------------------------------------------------
@@ -210,7 +221,7 @@ def _count_phrases(texts: DataFrame, seed: int, size: int, chosen) -> DataFrame:
         yield from counted()
 
     found = texts.mapInArrow(run, f"lang string, {', '.join(f'{c} long' for c in names)}, n long")
-    return found.groupBy("lang", *names).agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
+    return found.repartition("lang", *names).groupBy("lang", *names).agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
 
 
 def count_pairs(texts: DataFrame, seed: int, often: np.ndarray) -> DataFrame:

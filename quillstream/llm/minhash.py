@@ -22,17 +22,20 @@ representatives of different classes that share a bucket are compared; links joi
 classes, so a large group of near copies is one class after a few texts of it have
 been compared with the rest. In a bucket of up to ``SMALL`` members all pairs are
 joined with their texts. A larger one is cut into blocks of about ``MEMBERS`` members
-or ``CHARS`` characters, and one task compares two blocks: members of all classes but
-the largest are hubs, one after the other, and a hub is compared with the members of
-other classes by adding up shingles, without a row a pair. The first
-``FIRST_BANDS`` bands go before the others, of which only buckets that still hold
-several classes are searched. A class is a connected component of links; its id is
+or ``CHARS`` characters. A task searches a block (``within_blocks``): members of all
+classes but the largest are hubs, one after the other, and a hub is compared with the
+members of other classes by adding up shingles; it yields one row for each class that
+the hub joins. Two hubs of the bucket are in all of its blocks. Then classes are
+joined, and only buckets of several blocks that still hold several classes go on, block
+against block (``across_blocks``), without pairs of the largest class. The first
+``FIRST_BANDS`` bands go before the others. A class is a connected component of links; its id is
 the smallest ``doc_id`` in it.
 
-Scale: bucket counts are aggregates; a bucket with a third of all rows is dealt out as
-pairs of blocks, and its members are sent once a block. Texts of one bucket that all
-are below the threshold cost a comparison a pair, about a microsecond each. Links are
-written to the shared checkpoint folder.
+Scale: bucket counts are aggregates; a bucket with a third of all rows is dealt out in
+blocks. Links are at most a row a member and block, and a family that is one class
+leaves after its blocks. Texts of one bucket that all are below the threshold cost a
+comparison a pair, about a microsecond each, and no row a pair. Links are written to
+the shared checkpoint folder.
 
 Cases: null and empty texts, and texts without words, are near duplicates of
 equal texts only; equal rows are copies; a null ``doc_id`` is kept and ranks last
@@ -45,7 +48,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillstream.llm.textarrays import Block, as_strings, blocks, group_starts, mix, span_hashes, word_spans
@@ -243,6 +247,7 @@ def block_links(texts: pa.Array, classes: np.ndarray, upper: np.ndarray, thresho
         bag[ids[mine]] = 0
         linked = others[common / (total[hub] + total[others] - common) >= threshold]
         if len(linked):
+            linked = linked[np.unique(label[linked], return_index=True)[1]]  # one of each class
             label[np.isin(label, label[linked])] = label[hub]
             hubs.append(np.full(len(linked), hub))
             found.append(linked)
@@ -250,12 +255,15 @@ def block_links(texts: pa.Array, classes: np.ndarray, upper: np.ndarray, thresho
     return np.concatenate([none, *hubs]), np.concatenate([none, *found])
 
 
-def bucket_links(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """(a, b): links between members (band, key, class) of the same bucket, by their texts (key, text), block by block."""
+def _searched(dealt: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): links found among the rows (key, class, text, upper) of each (band, side, lo, hi), each group in a task."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks().sort_by("key")
         keys = table.column("key").combine_chunks()
+        first = np.ones(len(keys), dtype=bool)  # a hub may be in its own block
+        first[1:] = pc.not_equal(keys[1:], keys[:-1]).to_numpy(zero_copy_only=False)
+        table, keys = table.filter(pa.array(first)), keys.filter(pa.array(first))
         classes = np.unique(np.array(table.column("class").to_pylist(), dtype=object), return_inverse=True)[1]
         upper = table.column("upper").to_numpy()
         hub, other = block_links(table.column("text").combine_chunks(), classes, upper, threshold)
@@ -263,14 +271,56 @@ def bucket_links(members: DataFrame, texts: DataFrame, threshold: float) -> Data
         a, b = np.where(swap, other, hub), np.where(swap, hub, other)
         return pa.table({"a": keys.take(pa.array(a)), "b": keys.take(pa.array(b))})
 
-    rows = members.select("band", "key", "class").join(texts, "key")
-    sizes = rows.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"))
-    sizes = sizes.select("band", F.greatest(F.ceil(F.col("n") / MEMBERS), F.ceil(F.col("chars") / CHARS)).cast("int").alias("blocks"))
-    dealt = rows.join(sizes, "band").withColumn("mine", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "band", F.least("mine", "with").alias("lo"), F.greatest("mine", "with").alias("hi"), (F.col("mine") > F.col("with")).alias("upper"), "key", "class", "text"
+    return dealt.groupBy("band", "side", "lo", "hi").applyInArrow(run, "a binary, b binary")
+
+
+def _in_blocks(n: Column, chars: Column) -> Column:
+    return F.greatest(F.ceil(n / MEMBERS), F.ceil(chars / CHARS)).cast("int")
+
+
+def _upto(n: Column) -> Column:
+    """0 .. n - 1 (none for 0)."""
+    return F.filter(F.sequence(F.lit(0), n), lambda x: x < n)
+
+
+def within_blocks(rows: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): links inside each block of the buckets' rows (band, key, class, text), and to two
+    hubs of the bucket, which go to all of its blocks: a family of copies is one class
+    after this, however many blocks it has."""
+    sizes = rows.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"), F.min("key").alias("h1"), F.max("key").alias("h2"))
+    sizes = sizes.select("band", _in_blocks(F.col("n"), F.col("chars")).alias("blocks"), "h1", "h2")
+    at = rows.join(sizes, "band")
+    mine = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
+    everywhere = F.col("key").isin(F.col("h1"), F.col("h2"))
+    dealt = at.withColumn("lo", F.explode(F.when(everywhere, _upto(F.col("blocks"))).otherwise(F.array(mine))))
+    return _searched(dealt.select("band", F.lit("").alias("side"), "lo", F.col("lo").alias("hi"), F.lit(False).alias("upper"), "key", "class", "text"), threshold)
+
+
+def across_blocks(rows: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): links between members of different classes of the buckets that have more than one block.
+
+    Only members outside the bucket's largest class ask: their blocks meet those of the
+    largest class and each other, so a bucket with ``m`` of them sends a member about
+    ``m / MEMBERS`` times. Each pair of classes that a task joins is one row.
+    """
+    by_class = rows.groupBy("band", "class").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"))
+    sizes = by_class.groupBy("band").agg(F.sum("n").alias("n"), F.sum("chars").alias("chars"), F.max(F.struct("n", "class", "chars")).alias("top"))
+    sizes = sizes.where(_in_blocks(F.col("n"), F.col("chars")) > 1).where(F.col("n") > F.col("top.n")).select(
+        "band", F.col("top.class").alias("top"), _in_blocks(F.col("top.n"), F.col("top.chars")).alias("tops"),
+        _in_blocks(F.col("n") - F.col("top.n"), F.col("chars") - F.col("top.chars")).alias("others"),
+    )
+    at = rows.join(sizes, "band").withColumn("asks", F.col("class") != F.col("top"))
+    mine = F.pmod(F.xxhash64("key"), F.when(F.col("asks"), F.col("others")).otherwise(F.col("tops"))).cast("int")
+    at = at.withColumn("mine", mine)
+    task = lambda side, lo, hi, upper: F.struct(F.lit(side).alias("side"), lo.alias("lo"), hi.alias("hi"), upper.alias("upper"))
+    own = F.col("mine")
+    asking = F.concat(
+        F.transform(_upto(F.col("tops")), lambda x: task("top", own, x, F.lit(True))),
+        F.transform(_upto(F.col("others")), lambda x: task("other", F.least(own, x), F.greatest(own, x), own > x)),
     )
-    return dealt.groupBy("band", "lo", "hi").applyInArrow(run, "a binary, b binary").distinct()
+    asked = F.transform(_upto(F.col("others")), lambda x: task("top", x, own, F.lit(False)))
+    dealt = at.withColumn("task", F.explode(F.when(F.col("asks"), asking).otherwise(asked)))
+    return _searched(dealt.select("band", "task.side", "task.lo", "task.hi", "task.upper", "key", "class", "text"), threshold)
 
 
 # --- classes ------------------------------------------------------------------------
@@ -337,11 +387,8 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(key, class_key, doc_id, class_id, n_links) of every row of ``docs(doc_id, text)``.
-
-    ``key`` is the digest of the text, ``class_key`` the smallest of its class; ``n_links`` the verified links of the row's
-    text to other texts (those the search needed, not all of the class).
-    """
+    """(key, class_key, doc_id, class_id) of every row of ``docs(doc_id, text)``:
+    ``key`` is the digest of the text, ``class_key`` the smallest of its class."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.unhex(F.md5(text)).alias("key"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), text.alias("text"))
     signed = _bands(rows).checkpoint()
@@ -353,27 +400,26 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     wanted = heads.select("key", "id").join(members.select("key").distinct(), "key")
     texts = rows.join(wanted, ["key", "id"]).groupBy("key").agg(F.first("text").alias("text")).checkpoint()
 
-    # small buckets: every pair at once
+    # small buckets: every pair at once; the first bands' larger ones: inside blocks
     few = members.where(F.col("n") <= SMALL)
-    first = _pairs(few.select("band", "key").join(few.select("band", F.col("key").alias("hub")), "band").select("key", "hub"))
-    links = verified(first, texts, threshold).where("linked").select("a", "b").checkpoint()
-    classes = components(links).checkpoint()
-    # larger ones, as far as they hold several classes
-    large = members.where(F.col("n") > SMALL).select("at", "band", "key")
-    for some in (F.col("at") < FIRST_BANDS, F.col("at") >= FIRST_BANDS):
-        known = large.where(some).join(classes, "key", "left").withColumn("class", F.coalesce("class", "key")).checkpoint()
+    asked = _pairs(few.select("band", "key").join(few.select("band", F.col("key").alias("hub")), "band").select("key", "hub"))
+    first, others = (members.where(F.col("n") > SMALL).where(c).select("band", "key") for c in (F.col("at") < FIRST_BANDS, F.col("at") >= FIRST_BANDS))
+    inside = within_blocks(first.join(texts, "key").withColumn("class", F.col("key")), threshold)
+    classes = components(verified(asked, texts, threshold).where("linked").select("a", "b").union(inside))
+    # then what still holds several classes: between blocks, and in the other bands
+    for search, some in ((across_blocks, first), (within_blocks, others), (across_blocks, others)):
+        known = some.join(classes, "key", "left").withColumn("class", F.coalesce("class", "key")).checkpoint()
         mixed = known.groupBy("band").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo != hi").select("band")
-        links = links.union(bucket_links(known.join(mixed, "band"), texts, threshold)).distinct().checkpoint()
-        classes = components(links).checkpoint()
-    degree = links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n_links"))
+        links = search(known.join(mixed, "band").join(texts, "key"), threshold).checkpoint()
+        if links.limit(1).count():
+            classes = components(links.union(classes.select(F.col("key").alias("a"), F.col("class").alias("b"))))
     grouped = heads.select("key", "id").join(classes, "key", "left").withColumn("class", F.coalesce("class", "key"))
     smallest = grouped.groupBy("class").agg(F.min("id").alias("class_id"))
-    named = grouped.join(smallest, "class").select("key", F.col("class").alias("class_key"), "class_id").join(degree, "key", "left")
+    named = grouped.join(smallest, "class").select("key", F.col("class").alias("class_key"), "class_id")
     null = F.lit(None).cast("long")
     return signed.select("key", "id").join(named, "key").select(
         "key", "class_key", F.when(F.col("id") != LAST, F.col("id")).otherwise(null).alias("doc_id"),
         F.when(F.col("class_id") != LAST, F.col("class_id")).otherwise(null).alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
     )
 
 
@@ -384,14 +430,12 @@ def _pairs(asked: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with one row of each class: the smallest ``doc_id`` (of equal rows, one)."""
-    key = F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    rank = lambda name: F.coalesce(F.col(name).cast("long"), F.lit(LAST))
+    """``docs`` with one row of each class: the smallest ``doc_id`` (of equal rows, one). Other columns pass through."""
     classes = near_classes(docs, threshold)
-    kept = (
-        classes.where(F.col("doc_id").eqNullSafe(F.col("class_id")))
-        .groupBy("class_key").agg(F.min("key").alias("_key"), F.min(rank("doc_id")).alias("_id")).drop("class_key")
-    )
+    rank = lambda name: F.coalesce(F.col(name).cast("long"), F.lit(LAST))
+    kept = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("class_key").agg(F.min("key").alias("key"), F.min(rank("doc_id")).alias("id")).drop("class_key")
     # by digest and id: copies of one text go to different tasks; equal rows (same id, same text) leave one
-    marked = docs.withColumns({"_key": key, "_id": rank("doc_id")}).join(kept, ["_key", "_id"])
-    return marked.dropDuplicates(["_key", "_id"]).drop("_key", "_id")
+    whole = docs.select(
+        F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))).alias("key"), rank("doc_id").alias("id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    )
+    return whole.join(kept, ["key", "id"]).dropDuplicates(["key", "id"]).select("row.*")

@@ -59,7 +59,7 @@ def op6_bwt_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op7_near_duplicates(spark: SparkSession, d: str) -> DataFrame:
-    return minhash.near_classes(_documents(spark, d)).select("doc_id", "class_id", "n_links")
+    return minhash.near_classes(_documents(spark, d)).select("doc_id", "class_id")
 
 
 def op8_unit_dedup(spark: SparkSession, d: str) -> DataFrame:

@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 import pytest
 
 from quillstream.llm import minhash
@@ -101,13 +102,13 @@ def test_pair_overlap_is_exact():
 
 def test_classes_against_brute_force(spark):
     rows = sample_rows()
-    docs = spark.createDataFrame([(*r, b"k", 1) for r in rows], "doc_id long, text string, key binary, class int")
+    docs = spark.createDataFrame([(*r, b"k", 1) for r in rows], "doc_id long, text string, key binary, class int").withColumns({"_key": F.lit(1), "id": F.lit("x"), "row": F.lit(2), "_id": F.lit(3)})
     got = minhash.near_classes(docs).collect()
     check_classes(rows, [(r.doc_id, r.class_id) for r in got])
     kept = minhash.keep_one(docs).collect()
     root = classes_of([t or "" for _, t in rows])
     assert Counter(root[r.text or ""] for r in kept) == Counter(set(root.values()))
-    assert kept[0].asDict().keys() == {"doc_id", "text", "key", "class"}
+    assert kept[0].asDict().keys() == {"doc_id", "text", "key", "class", "_key", "id", "row", "_id"}
 
 
 def test_components_of_chains_and_stars(spark, monkeypatch):
@@ -123,6 +124,32 @@ def test_components_of_chains_and_stars(spark, monkeypatch):
     assert minhash.components(links.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", [500, 2000])
+def test_links_grow_with_the_copies_not_their_pairs(spark, monkeypatch, n):
+    monkeypatch.setattr(minhash, "MEMBERS", 64)
+    found = []
+    kept = minhash._searched
+    monkeypatch.setattr(minhash, "_searched", lambda dealt, t: found.append(kept(dealt, t).checkpoint()) or found[-1])
+    rng = random.Random(n)
+    base = words(rng, 150)
+    rows = [(i, " ".join([*base, f"tail{i}"])) for i in range(n)] + [(n + i, " ".join(words(rng, 30))) for i in range(50)]
+    got = [(r.doc_id, r.class_id) for r in minhash.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(got) == [(i, 0 if i < n else i) for i in range(n + 50)]
+    # two bands of one row a member and band, and two hubs a block
+    assert sum(f.count() for f in found) <= 4 * n
+
+
+def test_blocks_meet_across(spark, monkeypatch):
+    """Many small families in one bucket: what blocks and hubs do not join is found between blocks."""
+    for name, value in (("MEMBERS", 5), ("SMALL", 2)):
+        monkeypatch.setattr(minhash, name, value)
+    rng = random.Random(3)
+    rows = family_rows(rng, 40)
+    rows += [(100 + i, rows[i // 2][1] + f" more {i}") for i in range(80)]
+    got = [(r.doc_id, r.class_id) for r in minhash.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    check_classes(rows, got)
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert minhash.near_classes(docs).count() == 0 and minhash.keep_one(docs).count() == 0

@@ -19,11 +19,13 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from quillstream.functions.ledger_codec import decode_offset
-from quillstream.operators.cells import CELL_KEY, CELL_SCHEMA
+from quillstream.operators.cells import CELL_KEY, CELL_SCHEMA, lookup
 from quillstream.operators.offsets import ledger_current
+from quillstream.sinks import manifest
 
 DEFAULT_RUN = "default"
 
@@ -60,9 +62,14 @@ def read_batches(
     run: str | None = None,
     batch_ids: Iterable[int] | None = None,
 ) -> DataFrame | None:
-    """The batch-keyed table (optionally one run / some batches only: the
-    directories are pruned before listing), or None if there is no such batch.
-    Anything else that keeps the table from being read is raised."""
+    """The batch-keyed table, or None if there is no such batch. The whole table is
+    what the newest manifest names (``sinks.manifest``): segments, and the batches since;
+    with ``run`` or ``batch_ids``, only those batch folders are listed. Anything
+    else that keeps the table from being read is raised."""
+    if run is None and batch_ids is None:
+        now = manifest.current(spark, table_path)
+        live = manifest.live_folders(spark, table_path, now)
+        return _read_parts(spark, table_path, live, [v for v, _ in now.segments], schema)
     reader = spark.read.option("basePath", table_path)
     if schema is not None:
         reader = reader.schema(schema)
@@ -75,6 +82,59 @@ def read_batches(
         raise
 
 
+def _read_parts(spark: SparkSession, table_path: str, folders: list[str], segments: list[int], schema=None) -> DataFrame | None:
+    """Rows of batch folders and segments, with ``run`` and ``batch_id``."""
+    base, parts = table_path.rstrip("/"), []
+    if folders:
+        reader = spark.read.option("basePath", base)
+        parts.append((reader.schema(schema) if schema is not None else reader).parquet(*[f"{base}/{f}" for f in folders]))
+    if segments:
+        reader = spark.read
+        if schema is not None:
+            reader = reader.schema(T.StructType([*schema.fields, T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())]))
+        parts.append(reader.parquet(*[manifest.segment_path(base, v) for v in segments]))
+    if not parts:
+        return None
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _newest_of(rows: DataFrame, keys: list[str], version: list[str]) -> DataFrame:
+    """The row of the newest version of each key, with all its columns (a partial aggregation)."""
+    rest = [c for c in rows.columns if c not in keys]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*version)).alias("_qs_v"))
+    return newest.select(*keys, *[F.col(f"_qs_v.{c}").alias(c) for c in rest])
+
+
+def compact_ledger_in_place(spark: SparkSession, ledger_path: str) -> None:
+    """Merge the ledger's finished batches into segments of one row per topic partition.
+    Resuming is the same before, during and after; the folders stay few."""
+    keys, version = ["topic", "partition"], ["until_offset", "from_offset", "batch_id"]
+    read = lambda folders, segments: _read_parts(spark, ledger_path, folders, segments).withColumn("batch_id", F.col("batch_id").cast("long"))
+    manifest.compact(spark, ledger_path, read, lambda rows: _newest_of(rows, keys, version))
+
+
+def compact_cells_in_place(spark: SparkSession, cells_path: str) -> None:
+    """Merge the finished batches and puts of a stored cell table into segments that hold
+    the newest version of each cell, range partitioned and sorted by cell key. What
+    a scan returns is the same before, during and after."""
+    read = lambda folders, segments: _read_parts(spark, cells_path, folders, segments, CELL_SCHEMA).withColumn("batch_id", F.col("batch_id").cast("long"))
+    manifest.compact(spark, cells_path, read, lambda rows: _newest_of(rows, CELL_KEY, ["ts", "seq"]), layout=CELL_KEY)
+
+
+def lookup_cells(spark: SparkSession, cells_path: str, row_key: str) -> DataFrame:
+    """Point read of one whole row (newest versions) of a stored cell table: of each
+    segment only the files whose key range holds ``row_key``, and the batches since
+    the last compaction, both filtered in the Parquet scan."""
+    now = manifest.current(spark, cells_path)
+    rows = _read_parts(spark, cells_path, manifest.live_folders(spark, cells_path, now), [], CELL_SCHEMA)
+    files = manifest.files_with(spark, cells_path, now, row_key)
+    columns = [f.name for f in CELL_SCHEMA.fields]
+    parts = ([rows.select(*columns)] if rows is not None else []) + ([spark.read.schema(CELL_SCHEMA).parquet(*files)] if files else [])
+    if not parts:
+        return lookup(spark.createDataFrame([], CELL_SCHEMA), row_key)
+    return lookup(parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1]), row_key)
+
+
 def compact_cells(spark: SparkSession, cells_path: str, out_path: str) -> None:
     """Rewrite a cell table keeping only the newest version of every cell
     (with its ``seq``), into a new location (run ``compacted``). Later stream
@@ -124,7 +184,7 @@ def append_cells(puts: DataFrame, cells_path: str, seq: int | None = None) -> No
         stamp_seq.cast("long").alias("seq"),
         F.col("value").cast("string").alias("value"),
     )
-    write_batch(out, cells_path, 0, f"put-{uuid.uuid4().hex[:12]}")
+    write_batch(out, cells_path, 0, f"{manifest.PUT_PREFIX}{uuid.uuid4().hex[:12]}")
 
 
 def read_cells(spark: SparkSession, cells_path: str) -> DataFrame:

@@ -30,7 +30,7 @@ from quillstream.operators import cells as C
 from quillstream.operators import counts
 from quillstream.operators import offsets as O
 from quillstream.session import shared_dir
-from quillstream.sinks.tables import DEFAULT_RUN, read_batches, run_label, write_batch
+from quillstream.sinks.tables import DEFAULT_RUN, compact_cells_in_place, compact_ledger_in_place, read_batches, run_label, write_batch
 from quillstream.sources.topiclog import EARLIEST, SourceSpec, assign_json, starting_offsets_json
 from quillstream.streaming.checkpoints import BatchInfo, batch_info, query_id
 
@@ -51,6 +51,7 @@ class BatchOutputs:
     run: str = DEFAULT_RUN           # run label of the batch tables (one per checkpoint)
     log_ranges: bool = False         # log each range of the batch (one line per topic partition)
     checkpoint: str | None = None    # the stream's checkpoint: batch times and source positions
+    compact_every: int | None = None  # merge the ledger's and the cells' batches in place this often
 
 
 def _text(batch: DataFrame, col: str) -> DataFrame:
@@ -65,7 +66,7 @@ def previous_positions(spark: SparkSession, ledger_path: str, batch_id: int, run
     The ledger is dense, so the previous batch of the same run already lists
     every known partition: read just that partition directory. Only the first
     batch of a run (or one whose predecessor is missing) reads the whole
-    ledger, minus this run's own batches from ``batch_id`` on (a replay).
+    ledger (a few segments and the batches since the last compaction), minus this run's own batches from ``batch_id`` on (a replay).
     """
     if batch_id > 0:
         prev = read_batches(spark, ledger_path, run=run, batch_ids=[batch_id - 1])
@@ -150,6 +151,11 @@ def process_batch(batch: DataFrame, batch_id: int, outputs: BatchOutputs) -> Non
                 rows.unpersist()
         if wants_counts:
             _count_outputs(data, batch_id, outputs, info.time)
+        if outputs.compact_every and batch_id % outputs.compact_every == outputs.compact_every - 1:
+            if outputs.ledger:
+                compact_ledger_in_place(spark, outputs.ledger)
+            if outputs.cells:
+                compact_cells_in_place(spark, outputs.cells)
     finally:
         if shared:
             data.unpersist()

@@ -47,80 +47,97 @@ UNITS = (
     "dollar dollars euro euros cent cents percent degree degrees"
 ).split()
 
-NAME, UNIT, NUMBER, BETWEEN = "\u0001", "\u0002", "#", "\u0003"
+NAME, UNIT, CAPITAL = "\u0001", "\u0002", "\u0003"  # marks before a token
 
 _NAME_AT = r"(?<=[\p{Ll},;:] )(?=\p{Lu}\p{Ll})"
-_CAPITAL_AT = r"(?<!\p{L})(?=\p{Lu}\p{Ll})"
+_CAPITAL_AT = r"(?<![\p{L}" + NAME + r"])(?=\p{Lu}\p{Ll})"
 _UNIT_AT = r"(?<=[0-9] ?)(?=(?:" + "|".join(UNITS) + r")(?![\p{L}\p{N}]))"
-_TOKEN = f"[{NAME}{UNIT}]?\\p{{L}}+|[0-9]+(?:[.,][0-9]+)*"
-
+_TOKEN = f"[{NAME}{UNIT}{CAPITAL}]?\\p{{L}}+|[0-9]+(?:[.,][0-9]+)*"
 
+# kinds of a token, the lower three bits of its code: a capitalised first word is either a word or a name
+WORD, NUMBER, IS_NAME, IS_UNIT, EITHER = 0, 1, 2, 3, 4
+KIND, VALUE = 7, ~7
 BOTH, INSIDE, ALL = 0, 1, 2  # readings: capitalised words are names inside a sentence, or all are
+CHUNK = 4096                 # tokens of a text whose windows start in one row
+
+
+def codes(text: Column) -> Column:
+    """Array of a code for each word and number in order: a hash of the lower-case token, and its kind."""
+    marked = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, _NAME_AT, NAME), _CAPITAL_AT, CAPITAL), _UNIT_AT, UNIT)
+    found = F.regexp_extract_all(F.lower(marked), F.lit(_TOKEN), F.lit(0))
+
+    def code(t: Column) -> Column:
+        # the marks sort before the digits, and these before the letters
+        kind = F.when(t >= ":", WORD).when(t >= "0", NUMBER).when(t < UNIT, IS_NAME).when(t < CAPITAL, IS_UNIT).otherwise(EITHER)
+        value = F.when(t < "0", F.substring(t, 2, 1 << 30)).otherwise(t)
+        return F.xxhash64(value).bitwiseAND(F.lit(VALUE)).bitwiseOR(kind.cast("long"))
+
+    return F.transform(found, code)
 
 
-def tokens(text: Column, names: str = _NAME_AT) -> Column:
-    """Lower-case words and numbers in order; names and units start with their mark."""
-    marked = F.regexp_replace(F.regexp_replace(text, names, NAME), _UNIT_AT, UNIT)
-    return F.regexp_extract_all(F.lower(marked), F.lit(_TOKEN), F.lit(0))
+def _as_read(code: Column, reading: int) -> Column:
+    """The code with its kind in this reading."""
+    either = code.bitwiseAND(F.lit(KIND)) == EITHER
+    return F.when(either, code.bitwiseAND(F.lit(VALUE)).bitwiseOR(F.lit(IS_NAME if reading == ALL else WORD).cast("long"))).otherwise(code)
 
 
-def _is_number(token: Column) -> Column:
-    return (token >= "0") & (token < ":")
+def _kind(code: Column) -> Column:
+    return code.bitwiseAND(F.lit(KIND))
 
 
-def is_slot(token: Column) -> Column:
-    return _is_number(token) | (token < BETWEEN)  # the marks sort before everything else
+def window_hash(found: list[Column], reading: int) -> Column:
+    """Hash of a window's template: the kinds of its slots and its other tokens. With
+    fewer than half of the tokens outside slots it is, as another kind of hash, that
+    of the values."""
+    read = [_as_read(c, reading) for c in found]
+    slots = sum((F.when(_kind(c) != WORD, 1).otherwise(0) for c in read[1:]), F.when(_kind(read[0]) != WORD, 1).otherwise(0))
+    shape = F.xxhash64(*[F.when(_kind(c) != WORD, _kind(c)).otherwise(c) for c in read], F.lit(len(read)))
+    return F.when(2 * slots > len(read), F.xxhash64(*read, F.lit(-len(read)))).otherwise(shape)
 
 
-def template(found: Column) -> Column:
-    return F.transform(found, lambda t: F.when(t < UNIT, NAME).when(t < BETWEEN, UNIT).when(_is_number(t), NUMBER).otherwise(t))
+def slots_of(found: Column, reading: Column) -> Column:
+    """The codes of a window's slots in order."""
+    read = F.transform(found, lambda c: F.when(reading == ALL, _as_read(c, ALL)).otherwise(_as_read(c, INSIDE)))
+    return F.filter(read, lambda c: _kind(c) != WORD)
 
 
-def windows(sizes: list[int], once: bool) -> Column:
-    """Array of (hash, slot values, position, reading) of the windows of the given
-    sizes; ``once``: those that are the same in both readings only once, as ``BOTH``."""
+def windows(rows: DataFrame, keep: list[str], sizes: list[int]) -> DataFrame:
+    """(keep, h, p, size, r, part, i): the windows of the given sizes of the texts' ``codes``:
+    hash, position, reading (``BOTH`` where the readings agree), and where their codes stand.
 
-    def of(size: int, found: str, shape: str, reading: int) -> Column:
-        def one(i: Column) -> Column:
-            part = F.slice(F.col(found), i, size)
-            slots = F.when(F.col("_slots"), F.array_join(F.filter(part, is_slot), BETWEEN)).otherwise("")
-            # too few fixed tokens: by its values, as another kind of hash
-            bare = F.col("_slots") & (2 * F.size(F.filter(part, is_slot)) > size)
-            h = F.when(bare, F.xxhash64(part, F.lit(-size))).otherwise(F.xxhash64(F.slice(F.col(shape), i, size), F.lit(size)))
-            same = F.col("_one") | (F.slice("_found", i, size) == F.slice("_all", i, size))
-            mark = F.when(same, BOTH).otherwise(reading) if once else F.lit(reading)
-            return F.struct(h.alias("h"), slots.alias("s"), i.alias("p"), mark.alias("r"))
+    A long text is cut into rows of ``CHUNK`` starts; a window's hash is computed from
+    the array by generated code, row by row, and no window is copied."""
+    n = F.size("codes")
+    starts = F.sequence(F.lit(0), F.floor((n - 1) / CHUNK).cast("int"))
+    cut = rows.where("size(codes) > 0").select(*keep, "codes", F.explode(starts).alias("chunk"))
+    cut = cut.select(*keep, (F.col("chunk") * CHUNK).alias("base"), F.slice("codes", F.col("chunk") * CHUNK + 1, CHUNK + WINDOW - 1).alias("part"))
+    at = cut.select(*keep, "base", "part", F.posexplode("part").alias("i", "c")).where(F.col("i") < CHUNK)
+    here = [F.col("c"), *[F.get("part", F.col("i") + k) for k in range(1, WINDOW)]]
+    found = []
+    for size in sizes:
+        mine = here[:size]
+        either = sum((F.when(_kind(c) == EITHER, 1).otherwise(0) for c in mine[1:]), F.when(_kind(mine[0]) == EITHER, 1).otherwise(0)) > 0
+        whole = mine[-1].isNotNull()
+        found.append(F.when(whole, F.struct(window_hash(mine, INSIDE).alias("h"), F.lit(size).alias("size"), F.when(either, INSIDE).otherwise(BOTH).alias("r"))))
+        found.append(F.when(whole & either, F.struct(window_hash(mine, ALL).alias("h"), F.lit(size).alias("size"), F.lit(ALL).alias("r"))))
+    each = at.select(*keep, "base", "part", "i", F.explode(F.array(*found)).alias("w")).where("w is not null")
+    return each.select(*keep, "w.h", (F.col("base") + F.col("i") + 1).alias("p"), "w.size", "w.r", "part", "i")
 
-        n = F.size("_shape")
-        at = F.sequence(F.lit(1), n - size + 1)
-        some = n >= size
-        if once and reading == ALL:
-            some = some & ~F.col("_one")
-            at = F.filter(at, lambda i: F.slice("_found", i, size) != F.slice("_all", i, size))
-        return F.when(some, F.transform(at, one)).otherwise(F.expr("array()"))
 
-    return F.concat(*[of(x, *y) for x in sizes for y in (("_found", "_shape", INSIDE), ("_all", "_all_shape", ALL))])
+def _coded(texts: DataFrame, keep: list[Column]) -> DataFrame:
+    return texts.select(*keep, codes(F.col("text").cast("string")).alias("codes"))
 
 
-def _tokenised(texts: DataFrame, keep: list[Column]) -> DataFrame:
-    text = F.col("text").cast("string")
-    rows = texts.select(*keep, tokens(text).alias("_found"), tokens(text, _CAPITAL_AT).alias("_all")).where("size(_found) > 0")
-    rows = rows.withColumns({"_shape": template(F.col("_found")), "_all_shape": template(F.col("_all")), "_one": F.col("_found") == F.col("_all")})
-    return rows.withColumn("_slots", F.exists("_all", is_slot))  # the names of the first reading are among those of the second
+def _slots(reading: Column) -> Column:
+    return slots_of(F.slice("part", F.col("i") + 1, F.col("size")), reading)
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     """(h, item_id, tokens, size, item_slots, at, reading): windows of the items in both readings."""
-    items = _tokenised(benchmark, [F.col("item_id")]).withColumn("tokens", F.size("_shape"))
-    parts = []
-    for size in range(1, WINDOW + 1):
-        these = items.where(F.col("tokens") == size if size < WINDOW else F.col("tokens") >= size)
-        found = these.select("item_id", "tokens", F.inline(windows([size], once=False)))
-        parts.append(found.withColumn("size", F.lit(size)))
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.union(p)
-    return union.select("h", "item_id", "tokens", "size", F.col("s").alias("item_slots"), F.col("p").alias("at"), F.col("r").alias("reading"))
+    items = _coded(benchmark, [F.col("item_id")]).withColumn("tokens", F.size("codes")).checkpoint()
+    found = windows(items, ["item_id", "tokens"], list(range(1, WINDOW + 1))).where(F.col("size") == F.least("tokens", F.lit(WINDOW)))
+    both = found.withColumn("reading", F.explode(F.when(F.col("r") == BOTH, F.array(F.lit(INSIDE), F.lit(ALL))).otherwise(F.array("r"))))
+    return both.select("h", "item_id", "tokens", "size", _slots(F.col("reading")).alias("item_slots"), F.col("p").alias("at"), "reading")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -129,15 +146,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = known.agg(F.count(F.lit(1)).alias("n"), F.collect_set("size").alias("sizes")).first()  # at most WINDOW sizes
     few = found["n"] <= MAX_BROADCAST_WINDOWS
     sizes = sorted(found["sizes"]) or [WINDOW]
-    rows = _tokenised(docs, [doc_key().alias("key")])
-    asked = rows.select("key", F.inline(windows(sizes, once=True)))
-    matched = asked.join(F.broadcast(known) if few else known, "h").where((F.col("r") == BOTH) | (F.col("r") == F.col("reading")))
+    asked = windows(_coded(docs, [doc_key().alias("key")]), ["key"], sizes)
+    known = known.withColumnRenamed("size", "item_size")
+    matched = asked.join(F.broadcast(known) if few else known, "h").where("size = item_size").where((F.col("r") == BOTH) | (F.col("r") == F.col("reading")))
+    matched = matched.withColumn("s", _slots(F.col("reading")))  # the slots of matched windows only
     # along one alignment: positions differ by the same number
     aligned = matched.groupBy("key", "item_id", "tokens", "reading", (F.col("p") - F.col("at")).alias("shift")).agg(
         F.collect_set(F.struct("item_slots", "s")).alias("slots"), F.collect_set(F.struct("at", "size")).alias("places")
     )
-    split = lambda c: F.split(c, BETWEEN)
-    values = F.array_distinct(F.flatten(F.transform("slots", lambda x: F.arrays_zip(split(x["item_slots"]).alias("i"), split(x["s"]).alias("d")))))
+    values = F.array_distinct(F.flatten(F.transform("slots", lambda x: F.arrays_zip(x["item_slots"].alias("i"), x["s"].alias("d")))))
     distinct = lambda side: F.size(F.array_distinct(F.transform("values", lambda x: x[side])))
     consistent = aligned.withColumn("values", values).where((F.size("values") == distinct("i")) & (F.size("values") == distinct("d")))
     cover = F.flatten(F.transform("places", lambda x: F.sequence(x["at"], x["at"] + x["size"] - 1)))
@@ -168,5 +185,6 @@ def flag_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the contaminated documents."""
-    bad = contaminated(docs, benchmark).select(F.col("key").alias("_key")).distinct()
-    return docs.withColumn("_key", doc_key()).join(bad, "_key", "left_anti").drop("_key")
+    bad = contaminated(docs, benchmark).select("key").distinct()
+    whole = docs.select(doc_key().alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return whole.join(bad, "key", "left_anti").select("row.*")

@@ -49,9 +49,10 @@ UNITS = (
 
 NAME, UNIT, CAPITAL = "\u0001", "\u0002", "\u0003"  # marks before a token
 
-_NAME_AT = r"(?<=[\p{Ll},;:] )(?=\p{Lu}\p{Ll})"
-_CAPITAL_AT = r"(?<![\p{L}" + NAME + r"])(?=\p{Lu}\p{Ll})"
-_UNIT_AT = r"(?<=[0-9] ?)(?=(?:" + "|".join(UNITS) + r")(?![\p{L}\p{N}]))"
+# the letters come first in the patterns: most positions fail there at once
+_NAME_AT = r"(?=\p{Lu}\p{Ll})(?<=[\p{Ll},;:] )"
+_CAPITAL_AT = r"(?=\p{Lu}\p{Ll})(?<![\p{L}" + NAME + r"])"
+_BEFORE_UNIT = r"([0-9] ?)(?=(?:" + "|".join(UNITS) + r")(?![\p{L}\p{N}]))"
 _TOKEN = f"[{NAME}{UNIT}{CAPITAL}]?\\p{{L}}+|[0-9]+(?:[.,][0-9]+)*"
 
 # kinds of a token, the lower three bits of its code: a capitalised first word is either a word or a name
@@ -63,7 +64,7 @@ CHUNK = 4096                 # tokens of a text whose windows start in one row
 
 def codes(text: Column) -> Column:
     """Array of a code for each word and number in order: a hash of the lower-case token, and its kind."""
-    marked = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, _NAME_AT, NAME), _CAPITAL_AT, CAPITAL), _UNIT_AT, UNIT)
+    marked = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, _NAME_AT, NAME), _CAPITAL_AT, CAPITAL), _BEFORE_UNIT, f"$1{UNIT}")
     found = F.regexp_extract_all(F.lower(marked), F.lit(_TOKEN), F.lit(0))
 
     def code(t: Column) -> Column:
@@ -85,14 +86,9 @@ def _kind(code: Column) -> Column:
     return code.bitwiseAND(F.lit(KIND))
 
 
-def window_hash(found: list[Column], reading: int) -> Column:
-    """Hash of a window's template: the kinds of its slots and its other tokens. With
-    fewer than half of the tokens outside slots it is, as another kind of hash, that
-    of the values."""
-    read = [_as_read(c, reading) for c in found]
-    slots = sum((F.when(_kind(c) != WORD, 1).otherwise(0) for c in read[1:]), F.when(_kind(read[0]) != WORD, 1).otherwise(0))
-    shape = F.xxhash64(*[F.when(_kind(c) != WORD, _kind(c)).otherwise(c) for c in read], F.lit(len(read)))
-    return F.when(2 * slots > len(read), F.xxhash64(*read, F.lit(-len(read)))).otherwise(shape)
+def _shape(code: Column) -> Column:
+    """What a token is in a template: the kind of a slot, or else the token's code."""
+    return F.when(_kind(code) != WORD, _kind(code)).otherwise(code)
 
 
 def slots_of(found: Column, reading: Column) -> Column:
@@ -105,23 +101,40 @@ def windows(rows: DataFrame, keep: list[str], sizes: list[int]) -> DataFrame:
     """(keep, h, p, size, r, part, i): the windows of the given sizes of the texts' ``codes``:
     hash, position, reading (``BOTH`` where the readings agree), and where their codes stand.
 
-    A long text is cut into rows of ``CHUNK`` starts; a window's hash is computed from
-    the array by generated code, row by row, and no window is copied."""
-    n = F.size("codes")
-    starts = F.sequence(F.lit(0), F.floor((n - 1) / CHUNK).cast("int"))
-    cut = rows.where("size(codes) > 0").select(*keep, "codes", F.explode(starts).alias("chunk"))
+    The hash is that of the template: the kinds of the slots and the other tokens. With
+    fewer than half of the tokens outside slots it is, as another kind of hash, that of
+    the values. A long text is cut into rows of ``CHUNK`` starts; tokens are read in
+    both ways once a row, and windows are hashed by generated code (kept short: a
+    large method is not compiled)."""
+    pieces = F.filter(F.sequence(F.lit(0), F.floor(F.size("codes") / CHUNK).cast("int")), lambda x: x * CHUNK < F.size("codes"))
+    cut = rows.select(*keep, "codes", F.explode(pieces).alias("chunk"))
     cut = cut.select(*keep, (F.col("chunk") * CHUNK).alias("base"), F.slice("codes", F.col("chunk") * CHUNK + 1, CHUNK + WINDOW - 1).alias("part"))
-    at = cut.select(*keep, "base", "part", F.posexplode("part").alias("i", "c")).where(F.col("i") < CHUNK)
-    here = [F.col("c"), *[F.get("part", F.col("i") + k) for k in range(1, WINDOW)]]
-    found = []
-    for size in sizes:
-        mine = here[:size]
-        either = sum((F.when(_kind(c) == EITHER, 1).otherwise(0) for c in mine[1:]), F.when(_kind(mine[0]) == EITHER, 1).otherwise(0)) > 0
-        whole = mine[-1].isNotNull()
-        found.append(F.when(whole, F.struct(window_hash(mine, INSIDE).alias("h"), F.lit(size).alias("size"), F.when(either, INSIDE).otherwise(BOTH).alias("r"))))
-        found.append(F.when(whole & either, F.struct(window_hash(mine, ALL).alias("h"), F.lit(size).alias("size"), F.lit(ALL).alias("r"))))
-    each = at.select(*keep, "base", "part", "i", F.explode(F.array(*found)).alias("w")).where("w is not null")
-    return each.select(*keep, "w.h", (F.col("base") + F.col("i") + 1).alias("p"), "w.size", "w.r", "part", "i")
+
+    def read(reading: int) -> Column:
+        values = F.transform("part", lambda c: _as_read(c, reading))
+        return F.struct(F.lit(reading).alias("r"), values.alias("values"), F.transform(values, _shape).alias("shape"))
+
+    either = F.exists("part", lambda c: _kind(c) == EITHER)
+    ways = F.when(either, F.array(read(INSIDE), read(ALL))).otherwise(F.array(read(INSIDE)))
+    at = cut.select(*keep, "base", "part", F.explode(ways).alias("way")).select(*keep, "base", "part", "way.r", "way.values", "way.shape")
+    at = at.select(*keep, "base", "part", "r", "values", "shape", F.posexplode("shape").alias("i", "_")).where(F.col("i") < CHUNK)
+    at = at.withColumn("size", F.explode(F.lit(sizes).cast("array<int>")) if len(sizes) > 1 else F.lit(sizes[0]))
+    at = at.where(F.col("i") + F.col("size") <= F.size("shape"))
+
+    def count(array: str, is_it) -> Column:
+        def one(k: int) -> Column:
+            return is_it(F.get(array, F.col("i") + k)) if k < min(sizes) else (F.lit(k) < F.col("size")) & is_it(F.get(array, F.col("i") + k))
+
+        tests = [F.when(one(k), 1).otherwise(0) for k in range(max(sizes))]
+        return sum(tests[1:], tests[0])
+
+    slots = count("shape", lambda c: (c >= NUMBER) & (c <= IS_UNIT))
+    unsure = count("part", lambda c: _kind(c) == EITHER)
+    of = lambda array: F.slice(array, F.col("i") + 1, F.col("size"))
+    h = F.when(2 * slots > F.col("size"), F.xxhash64(of("values"), -F.col("size"))).otherwise(F.xxhash64(of("shape"), F.col("size")))
+    told = at.withColumn("unsure", unsure).where((F.col("r") == INSIDE) | (F.col("unsure") > 0))
+    r = F.when(F.col("unsure") == 0, BOTH).otherwise(F.col("r"))
+    return told.select(*keep, h.alias("h"), (F.col("base") + F.col("i") + 1).alias("p"), "size", r.alias("r"), "part", "i")
 
 
 def _coded(texts: DataFrame, keep: list[Column]) -> DataFrame:

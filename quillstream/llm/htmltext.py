@@ -22,14 +22,13 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_DEPTH = 200
-
 # --- fixed values: element names of the HTML standard, by what they mean here
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe template svg math xmp noembed noframes".split())
@@ -46,12 +45,18 @@ CLOSED_BY = {  # an open element of the key's name ends where one of these start
     "option": frozenset(["option", "optgroup"]),
 }
 SCOPE = frozenset("article section div body main table td th li ul ol blockquote".split())  # an end tag inside does not close what is outside
+# class and id names that are not the article's, whole or as the last part of a name; with
+# one of PLACES after it also as its first part ("cookie-notice", "share-buttons", but not "tag-politics")
 NOT_TEXT = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|popup|modal|overlay|newsletter|subscribe|signup|"
-    r"share|sharing|social|related|recommend\w*|comments?|disqus|replies|respond|sidebar|side|widget|nav\w*|menu|breadcrumbs?|pagination|pager|"
-    r"footer|footnav|masthead|topbar|toolbar|login|search|skip|toc|tags?|byline-share)(?:$|[\s_-]|\d)",
+    r"(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|popup|modal|overlay|newsletter|subscribe|signup|"
+    r"share|sharing|social|related|recommend\w*|comments?|disqus|replies|respond|sidebar|side|widgets?|nav\w*|menu|breadcrumbs?|pagination|pager|"
+    r"footer|footnav|masthead|topbar|toolbar|login|search|skip|toc|tags?)",
     re.IGNORECASE,
 )
+PLACES = frozenset(
+    "posts links link list lists box bar items item block area section container wrapper wrap inner outer buttons button icons icon form "
+    "left right top bottom primary secondary panel column unit slot row group holder thread stories articles cloud".split()
+)
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 
 # attributes without backtracking: a quote that is never closed is an ordinary character
@@ -66,23 +71,31 @@ _WHITE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "drop", "points", "chars", "linked", "commas", "own")
+    __slots__ = ("tag", "parent", "children", "drop", "block", "article", "points", "chars", "linked", "commas", "own")
 
     def __init__(self, tag: str, parent: Node | None, drop: bool = False):
         self.tag, self.parent, self.drop = tag, parent, drop
         self.children: list[Node | str] = []
+        self.block: Node = parent.block if parent is not None and tag in INLINE else self  # the nearest element that is not inline
+        self.article: bool = tag in ("article", "main") or parent is not None and parent.article
         self.points, self.chars, self.linked, self.commas, self.own = 0.0, 0, 0, 0, 0
 
 
-def _left_out(tag: str, attributes: str, parent: Node) -> bool:
+def _names_other_text(name: str) -> bool:
+    parts = re.split(r"[-_]+", name)
+    if len(set(parts)) < len(parts):  # side-by-side
+        return False
+    last = parts[-1] if not parts[-1].isdigit() or len(parts) == 1 else parts[-2]
+    if NOT_TEXT.fullmatch(last):
+        return last == parts[-1] or len(parts) == 2 and last not in ("skip", "tag", "tags")
+    return len(parts) > 1 and bool(NOT_TEXT.fullmatch(parts[0])) and last.lower() in PLACES
+
+
+def _left_out(tag: str, attributes: str, parent: Node, by_name: bool) -> bool:
     if tag in DROPPED:
         return True
-    if tag == "header":  # of the page; the header of an article holds its heading
-        node = parent
-        while node is not None and node.tag not in ("article", "main"):
-            node = node.parent
-        if node is None:
-            return True
+    if tag == "header" and not parent.article:  # of the page; the header of an article holds its heading
+        return True
     if not attributes.strip():
         return False
     found = {k.lower(): (v or "").strip("\"'") for k, v in _NAMED.findall(attributes)}
@@ -90,15 +103,17 @@ def _left_out(tag: str, attributes: str, parent: Node) -> bool:
         return True
     if found.get("role", "").lower() in ROLES:
         return True
-    if tag in ("body", "html", "article", "main", "p", "h1", "h2"):
+    if not by_name or tag in ("body", "html", "article", "main", "p", "h1", "h2"):
         return False
-    return any(NOT_TEXT.search(html.unescape(found[k])) for k in ("class", "id") if k in found)
+    return any(_names_other_text(name) for k in ("class", "id") if k in found for name in html.unescape(found[k]).split())
 
 
-def parse(page: str) -> Node:
-    """The page's tree; text is kept as it stands between the tags."""
+def parse(page: str, by_name: bool = True) -> Node:
+    """The page's tree; text is kept as it stands between the tags. ``by_name``: elements
+    whose class or id names something else than the article are left out."""
     root = Node("#page", None)
-    node, at, depth = root, 0, 0
+    node, at = root, 0
+    is_open: Counter[str] = Counter()
     scan = _TAG.search
     while True:
         m = scan(page, at)
@@ -118,37 +133,36 @@ def parse(page: str) -> Node:
             continue
         tag = tag.lower()
         if m[1]:
-            step, up = node, 0
+            step = node if is_open[tag] else None
             while step is not None and step.tag != tag and not (step.tag in SCOPE and tag not in SCOPE):
-                step, up = step.parent, up + 1
-            if step is not None and step.tag == tag and step.parent is not None:
-                node, depth = step.parent, depth - up - 1
+                step = step.parent
+            if step is not None and step.tag == tag:
+                node = _closed(node, step, is_open)
             continue
-        while (closers := CLOSED_BY.get(_block_of(node).tag)) and tag in closers:
-            block = _block_of(node)
-            while node is not block:
-                node, depth = node.parent, depth - 1
-            node, depth = node.parent, depth - 1
+        while (closers := CLOSED_BY.get(node.block.tag)) and tag in closers:
+            node = _closed(node, node.block, is_open)
         if tag in VOID:
             node.children.append(Node(tag, node))
             continue
         attributes = m[3]
-        child = Node(tag, node, node.drop or _left_out(tag, attributes, node))
+        child = Node(tag, node, node.drop or _left_out(tag, attributes, node, by_name))
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*[^>]*>", re.IGNORECASE).search(page, at)
             at = end.end() if end else len(page)
             continue
         node.children.append(child)
         if not attributes.endswith("/") or tag not in ("svg", "math"):
-            if depth < MAX_DEPTH:
-                node, depth = child, depth + 1
+            node = child
+            is_open[tag] += 1
 
 
-def _block_of(node: Node) -> Node:
-    """The nearest element that is not inline."""
-    while node.tag in INLINE and node.parent is not None:
+def _closed(node: Node, last: Node, is_open: Counter[str]) -> Node:
+    """The parent of ``last``, with all open elements from ``node`` up to it closed."""
+    while True:
+        is_open[node.tag] -= 1
+        if node is last:
+            return node.parent
         node = node.parent
-    return node
 
 
 def _measure(node: Node) -> None:
@@ -245,9 +259,13 @@ def main_text(page: str | None) -> str:
     """The main text of one page."""
     if not page:
         return ""
-    root = parse(page)
-    _measure(root)
-    return "\n".join(_blocks(_best(root)))
+    for by_name in (True, False):  # a page of which the names leave nothing is read without them
+        root = parse(page, by_name)
+        _measure(root)
+        text = "\n".join(_blocks(_best(root)))
+        if text:
+            break
+    return text
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -1,6 +1,8 @@
 import html
 import re
 
+import pytest
+
 from quillstream.llm import htmltext
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body class="single-post">
@@ -37,6 +39,32 @@ def test_deep_and_long_pages():
     assert htmltext.main_text("<b" * 20_000) is not None
 
 
+@pytest.mark.parametrize("name", [
+    "post type-post tag-politics", "side-by-side", "social-science", "search-results-article", "related-work", "entry tags-none", "content skip-0", "notice-board-post",
+])
+def test_names_that_only_hold_such_a_word(name):
+    text = "A sentence of the article, long enough to count, and with commas, too."
+    page = f"<body><div class='menu'><p>Home, news, sport, and so on</p></div><div class='{name}'>" + f"<p>{text}</p>" * 10 + "</div></body>"
+    assert htmltext.main_text(page) == "\n".join([text] * 10)
+
+
+@pytest.mark.parametrize("name", ["cookie-notice", "share-buttons", "related-posts", "comments-area", "site_footer", "sidebar", "main-nav", "ad ad-slot", "widget-2"])
+def test_names_of_other_parts(name):
+    page = f"<body><div class='content'><p>The text, which stays, of course.</p><div class='x {name}'><p>{'Other text, with commas, here. ' * 9}</p></div></div></body>"
+    assert htmltext.main_text(page) == "The text, which stays, of course."
+
+
+def test_a_page_of_which_names_leave_nothing_is_read_without_them():
+    assert htmltext.main_text("<div class='modal'><p>All that there is, really.</p><nav>no</nav></div>") == "All that there is, really."
+
+
+@pytest.mark.parametrize("depth", [10, 210, 5000])
+def test_left_out_at_any_depth(depth):
+    inner = "<p>Deep text, of the page.</p>" + "".join(f"<div class='{c}'><p>{c} text, no</p></div>" for c in ("menu", "comments")) + "<aside>no</aside><nav>no</nav>"
+    assert htmltext.main_text("<div>" * depth + inner + "</div>" * depth) == "Deep text, of the page."
+    assert htmltext.main_text("<b>" * depth + "<i>x</i></p></u>" * depth) == "x" * depth
+
+
 def test_table(spark):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (None, "v", ""), (3, "w", "<p>x")]
     pages = spark.createDataFrame([(*r, "t", 9) for r in rows], "page_id long, url string, html string, text string, n_chars int")

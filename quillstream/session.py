@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -17,6 +19,8 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+_SHIPPED: set[str] = set()  # applications that have the package
+
 
 def build_session(
     master: str | None = None,
@@ -80,6 +84,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quillstream-checkpoints-"))
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the executors' Python workers, once a session,
+    wherever the driver was started (a zip of its sources through ``addPyFile``)."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="quillstream-package-"), "quillstream.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(package):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A sub-folder of the shared checkpoint root, e.g. for a stream checkpoint."""
     return "/".join([checkpoint_root(spark), *[p.strip("/") for p in parts]])

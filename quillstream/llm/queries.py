@@ -2,27 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from quillstream.llm import bwtdedup, collocations, convtrie, decontam, htmltext, iblt, langid, linededup, minhash, packing, quality, sharding, toxicity
+from quillstream.session import ensure_checkpoint_dir, ship_package
 from quillstream.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def ready(spark: SparkSession) -> None:
-    """The operators write intermediate tables to the shared folder that the
-    session names in ``spark.checkpoint.dir``. Only a local session without one
-    gets a folder of its own; a cluster has to name it."""
-    context = spark.sparkContext
-    if spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir():
-        return
-    if not context.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir is not set; name a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="quillstream-checkpoints-"))
+    """Before an operator runs: a shared folder for intermediate tables, and the package in the Python workers."""
+    ensure_checkpoint_dir(spark)
+    ship_package(spark)
 
 
 def _documents(spark: SparkSession, d: str) -> DataFrame:
@@ -35,6 +29,7 @@ def _labels(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op1_main_text(spark: SparkSession, d: str) -> DataFrame:
+    ready(spark)
     return htmltext.extract(read_table(spark, d, "pages", ["page_id", "url", "html"]))
 
 
@@ -80,10 +75,12 @@ def op11_collocations(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op12_hyperdimensional_language(spark: SparkSession, d: str) -> DataFrame:
+    ready(spark)
     return langid.identify(read_table(spark, d, "documents", ["doc_id", "text", "lang"]))
 
 
 def op13_conversation_trie(spark: SparkSession, d: str) -> DataFrame:
+    ready(spark)
     return convtrie.trie(read_table(spark, d, "conversations", ["conv_id", "turn", "role", "text"]))
 
 

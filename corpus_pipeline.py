@@ -9,6 +9,12 @@ last return the columns of ``documents``:
 3. ``unit_dedup``: repeated sentences and lines are cut out of the texts;
 4. ``decontaminate``: documents with benchmark items in them are dropped;
 5. ``pack``: pieces of at most 2048 tokens and their places in sequences.
+
+Cases: a null text is empty and stays (a class of its own with other texts without
+words); a null ``doc_id`` is kept and ranks last; repeated rows are copies, of which
+one stays; among near duplicates the smallest ``doc_id`` stays, among its equal rows
+one; long texts are read whole; an empty table gives no rows. Columns other than
+``doc_id``, ``text`` and ``n_chars`` pass through under any name.
 """
 
 from __future__ import annotations
@@ -42,6 +48,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def unit_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ready(spark)
     cut = linededup.dedup_units(docs).select(*docs.columns)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 

@@ -13,8 +13,8 @@ last return the columns of ``documents``:
 Cases: a null text is empty and stays (a class of its own with other texts without
 words); a null ``doc_id`` is kept and ranks last; repeated rows are copies, of which
 one stays; among near duplicates the smallest ``doc_id`` stays, among its equal rows
-one; long texts are read whole; an empty table gives no rows. Columns other than
-``doc_id``, ``text`` and ``n_chars`` pass through under any name.
+one; long texts are read whole; an empty table gives no rows. Other columns pass
+through; ``score`` and names that start with an underscore are the stages' own.
 """
 
 from __future__ import annotations

@@ -8,11 +8,14 @@ cancels. A cell left with one digest gives it away; taking it out of its other
 cells frees further ones (peeling), until all differing digests are known.
 
 ``fingerprint`` is the sketch of ``CELLS`` cells, written out; it holds some half a
-dozen differences. If it does not peel, larger sketches are taken: the digests are
-dealt by hash into as many sketches as leave about ``LOAD`` digests in each, and of
-these any that does not peel is taken again with more cells (``LADDER``), each time
-with other hashes. A sketch that fails on every rung counts all its digests as
-differing. The work is linear in the paragraphs (apart from sorting them).
+dozen differences. If it does not peel, larger sketches are taken: the digests of both
+versions are dealt by hash into as many sketches as leave about ``LOAD`` digests in
+each. A larger sketch first has one cell, which what the versions share cancels out of;
+if more than one digest is left in it, it is taken again with more cells (``LADDER``),
+each time with other hashes. Larger sketches are summed from the digests of both
+versions with their signs, which gives the cells that subtracting would give. A
+sketch that fails on every rung is settled by comparing its digests. The work is
+linear in the paragraphs (apart from sorting them).
 
 Likeness of two texts is the Jaccard index of their digest sets, from the sizes and
 the number of recovered differences. DataFrame functions only; all of it within a row.
@@ -34,9 +37,9 @@ from pyspark.sql import functions as F
 from quillstream.session import default_partitions
 
 CELLS = 12                  # of a fingerprint, in three tables
-LOAD = 4                    # digests of both texts in a larger sketch, on average
-LOAD_OF_VERSIONS = 10       # the same for versions of one text, which share most of them
-LADDER = (12, 36, 108, 324)  # cells of a larger sketch, then of its retries
+LOAD = 0.5                  # digests of both texts in a larger sketch, on average
+LOAD_OF_VERSIONS = 4        # the same for versions of one text, which share most of them
+LADDER = (12, 36, 108, 324)  # cells of a larger sketch after its single one
 ROUNDS = (6, 6, 8, 10, 12)  # peeling rounds at most: of a fingerprint, then by rung
 FIRST = -(1 << 63)          # rank of a null doc_id: below all others
 
@@ -67,19 +70,27 @@ def _cells_of(digest: Column, cells: int, seed: int) -> Column:
     return F.array(*[(F.pmod(bits(j), F.lit(third)) + j * third).cast("int") for j in range(3)])
 
 
+def _none() -> Column:
+    return F.expr("cast(array() as array<struct<x:bigint,s:int>>)")
+
+
+def _add(cell: Column, e: Column) -> Column:
+    return F.struct((cell["n"] + e["s"]).alias("n"), cell["k"].bitwiseXOR(e["x"]).alias("k"), cell["h"].bitwiseXOR(e["h"]).alias("h"))
+
+
+def one_cell(signed: Column) -> Column:
+    """The single cell of a group's digests."""
+    empty = F.struct(F.lit(0).alias("n"), _LONG().alias("k"), _LONG().alias("h"))
+    return F.aggregate(signed, empty, lambda c, e: _add(c, F.struct(e["x"].alias("x"), e["s"].alias("s"), _check(e["x"]).alias("h"))))
+
+
 def sketch(signed: Column, cells: int, seed: int) -> Column:
     """Cells (n, k, h) of an array of (digest ``x``, sign ``s``)."""
 
     def build(items: Column) -> Column:
         def cell(c: Column) -> Column:
             empty = F.struct(F.lit(0).alias("n"), _LONG().alias("k"), _LONG().alias("h"))
-            return F.aggregate(
-                items, empty,
-                lambda a, e: F.when(
-                    F.array_contains(e["p"], c),
-                    F.struct((a["n"] + e["s"]).alias("n"), a["k"].bitwiseXOR(e["x"]).alias("k"), a["h"].bitwiseXOR(e["h"]).alias("h")),
-                ).otherwise(a),
-            )
+            return F.aggregate(F.filter(items, lambda e: F.array_contains(e["p"], c)), empty, _add)
 
         return F.transform(F.sequence(F.lit(0), F.lit(cells - 1)), cell)
 
@@ -117,7 +128,7 @@ def peel(cells: Column, size: int, seed: int) -> Column:
 
         return _let(found, take)
 
-    start = F.struct(cells.alias("cells"), F.expr("cast(array() as array<struct<x:bigint,s:int>>)").alias("out"))
+    start = F.struct(cells.alias("cells"), _none().alias("out"))
     done = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS[seed])), start, step)
     empty = lambda c: (c["n"] == 0) & (c["k"] == 0) & (c["h"] == 0)
     return _let(done, lambda d: F.when(F.forall(d["cells"], empty), d["out"]))
@@ -138,7 +149,13 @@ def written(cells: Column, digests: Column) -> Column:
     return F.concat_ws(":", F.size(digests).cast("string"), F.concat_ws("-", hexes))
 
 
-def differences(a: Column, b: Column, base_a: Column, base_b: Column, load: int = LOAD) -> Column:
+def _apart(signed: Column) -> Column:
+    """The exact way out: digests of one sign that the other sign does not have."""
+    of = lambda sign: F.transform(F.filter(signed, lambda e: e["s"] == sign), lambda e: e["x"])
+    return F.concat(_signed(F.array_except(of(1), of(-1)), 1), _signed(F.array_except(of(-1), of(1)), -1))
+
+
+def differences(a: Column, b: Column, base_a: Column, base_b: Column, load: float = LOAD) -> Column:
     """Digests (x, s) that differ between sets ``a`` (s = 1) and ``b`` (s = -1)."""
 
     def larger(size_of_both: Column) -> Column:
@@ -167,16 +184,19 @@ def differences(a: Column, b: Column, base_a: Column, base_b: Column, load: int
     def recovered(group: Column) -> Column:
         def climb(g: Column) -> Column:
             rungs = [peel(sketch(g, size, seed), size, seed) for seed, size in enumerate(LADDER, start=1)]
-            return F.coalesce(*rungs, g)
+            single = _let(one_cell(g), lambda c: F.when(
+                (c["n"] == 0) & (c["k"] == 0) & (c["h"] == 0), _none()
+            ).when((F.abs(c["n"]) == 1) & (c["h"] == _check(c["k"])), F.array(F.struct(c["k"].alias("x"), c["n"].alias("s")))))
+            return F.coalesce(single, *rungs, _apart(g))
 
         return _let(group, climb)
 
     both = F.size(a) + F.size(b)
     small = peel(subtract(base_a, base_b), CELLS, 0)
-    return F.when(both == 0, F.expr("cast(array() as array<struct<x:bigint,s:int>>)")).otherwise(F.coalesce(small, larger(both)))
+    return F.when(both == 0, _none()).otherwise(F.coalesce(small, larger(both)))
 
 
-def likeness(a: Column, b: Column, base_a: Column, base_b: Column, load: int = LOAD) -> Column:
+def likeness(a: Column, b: Column, base_a: Column, base_b: Column, load: float = LOAD) -> Column:
     """Jaccard index of two digest sets, from their sizes and recovered differences."""
     both = F.size(a) + F.size(b)
     apart = F.size(differences(a, b, base_a, base_b, load))

@@ -66,6 +66,24 @@ def test_recovers_the_differing_digests(spark, n):
     assert Counter((e.x, e.s) for e in row.d) == Counter([(x, 1) for x in set(a) - set(b)] + [(x, -1) for x in set(b) - set(a)])
 
 
+def test_signed_sums_are_the_subtracted_sketches(spark):
+    digests = [hash((i, "y")) for i in range(40)]
+    one = spark.createDataFrame([(digests[:30], digests[10:])], "a array<long>, b array<long>")
+    signed = F.concat(iblt._signed(F.col("a"), 1), iblt._signed(F.col("b"), -1))
+    apart = iblt.subtract(*[iblt.sketch(iblt._signed(F.col(c), 1), 36, 2) for c in "ab"])
+    assert one.select((iblt.sketch(signed, 36, 2) == apart).alias("same")).first().same
+
+
+@pytest.mark.parametrize("n", [1, 3, 60])
+def test_a_sketch_that_never_peels_is_settled_exactly(spark, monkeypatch, n):
+    monkeypatch.setattr(iblt, "LADDER", ())
+    a, b = [hash((i, "z")) for i in range(50)], [hash((i, "z")) for i in range(n, 50 + n)]
+    one = spark.createDataFrame([(a, b)], "a array<long>, b array<long>")
+    base = lambda c: iblt.base_sketch(F.col(c))
+    (row,) = one.select(iblt.differences(F.col("a"), F.col("b"), base("a"), base("b"), 30).alias("d")).collect()
+    assert Counter((e.x, e.s) for e in row.d) == Counter([(x, 1) for x in set(a) - set(b)] + [(x, -1) for x in set(b) - set(a)])
+
+
 def test_a_failing_sketch_says_so(spark):
     digests = [hash((i, "x")) for i in range(200)]
     one = spark.createDataFrame([(digests,)], "a array<long>").select(iblt.base_sketch(F.col("a")).alias("c"))

@@ -3,8 +3,9 @@
 A text is cut into units at line breaks and sentence ends (``.``, ``!``, ``?``).
 A unit is normalised to its lower-case words (runs of letters and numbers). A
 unit of at least ``MIN_WORDS`` words is identified by its words; a shorter one
-together with the unit before it, if both have that many, so that "Of." alone is
-never taken for a copy but goes with the passage around it. Digests (128 bits)
+together with the fewest units with words before it that reach that many, so that
+"Of." alone is never taken for a copy but goes with the passage around it, and a
+passage of short lines is found (but for its first words). Digests (128 bits)
 are grouped over all documents. The occurrence in the smallest ``doc_id`` and,
 there, the first one stay; all others are removed from the texts, and their
 offsets in the original text (code points) are returned.
@@ -15,9 +16,10 @@ marked goes back through a join on the digest (a skewed one is split) and then
 by document. No group is ever gathered.
 
 Cases: a null text stays null and has no units; an empty text is unchanged; rows
-that share a ``doc_id`` count as one document, so equal rows keep the same units;
-a null ``doc_id`` ranks last; other columns pass through, but input columns named
-like the added ones (``ADDED``) are replaced.
+that share a ``doc_id`` count as one document, so equal rows keep the same units; a
+null ``doc_id`` ranks last, and there each text is a document of its own, by its
+hash; other columns pass through whatever their names, but input columns named like
+the added ones (``ADDED``) are replaced.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillstream.llm.textarrays import Block, blocks, doc_starts, mix, span_hashes, word_spans
@@ -77,15 +79,23 @@ class Units:
         self.words = last - first
         one = span_hashes(hashes, first, last)
         two = span_hashes(mix(hashes ^ _SECOND), first, last)
-        follows = np.zeros(len(one), dtype=bool)
-        follows[1:] = self.owner[1:] == self.owner[:-1]
-        short = (self.words < min_words) & (self.words > 0) & follows
-        short[1:] &= self.words[1:] + self.words[:-1] >= min_words
-        for digest in (one, two):
-            paired = mix(digest[:-1] * _PAIR + digest[1:])
-            digest[1:][short[1:]] = paired[short[1:]]
+        self.eligible = self.words >= min_words
+        some = np.flatnonzero(self.words > 0)  # units without words stand between no others
+        owner, total = self.owner[some], np.append(0, np.cumsum(self.words[some]))
+        alone = one[some], two[some]
+        open_ = np.flatnonzero(~self.eligible[some])
+        for back in range(1, min_words):  # with so many units before them
+            open_ = open_[open_ >= back]
+            open_ = open_[owner[open_ - back] == owner[open_]]
+            enough = total[open_ + 1] - total[open_ - back] >= min_words
+            done, open_ = open_[enough], open_[~enough]
+            for digest, unit in zip((one, two), alone):
+                joined = unit[done - back]
+                for j in range(back - 1, -1, -1):
+                    joined = mix(joined * _PAIR + unit[done - j])
+                digest[some[done]] = joined
+            self.eligible[some[done]] = True
         self.one, self.two = one.view(np.int64), two.view(np.int64)
-        self.eligible = (self.words >= min_words) | short
 
     def repeated_inside(self) -> np.ndarray:
         """Units whose digest stands earlier in the same text."""
@@ -95,22 +105,37 @@ class Units:
         return out
 
 
+def _document() -> tuple[Column, Column]:
+    """Rank and version of a row's document: versions tell null ids apart."""
+    null = F.col("doc_id").isNull()
+    rank = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
+    return rank, F.when(null, F.xxhash64(F.col("text").cast("string"))).otherwise(F.lit(0).cast("long"))
+
+
+def _free(name: str, taken: list[str]) -> str:
+    """``name``, with more underscores if a column has it."""
+    while name.lower() in {c.lower() for c in taken}:
+        name = "_" + name
+    return name
+
+
 def unit_digests(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(rank, one, two): the digests of each document, each once a text."""
+    """(rank, ver, one, two): the digests of each document, each once a text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rank = batch.column(0)
-            for block in blocks(batch.column(1), lower=True):
+            rank, ver = batch.column(0), batch.column(1)
+            for block in blocks(batch.column(2), lower=True):
                 units = Units(block, min_words)
                 some = np.flatnonzero(units.eligible & ~units.repeated_inside())
+                at = pa.array(units.owner[some] + block.first)
                 yield pa.RecordBatch.from_arrays(
-                    [rank.take(pa.array(units.owner[some] + block.first)), pa.array(units.one[some]), pa.array(units.two[some])],
-                    ["rank", "one", "two"],
+                    [rank.take(at), ver.take(at), pa.array(units.one[some]), pa.array(units.two[some])], ["rank", "ver", "one", "two"]
                 )
 
-    rank = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
-    return docs.select(rank.alias("rank"), F.col("text").cast("string").alias("text")).mapInArrow(run, "rank long, one long, two long")
+    rank, ver = _document()
+    narrow = docs.select(rank.alias("rank"), ver.alias("ver"), F.col("text").cast("string").alias("text"))
+    return narrow.mapInArrow(run, "rank long, ver long, one long, two long")
 
 
 def dedup_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -118,17 +143,22 @@ def dedup_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     the number of units, of removed ones, and their spans as ``start-end,...``."""
     docs = docs.drop(*ADDED)
     digests = unit_digests(docs, min_words)
-    shared = digests.groupBy("one", "two").agg(F.min("rank").alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    # versions count only among null ids, which come last: a minimum of each is enough
+    shared = (
+        digests.groupBy("one", "two").agg(F.min("rank").alias("kept"), F.min("ver").alias("kept_ver"), F.count(F.lit(1)).alias("n"))
+        .where("n > 1").drop("n")
+    )
+    rank, ver, listed_in = (_free(c, docs.columns) for c in ("_rank", "_ver", "_removed"))
     removed = (
-        digests.join(shared, ["one", "two"]).where("rank > kept")
-        .groupBy("rank").agg(F.collect_set("one").alias("_removed"))  # at most the units of one document
-        .withColumnRenamed("rank", "_rank")
+        digests.join(shared, ["one", "two"]).where(F.expr(f"rank > kept or (kept = {LAST} and ver > kept_ver)"))
+        .groupBy("rank", "ver").agg(F.collect_set("one").alias(listed_in))  # at most the units of one document
+        .withColumnsRenamed({"rank": rank, "ver": ver})
     )
-    marked = docs.withColumn("_rank", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))).join(removed, "_rank", "left").drop("_rank")
+    marked = docs.withColumns(dict(zip((rank, ver), _document()))).join(removed, [rank, ver], "left").drop(rank, ver)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text, listed = batch.column("text"), batch.column("_removed")
+            text, listed = batch.column("text"), batch.column(listed_in)
             kept = text.to_pylist()
             counts, gone, spans = np.zeros(len(kept), dtype=np.int64), np.zeros(len(kept), dtype=np.int64), [""] * len(kept)
             sizes = np.array([0 if x is None else x for x in pc.list_value_length(listed).to_pylist()], dtype=np.int64)
@@ -149,7 +179,7 @@ def dedup_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                     spans[lo + i] = ",".join([f"{a}-{b}" for a, b in zip(s[o].tolist(), e[o].tolist())])
                     gone[lo + i] = int(o.sum())
             new = {"text": pa.array(kept, pa.string()), "n_units": pa.array(counts), "n_removed_units": pa.array(gone), "removed_spans": pa.array(spans)}
-            names = [c for c in batch.schema.names if c != "_removed"]
+            names = [c for c in batch.schema.names if c != listed_in]
             yield pa.RecordBatch.from_arrays([new.pop(c, None) if c == "text" else batch.column(c) for c in names] + list(new.values()), [*names, *new])
 
     schema = ", ".join(f"`{f.name}` {'string' if f.name == 'text' else f.dataType.simpleString()}" for f in docs.schema)

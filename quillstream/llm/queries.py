@@ -111,10 +111,17 @@ with cut as (
   from units
 ), counted as (
   select *, case when n = '' then 0 else length(n) - length(replace(n, ' ', '')) + 1 end as w from normal
-), paired as (
-  select *, lag(n) over (partition by doc_id order by i) as pn, lag(w) over (partition by doc_id order by i) as pw from counted
+), worded as (
+  select doc_id, i, case
+    when w >= 5 then n
+    when w + lag(w) over p >= 5 then lag(n) over p || '|' || n
+    when w + lag(w) over p + lag(w, 2) over p >= 5 then lag(n, 2) over p || '|' || lag(n) over p || '|' || n
+    when w + lag(w) over p + lag(w, 2) over p + lag(w, 3) over p >= 5 then lag(n, 3) over p || '|' || lag(n, 2) over p || '|' || lag(n) over p || '|' || n
+    else lag(n, 4) over p || '|' || lag(n, 3) over p || '|' || lag(n, 2) over p || '|' || lag(n) over p || '|' || n
+  end as k
+  from counted where w > 0 window p as (partition by doc_id order by i)
 ), keyed as (
-  select *, case when w >= 5 then n when w > 0 and w + pw >= 5 then pn || '|' || n end as k from paired
+  select c.*, d.k from counted c left join worded d using (doc_id, i)
 ), ranked as (
   select *, k is not null and row_number() over (partition by k order by doc_id, i) > 1 as gone from keyed
 ), summed as (

@@ -36,10 +36,13 @@ def brute(rows):
 
 def keys(text):
     words = [tuple(WORD.findall(u.lower())) for u in UNIT.findall(text or "")]
-    out = []
-    for i, w in enumerate(words):
-        before = words[i - 1] if i else ()
-        out.append(w if len(w) >= 5 else (before, w) if w and len(w) + len(before) >= 5 else None)
+    out, before = [], []
+    for w in words:
+        key = [w]
+        while sum(map(len, key)) < 5 and len(key) <= len(before):
+            key.insert(0, before[-len(key)])
+        out.append(tuple(key) if w and sum(map(len, key)) >= 5 else None)
+        before += [w] if w else []
     return out
 
 
@@ -58,7 +61,7 @@ def test_table_against_brute_force(spark):
         (1, line + " Of. " + "another sentence with quite enough words here!\n" + line),
         (2, "Intro words that are only found here, ok. " + line.upper() + " Of. tail"),
         (3, "Of. Of. Of."), (4, ""), (5, None), (6, "...!!!\n\n"), (2, "Intro words that are only found here, ok. more"),
-        (None, line), (7, "x " * 3000 + ". " + line), (8, line), (8, line),
+        (None, line), (20, "P. one two.\n\n- -\nthree\nfour\nfive six\n"), (21, "Q. one two.\nthree\n...\nfour\nfive six\n"), (7, "x " * 3000 + ". " + line), (8, line), (8, line),
     ]
     docs = spark.createDataFrame([(d, t, "u", 1.5) for d, t in rows], "doc_id long, text string, n_units string, score double")
     got = linededup.dedup_units(docs).collect()
@@ -68,6 +71,25 @@ def test_table_against_brute_force(spark):
         assert r.n_removed_units == len([s for s in r.removed_spans.split(",") if s])
 
 
+def test_null_ids_are_documents_of_their_own(spark):
+    line = "a long sentence that two texts have."
+    texts = [f"{line} number {i}" for i in range(6)] + [None, "", f"{line} number 0"]
+    out = linededup.dedup_units(spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")).collect()
+    keep = {r.text for r in out if r.text and line in r.text}
+    assert len(keep) == 1 and sum(r.n_removed_units for r in out) == sum(bool(t) and t not in keep for t in texts)
+    out = linededup.dedup_units(spark.createDataFrame([(None, line), (9, line)], "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.text) for r in out} == {(None, ""), (9, line)}
+
+
+def test_helper_names_may_clash(spark):
+    line = "a long sentence that two texts have."
+    docs = spark.createDataFrame([(1, line, 5, 6, "r", 7, 8)], "doc_id long, text string, _rank int, _VER int, _removed string, rank int, one int")
+    both = docs.union(docs.selectExpr("2L", "text", "_rank", "_VER", "_removed", "rank", "one"))
+    got = linededup.dedup_units(both)
+    assert got.columns == [*docs.columns, *linededup.ADDED]
+    assert {tuple(r)[:7] for r in got.collect()} == {(1, line, 5, 6, "r", 7, 8), (2, "", 5, 6, "r", 7, 8)}
+
+
 def test_empty_table(spark):
     out = linededup.dedup_units(spark.createDataFrame([], "doc_id long, text string"))
     assert out.collect() == [] and out.columns == ["doc_id", "text", "n_units", "n_removed_units", "removed_spans"]

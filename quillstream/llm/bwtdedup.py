@@ -31,7 +31,9 @@ string of the transforms. Nothing is dropped or capped.
 Cases: a null text is empty; texts under ``LENGTH`` bytes keep everything; rows with
 the same id and text are one document and get the same result; of different texts
 with one id the one with the smaller digest counts as earlier; a null ``doc_id``
-ranks last; an empty table gives no rows; extra columns are not read.
+ranks last; an empty table gives no rows; extra columns are not read. A document is
+known by (rank, version) throughout, its version being 64 bits of the text's digest,
+so many rows without an id are spread like any others.
 """
 
 from __future__ import annotations
@@ -42,7 +44,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillstream.llm.textarrays import BLOCK_CHARS, as_strings, mix, span_hashes
@@ -107,7 +109,7 @@ def segments(codes: np.ndarray, offsets: np.ndarray, length: int, gram: int) ->
 
 
 def _minimisers(texts: DataFrame, length: int, gram: int) -> DataFrame:
-    """(minimiser, rank, n) of every text (rank, ver, text)."""
+    """(minimiser, rank, ver, n) of every text (rank, ver, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -119,15 +121,16 @@ def _minimisers(texts: DataFrame, length: int, gram: int) -> DataFrame:
                 cut = np.ones(len(key), dtype=bool)
                 cut[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
                 places = np.flatnonzero(cut)
+                at = pa.array(owner[places] + first)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key[places]), batch.column(0).take(pa.array(owner[places] + first)), pa.array(np.diff(np.append(places, len(key))).astype(np.int32))],
-                    ["minimiser", "rank", "n"],
+                    [pa.array(key[places]), batch.column(0).take(at), batch.column(1).take(at), pa.array(np.diff(np.append(places, len(key))).astype(np.int32))],
+                    ["minimiser", "rank", "ver", "n"],
                 )
 
-    return texts.mapInArrow(run, "minimiser long, rank long, n int")
+    return texts.mapInArrow(run, "minimiser long, rank long, ver long, n int")
 
 
-DEALT = "key long, rank long, ver int, start long, windows long, bytes binary"
+DEALT = "key long, rank long, ver long, start long, windows long, bytes binary"
 
 
 def _dealt(marked: DataFrame, length: int, gram: int) -> DataFrame:
@@ -179,7 +182,7 @@ def _dealt(marked: DataFrame, length: int, gram: int) -> DataFrame:
                 if len(heads):
                     windows = np.add.reduceat(windows, heads)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key[heads]), pa.array(rank[heads]), pa.array(ver[heads], pa.int32()), pa.array(place[heads]), pa.array(windows), pa.array([data[i] for i in heads.tolist()], pa.binary())],
+                    [pa.array(key[heads]), pa.array(rank[heads]), pa.array(ver[heads]), pa.array(place[heads]), pa.array(windows), pa.array([data[i] for i in heads.tolist()], pa.binary())],
                     ["key", "rank", "ver", "start", "windows", "bytes"],
                 )
 
@@ -320,7 +323,7 @@ def _merged(dealt: DataFrame, length: int) -> DataFrame:
             found, at, n = runs(*repeated_starts([data[i] for i in ones.tolist()], windows[ones], rank[ones], ver[ones], start[ones], length))
             string, offset, count = np.concatenate([string, ones[found]]), np.concatenate([offset, at]), np.concatenate([count, n])
         return pa.RecordBatch.from_arrays(
-            [pa.array(rank[string]), pa.array(ver[string], pa.int32()), pa.array(start[string] + offset), pa.array(count)], ["rank", "ver", "start", "windows"]
+            [pa.array(rank[string]), pa.array(ver[string]), pa.array(start[string] + offset), pa.array(count)], ["rank", "ver", "start", "windows"]
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -346,41 +349,44 @@ def _merged(dealt: DataFrame, length: int) -> DataFrame:
         if held:
             yield merge(held)
 
-    return dealt.mapInArrow(run, "rank long, ver int, start long, windows long")
+    return dealt.mapInArrow(run, "rank long, ver long, start long, windows long")
 
 
 # --- the operator ---------------------------------------------------------------------
 
+def _version(text: Column) -> Column:
+    """The first 64 bits of the digest, as a number in the digests' order."""
+    return F.conv(F.substring(F.md5(text), 1, 16), 16, -10).cast("long").bitwiseXOR(F.lit(-1 << 63))
+
+
 def dedup_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans) of every row of
     ``docs(doc_id, text)``; ``spans`` lists the removed runs as ``start-end,...`` in bytes."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("rank"), F.unhex(F.md5(text)).alias("digest"), text.alias("text"))
-    heads = rows.select("rank", "digest").groupBy("digest").agg(F.min("rank").alias("rank"))
-    heads = heads.withColumn("ver", F.row_number().over(Window.partitionBy("rank").orderBy("digest")))
-    heads = heads.withColumnRenamed("digest", "head").checkpoint()
-    # one row a distinct text, by rank throughout, so that the texts are shuffled once
-    # (an equality would become a key of the join and deal the texts by digest)
-    first = rows.select("rank", "digest", "text").join(heads, "rank").where("digest >= head and digest <= head")
+    rank = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), rank.alias("rank"), _version(text).alias("ver"), F.unhex(F.md5(text)).alias("digest"), text.alias("text"))
+    heads = rows.groupBy(F.col("digest").alias("head")).agg(F.min("rank").alias("rank"), F.first("ver").alias("ver")).checkpoint()
+    # one row a distinct text, by (rank, ver) throughout, so that the texts are shuffled once
+    first = rows.select("rank", "ver", "text").join(heads.select("rank", "ver"), ["rank", "ver"])
     texts = first.groupBy("rank", "ver").agg(F.first("text").alias("text")).sortWithinPartitions("rank", "ver")
 
     minimisers = _minimisers(texts, length, gram)
     shared = minimisers.groupBy("minimiser").agg(F.sum("n").alias("all")).where("all > 1")
     listed = (
-        minimisers.select("minimiser", "rank").join(shared, "minimiser")
-        .groupBy("rank").agg(F.collect_list(F.struct("minimiser", (F.col("all") > HOT).alias("hot"))).alias("shared"))  # at most the segments of a document
+        minimisers.select("minimiser", "rank", "ver").join(shared, "minimiser")
+        .groupBy("rank", "ver").agg(F.collect_list(F.struct("minimiser", (F.col("all") > HOT).alias("hot"))).alias("shared"))  # at most the segments of a document
     )
     partitions = default_partitions(docs.sparkSession)
-    dealt = _dealt(texts.join(listed, "rank").select("rank", "ver", "text", "shared").sortWithinPartitions("rank", "ver"), length, gram)
+    dealt = _dealt(texts.join(listed, ["rank", "ver"]).select("rank", "ver", "text", "shared").sortWithinPartitions("rank", "ver"), length, gram)
     merged = _merged(dealt.repartition(partitions, "key").sortWithinPartitions("key"), length)
-    marks = merged.groupBy("rank").agg(F.collect_list(F.struct("ver", "start", "windows")).alias("marks"))
+    marks = merged.groupBy("rank", "ver").agg(F.collect_list(F.struct("start", "windows")).alias("marks"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for rank, ver, data, found in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 raw = np.frombuffer(data.encode(), dtype=np.uint8)
-                spans = np.array([(m["start"], m["start"] + m["windows"] + length - 1) for m in found or () if m["ver"] == ver], dtype=np.int64).reshape(-1, 2)
+                spans = np.array([(m["start"], m["start"] + m["windows"] + length - 1) for m in found or ()], dtype=np.int64).reshape(-1, 2)
                 edges = np.zeros(len(raw) + 1, dtype=np.int64)
                 np.add.at(edges, spans[:, 0], 1)
                 np.add.at(edges, spans[:, 1], -1)
@@ -389,11 +395,11 @@ def dedup_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
                 kept = raw[~gone].tobytes()
                 out.append((rank, ver, int(gone.sum()), len(turn) // 2, hashlib.sha256(kept).hexdigest(), ",".join(f"{a}-{b}" for a, b in turn.reshape(-1, 2).tolist())))
             columns = list(zip(*out)) or [()] * 6
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["rank", "ver", "n_removed", "n_spans", "kept_sha256", "spans"])
 
-    result = texts.join(marks, "rank", "left").select("rank", "ver", "text", "marks").mapInArrow(
-        cut, "rank long, ver int, n_removed long, n_spans long, kept_sha256 string, spans string"
+    result = texts.join(marks, ["rank", "ver"], "left").select("rank", "ver", "text", "marks").mapInArrow(
+        cut, "rank long, ver long, n_removed long, n_spans long, kept_sha256 string, spans string"
     )
     named = heads.join(result, ["rank", "ver"]).drop("ver").withColumnRenamed("rank", "_first")
     narrow = rows.select("doc_id", "rank", F.col("digest").alias("head"), F.octet_length("text").cast("long").alias("n_bytes"))

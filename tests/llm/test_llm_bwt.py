@@ -57,6 +57,16 @@ def test_table_against_brute_force(spark, monkeypatch, hot):
     assert all(sum(int(b) - int(a) for a, b in (s.split("-") for s in r.spans.split(",") if s)) == r.n_removed for r in got)
 
 
+def test_many_null_and_repeated_ids(spark):
+    rng = random.Random(9)
+    text = lambda n: "".join(rng.choice("abcdé ") for _ in range(n))
+    passage = text(40)
+    rows = [(None if i % 3 else i, text(15) + (passage if i % 2 else "") + text(15)) for i in range(120)]
+    rows += [(7, text(10) + passage + text(i)) for i in range(6)] + [(None, None), (None, ""), (None, rows[1][1])]
+    out = bwtdedup.dedup_bytes(spark.createDataFrame(rows, "doc_id long, text string"), length=20, gram=8)
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in out.collect()) == brute(rows, 20)
+
+
 def test_empty_table(spark):
     assert bwtdedup.dedup_bytes(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

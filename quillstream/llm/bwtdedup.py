@@ -9,7 +9,8 @@ bytes; strings do not cross documents.
    minimiser), a function of its content alone. Consecutive windows with the same
    minimiser stay one *segment* of at most ``2 * LENGTH - GRAM`` bytes. Segments
    whose minimiser occurs once in the corpus hold no repeated string and stay home.
-2. Shards. A task lays the segments it got into shards of about ``SHARD`` bytes and
+2. Shards. Strings that have neither half of a window around the minimiser in common
+   with another one of it are left out (``may_share``). A task lays the segments it got into shards of about ``SHARD`` bytes and
    builds the Burrows-Wheeler transform of each (``shard_bwt``).
 3. Merge. ``interleave`` merges the transforms of all shards by interleave
    refinement: the merged order starts as shard after shard; each pass puts the
@@ -77,13 +78,13 @@ def byte_blocks(column: pa.Array, limit: int = BLOCK_CHARS) -> Iterator[tuple[in
         first = last
 
 
-def segments(codes: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, windows, minimiser) of the segments of a block; the segment's bytes
-    are ``windows + length - 1`` from its start."""
+def segments(codes: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(start, windows, minimiser, its place) of the segments of a block; the segment's
+    bytes are ``windows + length - 1`` from its start."""
     n = len(codes) - length + 1
     none = np.zeros(0, dtype=np.int64)
     if n <= 0:
-        return none, none, none
+        return none, none, none, none
     h, size = mix(codes.astype(np.uint64) + _SECOND), 1
     while size < gram:  # hash of the first `gram` bytes from each place, by doubling
         step = min(size, gram - size)
@@ -105,7 +106,7 @@ def segments(codes: np.ndarray, offsets: np.ndarray, length: int, gram: int) ->
     new[1:] &= ~valid[:-1] | (at[1:] != at[:-1]) | (owner[1:] != owner[:-1])
     start = np.flatnonzero(new)
     stops = np.flatnonzero(valid & np.append((~valid | new)[1:], True)) + 1
-    return start, stops - start, grams[at[start]].view(np.int64)
+    return start, stops - start, grams[at[start]].view(np.int64), at[start]
 
 
 def _minimisers(texts: DataFrame, length: int, gram: int) -> DataFrame:
@@ -114,7 +115,7 @@ def _minimisers(texts: DataFrame, length: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, codes, offsets in byte_blocks(batch.column(2)):
-                start, _, key = segments(codes, offsets, length, gram)
+                start, _, key, _ = segments(codes, offsets, length, gram)
                 owner = np.searchsorted(offsets, start, side="right") - 1
                 order = np.lexsort((key, owner))
                 key, owner = key[order], owner[order]
@@ -130,7 +131,7 @@ def _minimisers(texts: DataFrame, length: int, gram: int) -> DataFrame:
     return texts.mapInArrow(run, "minimiser long, rank long, ver long, n int")
 
 
-DEALT = "key long, rank long, ver long, start long, windows long, bytes binary"
+DEALT = "key long, rank long, ver long, start long, windows long, pivot int, bytes binary"
 
 
 def _dealt(marked: DataFrame, length: int, gram: int) -> DataFrame:
@@ -147,7 +148,7 @@ def _dealt(marked: DataFrame, length: int, gram: int) -> DataFrame:
             hots = flat.field(1).to_numpy(zero_copy_only=False)
             ranks, vers = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
             for first, codes, offsets in byte_blocks(batch.column(2)):
-                start, windows, key = segments(codes, offsets, length, gram)
+                start, windows, key, pivot = segments(codes, offsets, length, gram)
                 owner = np.searchsorted(offsets, start, side="right") - 1
                 last = first + len(offsets) - 2
                 here = slice(ends[first] - sizes[first], ends[last])
@@ -157,12 +158,12 @@ def _dealt(marked: DataFrame, length: int, gram: int) -> DataFrame:
                 mine = tag(owner, key)
                 some = np.isin(mine, wanted)
                 hot = np.isin(mine, wanted[hots[here].astype(bool)])
-                start, windows, key, owner, hot = start[some], windows[some], key[some], owner[some], hot[some]
+                start, windows, key, pivot, owner, hot = start[some], windows[some], key[some], pivot[some], owner[some], hot[some]
                 if hot.any():  # single strings, dealt by their own hash
                     n = np.where(hot, windows, 1)
                     shift = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                     start, windows = np.repeat(start, n) + shift, np.where(np.repeat(hot, n), 1, np.repeat(windows, n))
-                    key, owner, hot = np.repeat(key, n), np.repeat(owner, n), np.repeat(hot, n)
+                    key, pivot, owner, hot = np.repeat(key, n), np.repeat(pivot, n), np.repeat(owner, n), np.repeat(hot, n)
                 stop = start + windows + length - 1
                 one = span_hashes(codes, start, stop)
                 two = span_hashes(mix(codes.astype(np.uint64) + _SECOND), start, stop)
@@ -182,8 +183,8 @@ def _dealt(marked: DataFrame, length: int, gram: int) -> DataFrame:
                 if len(heads):
                     windows = np.add.reduceat(windows, heads)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key[heads]), pa.array(rank[heads]), pa.array(ver[heads]), pa.array(place[heads]), pa.array(windows), pa.array([data[i] for i in heads.tolist()], pa.binary())],
-                    ["key", "rank", "ver", "start", "windows", "bytes"],
+                    [pa.array(key[heads]), pa.array(rank[heads]), pa.array(ver[heads]), pa.array(place[heads]), pa.array(windows), pa.array((pivot - start)[heads].astype(np.int32)), pa.array([data[i] for i in heads.tolist()], pa.binary())],
+                    ["key", "rank", "ver", "start", "windows", "pivot", "bytes"],
                 )
 
     return marked.mapInArrow(run, DEALT)
@@ -292,7 +293,27 @@ def repeated_starts(strings: list[bytes], windows: np.ndarray, rank: np.ndarray,
     return string[later], offset[later]
 
 
-def _merged(dealt: DataFrame, length: int) -> DataFrame:
+def may_share(strings: list[bytes], key: np.ndarray, pivot: np.ndarray, length: int, gram: int) -> np.ndarray:
+    """Mask of the strings that may share ``length`` bytes with another one of their key.
+
+    Equal windows have the minimiser (at ``pivot``) at the same place, so half of the
+    bytes beside it lie before it in both, or more than the rest from it on. A string
+    that has neither part in common with another shares no window: nothing is lost.
+    """
+    half = (length - gram) // 2
+    rest = length - half + 1
+    mask = np.zeros(len(strings), dtype=bool)
+    for parts in (
+        [hash((k, s[p - half:p])) if p >= half else None for s, k, p in zip(strings, key.tolist(), pivot.tolist())],
+        [hash((k, s[p:p + rest])) if len(s) >= p + rest else None for s, k, p in zip(strings, key.tolist(), pivot.tolist())],
+    ):
+        at = np.array([i for i, h in enumerate(parts) if h is not None], dtype=np.int64)
+        _, of, sizes = np.unique(np.array([h for h in parts if h is not None], dtype=np.int64), return_inverse=True, return_counts=True)
+        mask[at[sizes[of] > 1]] = True
+    return mask
+
+
+def _merged(dealt: DataFrame, length: int, gram: int) -> DataFrame:
     """(rank, ver, start, windows): runs of windows that also start earlier."""
 
     def runs(string: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -306,6 +327,7 @@ def _merged(dealt: DataFrame, length: int) -> DataFrame:
     def merge(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(rows).combine_chunks()
         key, rank, ver, start, windows = (table.column(c).to_numpy().astype(np.int64) for c in ("key", "rank", "ver", "start", "windows"))
+        pivot = table.column("pivot").to_numpy().astype(np.int64)
         data = table.column("bytes").to_pylist()
         # equal segments of several tasks are one string; the later ones are marked whole
         order = np.lexsort((start, ver, rank))
@@ -318,6 +340,7 @@ def _merged(dealt: DataFrame, length: int) -> DataFrame:
         ones = np.flatnonzero(lead == np.arange(len(data)))
         _, of, sizes = np.unique(key[ones], return_inverse=True, return_counts=True)
         ones = ones[sizes[of] > 1]
+        ones = ones[may_share([data[i] for i in ones.tolist()], key[ones], pivot[ones], length, gram)]
         string, offset, count = copies, np.zeros(len(copies), dtype=np.int64), windows[copies]
         if len(ones):
             found, at, n = runs(*repeated_starts([data[i] for i in ones.tolist()], windows[ones], rank[ones], ver[ones], start[ones], length))
@@ -378,7 +401,7 @@ def dedup_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
     )
     partitions = default_partitions(docs.sparkSession)
     dealt = _dealt(texts.join(listed, ["rank", "ver"]).select("rank", "ver", "text", "shared").sortWithinPartitions("rank", "ver"), length, gram)
-    merged = _merged(dealt.repartition(partitions, "key").sortWithinPartitions("key"), length)
+    merged = _merged(dealt.repartition(partitions, "key").sortWithinPartitions("key"), length, gram)
     marks = merged.groupBy("rank", "ver").agg(F.collect_list(F.struct("start", "windows")).alias("marks"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -105,3 +105,22 @@ def test_repeated_starts(monkeypatch):
                 want.add((i, o))
             seen.add(t[o:o + 12])
     assert got == want
+
+
+def test_strings_left_out_share_no_window():
+    rng = random.Random(8)
+    length, gram = 20, 6
+    base = "".join(rng.choice("ab") for _ in range(300))
+    texts = [base[a:a + rng.randrange(20, 60)] for a in (rng.randrange(240) for _ in range(60))]
+    texts += ["".join(rng.choice("ab") for _ in range(50)) for _ in range(60)]
+    codes = np.frombuffer("".join(texts).encode(), dtype=np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    start, windows, key, at = bwtdedup.segments(codes, offsets, length, gram)
+    strings = sorted({(int(k), int(p), codes[a:a + n + length - 1].tobytes()) for a, n, k, p in zip(start, windows, key, at - start)})
+    kept = bwtdedup.may_share([s for _, _, s in strings], *(np.array(c) for c in list(zip(*strings))[:2]), length, gram)
+    holders = {}
+    for i, (_, _, s) in enumerate(strings):
+        for o in range(len(s) - length + 1):
+            holders.setdefault(s[o:o + length], set()).add(i)
+    sharing = {i for who in holders.values() if len(who) > 1 for i in who}
+    assert sharing and sharing <= set(np.flatnonzero(kept).tolist()) and not kept.all()

@@ -199,25 +199,37 @@ def shard_bwt(codes: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     characters, equal ones by position.
     """
     n = len(codes)
-    padded = np.concatenate([codes, np.zeros(8, dtype=np.uint8)])
-    word = np.zeros(n, dtype=np.uint64)
-    for i in range(8):
-        word = (word << np.uint64(8)) | padded[i:n + i]
-    order = np.argsort(word, kind="stable")
-    reached, key = 8, word
+    bits = n.bit_length()
+    width = max(1, min(8, (64 - bits) // 8))  # characters beside a position in a number
+    padded = np.concatenate([codes, np.zeros(width, dtype=np.uint8)])
+    key = np.zeros(n, dtype=np.uint64)
+    for i in range(width):
+        key = (key << np.uint64(8)) | padded[i:n + i]
+    reached = width
     while True:
+        order = _positions(key, bits)
+        ordered = key.take(order)
         new = np.ones(n, dtype=np.int64)
-        new[1:] = key[order][1:] != key[order][:-1]
-        rank = np.empty(n, dtype=np.int64)
-        rank[order] = np.cumsum(new)
-        if reached >= depth or rank.max() == n:
+        new[1:] = ordered[1:] != ordered[:-1]
+        ranked = np.cumsum(new)
+        if reached >= depth or ranked[-1] == n:
             break
+        rank = np.empty(n, dtype=np.int64)
+        rank[order] = ranked
         after = np.zeros(n, dtype=np.int64)
         after[:n - reached] = rank[reached:] if reached < n else 0
-        key = (rank * (n + 1) + after).astype(np.uint64)
-        order = np.argsort(key, kind="stable")
+        key = ((rank << bits) | after).astype(np.uint64)
         reached *= 2
-    return order, codes[order - 1]
+    return order, codes.take(order - 1)
+
+
+def _positions(key: np.ndarray, bits: int) -> np.ndarray:
+    """Positions in the order of their keys, equal keys by position; sorted as one
+    number with the position in its low ``bits`` where it has room."""
+    if int(key.max(initial=0)).bit_length() + bits > 64:
+        return np.argsort(key, kind="stable")
+    packed = np.sort((key << np.uint64(bits)) | np.arange(len(key), dtype=np.uint64))
+    return (packed & np.uint64((1 << bits) - 1)).astype(np.int64)
 
 
 def interleave(bwts: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -241,15 +253,16 @@ def interleave(bwts: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarr
     quads, ranked = np.unique((pairs[twice].astype(np.uint32) << 16) | pairs, return_inverse=True)
     if len(quads) <= 1 << 16:
         key, jump, size = ranked.astype(np.uint16), twice[twice], 4
-    row, block = np.arange(total), np.zeros(total, dtype=np.int64)
+    narrow = np.int32 if total < 1 << 31 else np.int64
+    jump, row, block = jump.astype(narrow), np.arange(total, dtype=narrow), np.zeros(total, dtype=narrow)
     common = np.full(total, depth, dtype=np.int16)
     for reached in range(0, depth, size):
-        k = key[row]
+        k = key.take(row)
         order = np.argsort(k, kind="stable")  # stable buckets: counting sort of 16-bit keys
-        k, held = k[order], block[order]
+        k, held = k.take(order), block.take(order)
         new = np.zeros(total, dtype=bool)
         new[1:] = (k[1:] != k[:-1]) | (held[1:] != held[:-1])
-        row, block = jump[row[order]], np.cumsum(new)
+        row, block = jump.take(row.take(order)), np.cumsum(new, dtype=narrow)
         common[new & (common == depth)] = reached
     common[:1] = 0
     return row, block, common

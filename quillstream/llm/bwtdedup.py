@@ -14,8 +14,8 @@ bytes; strings do not cross documents.
    builds the Burrows-Wheeler transform of each (``shard_bwt``).
 3. Merge. ``interleave`` merges the transforms of all shards by interleave
    refinement: the merged order starts as shard after shard; each pass puts the
-   rows into the buckets of the characters before them, stably, which sorts by one
-   more character. No suffixes are compared or sorted again. Where a bucket or a
+   rows into the buckets of the characters before them, stably, which sorts by those
+   characters more. No suffixes are compared or sorted again. Where a bucket or a
    block ends, a block of the next depth ends too: that gives the common prefixes
    (in steps of the pass) and, after ``LENGTH`` characters, the intervals of equal
    strings. In each interval the earliest start stays and the others are marked.
@@ -45,7 +45,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillstream.llm.textarrays import BLOCK_CHARS, as_strings, mix, span_hashes
@@ -53,12 +53,15 @@ from quillstream.session import default_partitions
 
 LENGTH = 100
 GRAM = 24
+NEAR = 1 << 16       # bytes whose segments are found at a time, beyond one text
 SHARD = 1 << 17      # bytes of a shard
+STEP = 20            # characters that a pass of the merge may sort by
 CHUNK = 1 << 22      # bytes merged at a time, beyond one key
 HOT = 50_000         # occurrences of a minimiser from which single strings are dealt
 LAST = (1 << 63) - 1
 
 _SECOND = np.uint64(0xA0761D6478BD642F)
+_BYTES = mix(np.arange(256, dtype=np.uint64) + _SECOND)  # a hash of each byte
 
 
 # --- dealing ----------------------------------------------------------------------
@@ -81,11 +84,22 @@ def byte_blocks(column: pa.Array, limit: int = BLOCK_CHARS) -> Iterator[tuple[in
 def segments(codes: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(start, windows, minimiser, its place) of the segments of a block; the segment's
     bytes are ``windows + length - 1`` from its start."""
+    parts, first = [], 0
+    while first < len(offsets) - 1:  # whole texts of about NEAR bytes, so that the arrays stay in the processor's cache
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + NEAR, side="right")) - 1)
+        base = offsets[first]
+        start, windows, key, at = _segments(codes[base:offsets[last]], offsets[first:last + 1] - base, length, gram)
+        parts.append((start + base, windows, key, at + base))
+        first = last
+    return tuple(np.concatenate(p) for p in zip(*parts))
+
+
+def _segments(codes: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     n = len(codes) - length + 1
     none = np.zeros(0, dtype=np.int64)
     if n <= 0:
         return none, none, none, none
-    h, size = mix(codes.astype(np.uint64) + _SECOND), 1
+    h, size = _BYTES.take(codes), 1
     while size < gram:  # hash of the first `gram` bytes from each place, by doubling
         step = min(size, gram - size)
         h = h[:len(h) - step] * np.uint64(0x9E3779B97F4A7C15 + 2 * size) + h[step:]
@@ -100,10 +114,14 @@ def segments(codes: np.ndarray, offsets: np.ndarray, length: int, gram: int) ->
         low = np.minimum(low[:len(low) - step], low[step:])
         span += step
     at = (low & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    owner = np.searchsorted(offsets, np.arange(n), side="right") - 1
-    valid = np.arange(n) + length <= offsets[owner + 1]
-    new = valid.copy()
-    new[1:] &= ~valid[:-1] | (at[1:] != at[:-1]) | (owner[1:] != owner[:-1])
+    # windows of one text: none starts in the last ``length - 1`` bytes of a text
+    valid, first = np.ones(n, dtype=bool), np.zeros(n, dtype=bool)
+    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+        valid[max(a, b - length + 1):b] = False
+        first[a:a + 1] = True
+    new = first
+    new[1:] |= ~valid[:-1] | (at[1:] != at[:-1])
+    new &= valid
     start = np.flatnonzero(new)
     stops = np.flatnonzero(valid & np.append((~valid | new)[1:], True)) + 1
     return start, stops - start, grams[at[start]].view(np.int64), at[start]
@@ -166,7 +184,7 @@ def _dealt(marked: DataFrame, length: int, gram: int) -> DataFrame:
                     key, pivot, owner, hot = np.repeat(key, n), np.repeat(pivot, n), np.repeat(owner, n), np.repeat(hot, n)
                 stop = start + windows + length - 1
                 one = span_hashes(codes, start, stop)
-                two = span_hashes(mix(codes.astype(np.uint64) + _SECOND), start, stop)
+                two = span_hashes(_BYTES.take(codes), start, stop)
                 key = np.where(hot, one.view(np.int64), key)
                 digests = np.stack([one, two], axis=1)
                 rank, ver = ranks[first + owner], vers[first + owner]
@@ -207,8 +225,7 @@ def shard_bwt(codes: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
         key = (key << np.uint64(8)) | padded[i:n + i]
     reached = width
     while True:
-        order = _positions(key, bits)
-        ordered = key.take(order)
+        ordered, order = _sorted(key, bits)
         new = np.ones(n, dtype=np.int64)
         new[1:] = ordered[1:] != ordered[:-1]
         ranked = np.cumsum(new)
@@ -223,43 +240,60 @@ def shard_bwt(codes: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     return order, codes.take(order - 1)
 
 
-def _positions(key: np.ndarray, bits: int) -> np.ndarray:
-    """Positions in the order of their keys, equal keys by position; sorted as one
-    number with the position in its low ``bits`` where it has room."""
+def _sorted(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in order and their positions, equal keys by position; sorted as one number
+    with the position in its low ``bits`` where it has room."""
     if int(key.max(initial=0)).bit_length() + bits > 64:
-        return np.argsort(key, kind="stable")
-    packed = np.sort((key << np.uint64(bits)) | np.arange(len(key), dtype=np.uint64))
-    return (packed & np.uint64((1 << bits) - 1)).astype(np.int64)
-
-
-def interleave(bwts: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Merge transforms by interleave refinement to ``depth`` characters (a multiple of 4).
+        order = np.argsort(key, kind="stable")
+        return key.take(order), order
+    packed = (key << np.uint64(bits)) | np.arange(len(key), dtype=np.uint64)
+    packed.sort()
+    return packed >> np.uint64(bits), (packed & np.uint64((1 << bits) - 1)).view(np.int64)
+
+
+def _before(last: np.ndarray, step: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """A number, in their order, of the ``size`` characters before each row (the earlier
+    one in the text is the more significant), and the row of the suffix longer by them."""
+    bits = len(last).bit_length()
+    one = last.astype(np.uint64)
+    key, jump, width = one, step, 8
+    for more in bin(size)[3:]:  # by doubling
+        if 2 * width + 8 + bits > 64:  # no room: numbers of the distinct ones
+            ordered, order = _sorted(key, bits)
+            new = np.ones(len(key), dtype=np.uint64)
+            new[1:] = ordered[1:] != ordered[:-1]
+            ranked = np.cumsum(new)
+            key = np.empty_like(ranked)
+            key[order] = ranked
+            width = int(ranked[-1]).bit_length()
+        key, jump, width = (key.take(jump) << np.uint64(width)) | key, jump.take(jump), 2 * width
+        if more == "1":
+            key, jump, width = (one.take(jump) << np.uint64(width)) | key, step.take(jump), width + 8
+    return key, jump
+
+
+def interleave(bwts: list[np.ndarray], depth: int, size: int = 4) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Merge transforms by interleave refinement to ``depth`` characters, ``size`` of them
+    a pass (``depth`` is a multiple).
 
     Returns the merged order (row numbers, counted through the shards), the block of
     equal prefixes of each merged row, and the common prefix of each row with the one
     before it (rounded down to the step of a pass; ``depth`` for rows of one block).
     """
     total = sum(map(len, bwts))
-    last = np.concatenate(bwts)
+    narrow = np.int32 if total < 1 << 31 else np.int64
     # the row of the suffix one character longer, by counting within each shard
-    step = np.empty(total, dtype=np.int64)
+    step = np.empty(total, dtype=narrow)
     base = 0
     for b in bwts:
-        step[base + np.argsort(b, kind="stable")] = base + np.arange(len(b))
+        step[base + np.argsort(b, kind="stable")] = np.arange(base, base + len(b))
         base += len(b)
-    # several characters a pass: the earlier one in the text is the more significant
-    twice, pairs = step[step], (last[step].astype(np.uint16) << 8) | last
-    key, jump, size = pairs, twice, 2
-    quads, ranked = np.unique((pairs[twice].astype(np.uint32) << 16) | pairs, return_inverse=True)
-    if len(quads) <= 1 << 16:
-        key, jump, size = ranked.astype(np.uint16), twice[twice], 4
-    narrow = np.int32 if total < 1 << 31 else np.int64
-    jump, row, block = jump.astype(narrow), np.arange(total, dtype=narrow), np.zeros(total, dtype=narrow)
+    key, jump = _before(np.concatenate(bwts), step, size)
+    row, block = np.arange(total, dtype=narrow), np.zeros(total, dtype=narrow)
     common = np.full(total, depth, dtype=np.int16)
     for reached in range(0, depth, size):
-        k = key.take(row)
-        order = np.argsort(k, kind="stable")  # stable buckets: counting sort of 16-bit keys
-        k, held = k.take(order), block.take(order)
+        k, order = _sorted(key.take(row), total.bit_length())  # stable buckets
+        held = block.take(order)
         new = np.zeros(total, dtype=bool)
         new[1:] = (k[1:] != k[:-1]) | (held[1:] != held[:-1])
         row, block = jump.take(row.take(order)), np.cumsum(new, dtype=narrow)
@@ -285,12 +319,13 @@ def repeated_starts(strings: list[bytes], windows: np.ndarray, rank: np.ndarray,
         order, bwt = shard_bwt(codes[a:b], length)
         orders.append(order + a)
         bwts.append(bwt)
-    row, block, _ = interleave(bwts, length)
-    place = np.concatenate(orders)[row]
-    string = np.searchsorted(begin, place, side="right") - 1
-    offset = place - begin[string]
-    whole = offset < windows[string]
-    string, offset, block = string[whole], offset[whole], block[whole]
+    row, block, _ = interleave(bwts, length, max(n for n in range(1, STEP + 1) if length % n == 0))
+    place = np.concatenate(orders).take(row)
+    owner = np.repeat(np.arange(len(strings)), sizes)
+    whole = (np.arange(len(codes)) - begin.take(owner) < windows.take(owner)).take(place)
+    place, block = place[whole], block[whole]
+    string = owner.take(place)
+    offset = place - begin.take(string)
     # repeated intervals: blocks with several whole windows; the earliest stays
     same = np.zeros(len(block), dtype=bool)
     same[1:] = block[1:] == block[:-1]
@@ -406,10 +441,10 @@ def dedup_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
     first = rows.select("rank", "ver", "text").join(heads.select("rank", "ver"), ["rank", "ver"])
     texts = first.groupBy("rank", "ver").agg(F.first("text").alias("text")).sortWithinPartitions("rank", "ver")
 
-    minimisers = _minimisers(texts, length, gram)
-    shared = minimisers.groupBy("minimiser").agg(F.sum("n").alias("all")).where("all > 1")
+    # one shuffle of the minimisers: a window keeps their rows, so they are found and sent once
+    counted = _minimisers(texts, length, gram).withColumn("all", F.sum("n").over(Window.partitionBy("minimiser")))
     listed = (
-        minimisers.select("minimiser", "rank", "ver").join(shared, "minimiser")
+        counted.where("all > 1")
         .groupBy("rank", "ver").agg(F.collect_list(F.struct("minimiser", (F.col("all") > HOT).alias("hot"))).alias("shared"))  # at most the segments of a document
     )
     partitions = default_partitions(docs.sparkSession)

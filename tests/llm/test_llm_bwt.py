@@ -124,3 +124,40 @@ def test_strings_left_out_share_no_window():
             holders.setdefault(s[o:o + length], set()).add(i)
     sharing = {i for who in holders.values() if len(who) > 1 for i in who}
     assert sharing and sharing <= set(np.flatnonzero(kept).tolist()) and not kept.all()
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(st.sampled_from("ab"), max_size=50), min_size=1, max_size=12), st.sampled_from([1, 3, 6, 12]))
+def test_passes_of_several_characters(texts, size):
+    parts = [np.frombuffer(("\x00".join(texts[i:i + 3]) + "\x00").encode(), dtype=np.uint8) for i in range(0, len(texts), 3)]
+    built = [bwtdedup.shard_bwt(p, 12) for p in parts]
+    row, block, common = bwtdedup.interleave([b for _, b in built], 12, size)
+    assert sorted(row.tolist()) == list(range(sum(map(len, parts))))
+    owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+    order = np.concatenate([o for o, _ in built])
+    whole = [(parts[owner[r]][order[r]:order[r] + 12].tobytes(), b, c) for r, b, c in zip(row, block, common)]
+    whole = [(s, b, c) for s, b, c in whole if len(s) == 12 and 0 not in s]
+    assert [s for s, _, _ in whole] == sorted(s for s, _, _ in whole)
+    assert len({(s, b) for s, b, _ in whole}) == len({s for s, _, _ in whole}) == len({b for _, b, _ in whole})
+
+
+def test_segments_do_not_depend_on_pieces(monkeypatch):
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abc") for _ in range(rng.choice([0, 3, 19, 20, 21, 90, 400]))) for _ in range(80)]
+    codes = np.frombuffer("".join(texts).encode(), dtype=np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    found = []
+    for near in (1, 64, 500, 1 << 20):
+        monkeypatch.setattr(bwtdedup, "NEAR", near)
+        found.append([x.tolist() for x in bwtdedup.segments(codes, offsets, 20, 6)])
+    assert all(f == found[-1] for f in found)
+    start, windows, _, at = found[-1]
+    covered = sorted(a + i for a, n in zip(start, windows) for i in range(n))
+    assert covered == [a + i for a, t in zip(offsets.tolist(), texts) for i in range(len(t) - 19)]
+    assert all(a + n - 1 <= p <= a + 20 - 6 for a, n, p in zip(start, windows, at))
+
+
+def test_minimisers_are_found_once(spark):
+    out = bwtdedup.dedup_bytes(spark.createDataFrame([(1, "a" * 120), (2, "b" * 120)], "doc_id long, text string"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("minimiser#" in line and "MapInArrow" in line for line in plan.splitlines()) == 1
